@@ -31,11 +31,14 @@ def _decimals(mask: str) -> int:
 
 
 def apply_mask(col: Column, kind: str, mask: str | None = None) -> Column:
-    """Display text of a report column of kind S (text), D (date) or N (number)."""
+    """Display text of a report column of kind S (text), D (date) or N (number).
+
+    Number masks are grouped ("#,#0.00") or plain ("%.2f"); plain ones stay exact decimals.
+    """
     if kind == "D":
         return F.date_format(col, _date_pattern(mask or "yyyy-mm-dd"))
-    if kind == "N" and mask and mask.startswith("%"):
-        return F.format_string(mask, col)
+    if kind == "N" and mask and mask.startswith("%."):
+        return col.cast(f"decimal(38,{int(mask[2:-1])})").cast("string")
     if kind == "N" and mask:
         return F.format_number(col, _decimals(mask))
     if kind in ("N", "S"):

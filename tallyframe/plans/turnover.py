@@ -26,9 +26,9 @@ COLUMNS = [
 Tables = Mapping[str, DataFrame]
 
 
-def _accounts(t: Tables, key: str, alias: str) -> DataFrame:
+def _accounts(t: Tables) -> DataFrame:
     return t["ledger_account"].select(
-        F.col(key).alias(alias), *[c for c in ("account_id", "account_number") if c != alias],
+        F.col("collection_id").alias("acc_collection"), "account_id", "account_number",
         account_class(F.col("account_number")).alias("second_order_account_number"),
     )
 
@@ -43,8 +43,7 @@ def daily_turnover(t: Tables, as_of: date, cutover: date, until: date | None = N
     ).where(F.col("posted_at") >= F.lit(cutover))
     if until is not None:
         journal = journal.where(F.col("posted_at") < F.lit(until + timedelta(days=1)))
-    moves = journal.join(_accounts(t, "collection_id", "acc_collection"),
-                         F.col("collection_id") == F.col("acc_collection"))
+    moves = journal.join(_accounts(t), F.col("collection_id") == F.col("acc_collection"))
     moves = moves.withColumns({
         "effective_from": F.to_date("posted_at"),
         "is_debit": F.coalesce("is_debit", F.lit(False)),
@@ -67,8 +66,7 @@ def daily_turnover(t: Tables, as_of: date, cutover: date, until: date | None = N
 def legacy_balances(t: Tables, cutover: date) -> DataFrame:
     """Current intervals of the former balance table that start before the cut-over."""
     legacy = scd2_current(t["legacy_balance"]).where(F.col("effective_from") < F.lit(cutover))
-    accounts = _accounts(t, "account_id", "acc_id")
-    return legacy.join(accounts, F.col("account_id") == F.col("acc_id")).select(*COLUMNS)
+    return legacy.join(_accounts(t), "account_id").select(*COLUMNS)
 
 
 def balance_intervals(t: Tables, as_of: date, cutover: date, days: int = 30, overlap: bool = False) -> DataFrame:

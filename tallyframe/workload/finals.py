@@ -1,0 +1,246 @@
+"""The complete report queries."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ..plans import (
+    act_data, act_details, act_final, agreements_check, payments_check, red_balance, red_summary, turnover,
+    violations,
+)
+from ..plans import fixed_values as fv
+from . import sqltables as S
+from .registry import query
+from .rows import ISLANDS
+from .tables import AS_OF, CUTOVER, EVENT_DAY, dbl, doubles
+
+FAMILIES = ["base", "settl", "cards"]
+AMOUNTS = [*fv.ACT_COLUMNS.values(), "check_amount"]
+
+
+def facts(g, family):
+    return act_data(g.act_tables(family), AS_OF, family)
+
+
+def final(g):
+    lines = facts(g, "base").unionByName(facts(g, "settl")).unionByName(facts(g, "cards"))
+    return act_final(lines, [g.agreements(f) for f in FAMILIES], g.merchants, AS_OF)
+
+
+def _register_family(family, key):
+    @query(key, f"WITH {S.act_facts(family)} SELECT ttype, agr_number, amount::DOUBLE AS txn_amount FROM act_{family}")
+    def act_data_of(g):
+        return doubles(facts(g, family), "txn_amount")
+
+
+_register_family("base", "q_act_data")
+_register_family("settl", "q_act_data_settl")
+_register_family("cards", "q_act_data_cards")
+
+_AMOUNTS_SQL = ", ".join(f"{c}::DOUBLE AS {c}" for c in AMOUNTS)
+
+
+@query("q_act_final", f"""
+WITH {S.ACT_FINAL}
+SELECT agr_number, agr_date, director, merchant, director_short, has_data, {_AMOUNTS_SQL},
+       CASE WHEN check_amount = 0 THEN 1 ELSE 0 END AS condition FROM act_final""")
+def q_act_final(g):
+    return doubles(final(g), *AMOUNTS)
+
+
+_DETAILS_SQL = ", ".join(
+    f'{c}{"::DOUBLE" if c in AMOUNTS else ""} AS "{label}"' for c, label in fv.ACT_LABELS.items()
+).replace("condition AS", "CASE WHEN check_amount = 0 THEN 1 ELSE 0 END AS")
+
+
+@query("q_act_details", f"WITH {S.ACT_FINAL} SELECT {_DETAILS_SQL} FROM act_final")
+def q_act_details(g):
+    return act_details(doubles(final(g), *AMOUNTS))
+
+
+@query("union_all_branches", f"""
+WITH {S.act_facts("base")} SELECT ttype, count(*) AS n, sum(amount)::DOUBLE AS amount FROM act_base GROUP BY 1""")
+def union_all_branches(g):
+    return facts(g, "base").groupBy("ttype").agg(
+        F.count(F.lit(1)).alias("n"), dbl(F.sum("txn_amount")).alias("amount"))
+
+
+# turnover in SQL: all intervals of both halves, then the ones that hold the day
+TURNOVER = S.JOURNAL_CHANGES + """,
+moves AS (
+  SELECT a.account_id, a.account_number, j.posted_at::DATE AS day, j.in_rub,
+         -1 * sum(CASE WHEN is_debit THEN amount_rub ELSE 0 END) OVER (PARTITION BY a.account_id, j.posted_at::DATE) AS debit,
+         sum(CASE WHEN NOT is_debit THEN amount_rub ELSE 0 END) OVER (PARTITION BY a.account_id, j.posted_at::DATE) AS credit,
+         row_number() OVER (PARTITION BY a.account_id, j.posted_at::DATE ORDER BY j.posted_at, j.id) AS first_rn
+  FROM journal_latest j JOIN ledger_account a ON a.collection_id = j.collection_id
+  WHERE j.posted_at::DATE >= {k}
+),
+new_rows AS (
+  SELECT account_id, account_number, day AS frm,
+         coalesce(lead(day) OVER (PARTITION BY account_id ORDER BY day) - 1, DATE '2100-12-31') AS till,
+         in_rub AS in_amount, debit, credit, in_rub + debit + credit AS out_amount
+  FROM moves WHERE first_rn = 1
+),
+first_new AS (SELECT account_id, min(frm) AS frm FROM new_rows GROUP BY 1),
+old_rows AS (
+  SELECT a.account_id, a.account_number, DATE '2023-12-31' AS frm,
+         least(DATE '2100-12-31', coalesce(f.frm - 1, DATE '2100-12-31')) AS till,
+         c_acctbal::DECIMAL(18,2) AS in_amount, 0 AS debit, 0 AS credit, c_acctbal::DECIMAL(18,2) AS out_amount
+  FROM customer JOIN ledger_account a ON a.account_id = c_custkey LEFT JOIN first_new f ON f.account_id = c_custkey
+),
+turnover AS (
+  SELECT {e} AS balance_date, account_id, substr(account_number, 1, 5) AS second_order_account_number, account_number,
+         CASE WHEN frm = {e} THEN in_amount ELSE out_amount END AS in_amount, out_amount,
+         CASE WHEN frm = {e} THEN debit ELSE 0 END AS debit_amount,
+         CASE WHEN frm = {e} THEN credit ELSE 0 END AS credit_amount
+  FROM (SELECT * FROM old_rows UNION ALL SELECT * FROM new_rows) WHERE {e} BETWEEN frm AND till
+)""".replace("{e}", S.E).replace("{k}", S.K)
+
+_MOVES = ["in_amount", "out_amount", "debit_amount", "credit_amount"]
+_MOVES_SQL = ", ".join(f"{c}::DOUBLE AS {c}" for c in _MOVES)
+
+
+def balances(g):
+    return turnover(g.turnover_tables, EVENT_DAY, CUTOVER)
+
+
+@query("q_turnover", f"""
+WITH {TURNOVER}
+SELECT balance_date, account_id, second_order_account_number, account_number, {_MOVES_SQL} FROM turnover""")
+def q_turnover(g):
+    return doubles(balances(g), *_MOVES)
+
+
+# the given balances stay below 10,000, so severities start lower here
+SEVERITY_FROM = {fv.CRITICAL: 9000, fv.HIGH: 5000, fv.MEDIUM: 1000}
+
+VIOLATIONS = TURNOVER + "," + S.ACCOUNT_TYPES + """,
+typed AS (
+  SELECT t.*, y.type_code AS code, abs(t.out_amount) AS abs_amount,
+         CASE WHEN t.out_amount > 0 THEN 'DEBIT' WHEN t.out_amount < 0 THEN 'CREDIT' ELSE 'ZERO' END AS direction
+  FROM turnover t JOIN ledger_account a USING (account_id) JOIN account_type y ON y.type_id = a.type_id
+  LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) u ON u.n_nationkey = a.user_id
+),
+violations AS (
+  SELECT *,
+    CASE WHEN code = 'А' AND direction = 'CREDIT' THEN 'RED_BALANCE_ACTIVE'
+         WHEN code = 'П' AND direction = 'DEBIT' THEN 'RED_BALANCE_PASSIVE'
+         WHEN code = 'АП' AND direction <> 'ZERO' THEN 'NON_ZERO_ACTIVE_PASSIVE' ELSE 'COMPLIANT' END AS violation_type,
+    CASE WHEN code IN ('А', 'П') AND abs_amount >= 9000 THEN 'КРИТИЧЕСКОЕ'
+         WHEN code IN ('А', 'П') AND abs_amount >= 5000 THEN 'ВЫСОКОЕ'
+         WHEN code IN ('А', 'П') AND abs_amount >= 1000 THEN 'СРЕДНЕЕ'
+         WHEN code = 'АП' AND abs_amount > 0 THEN 'СРЕДНЕЕ' ELSE 'НИЗКОЕ' END AS severity_level
+  FROM typed
+)"""
+
+
+@query("q_red_balance", f"""
+WITH {VIOLATIONS}
+SELECT CASE code WHEN 'АП' THEN 'АКТИВНО-ПАССИВНЫЕ СЧЕТА' WHEN 'А' THEN 'АКТИВНЫЕ СЧЕТА' WHEN 'П' THEN 'ПАССИВНЫЕ СЧЕТА' END
+         AS section_name, balance_date, second_order_account_number, account_number, code AS acc_type_code,
+       CASE violation_type WHEN 'RED_BALANCE_ACTIVE' THEN 'Недопустимое кредитовое сальдо на активном счете'
+            WHEN 'RED_BALANCE_PASSIVE' THEN 'Недопустимое дебетовое сальдо на пассивном счете'
+            ELSE 'Остаток должен быть нулевым' END AS violation_description,
+       severity_level, out_amount::DOUBLE AS out_amount, abs_amount::DOUBLE AS abs_amount,
+       debit_amount::DOUBLE AS debit_amount, credit_amount::DOUBLE AS credit_amount, violation_type
+FROM violations WHERE violation_type <> 'COMPLIANT'""")
+def q_red_balance(g):
+    out = red_balance(balances(g), g.ledger_accounts, g.account_types, g.account_users, SEVERITY_FROM)
+    return out.select(*[dbl(c).alias(c) if c.endswith("_amount") else c for c in out.columns])
+
+
+@query("q_red_summary", f"""
+WITH {VIOLATIONS}
+SELECT code AS acc_type_code,
+       CASE code WHEN 'А' THEN 'Активные' WHEN 'П' THEN 'Пассивные' WHEN 'АП' THEN 'Активно-пассивные' END AS account_type_name,
+       count(*) AS total_violations, sum(abs_amount)::DOUBLE AS total_violation_amount,
+       round(avg(abs_amount), 6)::DOUBLE AS avg_violation_amount, max(abs_amount)::DOUBLE AS max_violation_amount,
+       count(CASE WHEN severity_level = 'КРИТИЧЕСКОЕ' THEN 1 END) AS critical_count,
+       count(CASE WHEN severity_level = 'ВЫСОКОЕ' THEN 1 END) AS high_count,
+       count(CASE WHEN severity_level = 'СРЕДНЕЕ' THEN 1 END) AS medium_count
+FROM violations WHERE violation_type <> 'COMPLIANT' GROUP BY code""")
+def q_red_summary(g):
+    found = violations(balances(g), g.ledger_accounts, g.account_types, g.account_users, SEVERITY_FROM)
+    return doubles(red_summary(found), "total_violation_amount", "max_violation_amount").withColumn(
+        "avg_violation_amount", dbl(F.round("avg_violation_amount", 6)))
+
+
+PAYMENTS = S.JOURNAL_CHANGES + "," + ISLANDS + """,
+on_window AS (
+  SELECT a.account_id, j.*, row_number() OVER (PARTITION BY a.account_id ORDER BY j.posted_at, j.id) AS first_rn,
+         -1 * sum(CASE WHEN is_debit THEN amount_rub ELSE 0 END) OVER (PARTITION BY a.account_id) AS debit,
+         sum(CASE WHEN NOT is_debit THEN amount_rub ELSE 0 END) OVER (PARTITION BY a.account_id) AS credit
+  FROM journal_latest j JOIN ledger_account a ON a.collection_id = j.collection_id
+  WHERE a.account_number LIKE '30232%'
+    AND CASE WHEN (SELECT start_date FROM active) IS NOT NULL
+             THEN posted_at::DATE BETWEEN (SELECT start_date FROM active) AND (SELECT finish_date - 1 FROM active)
+             ELSE posted_at::DATE = {e} - 1 END
+),
+documents_latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, k ORDER BY ts DESC, event_id DESC) AS rn
+    FROM postings WHERE event_type = 'purchase' AND day > {e} - 30) WHERE rn = 1
+),
+paid AS (
+  SELECT user_id, sum(amount) AS amount FROM documents_latest
+  WHERE day = {e} AND k <> 7 AND (k < 40 OR (k >= 50 AND k < 90)) GROUP BY 1
+),
+payments AS (
+  SELECT 'CON/' || c_custkey AS agreement_number, CASE WHEN c_acctbal >= 0 THEN c_name END AS client_name,
+         n_name AS agreement_type, a.account_number, coalesce(w.in_rub + w.debit + w.credit, 0) AS out_balance_amount,
+         coalesce(p.amount, 0) AS payment_documents_amount
+  FROM customer JOIN ledger_account a ON a.account_id = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+  LEFT JOIN on_window w ON w.account_id = c_custkey AND w.first_rn = 1 LEFT JOIN paid p ON p.user_id = c_custkey
+  WHERE a.account_number LIKE '30232%'
+)""".replace("{e}", S.E)
+
+
+def payments(g, ordered=True):
+    return payments_check(g.payment_tables, EVENT_DAY, ordered=ordered)
+
+
+@query("q_payments", f"""
+WITH {PAYMENTS}
+SELECT agreement_number, client_name, agreement_type, account_number, out_balance_amount::DOUBLE AS out_balance_amount,
+       payment_documents_amount::DOUBLE AS payment_documents_amount,
+       (payment_documents_amount - out_balance_amount)::DOUBLE AS diff_amount FROM payments""")
+def q_payments(g):
+    out = payments(g)
+    return out.select(*[dbl(c).alias(c) if c.endswith("_amount") else c for c in out.columns])
+
+
+_AGREEMENTS_DAY = date(1998, 6, 15)
+
+
+@query("q_agreements", f"""
+WITH yp AS (SELECT 'ag' || o_orderkey AS num, o_orderdate::DATE AS opened,
+                   CASE WHEN o_totalprice > 250000 THEN o_orderdate::DATE + 100 END AS closed
+            FROM orders WHERE o_orderstatus = 'F'),
+ip AS (SELECT * FROM (SELECT (CASE WHEN o_orderpriority = '5-LOW' THEN 'zz' ELSE 'ag' END) || o_orderkey AS num,
+                   o_orderdate::DATE AS opened, o_orderdate::DATE + 90 AS closed
+            FROM orders WHERE o_orderstatus <> 'P') WHERE num LIKE 'ag%'),
+a AS (SELECT coalesce(yp.num, ip.num) AS num, coalesce(yp.opened, ip.opened) AS opened, coalesce(yp.closed, ip.closed) AS closed
+      FROM yp FULL JOIN ip ON yp.num = ip.num),
+b AS (SELECT 'ag' || l_orderkey AS num, min(l_shipdate)::DATE AS opened, max(l_shipdate)::DATE AS closed
+      FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1),
+x AS (SELECT a.num AS a_num, b.num AS b_num, a.opened AS a_open, b.opened AS b_open, a.closed AS a_close, b.closed AS b_close,
+             DATE '{_AGREEMENTS_DAY}' AS d FROM a FULL JOIN b ON a.num = b.num)
+SELECT CASE WHEN a_open = d AND b_num IS NULL THEN 'missing_in_b' WHEN b_open = d AND a_num IS NULL THEN 'missing_in_a'
+            WHEN (b_open = d OR a_open = d) AND a_open <> b_open THEN 'open_date_differs'
+            WHEN (b_open = d OR a_open = d) AND a_close <> b_close THEN 'close_date_differs' END AS error_name,
+       coalesce(a_num, b_num) AS agr_number, a_open AS a_open_date, b_open AS b_open_date,
+       a_close AS a_close_date, b_close AS b_close_date
+FROM x WHERE (a_open = d AND b_num IS NULL) OR (b_open = d AND a_num IS NULL)
+  OR ((b_open = d OR a_open = d) AND a_open <> b_open) OR ((b_open = d OR a_open = d) AND a_close <> b_close)""")
+def q_agreements(g):
+    key, opened = F.col("o_orderkey").cast("string"), F.to_date("o_orderdate")
+    products = g.orders.where(F.col("o_orderstatus") == "F").select(
+        F.concat(F.lit("ag"), key).alias("agr_number"), opened.alias("open_date"),
+        F.when(F.col("o_totalprice") > 250000, F.date_add(opened, 100)).alias("close_date"))
+    internal = g.orders.where(F.col("o_orderstatus") != "P").select(
+        F.concat(F.when(F.col("o_orderpriority") == "5-LOW", "zz").otherwise("ag"), key).alias("agr_number"),
+        opened.alias("open_date"), F.date_add(opened, 90).alias("close_date"))
+    other = g.lineitem.where(F.col("l_linestatus") == "O").groupBy("l_orderkey").agg(
+        F.min("l_shipdate").alias("signature_date"), F.max("l_shipdate").alias("closing_date")
+    ).withColumn("agr_number", F.concat(F.lit("ag"), F.col("l_orderkey").cast("string")))
+    return agreements_check(products, internal, other, _AGREEMENTS_DAY)
