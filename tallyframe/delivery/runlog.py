@@ -35,7 +35,7 @@ def log_row(
 
 
 def log_run(path: str, *rows: DataFrame) -> None:
-    union_sources(*rows).coalesce(1).write.mode("append").parquet(path)
+    union_sources(*rows).write.mode("append").parquet(path)
 
 
 def run_status(events: DataFrame, run: str = "run_id", ts: str = "event_ts", event: str = "event_type") -> DataFrame:

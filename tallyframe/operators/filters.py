@@ -26,6 +26,13 @@ def select_named(df: DataFrame, names: Iterable[str] | None, col: str = "name")
     return df if names is None else df.where(F.col(col).isin(list(names)))
 
 
+def for_report_dates(df: DataFrame, col: str, dates: Iterable[date]) -> DataFrame:
+    """Rows for several report dates in one pass: each row once per date whose previous
+    month holds it, with that date as ``as_of``. The dates are a short list."""
+    hits = [F.when(in_prev_month(F.col(col), d), F.lit(d)) for d in dates]
+    return df.withColumn("as_of", F.explode(F.array_compact(F.array(*hits))))
+
+
 def filter_by_window(
     df: DataFrame, col: str, window: DataFrame, start: str, end: str, fallback: date
 ) -> DataFrame:

@@ -1,0 +1,168 @@
+"""Output contracts and the reports known by their columns only."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ..delivery.catalogue import CONTRACTS
+from ..delivery.contracts import Col, Contract, apply_contract, contract_problems
+from ..functions import money
+from ..plans.schema_only import (
+    acquiring_totals, auto_funding, document_messages, fake_clears, merchants_monthly, transaction_duplicates,
+    txn_vs_document,
+)
+from ..sources.sinks import with_run_columns
+from .finals import PAYMENTS, payments
+from .registry import query
+from .reports import STATUSES, statuses
+from .tables import EVENT_DAY, RUN_TS, dbl, doubles
+
+_PRICE = "l_extendedprice::DECIMAL(18,2)"
+
+
+@query("contract_apply", f"""
+WITH {PAYMENTS}
+SELECT agreement_number, client_name, agreement_type, account_number, out_balance_amount::DOUBLE AS out_balance_amount,
+       payment_documents_amount::DOUBLE AS payment_documents_amount,
+       (payment_documents_amount - out_balance_amount)::DOUBLE AS diff_amount FROM payments""")
+def contract_apply(g):
+    result = payments(g, ordered=False)
+    history = with_run_columns(result, RUN_TS, EVENT_DAY).unionByName(
+        with_run_columns(result.where("diff_amount <> 0"), RUN_TS, date(2024, 1, 14)))
+    out = apply_contract(history, CONTRACTS["merchants_payments"], EVENT_DAY, "2024-01-15 09_30_00")
+    return out.select(*[dbl(c).alias(c) if c.endswith("_amount") else c for c in out.columns])
+
+
+@query("contract_check", """
+SELECT 'number' AS column_name, 'S' AS kind, count(*) AS n_rows, count(CASE WHEN o_orderkey IS NULL THEN 1 END) AS n_null, 0 AS n_unfit
+FROM orders
+UNION ALL SELECT 'opened', 'D', count(*), 0, count(CASE WHEN o_orderpriority = '5-LOW' THEN 1 END) FROM orders
+UNION ALL SELECT 'amount', 'N', count(*), count(CASE WHEN o_orderstatus = 'P' THEN 1 END),
+                 count(CASE WHEN o_orderstatus = 'F' AND o_custkey > 100 THEN 1 END) FROM orders""")
+def contract_check(g):
+    contract = Contract("orders", (Col("number", "Номер"), Col("opened", "Дата", "D"), Col("amount", "Сумма", "N")))
+    amount = F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice").cast("string")).when(
+        F.col("o_orderstatus") == "F", F.when(F.col("o_custkey") > 100, "12,50").otherwise("12.50"))
+    opened = F.when(F.col("o_orderpriority") == "5-LOW", "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    texts = g.orders.select(
+        F.col("o_orderkey").cast("string").alias("number"), opened.alias("opened"), amount.alias("amount"))
+    return contract_problems(texts, contract)
+
+
+@query("c_account_status", f"WITH {STATUSES} SELECT * FROM compared WHERE error_name IS NOT NULL")
+def c_account_status(g):
+    return statuses(g)
+
+
+@query("c_totals_diff", f"""
+WITH a AS (SELECT sum(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice::DECIMAL(18,2) END) AS p,
+                  sum(CASE WHEN o_orderstatus = 'P' THEN o_totalprice::DECIMAL(18,2) END) AS r FROM orders),
+b AS (SELECT sum(CASE WHEN l_returnflag <> 'R' THEN {_PRICE} END) AS p, sum(CASE WHEN l_returnflag = 'R' THEN {_PRICE} END) AS r
+      FROM lineitem)
+SELECT a.p::DOUBLE AS payments_a, b.p::DOUBLE AS payments_b, (a.p - b.p)::DOUBLE AS payments_diff,
+       a.r::DOUBLE AS refunds_a, b.r::DOUBLE AS refunds_b, (a.r - b.r)::DOUBLE AS refunds_diff FROM a, b""")
+def c_totals_diff(g):
+    def split(rows, is_refund, amount):
+        return rows.select(
+            F.when(~is_refund, money(F.col(amount))).alias("payments"), F.when(is_refund, money(F.col(amount))).alias("refunds"))
+    out = acquiring_totals(
+        split(g.orders, F.col("o_orderstatus") == "P", "o_totalprice"),
+        split(g.lineitem, F.col("l_returnflag") == "R", "l_extendedprice"))
+    return doubles(out, *out.columns)
+
+
+@query("c_date_pair_compare", """
+WITH a AS (SELECT o_custkey AS number, o_orderpriority AS buid, min(o_orderdate)::DATE AS s, max(o_orderdate)::DATE AS e
+           FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+b AS (SELECT o_custkey AS number, o_orderpriority AS buid, min(o_orderdate)::DATE AS s, max(o_orderdate)::DATE AS e
+      FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2)
+SELECT coalesce(a.number, b.number) AS number, coalesce(a.buid, b.buid) AS buid, a.s AS a_start_date, b.s AS b_start_date,
+       a.e AS a_end_date, b.e AS b_end_date
+FROM a FULL JOIN b ON a.number = b.number AND a.buid = b.buid
+WHERE a.s IS DISTINCT FROM b.s OR a.e IS DISTINCT FROM b.e""")
+def c_date_pair_compare(g):
+    def side(rows):
+        return rows.groupBy(F.col("o_custkey").alias("number"), F.col("o_orderpriority").alias("buid")).agg(
+            F.to_date(F.min("o_orderdate")).alias("start_date"), F.to_date(F.max("o_orderdate")).alias("end_date"))
+    return auto_funding(side(g.orders.where(F.col("o_orderstatus") == "F")), side(g.orders.where(F.col("o_orderstatus") != "P")))
+
+
+@query("c_amount_compare", f"""
+WITH a AS (SELECT o_orderstatus AS ttype, o_custkey AS agr_number, sum(o_totalprice::DECIMAL(18,2)) AS x FROM orders GROUP BY 1, 2),
+b AS (SELECT o_orderstatus AS ttype, o_custkey AS agr_number, sum({_PRICE}) AS x
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R' GROUP BY 1, 2)
+SELECT coalesce(a.ttype, b.ttype) AS ttype, coalesce(a.agr_number, b.agr_number) AS agr_number, a.x IS NOT NULL AS in_a,
+       b.x IS NOT NULL AS in_b, coalesce(a.x, 0)::DOUBLE AS amount_a, coalesce(b.x, 0)::DOUBLE AS amount_b,
+       (coalesce(a.x, 0) - coalesce(b.x, 0))::DOUBLE AS diff
+FROM a FULL JOIN b ON a.ttype = b.ttype AND a.agr_number = b.agr_number WHERE coalesce(a.x, 0) <> coalesce(b.x, 0)""")
+def c_amount_compare(g):
+    keys = [F.col("o_orderstatus").alias("ttype"), F.col("o_custkey").alias("agr_number")]
+    lines = g.lineitem.where(F.col("l_returnflag") != "R").groupBy("l_orderkey").agg(
+        F.sum(money(F.col("l_extendedprice"))).alias("amount"))
+    a = g.orders.select(*keys, money(F.col("o_totalprice")).alias("amount"))
+    b = g.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(*keys, "amount")
+    return doubles(merchants_monthly(a, b), "amount_a", "amount_b", "diff")
+
+
+@query("c_txn_vs_document", f"""
+WITH t AS (SELECT l_suppkey, l_returnflag, l_linenumber AS rrn, sum({_PRICE}) AS x FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2, 3),
+d AS (SELECT l_suppkey, l_returnflag, l_linenumber AS rrn, sum({_PRICE}) AS x FROM lineitem
+      WHERE l_linestatus = 'O' AND l_linenumber < 7 GROUP BY 1, 2, 3),
+j AS (SELECT coalesce(t.l_suppkey, d.l_suppkey) AS l_suppkey, coalesce(t.l_returnflag, d.l_returnflag) AS l_returnflag,
+             coalesce(t.rrn, d.rrn) AS rrn, t.x AS tx, d.x AS dx, coalesce(t.x, 0) AS ta, coalesce(d.x, 0) AS da
+      FROM t FULL JOIN d ON t.l_suppkey = d.l_suppkey AND t.l_returnflag = d.l_returnflag AND t.rrn = d.rrn),
+w AS (SELECT *, sum(ta) OVER p AS st, sum(da) OVER p AS sd FROM j WINDOW p AS (PARTITION BY l_suppkey, l_returnflag))
+SELECT l_suppkey, l_returnflag, rrn, ta::DOUBLE AS sum_amount_rrn, da::DOUBLE AS sum_sum_rrn, (ta - da)::DOUBLE AS diff,
+       st::DOUBLE AS sum_settl_amount, sd::DOUBLE AS sum_c_sum,
+       CASE WHEN tx IS NULL THEN 'no_transaction' WHEN dx IS NULL THEN 'no_document' ELSE 'amount_differs' END AS error_name
+FROM w WHERE ta <> da""")
+def c_txn_vs_document(g):
+    rows = g.lineitem.select("l_suppkey", "l_returnflag", "l_linestatus", F.col("l_linenumber").alias("rrn"),
+                             money(F.col("l_extendedprice")).alias("amount"))
+    documents = rows.where((F.col("l_linestatus") == "O") & (F.col("rrn") < 7))
+    out = txn_vs_document(rows.where(F.col("l_linestatus") == "F"), documents, ["l_suppkey", "l_returnflag"])
+    return doubles(out, "sum_amount_rrn", "sum_sum_rrn", "diff", "sum_settl_amount", "sum_c_sum")
+
+
+@query("c_fake_clear", """
+SELECT o_orderkey, o_orderdate::DATE AS banking_date, o_totalprice AS amount, 'no_authorisation' AS error_name
+FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def c_fake_clear(g):
+    clears = g.orders.select("o_orderkey", F.to_date("o_orderdate").alias("banking_date"), F.col("o_totalprice").alias("amount"))
+    return fake_clears(clears, g.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
+
+
+@query("c_duplicates", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, n_copies FROM (
+  SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n_copies FROM lineitem) WHERE n_copies > 1""")
+def c_duplicates(g):
+    rows = g.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return transaction_duplicates(rows, ["l_orderkey", "l_linenumber"])
+
+
+@query("c_doc_vs_message", """
+WITH a AS (SELECT o_orderkey AS num, o_totalprice::DECIMAL(18,2) AS s, o_custkey AS acc, o_orderdate::DATE AS d
+           FROM orders WHERE o_orderstatus <> 'P'),
+b AS (SELECT o_orderkey AS num, (o_totalprice::DECIMAL(18,2) + CASE WHEN o_totalprice > 450000 THEN 1 ELSE 0 END) AS s,
+             CASE WHEN o_totalprice < 20000 THEN -1 ELSE o_custkey END AS acc,
+             o_orderdate::DATE + (CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS d
+      FROM orders WHERE o_orderpriority <> '5-LOW'),
+x AS (SELECT coalesce(a.num, b.num) AS document_num, a.s::DOUBLE AS a_document_sum, b.s::DOUBLE AS b_document_sum,
+             a.acc AS a_payer_account, b.acc AS b_payer_account, a.d AS a_document_date, b.d AS b_document_date,
+             CASE WHEN b.num IS NULL THEN 'no_message' WHEN a.num IS NULL THEN 'no_document'
+                  WHEN a.s <> b.s THEN 'sum_differs' WHEN a.acc <> b.acc THEN 'account_differs'
+                  WHEN a.d <> b.d THEN 'date_differs' END AS diff_type
+      FROM a FULL JOIN b ON a.num = b.num)
+SELECT * FROM x WHERE diff_type IS NOT NULL""")
+def c_doc_vs_message(g):
+    price, day = money(F.col("o_totalprice")), F.to_date("o_orderdate")
+    documents = g.orders.where(F.col("o_orderstatus") != "P").select(
+        F.col("o_orderkey").alias("document_num"), price.alias("document_sum"),
+        F.col("o_custkey").alias("payer_account"), day.alias("document_date"))
+    total = F.col("o_totalprice")
+    messages = g.orders.where(F.col("o_orderpriority") != "5-LOW").select(
+        F.col("o_orderkey").alias("document_num"),
+        money(price + F.when(total > 450000, 1).otherwise(0)).alias("document_sum"),
+        F.when(total < 20000, F.lit(-1)).otherwise(F.col("o_custkey")).alias("payer_account"),
+        F.date_add(day, F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)).alias("document_date"))
+    return doubles(document_messages(documents, messages).drop("in_a", "in_b"), "a_document_sum", "b_document_sum")

@@ -1,0 +1,377 @@
+"""Delivery of reports: gates, routes, texts, ledgers, messages, tickets and logs."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ..delivery import (
+    act_digest, digest, fill_rows, freshness, log_run, log_view, outbox, outcome, route, run_status, satisfied,
+    split_outcome, undelivered, upsert_actions,
+)
+from ..delivery.runlog import LOG_FIELDS
+from ..functions import apply_mask, json_field, money, render, report_dates
+from ..operators.compare import compare_registers, differs
+from ..operators.filters import for_report_dates, in_prev_month
+from ..params import RunParams
+from ..plans.calendar import next_workday
+from ..plans.schema_only import ACCOUNT_CLASSES, account_statuses
+from ..session import work_dir
+from . import sqltables as S
+from .finals import final
+from .registry import query
+from .tables import AS_OF, EVENT_DAY, RUN_TS, dbl, doubles
+from .values import etc_of
+
+# -- a month's result per agreement, and the routes its files take ----------------------
+
+RESULT = f"""
+result AS (
+  SELECT 'AGR/' || l_suppkey AS agr_number,
+         sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_extendedprice::DECIMAL(18,2) END) AS purchases,
+         sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice::DECIMAL(18,2) ELSE 0 END) AS refunds
+  FROM lineitem WHERE l_shipdate >= {S.LO} AND l_shipdate < {S.HI} AND l_quantity >= 40 GROUP BY 1
+),
+acts AS (SELECT *, CASE WHEN purchases >= refunds THEN 1 ELSE 0 END AS condition FROM result)"""
+
+
+def month_lines(g):
+    return g.lineitem.where(in_prev_month(F.col("l_shipdate"), AS_OF) & (F.col("l_quantity") >= 40)).withColumns({
+        "agr_number": g.agr_number("l_suppkey"), "price": money(F.col("l_extendedprice"))})
+
+
+def acts(g):
+    returned = F.col("l_returnflag") == "R"
+    zero = F.lit(0)
+    sums = month_lines(g).groupBy("agr_number").agg(
+        F.sum(F.when(returned, zero).otherwise(F.col("price"))).alias("purchases"),
+        F.sum(F.when(returned, F.col("price")).otherwise(zero)).alias("refunds"))
+    return sums.withColumn("condition", F.when(F.col("purchases") >= F.col("refunds"), 1).otherwise(0))
+
+
+ROUTES = """
+routes AS (
+  SELECT 'AGR/' || s_suppkey AS agr_number, s_name AS merchant, n_name AS recipient,
+         CASE WHEN n_regionkey < 2 THEN 'Acquiring' ELSE 'Transfers' END AS template,
+         CASE WHEN n_regionkey < 3 THEN 'success' WHEN n_regionkey = 3 THEN 'failure' ELSE 'none' END AS indicator
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+)"""
+
+
+def routes(g):
+    region = F.col("n_regionkey")
+    return g.supplier.join(g.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        g.agr_number("s_suppkey").alias("agr_number"), F.col("s_name").alias("merchant"),
+        F.col("n_name").alias("recipient"),
+        F.when(region < 2, "Acquiring").otherwise("Transfers").alias("template"),
+        F.when(region < 3, "success").when(region == 3, "failure").otherwise("none").alias("indicator"))
+
+
+_ORDER = "agr_number"
+
+
+def routed(g):
+    return route(acts(g), routes(g), "agr_number", F.col("condition"), [F.col(_ORDER)])
+
+
+@query("rep_bind_dates", f"""
+SELECT o_custkey, count(*) AS n, {S.D} AS as_of FROM orders
+WHERE o_orderdate >= {S.LO} AND o_orderdate < {S.HI} GROUP BY o_custkey""")
+def rep_bind_dates(g):
+    g.orders.createOrReplaceTempView("bound_orders")
+    return g.spark.sql("""
+        SELECT o_custkey, count(*) AS n, :as_of AS as_of FROM bound_orders
+        WHERE o_orderdate >= :month_lo AND o_orderdate < :month_hi GROUP BY o_custkey""",
+        args={k: v for k, v in RunParams(AS_OF, RUN_TS).sql_args().items() if k != "run_ts"})
+
+
+@query("rep_gate", f"""
+WITH {RESULT}, {ROUTES}
+SELECT agr_number, coalesce(condition, 0) <> 0 AS attach FROM routes LEFT JOIN acts USING (agr_number)""")
+def rep_gate(g):
+    return routes(g).join(acts(g), "agr_number", "left").select(
+        "agr_number", satisfied(F.col("condition")).alias("attach"))
+
+
+@query("rep_fill_row", f"""
+WITH {ROUTES}, lines AS (
+  SELECT 'AGR/' || l_suppkey AS agr_number, l_orderkey, l_linenumber, l_extendedprice, row_number() OVER
+    (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS rn
+  FROM lineitem WHERE l_shipdate >= {S.LO} AND l_shipdate < {S.HI} AND l_quantity >= 40)
+SELECT agr_number, merchant, l_orderkey, l_linenumber, l_extendedprice, rn IS NOT NULL AS found
+FROM routes LEFT JOIN (SELECT * FROM lines WHERE rn = 1) USING (agr_number)""")
+def rep_fill_row(g):
+    order = [F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")]
+    return fill_rows(month_lines(g), routes(g), "agr_number", order).select(
+        "agr_number", "merchant", "l_orderkey", "l_linenumber", "l_extendedprice", "found")
+
+
+@query("rep_render_text", f"""
+WITH {RESULT}, {ROUTES}
+SELECT agr_number, 'Акт ' || agr_number || ' (' || merchant || '): оплаты ' || format('{{:.2f}}', purchases::DOUBLE)
+  || ', возвраты ' || format('{{:.2f}}', refunds::DOUBLE) || ' за 1998-07-15' AS body
+FROM acts JOIN routes USING (agr_number)""")
+def rep_render_text(g):
+    fields = {
+        "agr_number": F.col("agr_number"), "merchant": F.col("merchant"),
+        "purchases": apply_mask(F.col("purchases"), "N", "%.2f"), "refunds": apply_mask(F.col("refunds"), "N", "%.2f"),
+        **report_dates(F.lit(AS_OF), F.lit(RUN_TS)),
+    }
+    text = "Акт {agr_number} ({merchant}): оплаты {purchases}, возвраты {refunds} за {DT}"
+    return acts(g).join(routes(g), "agr_number").select("agr_number", render(text, fields).alias("body"))
+
+
+FILE = "acts/{PREV_CYR_MONTH_SLASH}/Акт по договору {agr_number} за {PREV_CYR_MONTH}.docx"
+_FILE_SQL = "'acts/1998/06/Акт по договору ' || replace(agr_number, '/', '_') || ' за июнь 1998.docx'"
+
+
+def file_name():
+    dates = report_dates(F.lit(AS_OF), F.lit(RUN_TS))
+    # the folder keeps its slash, inserted values lose theirs
+    folder = {"PREV_CYR_MONTH_SLASH": dates["PREV_CYR_MONTH_SLASH"]}
+    head, _, tail = FILE.rpartition("/")
+    name = render(tail, {"agr_number": F.col("agr_number"), **dates}, slash="_")
+    return F.concat(render(head, folder), F.lit("/"), name)
+
+
+@query("rep_render_filename", f"""
+WITH {ROUTES} SELECT agr_number, {_FILE_SQL} AS file_name FROM routes""")
+def rep_render_filename(g):
+    return routes(g).select("agr_number", file_name().alias("file_name"))
+
+
+@query("rep_route", f"""
+WITH {RESULT}, {ROUTES}
+SELECT agr_number, merchant, recipient, template, indicator, purchases::DOUBLE AS purchases, refunds::DOUBLE AS refunds,
+       condition, condition IS NOT NULL AS found, coalesce(condition, 0) <> 0 AS attach
+FROM routes LEFT JOIN acts USING (agr_number)""")
+def rep_route(g):
+    return doubles(routed(g), "purchases", "refunds")
+
+
+@query("rep_split_outcome", f"""
+WITH {RESULT}, {ROUTES}
+SELECT agr_number, CASE WHEN condition = 1 THEN 'SUCCESS' ELSE 'FAILED' END AS outcome,
+       CASE WHEN condition = 1 THEN 'SUCCESS' ELSE 'FAILED' END || '/' || replace(agr_number, '/', '_') AS path FROM acts""")
+def rep_split_outcome(g):
+    split = split_outcome(acts(g), F.col("condition")).select("agr_number", "outcome")
+    return split.withColumn("path", F.concat_ws("/", "outcome", F.replace("agr_number", F.lit("/"), F.lit("_"))))
+
+
+@query("rep_delivery_ledger", f"""
+WITH {RESULT}, {ROUTES}
+SELECT agr_number, recipient FROM routes JOIN acts USING (agr_number)
+WHERE condition = 1 AND agr_number NOT IN (
+  SELECT 'AGR/' || s_suppkey FROM supplier WHERE s_acctbal > 4000)""")
+def rep_delivery_ledger(g):
+    items = routed(g).where("attach").select("agr_number", "recipient")
+    delivered = g.supplier.where(F.col("s_acctbal") > 4000).select(g.agr_number("s_suppkey").alias("agr_number"))
+    return undelivered(items, delivered, ["agr_number"])
+
+
+@query("rep_outcome", f"""
+WITH {RESULT}, {ROUTES}, counted AS (
+  SELECT recipient, indicator, count(*) FILTER (WHERE coalesce(condition, 0) <> 0) AS n_attached
+  FROM routes LEFT JOIN acts USING (agr_number) GROUP BY 1, 2)
+SELECT *, CASE WHEN indicator = 'failure' AND n_attached > 0 THEN 'FAILED' WHEN indicator = 'failure' THEN 'SUCCESS'
+               WHEN indicator = 'success' AND n_attached > 0 THEN 'SUCCESS' WHEN indicator = 'success' THEN 'FAILED' END
+          AS result FROM counted""")
+def rep_outcome(g):
+    counted = routed(g).groupBy("recipient", "indicator").agg(F.count_if("attach").alias("n_attached"))
+    return counted.withColumn("result", outcome(F.col("n_attached"), F.col("indicator")))
+
+
+@query("rep_outbox", f"""
+WITH {ROUTES}, items AS (
+  SELECT recipient, {_FILE_SQL} AS file, 'Договор ' || agr_number AS text FROM routes),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY recipient
+                 ORDER BY ('0x' || substr(md5(file), 1, 4))::BIGINT % 256, file) AS pos FROM items)
+SELECT recipient, ((pos - 1) // 3)::BIGINT + 1 AS message_no, 'Добрый день!<br/>' || string_agg(text, '<br/>' ORDER BY file) AS body,
+       count(*) AS n_files, string_agg(file, ';' ORDER BY file) AS files
+FROM numbered GROUP BY 1, 2""")
+def rep_outbox(g):
+    items = routes(g).select("recipient", file_name().alias("file"),
+                             F.concat(F.lit("Договор "), F.col("agr_number")).alias("text"))
+    messages = outbox(items, "recipient", "file", "text", F.lit("Добрый день!"), per_message=3)
+    return messages.withColumn("files", F.concat_ws(";", "files"))
+
+
+@query("rep_ticket_upsert", f"""
+WITH {RESULT}, {ROUTES}, t AS (
+  SELECT template AS queue, 'Акты ' || recipient AS summary, count(*) AS n_acts
+  FROM routes JOIN acts USING (agr_number) GROUP BY 1, 2),
+known AS (SELECT 'Transfers' AS queue, 'Акты ' || n_name AS summary, 'T-' || min(n_nationkey) AS ticket_key
+          FROM nation WHERE n_regionkey IN (0, 2, 4) GROUP BY 1, 2)
+SELECT t.queue, t.summary, n_acts, ticket_key, CASE WHEN ticket_key IS NULL THEN 'create' ELSE 'comment' END AS action,
+       CASE WHEN ticket_key IS NULL THEN {S.D} + 5 END AS deadline
+FROM t LEFT JOIN known ON t.queue = known.queue AND t.summary = known.summary""")
+def rep_ticket_upsert(g):
+    tickets = routed(g).where("found").groupBy(
+        F.col("template").alias("queue"), F.concat(F.lit("Акты "), F.col("recipient")).alias("summary")
+    ).agg(F.count(F.lit(1)).alias("n_acts"))
+    known = g.nation.where(F.col("n_regionkey").isin(0, 2, 4)).select(
+        F.lit("Transfers").alias("queue"), F.concat(F.lit("Акты "), F.col("n_name")).alias("summary"),
+        F.concat(F.lit("T-"), F.col("n_nationkey").cast("string")).alias("ticket_key"))
+    return upsert_actions(tickets, known, AS_OF)
+
+
+# -- the log: events as runs of a user, with JSON details --------------------------------
+
+LOGS = """
+logs AS (
+  SELECT event_id, user_id, ts, regexp_extract(props, '"k": *([0-9]+)', 1)::BIGINT AS k, event_type AS kind,
+         CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'START' ELSE 'END' END AS event_type
+  FROM events),
+detailed AS (
+  SELECT *, CASE WHEN kind = 'error' THEN 'ERROR' ELSE 'SUCCESS' END AS result,
+         CASE WHEN k < 10 THEN 'TICKET-' || k ELSE '' END AS ticket_key,
+         CASE WHEN kind = 'error' THEN 'failed at ' || k ELSE '' END AS error_msg,
+         CASE WHEN k >= 90 THEN [] WHEN k >= 50 THEN ['out/' || k || '.csv']
+              ELSE ['out/' || k || '.csv', 'out/' || kind || '.xlsx'] END AS paths
+  FROM logs)"""
+
+
+def logs(g):
+    kind = F.col("event_type")
+    event = F.when(kind == "error", "ERROR").when(kind == "signup", "START").otherwise("END")
+    return etc_of(g).select(
+        "event_id", F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
+        F.lit("REPORTS").alias("service_name"), kind.alias("job_name"), event.alias("event_type"),
+        F.col("ts").alias("event_ts"), "etc")
+
+
+@query("rep_run_log", f"""
+WITH {LOGS}
+SELECT event_type, kind AS job_name, result, count(*) AS n, count(CASE WHEN ticket_key <> '' THEN 1 END) AS n_tickets,
+       count(CASE WHEN error_msg <> '' THEN 1 END) AS n_errors FROM detailed GROUP BY 1, 2, 3""")
+def rep_run_log(g):
+    path = work_dir(g.spark, "log")
+    rows = logs(g)
+    before = F.col("event_ts") < F.lit(EVENT_DAY)
+    log_run(path, rows.where(before))
+    log_run(path, rows.where(~before))
+    stored = g.spark.read.schema(rows.schema).parquet(path)
+    details = stored.withColumns({name: json_field(F.col("etc"), name) for name in LOG_FIELDS})
+    return details.groupBy("event_type", "job_name", "result").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("ticket_key") != "").alias("n_tickets"),
+        F.count_if(F.col("error_msg") != "").alias("n_errors"))
+
+
+@query("rep_run_status", f"""
+WITH {LOGS}, last AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn,
+         count(*) OVER (PARTITION BY user_id) AS n_events FROM logs)
+SELECT 'run-' || user_id AS run_id, event_type AS status, ts AS status_ts, n_events FROM last WHERE rn = 1""")
+def rep_run_status(g):
+    return run_status(logs(g))
+
+
+@query("rep_log_view", f"""
+WITH {LOGS}
+SELECT event_id, result, ticket_key, error_msg, unnest(CASE WHEN len(paths) = 0 THEN [''] ELSE paths END) AS filepath
+FROM detailed""")
+def rep_log_view(g):
+    return log_view(logs(g), "REPORTS").select("event_id", "result", "ticket_key", "error_msg", "filepath")
+
+
+# -- digests ------------------------------------------------------------------------------
+
+STATUSES = """
+sa AS (SELECT o_custkey AS account, min(o_orderdate)::DATE AS date_open,
+              CASE WHEN max(o_orderdate) < DATE '2001-01-01' THEN max(o_orderdate)::DATE END AS date_close,
+              CASE WHEN count(*) > 5 THEN 'active' ELSE 'idle' END AS status
+       FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
+sb AS (SELECT o_custkey AS account, min(o_orderdate)::DATE AS date_open,
+              CASE WHEN max(o_orderdate) < DATE '2001-01-01' THEN max(o_orderdate)::DATE END AS date_close,
+              CASE WHEN count(*) > 5 THEN 'active' ELSE 'idle' END AS status
+       FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1),
+compared AS (
+  SELECT sa.account AS a_account, sb.account AS b_account, sa.date_open AS a_date_open, sb.date_open AS b_date_open,
+         sa.date_close AS a_date_close, sb.date_close AS b_date_close, sa.status AS a_status, sb.status AS b_status,
+         CASE WHEN sa.account IS NULL THEN 'missing_in_a' WHEN sb.account IS NULL THEN 'missing_in_b'
+              WHEN sa.date_open <> sb.date_open THEN 'open_date_differs'
+              WHEN sa.date_close <> sb.date_close THEN 'close_date_differs'
+              WHEN sa.status <> sb.status THEN 'status_differs' END AS error_name
+  FROM sa FULL JOIN sb ON sa.account = sb.account)"""
+
+
+def statuses(g):
+    last = F.max("o_orderdate")
+
+    def side(rows):
+        return rows.groupBy(F.col("o_custkey").alias("account")).agg(
+            F.to_date(F.min("o_orderdate")).alias("date_open"),
+            F.when(last < F.lit(date(2001, 1, 1)), F.to_date(last)).alias("date_close"),
+            F.when(F.count(F.lit(1)) > 5, "active").otherwise("idle").alias("status"))
+    return account_statuses(
+        side(g.orders.where(F.col("o_orderstatus") != "P")), side(g.orders.where(F.col("o_orderpriority") != "5-LOW")))
+
+
+@query("rep_digest", f"""
+WITH {STATUSES}
+SELECT {", ".join(f"count(CASE WHEN error_name = '{c}' THEN 1 END) AS {n}" for c, n in ACCOUNT_CLASSES.items())}
+FROM compared""")
+def rep_digest(g):
+    return digest(statuses(g), "error_name", ACCOUNT_CLASSES)
+
+
+@query("rep_act_digest", f"""
+WITH {S.ACT_FINAL}
+SELECT count(*) AS cnt, count(CASE WHEN check_amount = 0 THEN 1 END) AS success_cnt,
+       count(CASE WHEN check_amount <> 0 THEN 1 END) AS failure_cnt FROM act_final""")
+def rep_act_digest(g):
+    return act_digest(final(g))
+
+
+# -- dates and sources ----------------------------------------------------------------------
+
+_BACK = [date(1998, m, 15) for m in (5, 6, 7)]
+
+
+@query("rep_backfill", """
+WITH d(as_of) AS (VALUES (DATE '1998-05-15'), (DATE '1998-06-15'), (DATE '1998-07-15'))
+SELECT as_of, o_orderstatus, count(*) AS n, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS amount
+FROM orders JOIN d ON o_orderdate >= date_trunc('month', as_of) - INTERVAL 1 MONTH AND o_orderdate < date_trunc('month', as_of)
+GROUP BY 1, 2""")
+def rep_backfill(g):
+    return for_report_dates(g.orders, "o_orderdate", _BACK).groupBy("as_of", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), dbl(F.sum(money(F.col("o_totalprice")))).alias("amount"))
+
+
+@query("rep_next_workday", f"""
+WITH {S.CALENDAR}
+SELECT min(calendar_date) AS workday, day(min(calendar_date))::BIGINT AS workday_of_month FROM calendar
+WHERE calendar_date >= {S.E} - 2 AND NOT holiday_flag""")
+def rep_next_workday(g):
+    return next_workday(g.calendar, date(2024, 1, 13))
+
+
+@query("rep_freshness", f"""
+SELECT source, last_day, last_day >= {S.D} AS is_fresh FROM (
+  SELECT 'orders' AS source, max(o_orderdate)::DATE AS last_day FROM orders
+  UNION ALL SELECT 'open lines', max(l_shipdate)::DATE FROM lineitem WHERE l_shipdate < DATE '1998-07-01'
+  UNION ALL SELECT 'events', max(ts)::DATE FROM events)""")
+def rep_freshness(g):
+    old_lines = g.lineitem.where(F.col("l_shipdate") < F.lit(date(1998, 7, 1)))
+    return freshness({
+        "orders": (g.orders, "o_orderdate"), "open lines": (old_lines, "l_shipdate"), "events": (g.events, "ts"),
+    }, AS_OF)
+
+
+@query("rep_register_compare", f"""
+WITH {S.REGISTERS}, x AS (
+  SELECT coalesce(a.number, b.number) AS number, a.opened AS a_opened, b.opened AS b_opened, a.amount::DOUBLE AS a_amount,
+         b.amount::DOUBLE AS b_amount,
+         CASE WHEN b.number IS NULL THEN 'missing_in_b' WHEN a.number IS NULL THEN 'missing_in_a'
+              WHEN date_trunc('year', a.opened) <> date_trunc('year', b.opened) THEN 'year_differs'
+              WHEN a.amount <> b.amount THEN 'amount_differs' END AS error_name
+  FROM register_a a FULL JOIN register_b b ON a.number = b.number)
+SELECT * FROM x WHERE error_name IS NOT NULL""")
+def rep_register_compare(g):
+    both = F.col("in_a") & F.col("in_b")
+    rules = [
+        ("missing_in_b", ~F.col("in_b")), ("missing_in_a", ~F.col("in_a")),
+        ("year_differs", both & (F.year("a_opened") != F.year("b_opened"))),
+        ("amount_differs", both & differs("a_amount", "b_amount")),
+    ]
+    found = compare_registers(g.register_a, g.register_b, ["number"], rules)
+    return doubles(found.drop("in_a", "in_b"), "a_amount", "b_amount")
