@@ -6,12 +6,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
-from ..session import work_dir
+from ..operators.compare import missing_in
+from ..session import materialize
 
 
 def undelivered(items: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Items not in the ledger, decided before anything is rendered."""
-    return items.join(ledger.select(*keys), list(keys), "left_anti")
+    return missing_in(items, ledger, keys)
 
 
 def deliver(
@@ -23,12 +24,9 @@ def deliver(
     executor is lost in between. The ledger comes last, so a failed run is repeated.
     """
     spark = items.sparkSession
-    staged = work_dir(spark, "deliver")
     schema = items.select(*keys).schema
     known = spark.read.schema(schema).parquet(ledger_path) if _exists(spark, ledger_path) else None
-    todo = items if known is None else undelivered(items, known, keys)
-    todo.write.parquet(staged)
-    todo = spark.read.schema(items.schema).parquet(staged)
+    todo = materialize(items if known is None else undelivered(items, known, keys), "deliver")
     write(todo)
     todo.select(*keys).distinct().write.mode("append").parquet(ledger_path)
 

@@ -52,8 +52,8 @@ def differs(a: str, b: str, null_safe: bool = False) -> Column:
 
 
 def missing_in(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``a`` whose key is not in ``b``."""
-    return a.join(b.select(*keys), list(keys), "left_anti")
+    """Rows of ``a`` whose key is not in ``b``; copies of a key in ``b`` fold before the join."""
+    return a.join(b.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def compare_amounts(

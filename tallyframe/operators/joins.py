@@ -15,8 +15,26 @@ def same_key(keys: Sequence[str], left: str, right: str) -> Column:
 
 
 def semi(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is among ``other_key``."""
-    return df.join(other.select(F.col(other_key).alias("_key")), F.col(key) == F.col("_key"), "left_semi")
+    """Rows of ``df`` whose ``key`` is among ``other_key``.
+
+    The other side is made distinct first: copies of a key fold on the map side, and the
+    join reuses the partitioning of that aggregate.
+    """
+    keys = other.select(F.col(other_key).alias("_key")).distinct()
+    return df.join(keys, F.col(key) == F.col("_key"), "left_semi")
+
+
+def left_join(df: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:
+    """Left join that stays balanced when ``other`` repeats one key very often.
+
+    Spark splits a hot key on both sides of an inner join, but not on the right side of a
+    left join. So matches come from an inner join and the rest from an anti join with the
+    distinct keys.
+    """
+    on = F.col(key) == F.col(other_key)
+    keys = other.select(other_key).distinct()
+    unmatched = df.join(keys, on, "left_anti")
+    return df.join(other, on).unionByName(unmatched, allowMissingColumns=True)
 
 
 def semi_chain(df: DataFrame, key: str, links: Sequence[tuple[DataFrame, str, str | None]]) -> DataFrame:

@@ -52,24 +52,31 @@ def as_of_balance(
     )
 
 
-def turnover_by(
+def turnover_parts(
     journal: DataFrame, keys: Sequence[str], order: Sequence[str], amounts: Mapping[str, tuple[str, str]]
 ) -> DataFrame:
-    """Opening balance, debit (negative), credit and closing balance per key.
+    """First row, debits (negative) and credits per key, ready to be folded further.
 
-    The opening balance is that of the first row in ``order``. ``amounts`` maps an output
-    suffix to its (opening balance, amount) columns. One aggregate with a map-side part
-    replaces totals over windows plus a first-row filter.
+    ``amounts`` maps an output suffix to its (opening balance, amount) columns. One
+    aggregate with a map-side part replaces totals over windows plus a first-row filter,
+    so it can run on the bare journal before any account is joined.
     """
-    opening = F.min(F.struct(*order, *[opening for opening, _ in amounts.values()])).alias("_first")
+    first = F.min(F.struct(*order, *[
+        F.col(opening).alias(f"in{suffix}") for suffix, (opening, _) in amounts.items()
+    ])).alias("first_row")
     zero = F.lit(0)
     sums = []
     for suffix, (_, amount) in amounts.items():
-        sums.append((-F.sum(F.when(F.col("is_debit"), F.col(amount)).otherwise(zero))).alias(f"debit{suffix}"))
+        sums.append(F.sum(F.when(F.col("is_debit"), -F.col(amount)).otherwise(zero)).alias(f"debit{suffix}"))
         sums.append(F.sum(F.when(~F.col("is_debit"), F.col(amount)).otherwise(zero)).alias(f"credit{suffix}"))
-    out = journal.groupBy(*keys).agg(opening, *sums)
-    for suffix, (start, _) in amounts.items():
-        out = out.withColumn(f"in{suffix}", F.col(f"_first.{start}")).withColumn(
-            f"out{suffix}", F.col(f"in{suffix}") + F.col(f"debit{suffix}") + F.col(f"credit{suffix}")
-        )
-    return out.drop("_first")
+    return journal.groupBy(*keys).agg(first, *sums)
+
+
+def turnover_of(parts: DataFrame, keys: Sequence[str], suffixes: Sequence[str]) -> DataFrame:
+    """Opening balance, debit, credit and closing balance per key, folded from parts."""
+    sums = [F.sum(f"{side}{s}").alias(f"{side}{s}") for s in suffixes for side in ("debit", "credit")]
+    out = parts.groupBy(*keys).agg(F.min("first_row").alias("first_row"), *sums)
+    out = out.withColumns({f"in{s}": F.col(f"first_row.in{s}") for s in suffixes})
+    return out.withColumns({
+        f"out{s}": F.col(f"in{s}") + F.col(f"debit{s}") + F.col(f"credit{s}") for s in suffixes
+    }).drop("first_row")

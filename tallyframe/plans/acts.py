@@ -60,53 +60,58 @@ def invoiced_txns(t: Tables, as_of: date) -> DataFrame:
 def txn_facts(t: Tables, as_of: date, family: ActFamily) -> DataFrame:
     """Sales, returns, fees and disputes from one pass over the invoiced transactions.
 
-    Each transaction becomes up to three lines (agreement, type, amount). They are summed
-    per agreement id before agreements are joined, so the agreement join sees few rows.
-    Fees are summed per transaction first: their join cannot repeat a transaction.
+    Each transaction counts for its originating and its receiving agreement. Amounts are
+    summed per agreement id and transaction type before types and agreements are joined,
+    so those joins see few rows. Fees are summed per transaction first: their join cannot
+    repeat a transaction.
     """
     fees = t["fee_txn"].groupBy(F.col("txn_id").alias("fee_for")).agg(
         signed_sum(F.col("fee_amount"), F.col("txn_direction") == fv.REVERSAL).alias("fee")
     )
-    codes = t["txn_type"].select(F.col("id").alias("type_id"), "code")
-    txns = (
-        invoiced_txns(t, as_of)
-        .join(fees, F.col("id") == F.col("fee_for"), "left")
-        .join(codes, F.col("txn_type_id") == F.col("type_id"))
+    txns = invoiced_txns(t, as_of).join(fees, F.col("id") == F.col("fee_for"), "left")
+    reversed_ = F.col("txn_direction") == fv.REVERSAL
+    per_type = (
+        txns.select(F.inline(F.array(
+            _side("orig", signed(F.col("txn_amount"), reversed_), F.col("fee")),
+            _side("rcvr", F.col("txn_amount"), F.lit(None)),
+        )))
+        .groupBy("agreement_id", "txn_type_id", "side")
+        .agg(F.sum("amount").alias("amount"), F.sum("fee").alias("fee"))
     )
-    code, amount = F.col("code"), F.col("txn_amount")
-    sale_type = classify([
-        ("debits", code.isin(fv.DEBIT_CODES)), ("credits", code.isin(fv.CREDIT_CODES)),
-    ])
-    dispute_type = classify([
-        ("disp", code == family.dispute_debit), ("disp_cr", code == family.dispute_credit),
-    ])
-
-    def line(agreement: str, ttype: Column, value: Column) -> Column:
-        return F.struct(
-            F.col(agreement).alias("agreement_id"), ttype.alias("ttype"),
-            value.cast("decimal(28,2)").alias("amount"),
-        )
-
-    counted = ~code.isin(fv.REIMBURSEMENT_CODES)
-    lines = F.array_compact(F.array(
-        F.when(counted, line("orig_agreement_id", sale_type,
-                             signed(amount, F.col("txn_direction") == fv.REVERSAL))),
-        F.when(counted, line("orig_agreement_id", F.lit("fee"), F.col("fee"))),
-        F.when(dispute_type.isNotNull(), line("rcvr_agreement_id", dispute_type, amount)),
-    ))
-    per_agreement = (
-        txns.select(F.inline(lines))
-        .groupBy("agreement_id", "ttype").agg(F.sum("amount").alias("amount"))
-    )
-    total = F.sum("amount")
+    lines = per_type.join(
+        t["txn_type"].select(F.col("id").alias("txn_type_id"), "code"), "txn_type_id"
+    ).select("agreement_id", F.inline(_lines(family)))
+    sums = _by_agreement(lines, t).groupBy("ttype", "agr_number").agg(F.sum("amount").alias("txn_amount"))
     no_default = F.col("ttype").isin("fee", "disp", "disp_cr")
-    return _by_agreement(per_agreement, t).groupBy("ttype", "agr_number").agg(
-        total.alias("txn_amount")
-    ).withColumn(
+    return sums.withColumn(
         "txn_amount", F.when(no_default, F.col("txn_amount")).otherwise(F.coalesce("txn_amount", F.lit(0)))
     )
 
 
+def _side(side: str, amount: Column, fee: Column) -> Column:
+    return F.struct(
+        F.col(f"{side}_agreement_id").alias("agreement_id"), "txn_type_id", F.lit(side).alias("side"),
+        amount.cast("decimal(18,2)").alias("amount"), fee.cast("decimal(28,2)").alias("fee"),
+    )
+
+
+def _lines(family: ActFamily) -> Column:
+    """Act lines of one agreement and transaction type: sale and fee, or dispute."""
+    code, amount, side = F.col("code"), F.col("amount"), F.col("side")
+    sale = classify([("debits", code.isin(fv.DEBIT_CODES)), ("credits", code.isin(fv.CREDIT_CODES))])
+    dispute = classify([("disp", code == family.dispute_debit), ("disp_cr", code == family.dispute_credit)])
+    counted = (side == "orig") & ~code.isin(fv.REIMBURSEMENT_CODES)
+
+    def line(ttype: Column, value: Column) -> Column:
+        return F.struct(ttype.alias("ttype"), value.cast("decimal(38,2)").alias("amount"))
+
+    return F.array_compact(F.array(
+        F.when(counted, line(sale, amount)),
+        F.when(counted, line(F.lit("fee"), F.col("fee"))),
+        F.when((side == "rcvr") & dispute.isNotNull(), line(dispute, amount)),
+    ))
+
+
 def _by_agreement(df: DataFrame, t: Tables) -> DataFrame:
     agreements = t["agreement"].select(F.col("id").alias("agr_id"), "agr_number")
     return df.join(agreements, F.col("agreement_id") == F.col("agr_id"))

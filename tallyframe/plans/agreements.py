@@ -8,11 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.compare import compare_registers, differs, merge_registers
+from ..operators.joins import semi
+from ..operators.setops import union_sources
+from ..session import materialize
 from . import fixed_values as fv
 
 LABELS = ("missing_in_b", "missing_in_a", "open_date_differs", "close_date_differs")
 
 
+def _dated(register: DataFrame, opened: str, closed: str) -> DataFrame:
+    return register.select(
+        "agr_number", F.to_date(opened).alias("open_date"), F.to_date(closed).alias("close_date")
+    )
+
+
 def agreements_check(
     products: DataFrame, internal_products: DataFrame, agreements: DataFrame, as_of: date,
     null_safe: bool = False, labels: tuple[str, str, str, str] = LABELS,
@@ -20,21 +29,22 @@ def agreements_check(
     """Agreements opened on ``as_of`` that the two systems do not hold alike.
 
     Register A is ``products`` completed by the internal products with an agreement code,
-    register B is ``agreements``; both have one row per agreement number. The first class
+    register B is ``agreements``; an agreement number has one row in each. The first class
     that applies names the row. A NULL date is no difference unless ``null_safe``.
+
+    Only agreements that some table opens on the day can be reported. Their numbers are
+    written down first, so the full joins run on those rows and not on whole registers.
     """
     day = F.lit(as_of)
     coded = internal_products.where(F.col("agr_number").like(fv.INTERNAL_PRODUCT_PATTERN))
-    a = merge_registers(
-        products.select("agr_number", F.to_date("open_date").alias("open_date"),
-                        F.to_date("close_date").alias("close_date")),
-        coded.select("agr_number", F.to_date("open_date").alias("open_date"),
-                     F.to_date("close_date").alias("close_date")),
-        ["agr_number"],
-    )
-    b = agreements.select(
-        "agr_number", F.to_date("signature_date").alias("open_date"), F.to_date("closing_date").alias("close_date")
-    )
+    sides = [
+        _dated(products, "open_date", "close_date"), _dated(coded, "open_date", "close_date"),
+        _dated(agreements, "signature_date", "closing_date"),
+    ]
+    opened = union_sources(*[s.where(F.col("open_date") == day).select("agr_number") for s in sides])
+    opened = materialize(opened.distinct(), "opened-agreements")
+    first, second, b = (semi(s, "agr_number", opened, "agr_number").distinct() for s in sides)
+    a = merge_registers(first, second, ["agr_number"])
     a_open, b_open = F.col("a_open_date") == day, F.col("b_open_date") == day
     on_day = F.coalesce(a_open, F.lit(False)) | F.coalesce(b_open, F.lit(False))
     both = F.col("in_a") & F.col("in_b")

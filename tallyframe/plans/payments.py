@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import filter_by_window
-from ..operators.ledger import turnover_by
+from ..operators.ledger import turnover_of, turnover_parts
 from ..operators.windows import holiday_islands, latest_version
 from ..sources.tables import cdc_window
 from . import fixed_values as fv
@@ -39,10 +39,11 @@ def account_balances(t: Tables, as_of: date, days: int = 30) -> DataFrame:
     accounts = t["ledger_account"].where(F.col("account_number").startswith(fv.BANK_DEBT_PREFIX)).select(
         F.col("collection_id").alias("acc_collection"), F.col("account_id").alias("balance_account_id")
     )
-    moves = postings.join(accounts, F.col("collection_id") == F.col("acc_collection"))
-    return turnover_by(
-        moves, ["balance_account_id"], ["posted_at", "id"], {"_amount": ("in_balance_rub", "amount_rub")}
-    ).select("balance_account_id", "out_amount")
+    parts = turnover_parts(
+        postings, ["collection_id"], ["posted_at", "id"], {"_amount": ("in_balance_rub", "amount_rub")}
+    )
+    owned = parts.join(accounts, F.col("collection_id") == F.col("acc_collection"))
+    return turnover_of(owned, ["balance_account_id"], ["_amount"]).select("balance_account_id", "out_amount")
 
 
 def payment_totals(t: Tables, as_of: date, days: int = 30) -> DataFrame:
@@ -90,4 +91,5 @@ def payments_check(t: Tables, as_of: date, days: int = 30, ordered: bool = True)
             (paid - out).alias("diff_amount"),
         )
     )
-    return result.orderBy("diff_amount") if ordered else result
+    # many differences are equal (zero): the further keys spread them over the sort
+    return result.orderBy("diff_amount", "agreement_number", "account_number") if ordered else result

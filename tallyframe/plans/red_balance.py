@@ -67,7 +67,7 @@ def red_balance(
     return rank_sort(
         report,
         {"section_name": list(fv.SECTIONS.values()), "severity_level": [fv.CRITICAL, fv.HIGH, fv.MEDIUM]},
-        [F.col("abs_amount").desc()],
+        [F.col("abs_amount").desc(), F.col("account_number")],
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import account_class
 from ..operators.filters import valid_on
-from ..operators.ledger import turnover_by
+from ..operators.ledger import turnover_of, turnover_parts
 from ..operators.setops import union_aligned
 from ..operators.windows import close_intervals, first_in, latest_version
 from ..params import OPEN_END
@@ -43,15 +43,16 @@ def daily_turnover(t: Tables, as_of: date, cutover: date, until: date | None = N
     ).where(F.col("posted_at") >= F.lit(cutover))
     if until is not None:
         journal = journal.where(F.col("posted_at") < F.lit(until + timedelta(days=1)))
-    moves = journal.join(_accounts(t), F.col("collection_id") == F.col("acc_collection"))
-    moves = moves.withColumns({
+    moves = journal.withColumns({
         "effective_from": F.to_date("posted_at"),
         "is_debit": F.coalesce("is_debit", F.lit(False)),
     })
-    daily = turnover_by(
-        moves, ["account_id", "account_number", "second_order_account_number", "effective_from"],
-        ["posted_at", "stamped_at", "id"],
-        {"_amount": ("in_balance_rub", "amount_rub"), "_currency_amount": ("in_balance", "amount")},
+    # the journal shrinks to collections and days before it meets the accounts
+    amounts = {"_amount": ("in_balance_rub", "amount_rub"), "_currency_amount": ("in_balance", "amount")}
+    parts = turnover_parts(moves, ["collection_id", "effective_from"], ["posted_at", "stamped_at", "id"], amounts)
+    owned = parts.join(_accounts(t), F.col("collection_id") == F.col("acc_collection"))
+    daily = turnover_of(
+        owned, ["account_id", "account_number", "second_order_account_number", "effective_from"], list(amounts)
     )
     closed_days = t["op_day"].groupBy("op_day").agg(
         F.max(F.col("day_status") == fv.DAY_CLOSED).alias("closed_date_flag")

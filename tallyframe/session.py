@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Joins are never hinted: Spark broadcasts a side only when its measured size is
 # under autoBroadcastJoinThreshold, and AQE re-checks that with real shuffle sizes.
@@ -13,9 +13,13 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even where that costs a further shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # no Python call site per column expression: plans here have thousands of them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -40,3 +44,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="tallyframe-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    Cuts the lineage, survives lost executors, and gives Spark the true size of the frame
+    when it chooses a join.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

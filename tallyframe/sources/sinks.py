@@ -7,6 +7,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..delivery.contracts import Contract, display_contract
+
 
 def write_table(df: DataFrame, path: str, files: int | None = None, by: str | None = None) -> None:
     """Overwrite a parquet table, optionally partitioned by a column.
@@ -52,6 +54,11 @@ def write_single_csv(
     fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
 
 
+def write_report(df: DataFrame, contract: Contract, path: str) -> None:
+    """A result as CSV under its display labels and masks, in as many files as it needs."""
+    display_contract(df, contract).write.mode("overwrite").csv(path, header=True)
+
+
 def with_run_columns(df: DataFrame, run_ts: datetime, as_of: date) -> DataFrame:
     return df.withColumns({
         "processing_dttm": F.lit(run_ts.strftime("%Y-%m-%d %H_%M_%S")),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import money, norm_id
 from ..operators.compare import full_compare, missing_in
 from ..operators.filters import filter_by_window
-from ..operators.joins import densify, lookup, semi, semi_chain
+from ..operators.joins import densify, left_join, lookup, semi, semi_chain
 from ..operators.ledger import as_of_balance, as_of_snapshot
 from ..operators.windows import first_in
 from ..plans.payments import posting_window
@@ -45,17 +45,19 @@ def join_comma(g):
 @query("join_left", """
 SELECT o_orderkey, l_linenumber, l_extendedprice FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""")
 def join_left(g):
-    return g.orders.join(g.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        "o_orderkey", "l_linenumber", "l_extendedprice")
+    lines = g.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return left_join(g.orders.select("o_orderkey"), lines, "o_orderkey", "l_orderkey").drop("l_orderkey")
 
 
 @query("join_left_extra_on", """
 SELECT o_orderkey, count(l_orderkey) AS n_open FROM orders
 LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_linestatus <> 'F' AND l_returnflag = 'N' GROUP BY 1""")
 def join_left_extra_on(g):
-    on = ((F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("l_linestatus") != "F")
-          & (F.col("l_returnflag") == "N"))
-    return g.orders.join(g.lineitem, on, "left").groupBy("o_orderkey").agg(F.count("l_orderkey").alias("n_open"))
+    # a further condition on the right side is a filter there; lines are counted before the join
+    open_lines = g.lineitem.where((F.col("l_linestatus") != "F") & (F.col("l_returnflag") == "N"))
+    counts = open_lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_open"))
+    return g.orders.join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_orderkey", F.coalesce("n_open", F.lit(0)).alias("n_open"))
 
 
 @query("join_left_to_inner", """

@@ -184,7 +184,7 @@ def rep_outcome(g):
 WITH {ROUTES}, items AS (
   SELECT recipient, {_FILE_SQL} AS file, 'Договор ' || agr_number AS text FROM routes),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY recipient
-                 ORDER BY ('0x' || substr(md5(file), 1, 4))::BIGINT % 256, file) AS pos FROM items)
+                 ORDER BY substr(md5(file), 1, 4), file) AS pos FROM items)
 SELECT recipient, ((pos - 1) // 3)::BIGINT + 1 AS message_no, 'Добрый день!<br/>' || string_agg(text, '<br/>' ORDER BY file) AS body,
        count(*) AS n_files, string_agg(file, ';' ORDER BY file) AS files
 FROM numbered GROUP BY 1, 2""")

@@ -176,7 +176,7 @@ def sort_case_rank(g):
     severity = F.when(size >= 9000, fv.CRITICAL).when(size >= 5000, fv.HIGH).when(size >= 1000, fv.MEDIUM).otherwise(fv.LOW)
     rows = g.customer.select("c_custkey", "c_mktsegment", severity.alias("severity"), size.alias("amount"))
     return rank_sort(rows, {"c_mktsegment": ["MACHINERY", "BUILDING"], "severity": [fv.CRITICAL, fv.HIGH, fv.MEDIUM]},
-                     [F.col("amount").desc()])
+                     [F.col("amount").desc(), F.col("c_custkey")])
 
 
 @query("sort_limit1", f"""

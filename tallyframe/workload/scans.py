@@ -5,7 +5,6 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..delivery.catalogue import CONTRACTS
-from ..delivery.contracts import display_contract
 from ..functions import money
 from ..operators.aggregates import check_nonzero
 from ..operators.compare import compare_amounts
@@ -13,7 +12,7 @@ from ..operators.setops import union_sources
 from ..operators.windows import close_intervals
 from ..params import OPEN_END
 from ..session import work_dir
-from ..sources.sinks import append_history, with_run_columns, write_single_csv, write_table
+from ..sources.sinks import append_history, with_run_columns, write_report, write_single_csv, write_table
 from ..sources.tables import (
     cdc_window, load_sources, merge_on_read, read_csv, read_latest, read_snapshot, scd2_current, values_df,
 )
@@ -110,11 +109,10 @@ def scan_inline(g):
 
 
 @query("scan_csv", """
-SELECT c_custkey::VARCHAR AS _c0, c_name AS _c1, c_mktsegment AS _c2 FROM customer
-UNION ALL SELECT 'c_custkey', 'c_name', 'c_mktsegment'""")
+SELECT c_custkey::VARCHAR AS _c0, c_name AS _c1, c_mktsegment AS _c2 FROM customer""")
 def scan_csv(g):
-    path = work_dir(g.spark, "csv") + "/customers.csv"
-    write_single_csv(g.customer.select("c_custkey", "c_name", "c_mktsegment"), path)
+    path = work_dir(g.spark, "csv")
+    g.customer.select("c_custkey", "c_name", "c_mktsegment").write.csv(path)
     return read_csv(g.spark, path)
 
 
@@ -164,9 +162,9 @@ def sink_tabular_report(g):
     both = compare_amounts(side("F"), side("O"), ["ttype", "s"], "amount").select(
         "ttype", g.agr_number("s").alias("agr_number"), "amount_a",
         F.concat_ws("-", "ttype", F.col("s").cast("string")).alias("acc"), "amount_b", "diff")
-    path = work_dir(g.spark, "report") + "/report.csv"
-    write_single_csv(display_contract(both, CONTRACTS["merchants_monthly"]), path)
-    return g.spark.read.csv(path, header=True)
+    path, contract = work_dir(g.spark, "report"), CONTRACTS["merchants_monthly"]
+    write_report(both, contract, path)
+    return g.spark.read.csv(path, header=True, schema=", ".join(f"`{c.label}` string" for c in contract.columns))
 
 
 @query("sink_warehouse_append", f"""

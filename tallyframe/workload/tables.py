@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import json_field, money
+from ..functions import money
 from ..operators.windows import day_running_sum
 from ..plans.calendar import calendar_of
 
@@ -63,32 +63,28 @@ class Given:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise AttributeError(name)
-        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        table = self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        setattr(self, name, table)
+        return table
 
     # -- events as a journal of account postings -----------------------------------
 
     @cached_property
     def journal(self) -> DataFrame:
         """Events as postings. ``in_balance`` is the account's balance before the day."""
-        return self._with_opening(self.postings, "user_id", "day", "amount")
+        signed = F.expr("if(is_debit, -amount, amount)")
+        daily = day_running_sum(self.postings, ["user_id"], "day", signed).selectExpr(
+            "user_id", "day", "CAST(running - day_sum AS decimal(18,2)) AS in_balance"
+        )
+        return self.postings.join(daily, ["user_id", "day"])
 
     @cached_property
     def postings(self) -> DataFrame:
-        return self.events.select(
-            "event_id", "ts", "user_id", "event_type", F.to_date("ts").alias("day"),
-            money(F.col("value")).alias("amount"),
-            F.col("event_type").isin("error", "signup").alias("is_debit"),
-            json_field(F.col("props"), "k").cast("bigint").alias("k"),
-        )
-
-    @staticmethod
-    def _with_opening(rows: DataFrame, key: str, day: str, amount: str) -> DataFrame:
-        signed = F.when(F.col("is_debit"), -F.col(amount)).otherwise(F.col(amount))
-        daily = day_running_sum(rows, [key], day, signed).select(
-            F.col(key).alias("_key"), F.col(day).alias("_day"),
-            (F.col("running") - F.col("day_sum")).cast("decimal(18,2)").alias("in_balance"),
+        return self.events.selectExpr(
+            "event_id", "ts", "user_id", "event_type", "to_date(ts) AS day", "CAST(value AS decimal(18,2)) AS amount",
+            "event_type IN ('error', 'signup') AS is_debit",
+            "CAST(get_json_object(props, '$.k') AS bigint) AS k",
         )
-        return rows.join(daily, (F.col(key) == F.col("_key")) & (F.col(day) == F.col("_day"))).drop("_key", "_day")
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -98,101 +94,84 @@ class Given:
     # -- suppliers as merchants with agreements and accounts, lines as transactions ---
 
     def act_tables(self, family: str) -> dict[str, DataFrame]:
+        return {**self._act_tables, "agreement": self.agreements(family)}
+
+    @cached_property
+    def _act_tables(self) -> dict[str, DataFrame]:
+        line_id = "l_orderkey * 10 + l_linenumber"
+        number = "lpad(CAST(l_suppkey AS string), 10, '0')"
+        price = "CAST(l_extendedprice AS decimal(18,2))"
         li, orders = self.lineitem, self.orders
-        line_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        number = F.lpad(F.col("l_suppkey").cast("string"), 10, "0")
-        bank, client = F.concat(F.lit("3023281051"), number), F.concat(F.lit("3023381051"), number)
-        repays = F.col("l_linenumber").isin(4, 5)
-        purpose = (
-            F.when(F.col("l_linenumber") == 1, "Переводы физических лиц согласно Реестру 1")
-            .when(F.col("l_linenumber") == 2, "Переводы физических лиц с использованием СБП согласно  Реестру 2")
-            .when(F.col("l_linenumber") == 3, "Возмещение ден.средств по операциям эквайринга по Реестру 3")
-            .when(repays, "Исполнение нетто-требований").otherwise("Прочее")
-        )
-        price = money(F.col("l_extendedprice"))
         return {
-            "txn": li.select(
-                line_id.alias("id"), F.col("l_quantity").cast("bigint").alias("txn_type_id"),
-                F.col("l_suppkey").alias("orig_agreement_id"),
-                F.col("l_linenumber").cast("bigint").alias("rcvr_agreement_id"),
-                F.col("l_linestatus").alias("txn_class"), F.col("l_returnflag").alias("txn_direction"),
-                price.alias("txn_amount"),
+            "txn": li.selectExpr(
+                f"{line_id} AS id", "CAST(l_quantity AS bigint) AS txn_type_id", "l_suppkey AS orig_agreement_id",
+                "CAST(l_linenumber AS bigint) AS rcvr_agreement_id", "l_linestatus AS txn_class",
+                "l_returnflag AS txn_direction", f"{price} AS txn_amount",
             ),
             "txn_type": self._txn_types(),
-            "fee_txn": orders.select(
-                (F.col("o_orderkey") * 10 + 1).alias("txn_id"),
-                F.when(F.col("o_orderstatus") == "P", "R").otherwise("D").alias("txn_direction"),
-                money(F.round(money(F.col("o_totalprice")) * F.lit("0.01").cast("decimal(3,2)"), 2)).alias("fee_amount"),
+            "fee_txn": orders.selectExpr(
+                "o_orderkey * 10 + 1 AS txn_id", "if(o_orderstatus = 'P', 'R', 'D') AS txn_direction",
+                "CAST(round(CAST(o_totalprice AS decimal(18,2)) * 0.01BD, 2) AS decimal(18,2)) AS fee_amount",
             ),
-            "invoice": orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("opening_date")),
-            "invoice_item": li.select(line_id.alias("id"), F.col("l_orderkey").alias("invoice_id")),
-            "invoice_entry": li.select(line_id.alias("txn_id"), line_id.alias("invoice_item_id")),
-            "agreement": self.agreements(family),
-            "account": self._accounts().select("account_number", "agreement_id", "audit_state"),
-            "document": li.select(
-                F.col("l_shipdate").alias("posted_at"),
-                F.when(repays, F.concat(F.lit("4070281051"), number)).otherwise(bank).alias("debit_number"),
-                F.when(repays, client).otherwise(F.concat(F.lit("4070281051"), number)).alias("credit_number"),
-                purpose.alias("purpose"),
-                F.when(F.col("l_returnflag") == "N", "NEW").otherwise("PROV").alias("state"),
-                price.alias("amount"),
+            "invoice": orders.selectExpr("o_orderkey AS id", "o_orderdate AS opening_date"),
+            "invoice_item": li.selectExpr(f"{line_id} AS id", "l_orderkey AS invoice_id"),
+            "invoice_entry": li.selectExpr(f"{line_id} AS txn_id", f"{line_id} AS invoice_item_id"),
+            "account": self._accounts.select("account_number", "agreement_id", "audit_state"),
+            "document": li.selectExpr(
+                "l_shipdate AS posted_at",
+                f"concat(if(l_linenumber IN (4, 5), '4070281051', '3023281051'), {number}) AS debit_number",
+                f"concat(if(l_linenumber IN (4, 5), '3023381051', '4070281051'), {number}) AS credit_number",
+                """CASE WHEN l_linenumber = 1 THEN 'Переводы физических лиц согласно Реестру 1'
+                        WHEN l_linenumber = 2 THEN 'Переводы физических лиц с использованием СБП согласно  Реестру 2'
+                        WHEN l_linenumber = 3 THEN 'Возмещение ден.средств по операциям эквайринга по Реестру 3'
+                        WHEN l_linenumber IN (4, 5) THEN 'Исполнение нетто-требований' ELSE 'Прочее' END AS purpose""",
+                "if(l_returnflag = 'N', 'NEW', 'PROV') AS state", f"{price} AS amount",
             ),
-            "journal": li.select(
-                (F.col("l_suppkey") * 10 + F.when(F.col("l_linestatus") == "F", 2).otherwise(3)).alias("collection_id"),
-                F.col("l_shipdate").alias("posted_at"), line_id.alias("id"),
-                price.alias("in_balance"), money(F.col("l_quantity") * 100).alias("amount"),
-                (F.col("l_returnflag") == "A").alias("is_debit"),
+            "journal": li.selectExpr(
+                "l_suppkey * 10 + if(l_linestatus = 'F', 2, 3) AS collection_id", "l_shipdate AS posted_at",
+                f"{line_id} AS id", f"{price} AS in_balance", "CAST(l_quantity * 100 AS decimal(18,2)) AS amount",
+                "l_returnflag = 'A' AS is_debit",
             ),
-            "ledger_account": self._accounts().select("collection_id", "account_number"),
+            "ledger_account": self._accounts.select("collection_id", "account_number"),
         }
 
     def _txn_types(self) -> DataFrame:
         """One type per quantity that occurs; quantities are whole numbers from 1 to 50."""
-        q = F.col("id")
-        code = (
-            F.when(q <= 14, "purchase").when(q <= 22, "c2b").when(q <= 29, "refund").when(q <= 33, "b2c")
-            .when(q <= 35, "purchaseReimb").when(q <= 37, "negativeReimb")
-            .when(q <= 40, "C2BDISPUTE_DEBIT").when(q <= 43, "C2BDISPUTE_CREDIT")
-            .when(q <= 45, "adjDebit").when(q <= 47, "adjCredit").otherwise("other")
-        )
-        ids = self.lineitem.select(F.col("l_quantity").cast("bigint").alias("id")).distinct()
-        return ids.select("id", code.alias("code"))
+        return self.lineitem.selectExpr("CAST(l_quantity AS bigint) AS id").distinct().selectExpr("id", """
+            CASE WHEN id <= 14 THEN 'purchase' WHEN id <= 22 THEN 'c2b' WHEN id <= 29 THEN 'refund'
+                 WHEN id <= 33 THEN 'b2c' WHEN id <= 35 THEN 'purchaseReimb' WHEN id <= 37 THEN 'negativeReimb'
+                 WHEN id <= 40 THEN 'C2BDISPUTE_DEBIT' WHEN id <= 43 THEN 'C2BDISPUTE_CREDIT'
+                 WHEN id <= 45 THEN 'adjDebit' WHEN id <= 47 THEN 'adjCredit' ELSE 'other' END AS code""")
 
     def agreements(self, family: str) -> DataFrame:
         """Supplier agreements per source family; region 2 is in two of them."""
-        regions = {"base": [0, 1, 2], "settl": [2, 3], "cards": [4]}[family]
-        nations = self.nation.where(F.col("n_regionkey").isin(regions)).select(F.col("n_nationkey").alias("s_nationkey"))
-        closing = (
-            F.when(F.col("s_acctbal") < 7000, F.lit(None))
-            .when(F.col("s_acctbal") < 8500, F.lit(date(1998, 6, 20))).otherwise(F.lit(date(1998, 7, 10)))
-        )
-        return self.supplier.join(nations, "s_nationkey").select(
-            F.col("s_suppkey").alias("id"), self.agr_number("s_suppkey").alias("agr_number"),
-            F.when(F.col("s_acctbal") < 500, "B").otherwise("A").alias("agreement_class"),
-            closing.cast("date").alias("closing_date"),
+        regions = {"base": "0, 1, 2", "settl": "2, 3", "cards": "4"}[family]
+        nations = self.nation.where(f"n_regionkey IN ({regions})").selectExpr("n_nationkey AS s_nationkey")
+        return self.supplier.join(nations, "s_nationkey").selectExpr(
+            "s_suppkey AS id", "concat('AGR/', s_suppkey) AS agr_number",
+            "if(s_acctbal < 500, 'B', 'A') AS agreement_class",
+            """CASE WHEN s_acctbal < 7000 THEN CAST(NULL AS date) WHEN s_acctbal < 8500 THEN DATE'1998-06-20'
+                    ELSE DATE'1998-07-10' END AS closing_date""",
         )
 
     @staticmethod
     def agr_number(col: str) -> Column:
-        return F.concat(F.lit("AGR/"), F.col(col).cast("string"))
+        return F.expr(f"concat('AGR/', {col})")
 
+    @cached_property
     def _accounts(self) -> DataFrame:
-        number = F.lpad(F.col("s_suppkey").cast("string"), 10, "0")
-        kinds = F.explode(F.array(F.lit(2), F.lit(3))).alias("kind")
-        return self.supplier.select("s_suppkey", "s_acctbal", number.alias("number"), kinds).select(
-            F.concat(F.lit("3023"), F.col("kind").cast("string"), F.lit("81051"), F.col("number")).alias("account_number"),
-            F.col("s_suppkey").alias("agreement_id"),
-            F.when(F.col("s_acctbal") < 1500, "R").otherwise("A").alias("audit_state"),
-            (F.col("s_suppkey") * 10 + F.col("kind")).alias("collection_id"),
+        return self.supplier.selectExpr("s_suppkey", "s_acctbal", "explode(array(2, 3)) AS kind").selectExpr(
+            "concat('3023', kind, '81051', lpad(CAST(s_suppkey AS string), 10, '0')) AS account_number",
+            "s_suppkey AS agreement_id", "if(s_acctbal < 1500, 'R', 'A') AS audit_state",
+            "s_suppkey * 10 + kind AS collection_id",
         )
 
     @cached_property
     def merchants(self) -> DataFrame:
-        return self.supplier.select(
-            self.agr_number("s_suppkey").alias("agr_number"),
-            F.date_add(F.lit(date(1997, 1, 1)), F.col("s_nationkey")).alias("agr_date"),
-            F.concat(F.lit("Director of "), F.col("s_name")).alias("director"),
-            F.col("s_name").alias("merchant"), F.concat(F.lit("D. "), F.col("s_name")).alias("director_short"),
+        return self.supplier.selectExpr(
+            "concat('AGR/', s_suppkey) AS agr_number", "date_add(DATE'1997-01-01', s_nationkey) AS agr_date",
+            "concat('Director of ', s_name) AS director", "s_name AS merchant",
+            "concat('D. ', s_name) AS director_short",
         )
 
     # -- users as accounts: change log of the journal, former balances, classes ------
@@ -201,27 +180,21 @@ class Given:
     def turnover_tables(self) -> dict[str, DataFrame]:
         """Change log of the journal: a later event with the same user and ``k`` on a day
         is a newer version of the posting."""
-        changes = self.journal.select(
-            F.col("event_id").alias("id"), F.col("user_id").alias("collection_id"),
-            F.concat_ws("/", F.col("day").cast("string"), F.col("k").cast("string")).alias("doc_id"),
-            F.col("ts").alias("posted_at"), F.col("ts").alias("stamped_at"), "is_debit",
-            F.col("in_balance").alias("in_balance_rub"), F.col("amount").alias("amount_rub"),
-            money(F.col("in_balance") * 2).alias("in_balance"), money(F.col("amount") * 2).alias("amount"),
-            F.col("ts").alias("txn_ts"), F.col("event_id").alias("txn_id"), F.col("day").alias("dt"),
+        changes = self.journal.selectExpr(
+            "event_id AS id", "user_id AS collection_id", "concat_ws('/', day, k) AS doc_id", "ts AS posted_at",
+            "ts AS stamped_at", "is_debit", "in_balance AS in_balance_rub", "amount AS amount_rub",
+            "CAST(in_balance * 2 AS decimal(18,2)) AS in_balance", "CAST(amount * 2 AS decimal(18,2)) AS amount",
+            "ts AS txn_ts", "event_id AS txn_id", "day AS dt",
         )
-        zero = F.lit(0).cast("decimal(18,2)")
-        balance = money(F.col("c_acctbal"))
-        legacy = self.customer.select(
-            F.col("c_custkey").alias("account_id"), F.lit(date(2023, 12, 31)).alias("effective_from"),
-            F.lit(date(2100, 12, 31)).alias("effective_to"), F.lit(date(2100, 12, 31)).alias("valid_to_date"),
-            balance.alias("in_amount"), zero.alias("debit_amount"), zero.alias("credit_amount"),
-            balance.alias("out_amount"), balance.alias("in_currency_amount"), zero.alias("debit_currency_amount"),
-            zero.alias("credit_currency_amount"), balance.alias("out_currency_amount"),
-            F.lit(True).alias("closed_date_flag"),
-        )
-        op_days = self.calendar.select(
-            F.col("calendar_date").alias("op_day"), F.when(F.col("holiday_flag"), 1).otherwise(3).alias("day_status")
+        zero, balance = "CAST(0 AS decimal(18,2))", "CAST(c_acctbal AS decimal(18,2))"
+        legacy = self.customer.selectExpr(
+            "c_custkey AS account_id", "DATE'2023-12-31' AS effective_from", "DATE'2100-12-31' AS effective_to",
+            "DATE'2100-12-31' AS valid_to_date", f"{balance} AS in_amount", f"{zero} AS debit_amount",
+            f"{zero} AS credit_amount", f"{balance} AS out_amount", f"{balance} AS in_currency_amount",
+            f"{zero} AS debit_currency_amount", f"{zero} AS credit_currency_amount",
+            f"{balance} AS out_currency_amount", "true AS closed_date_flag",
         )
+        op_days = self.calendar.selectExpr("calendar_date AS op_day", "if(holiday_flag, 1, 3) AS day_status")
         return {
             "journal_changes": changes, "legacy_balance": legacy, "op_day": op_days,
             "ledger_account": self.ledger_accounts,
@@ -230,19 +203,19 @@ class Given:
     @cached_property
     def ledger_accounts(self) -> DataFrame:
         """Customers as ledger accounts: class by segment, responsible user by nation."""
-        prefix = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "HOUSEHOLD"), "30232").otherwise("30233")
-        return self.customer.select(
-            F.col("c_custkey").alias("account_id"), F.col("c_custkey").alias("collection_id"),
-            F.concat(prefix, F.lit("81051"), F.lpad(F.col("c_custkey").cast("string"), 10, "0")).alias("account_number"),
-            F.col("c_mktsegment").alias("type_id"), F.col("c_nationkey").alias("user_id"),
+        return self.customer.selectExpr(
+            "c_custkey AS account_id", "c_custkey AS collection_id",
+            """concat(if(c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD'), '30232', '30233'), '81051',
+                      lpad(CAST(c_custkey AS string), 10, '0')) AS account_number""",
+            "c_mktsegment AS type_id", "c_nationkey AS user_id",
         )
 
     @cached_property
     def account_types(self) -> DataFrame:
         """Segments as classes: two active, two passive, one mixed."""
-        seg = F.col("type_id")
-        code = F.when(seg.isin("BUILDING", "MACHINERY"), "А").when(seg.isin("AUTOMOBILE", "FURNITURE"), "П").otherwise("АП")
-        return self.customer.select(F.col("c_mktsegment").alias("type_id")).distinct().select("type_id", code.alias("type_code"))
+        return self.customer.selectExpr("c_mktsegment AS type_id").distinct().selectExpr("type_id", """
+            CASE WHEN type_id IN ('BUILDING', 'MACHINERY') THEN 'А'
+                 WHEN type_id IN ('AUTOMOBILE', 'FURNITURE') THEN 'П' ELSE 'АП' END AS type_code""")
 
     @cached_property
     def account_users(self) -> DataFrame:
@@ -253,52 +226,44 @@ class Given:
     @cached_property
     def payment_tables(self) -> dict[str, DataFrame]:
         """Customers as merchants; purchases of a day as payment documents, other events as journal."""
-        accounts = self.ledger_accounts
-        bank = F.concat(F.lit("3023281051"), F.lpad(F.col("user_id").cast("string"), 10, "0"))
-        documents = self.postings.where(F.col("event_type") == "purchase").select(
-            F.concat_ws("/", F.col("user_id").cast("string"), F.col("k").cast("string")).alias("id"),
-            F.col("ts").alias("document_date"), bank.alias("debit_number"),
-            F.when(F.col("k") < 50, "40702810510000000001").otherwise("30102810510000000001").alias("credit_number"),
-            F.when(F.col("k") < 40, "11451550").when(F.col("k") < 90, "1916953").otherwise("0").alias("kind"),
-            F.when(F.col("k") == 7, "DELETED").otherwise("PROV").alias("state"),
-            "amount", F.col("user_id").alias("debit_account_id"),
-            F.col("ts").alias("txn_ts"), F.col("event_id").alias("txn_id"), F.col("day").alias("dt"),
+        documents = self.postings.where("event_type = 'purchase'").selectExpr(
+            "concat_ws('/', user_id, k) AS id", "ts AS document_date",
+            "concat('3023281051', lpad(CAST(user_id AS string), 10, '0')) AS debit_number",
+            "if(k < 50, '40702810510000000001', '30102810510000000001') AS credit_number",
+            "CASE WHEN k < 40 THEN '11451550' WHEN k < 90 THEN '1916953' ELSE '0' END AS kind",
+            "if(k = 7, 'DELETED', 'PROV') AS state", "amount", "user_id AS debit_account_id",
+            "ts AS txn_ts", "event_id AS txn_id", "day AS dt",
         )
-        journal = self.turnover_tables["journal_changes"]
+        customer = self.customer
         return {
-            "journal_changes": journal, "document_changes": documents, "calendar": self.calendar,
-            "ledger_account": accounts.select("account_id", "collection_id", "account_number"),
-            "merchant_contract": self.customer.select(
-                F.concat(F.lit("CON/"), F.col("c_custkey").cast("string")).alias("agreement_number"),
-                F.col("c_custkey").alias("account_link"), F.col("c_custkey").alias("client_id"),
-                F.col("c_nationkey").alias("agreement_type_id"),
-            ),
-            "contract_account": self.customer.select(
-                F.col("c_custkey").alias("account_link"), F.col("c_custkey").alias("account_id")
-            ),
-            "client": self.customer.where(F.col("c_acctbal") >= 0).select(
-                F.col("c_custkey").alias("client_id"), F.col("c_name").alias("client_name")
-            ),
-            "agreement_type": self.nation.select(
-                F.col("n_nationkey").alias("agreement_type_id"), F.col("n_name").alias("agreement_type")
+            "journal_changes": self.turnover_tables["journal_changes"], "document_changes": documents,
+            "calendar": self.calendar,
+            "ledger_account": self.ledger_accounts.select("account_id", "collection_id", "account_number"),
+            "merchant_contract": customer.selectExpr(
+                "concat('CON/', c_custkey) AS agreement_number", "c_custkey AS account_link",
+                "c_custkey AS client_id", "c_nationkey AS agreement_type_id",
             ),
+            "contract_account": customer.selectExpr("c_custkey AS account_link", "c_custkey AS account_id"),
+            "client": customer.where("c_acctbal >= 0").selectExpr("c_custkey AS client_id", "c_name AS client_name"),
+            "agreement_type": self.nation.selectExpr("n_nationkey AS agreement_type_id", "n_name AS agreement_type"),
         }
 
     # -- orders and their lines as two registers -------------------------------------
 
     @cached_property
     def register_a(self) -> DataFrame:
-        """Orders that are not pending, by day."""
-        return self.orders.where(F.col("o_orderstatus") != "P").select(
-            F.col("o_orderkey").alias("number"), F.to_date("o_orderdate").alias("opened"),
-            money(F.col("o_totalprice")).alias("amount"),
+        """Orders that are not pending, one row per order."""
+        return (
+            self.orders.where("o_orderstatus <> 'P'").groupBy(F.col("o_orderkey").alias("number"))
+            .agg(F.to_date(F.min("o_orderdate")).alias("opened"),
+                 F.sum(money(F.col("o_totalprice"))).cast("decimal(18,2)").alias("amount"))
         )
 
     @cached_property
     def register_b(self) -> DataFrame:
         """Open lines per order."""
         return (
-            self.lineitem.where(F.col("l_linestatus") == "O").groupBy(F.col("l_orderkey").alias("number"))
+            self.lineitem.where("l_linestatus = 'O'").groupBy(F.col("l_orderkey").alias("number"))
             .agg(F.to_date(F.min("l_shipdate")).alias("opened"),
                  F.sum(money(F.col("l_extendedprice"))).cast("decimal(18,2)").alias("amount"))
         )

@@ -52,7 +52,7 @@ SELECT event_id, user_id, (sum(value::DECIMAL(18,2)) OVER
 FROM events""")
 def win_running_sum(g):
     rows = g.events.select("event_id", "user_id", "ts", money(F.col("value")).alias("amount"))
-    out = running_sum(rows, ["user_id"], ["ts", "event_id"], "amount", "running", F.date_trunc("hour", F.col("ts")))
+    out = running_sum(rows, ["user_id"], ["ts", "event_id"], "amount", "running", F.date_trunc("minute", F.col("ts")))
     return out.select("event_id", "user_id", dbl("running").alias("running"))
 
 
