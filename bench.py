@@ -1,4 +1,4 @@
-"""Time the headline queries: one warm-up run each, then one timed run, results discarded.
+"""Time the headline queries: all run once to warm up, then each is timed, results discarded.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose data and
 cores. Prints one JSON line.
@@ -35,10 +35,9 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g", "spark.ui.enabled": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
     for key in HEADLINE:
         run(spark, sf_dir, key)
-        seconds[key] = round(run(spark, sf_dir, key), 3)
+    seconds = {key: round(run(spark, sf_dir, key), 3) for key in HEADLINE}
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import money
 from ..operators.windows import day_running_sum
 from ..plans.calendar import calendar_of
+from ..session import materialize
 
 AS_OF = date(1998, 7, 15)  # report date on orders and lineitem
 EVENT_DAY = date(2024, 1, 15)  # report date on events
@@ -88,8 +89,9 @@ class Given:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        """Working days over the days of the events."""
-        return calendar_of(self.events, "ts")
+        """Working days over the days of the events: a few rows from one pass over them,
+        written down because reports read the calendar several times."""
+        return materialize(calendar_of(self.events, "ts"), "calendar")
 
     # -- suppliers as merchants with agreements and accounts, lines as transactions ---
 
