@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import explode_json_array, json_field
+from ..functions import explode_json_array, json_fields
 from ..operators.setops import union_sources
 
 LOG_SCHEMA = "run_id string, service_name string, job_name string, event_type string, event_ts timestamp, etc string"
@@ -50,7 +50,7 @@ def log_view(events: DataFrame, service: str | None = None, etc: str = "etc") ->
     """Log rows with their JSON details, one row per attached file, rows without files kept."""
     if service is not None:
         events = events.where(F.col("service_name") == service)
-    rows = events.withColumns({name: json_field(F.col(etc), name) for name in LOG_FIELDS})
+    rows = json_fields(events, etc, LOG_FIELDS)
     paths = F.when(F.col("attachment_paths") != "", F.col("attachment_paths"))
     return explode_json_array(rows, paths, "filepath")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,13 @@ def json_field(col: Column, name: str) -> Column:
     return F.coalesce(F.trim(F.get_json_object(col, f"$.{name}")), F.lit(""))
 
 
+def json_fields(df: DataFrame, json: str, names: Sequence[str]) -> DataFrame:
+    """Several fields as columns, like ``json_field``, from one parse of the text."""
+    parsed = df.select("*", F.json_tuple(json, *names).alias(*[f"_{n}" for n in names]))
+    texts = {n: F.coalesce(F.trim(F.col(f"_{n}")), F.lit("")) for n in names}
+    return parsed.withColumns(texts).drop(*[f"_{n}" for n in names])
+
+
 def explode_json_array(df: DataFrame, json_array: Column, name: str) -> DataFrame:
     """One row per text in a JSON array; a row without items stays, with ''."""
     item = F.explode_outer(F.from_json(json_array, "array<string>"))

@@ -9,7 +9,7 @@ from ..delivery import (
     split_outcome, undelivered, upsert_actions,
 )
 from ..delivery.runlog import LOG_FIELDS
-from ..functions import apply_mask, json_field, money, render, report_dates
+from ..functions import apply_mask, json_fields, money, render, report_dates
 from ..operators.compare import compare_registers, differs
 from ..operators.filters import for_report_dates, in_prev_month
 from ..params import RunParams
@@ -250,7 +250,7 @@ def rep_run_log(g):
     log_run(path, rows.where(before))
     log_run(path, rows.where(~before))
     stored = g.spark.read.schema(rows.schema).parquet(path)
-    details = stored.withColumns({name: json_field(F.col("etc"), name) for name in LOG_FIELDS})
+    details = json_fields(stored, "etc", LOG_FIELDS)
     return details.groupBy("event_type", "job_name", "result").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("ticket_key") != "").alias("n_tickets"),
         F.count_if(F.col("error_msg") != "").alias("n_errors"))

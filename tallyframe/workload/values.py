@@ -120,17 +120,14 @@ _PATHS = """CASE WHEN k >= 90 THEN [] WHEN k >= 50 THEN ['out/' || k || '.csv']
 
 def etc_of(g):
     """Events with details as a JSON text holding no, one or two file paths."""
-    k = json_field(F.col("props"), "k")
-    csv = F.concat(F.lit("out/"), k, F.lit(".csv"))
-    xlsx = F.concat(F.lit("out/"), F.col("event_type"), F.lit(".xlsx"))
-    paths = F.when(k.cast("int") >= 90, F.array().cast("array<string>")).when(
-        k.cast("int") >= 50, F.array(csv)).otherwise(F.array(csv, xlsx))
-    details = F.struct(
-        F.when(F.col("event_type") == "error", "ERROR").otherwise("SUCCESS").alias("result"),
-        F.when(k.cast("int") < 10, F.concat(F.lit("TICKET-"), k)).alias("ticket_key"),
-        F.when(F.col("event_type") == "error", F.concat(F.lit("failed at "), k)).alias("error_msg"),
-        paths.alias("attachment_paths"))
-    return g.events.withColumn("etc", F.to_json(details))
+    return g.events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn("etc", F.expr("""
+        to_json(named_struct(
+            'result', if(event_type = 'error', 'ERROR', 'SUCCESS'),
+            'ticket_key', if(k < 10, concat('TICKET-', k), NULL),
+            'error_msg', if(event_type = 'error', concat('failed at ', k), NULL),
+            'attachment_paths', CASE WHEN k >= 90 THEN CAST(array() AS array<string>)
+                WHEN k >= 50 THEN array(concat('out/', k, '.csv'))
+                ELSE array(concat('out/', k, '.csv'), concat('out/', event_type, '.xlsx')) END))"""))
 
 
 @query("fn_json_array_explode", f"""
