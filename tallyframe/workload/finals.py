@@ -65,35 +65,25 @@ def union_all_branches(g):
         F.count(F.lit(1)).alias("n"), dbl(F.sum("txn_amount")).alias("amount"))
 
 
-# turnover in SQL: all intervals of both halves, then the ones that hold the day
+# turnover in SQL: the last day with movement up to the report day, else the former balance
 TURNOVER = S.JOURNAL_CHANGES + """,
-moves AS (
-  SELECT a.account_id, a.account_number, j.posted_at::DATE AS day, j.in_rub,
-         -1 * sum(CASE WHEN is_debit THEN amount_rub ELSE 0 END) OVER (PARTITION BY a.account_id, j.posted_at::DATE) AS debit,
-         sum(CASE WHEN NOT is_debit THEN amount_rub ELSE 0 END) OVER (PARTITION BY a.account_id, j.posted_at::DATE) AS credit,
-         row_number() OVER (PARTITION BY a.account_id, j.posted_at::DATE ORDER BY j.posted_at, j.id) AS first_rn
-  FROM journal_latest j JOIN ledger_account a ON a.collection_id = j.collection_id
-  WHERE j.posted_at::DATE >= {k}
-),
-new_rows AS (
-  SELECT account_id, account_number, day AS frm,
-         coalesce(lead(day) OVER (PARTITION BY account_id ORDER BY day) - 1, DATE '2100-12-31') AS till,
-         in_rub AS in_amount, debit, credit, in_rub + debit + credit AS out_amount
-  FROM moves WHERE first_rn = 1
-),
-first_new AS (SELECT account_id, min(frm) AS frm FROM new_rows GROUP BY 1),
-old_rows AS (
-  SELECT a.account_id, a.account_number, DATE '2023-12-31' AS frm,
-         least(DATE '2100-12-31', coalesce(f.frm - 1, DATE '2100-12-31')) AS till,
-         c_acctbal::DECIMAL(18,2) AS in_amount, 0 AS debit, 0 AS credit, c_acctbal::DECIMAL(18,2) AS out_amount
-  FROM customer JOIN ledger_account a ON a.account_id = c_custkey LEFT JOIN first_new f ON f.account_id = c_custkey
+days AS (
+  SELECT a.account_id, a.account_number, j.posted_at::DATE AS day, first(j.in_rub ORDER BY j.posted_at, j.id) AS opening,
+         coalesce(-sum(j.amount_rub) FILTER (WHERE j.is_debit), 0) AS debit,
+         coalesce(sum(j.amount_rub) FILTER (WHERE NOT j.is_debit), 0) AS credit
+  FROM journal_latest j JOIN ledger_account a USING (collection_id)
+  WHERE j.posted_at::DATE BETWEEN {k} AND {e} GROUP BY 1, 2, 3
 ),
+last_days AS (SELECT * FROM days QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY day DESC) = 1),
 turnover AS (
-  SELECT {e} AS balance_date, account_id, substr(account_number, 1, 5) AS second_order_account_number, account_number,
-         CASE WHEN frm = {e} THEN in_amount ELSE out_amount END AS in_amount, out_amount,
-         CASE WHEN frm = {e} THEN debit ELSE 0 END AS debit_amount,
-         CASE WHEN frm = {e} THEN credit ELSE 0 END AS credit_amount
-  FROM (SELECT * FROM old_rows UNION ALL SELECT * FROM new_rows) WHERE {e} BETWEEN frm AND till
+  SELECT {e} AS balance_date, account_id, account_number[1:5] AS second_order_account_number, account_number,
+         opening + CASE WHEN day < {e} THEN debit + credit ELSE 0 END AS in_amount, opening + debit + credit AS out_amount,
+         CASE WHEN day < {e} THEN 0 ELSE debit END AS debit_amount, CASE WHEN day < {e} THEN 0 ELSE credit END AS credit_amount
+  FROM last_days
+  UNION ALL
+  SELECT {e}, account_id, account_number[1:5], account_number, c_acctbal::DECIMAL(18,2), c_acctbal::DECIMAL(18,2), 0, 0
+  FROM customer JOIN ledger_account ON account_id = c_custkey
+  WHERE account_id NOT IN (SELECT account_id FROM last_days)
 )""".replace("{e}", S.E).replace("{k}", S.K)
 
 _MOVES = ["in_amount", "out_amount", "debit_amount", "credit_amount"]
@@ -114,36 +104,29 @@ def q_turnover(g):
 # the given balances stay below 10,000, so severities start lower here
 SEVERITY_FROM = {fv.CRITICAL: 9000, fv.HIGH: 5000, fv.MEDIUM: 1000}
 
+# the rules as small tables: which direction is wrong for a class, and what a size means
 VIOLATIONS = TURNOVER + "," + S.ACCOUNT_TYPES + """,
-typed AS (
-  SELECT t.*, y.type_code AS code, abs(t.out_amount) AS abs_amount,
-         CASE WHEN t.out_amount > 0 THEN 'DEBIT' WHEN t.out_amount < 0 THEN 'CREDIT' ELSE 'ZERO' END AS direction
-  FROM turnover t JOIN ledger_account a USING (account_id) JOIN account_type y ON y.type_id = a.type_id
-  LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) u ON u.n_nationkey = a.user_id
-),
+wrong(code, direction, violation_type, violation_description, section_name) AS (VALUES
+  ('А', -1, 'RED_BALANCE_ACTIVE', 'Недопустимое кредитовое сальдо на активном счете', 'АКТИВНЫЕ СЧЕТА'),
+  ('П', 1, 'RED_BALANCE_PASSIVE', 'Недопустимое дебетовое сальдо на пассивном счете', 'ПАССИВНЫЕ СЧЕТА'),
+  ('АП', -1, 'NON_ZERO_ACTIVE_PASSIVE', 'Остаток должен быть нулевым', 'АКТИВНО-ПАССИВНЫЕ СЧЕТА'),
+  ('АП', 1, 'NON_ZERO_ACTIVE_PASSIVE', 'Остаток должен быть нулевым', 'АКТИВНО-ПАССИВНЫЕ СЧЕТА')),
+sizes(mixed, lo, hi, severity_level) AS (VALUES
+  (FALSE, 9000, 1000000000, 'КРИТИЧЕСКОЕ'), (FALSE, 5000, 9000, 'ВЫСОКОЕ'), (FALSE, 1000, 5000, 'СРЕДНЕЕ'),
+  (FALSE, 0, 1000, 'НИЗКОЕ'), (TRUE, 0, 1000000000, 'СРЕДНЕЕ')),
 violations AS (
-  SELECT *,
-    CASE WHEN code = 'А' AND direction = 'CREDIT' THEN 'RED_BALANCE_ACTIVE'
-         WHEN code = 'П' AND direction = 'DEBIT' THEN 'RED_BALANCE_PASSIVE'
-         WHEN code = 'АП' AND direction <> 'ZERO' THEN 'NON_ZERO_ACTIVE_PASSIVE' ELSE 'COMPLIANT' END AS violation_type,
-    CASE WHEN code IN ('А', 'П') AND abs_amount >= 9000 THEN 'КРИТИЧЕСКОЕ'
-         WHEN code IN ('А', 'П') AND abs_amount >= 5000 THEN 'ВЫСОКОЕ'
-         WHEN code IN ('А', 'П') AND abs_amount >= 1000 THEN 'СРЕДНЕЕ'
-         WHEN code = 'АП' AND abs_amount > 0 THEN 'СРЕДНЕЕ' ELSE 'НИЗКОЕ' END AS severity_level
-  FROM typed
+  SELECT t.*, w.*, abs(t.out_amount) AS abs_amount, z.severity_level
+  FROM turnover t JOIN ledger_account a USING (account_id) JOIN account_type y ON y.type_id = a.type_id
+  JOIN wrong w ON w.code = y.type_code AND w.direction = sign(t.out_amount)
+  JOIN sizes z ON z.mixed = (w.code = 'АП') AND abs(t.out_amount) >= z.lo AND abs(t.out_amount) < z.hi
 )"""
 
 
 @query("q_red_balance", f"""
 WITH {VIOLATIONS}
-SELECT CASE code WHEN 'АП' THEN 'АКТИВНО-ПАССИВНЫЕ СЧЕТА' WHEN 'А' THEN 'АКТИВНЫЕ СЧЕТА' WHEN 'П' THEN 'ПАССИВНЫЕ СЧЕТА' END
-         AS section_name, balance_date, second_order_account_number, account_number, code AS acc_type_code,
-       CASE violation_type WHEN 'RED_BALANCE_ACTIVE' THEN 'Недопустимое кредитовое сальдо на активном счете'
-            WHEN 'RED_BALANCE_PASSIVE' THEN 'Недопустимое дебетовое сальдо на пассивном счете'
-            ELSE 'Остаток должен быть нулевым' END AS violation_description,
-       severity_level, out_amount::DOUBLE AS out_amount, abs_amount::DOUBLE AS abs_amount,
-       debit_amount::DOUBLE AS debit_amount, credit_amount::DOUBLE AS credit_amount, violation_type
-FROM violations WHERE violation_type <> 'COMPLIANT'""")
+SELECT section_name, balance_date, second_order_account_number, account_number, code AS acc_type_code,
+       violation_description, severity_level, out_amount::DOUBLE AS out_amount, abs_amount::DOUBLE AS abs_amount,
+       debit_amount::DOUBLE AS debit_amount, credit_amount::DOUBLE AS credit_amount, violation_type FROM violations""")
 def q_red_balance(g):
     out = red_balance(balances(g), g.ledger_accounts, g.account_types, g.account_users, SEVERITY_FROM)
     return out.select(*[dbl(c).alias(c) if c.endswith("_amount") else c for c in out.columns])
@@ -155,10 +138,10 @@ SELECT code AS acc_type_code,
        CASE code WHEN 'А' THEN 'Активные' WHEN 'П' THEN 'Пассивные' WHEN 'АП' THEN 'Активно-пассивные' END AS account_type_name,
        count(*) AS total_violations, sum(abs_amount)::DOUBLE AS total_violation_amount,
        round(avg(abs_amount), 6)::DOUBLE AS avg_violation_amount, max(abs_amount)::DOUBLE AS max_violation_amount,
-       count(CASE WHEN severity_level = 'КРИТИЧЕСКОЕ' THEN 1 END) AS critical_count,
-       count(CASE WHEN severity_level = 'ВЫСОКОЕ' THEN 1 END) AS high_count,
-       count(CASE WHEN severity_level = 'СРЕДНЕЕ' THEN 1 END) AS medium_count
-FROM violations WHERE violation_type <> 'COMPLIANT' GROUP BY code""")
+       count(*) FILTER (severity_level = 'КРИТИЧЕСКОЕ') AS critical_count,
+       count(*) FILTER (severity_level = 'ВЫСОКОЕ') AS high_count,
+       count(*) FILTER (severity_level = 'СРЕДНЕЕ') AS medium_count
+FROM violations GROUP BY code""")
 def q_red_summary(g):
     found = violations(balances(g), g.ledger_accounts, g.account_types, g.account_users, SEVERITY_FROM)
     return doubles(red_summary(found), "total_violation_amount", "max_violation_amount").withColumn(
@@ -166,20 +149,14 @@ def q_red_summary(g):
 
 
 PAYMENTS = S.JOURNAL_CHANGES + "," + ISLANDS + """,
-on_window AS (
-  SELECT a.account_id, j.*, row_number() OVER (PARTITION BY a.account_id ORDER BY j.posted_at, j.id) AS first_rn,
-         -1 * sum(CASE WHEN is_debit THEN amount_rub ELSE 0 END) OVER (PARTITION BY a.account_id) AS debit,
-         sum(CASE WHEN NOT is_debit THEN amount_rub ELSE 0 END) OVER (PARTITION BY a.account_id) AS credit
-  FROM journal_latest j JOIN ledger_account a ON a.collection_id = j.collection_id
-  WHERE a.account_number LIKE '30232%'
-    AND CASE WHEN (SELECT start_date FROM active) IS NOT NULL
-             THEN posted_at::DATE BETWEEN (SELECT start_date FROM active) AND (SELECT finish_date - 1 FROM active)
-             ELSE posted_at::DATE = {e} - 1 END
+owed AS (
+  SELECT collection_id AS account_id, first(in_rub ORDER BY posted_at, id)
+         + sum(CASE WHEN is_debit THEN -amount_rub ELSE amount_rub END) AS amount
+  FROM journal_latest, bounds WHERE posted_at::DATE BETWEEN lo AND hi GROUP BY 1
 ),
 documents_latest AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, k ORDER BY ts DESC, event_id DESC) AS rn
-    FROM postings WHERE event_type = 'purchase' AND day > {e} - 30) WHERE rn = 1
+  SELECT * FROM postings WHERE event_type = 'purchase' AND day > {e} - 30
+  QUALIFY row_number() OVER (PARTITION BY user_id, k ORDER BY ts DESC, event_id DESC) = 1
 ),
 paid AS (
   SELECT user_id, sum(amount) AS amount FROM documents_latest
@@ -187,11 +164,11 @@ paid AS (
 ),
 payments AS (
   SELECT 'CON/' || c_custkey AS agreement_number, CASE WHEN c_acctbal >= 0 THEN c_name END AS client_name,
-         n_name AS agreement_type, a.account_number, coalesce(w.in_rub + w.debit + w.credit, 0) AS out_balance_amount,
+         n_name AS agreement_type, a.account_number, coalesce(w.amount, 0) AS out_balance_amount,
          coalesce(p.amount, 0) AS payment_documents_amount
   FROM customer JOIN ledger_account a ON a.account_id = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
-  LEFT JOIN on_window w ON w.account_id = c_custkey AND w.first_rn = 1 LEFT JOIN paid p ON p.user_id = c_custkey
-  WHERE a.account_number LIKE '30232%'
+  LEFT JOIN owed w ON w.account_id = c_custkey LEFT JOIN paid p ON p.user_id = c_custkey
+  WHERE starts_with(a.account_number, '30232')
 )""".replace("{e}", S.E)
 
 
@@ -223,15 +200,15 @@ a AS (SELECT coalesce(yp.num, ip.num) AS num, coalesce(yp.opened, ip.opened) AS
       FROM yp FULL JOIN ip ON yp.num = ip.num),
 b AS (SELECT 'ag' || l_orderkey AS num, min(l_shipdate)::DATE AS opened, max(l_shipdate)::DATE AS closed
       FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1),
-x AS (SELECT a.num AS a_num, b.num AS b_num, a.opened AS a_open, b.opened AS b_open, a.closed AS a_close, b.closed AS b_close,
-             DATE '{_AGREEMENTS_DAY}' AS d FROM a FULL JOIN b ON a.num = b.num)
-SELECT CASE WHEN a_open = d AND b_num IS NULL THEN 'missing_in_b' WHEN b_open = d AND a_num IS NULL THEN 'missing_in_a'
-            WHEN (b_open = d OR a_open = d) AND a_open <> b_open THEN 'open_date_differs'
-            WHEN (b_open = d OR a_open = d) AND a_close <> b_close THEN 'close_date_differs' END AS error_name,
-       coalesce(a_num, b_num) AS agr_number, a_open AS a_open_date, b_open AS b_open_date,
-       a_close AS a_close_date, b_close AS b_close_date
-FROM x WHERE (a_open = d AND b_num IS NULL) OR (b_open = d AND a_num IS NULL)
-  OR ((b_open = d OR a_open = d) AND a_open <> b_open) OR ((b_open = d OR a_open = d) AND a_close <> b_close)""")
+x AS (SELECT coalesce(a.num, b.num) AS agr_number, a.num IS NOT NULL AS in_a, b.num IS NOT NULL AS in_b,
+             a.opened AS a_open_date, b.opened AS b_open_date, a.closed AS a_close_date, b.closed AS b_close_date
+      FROM a FULL JOIN b ON a.num = b.num
+      WHERE DATE '{_AGREEMENTS_DAY}' IN (coalesce(a.opened, DATE '1900-01-01'), coalesce(b.opened, DATE '1900-01-01')))
+SELECT 'missing_in_b' AS error_name, x.* EXCLUDE (in_a, in_b) FROM x WHERE NOT in_b
+UNION ALL SELECT 'missing_in_a', x.* EXCLUDE (in_a, in_b) FROM x WHERE NOT in_a
+UNION ALL SELECT 'open_date_differs', x.* EXCLUDE (in_a, in_b) FROM x WHERE in_a AND in_b AND a_open_date <> b_open_date
+UNION ALL SELECT 'close_date_differs', x.* EXCLUDE (in_a, in_b) FROM x
+WHERE in_a AND in_b AND a_open_date = b_open_date AND a_close_date <> b_close_date""")
 def q_agreements(g):
     key, opened = F.col("o_orderkey").cast("string"), F.to_date("o_orderdate")
     products = g.orders.where(F.col("o_orderstatus") == "F").select(

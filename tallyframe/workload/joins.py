@@ -179,8 +179,8 @@ def join_day_lookup(g):
 
 @query("join_theta_one_row", f"""
 WITH {ISLANDS}
-SELECT user_id, {_N}, sum(value::DECIMAL(18,2))::DOUBLE AS amount FROM events, active
-WHERE ts::DATE >= start_date AND ts::DATE < finish_date GROUP BY 1""")
+SELECT user_id, {_N}, sum(value::DECIMAL(18,2))::DOUBLE AS amount FROM events, bounds
+WHERE ts::DATE BETWEEN lo AND hi GROUP BY 1""")
 def join_theta_one_row(g):
     days = g.events.select("user_id", "value", F.to_date("ts").alias("day"))
     rows = filter_by_window(days, "day", posting_window(g.calendar, EVENT_DAY), "start_date", "end_date",

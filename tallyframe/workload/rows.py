@@ -121,27 +121,25 @@ def filter_not_equal(g):
     return g.orders.where(F.col("o_orderstatus") != "P").select("o_orderkey", "o_orderstatus")
 
 
-# calendar islands in SQL: the literal lag/lead form, and the one window that holds a day
+# Calendar in SQL: an island lies between neighbouring working days more than a day apart;
+# the calendar's ends close a run that touches them. ``bounds`` are the days to take.
 ISLANDS = S.CALENDAR + """,
-edges AS (
-  SELECT calendar_date, holiday_flag,
-         CASE WHEN lag(holiday_flag) OVER w IS TRUE AND holiday_flag IS NOT TRUE THEN 2
-              WHEN lead(holiday_flag) OVER w IS TRUE AND holiday_flag IS NOT TRUE THEN 1 END AS day_type
-  FROM calendar WINDOW w AS (ORDER BY calendar_date)
+stops AS (
+  SELECT calendar_date AS d, FALSE AS opens FROM calendar WHERE NOT holiday_flag
+  UNION SELECT calendar_date, TRUE FROM calendar
+        WHERE holiday_flag AND calendar_date = (SELECT min(calendar_date) FROM calendar)
+  UNION SELECT max(calendar_date) + 1, FALSE FROM calendar
 ),
-groups AS (SELECT *, sum(day_type) OVER (ORDER BY calendar_date) AS group_num FROM edges),
-islands AS (
-  SELECT min(calendar_date) AS start_date, max(calendar_date) + 1 AS finish_date FROM groups
-  GROUP BY group_num HAVING min(CASE WHEN holiday_flag IS FALSE THEN 1 ELSE 0 END) = 0
-),
-active AS (SELECT * FROM islands WHERE {e} BETWEEN start_date + 1 AND finish_date)""".replace("{e}", S.E)
+steps AS (SELECT lag(d) OVER (ORDER BY d) AS start_date, d AS finish_date, lag(opens) OVER (ORDER BY d) AS opens FROM stops),
+islands AS (SELECT start_date, finish_date FROM steps WHERE finish_date - start_date > 1 OR opens),
+bounds AS (
+  SELECT coalesce(max(start_date), {e} - 1) AS lo, coalesce(max(finish_date), {e}) - 1 AS hi
+  FROM islands WHERE start_date < {e} AND finish_date >= {e}
+)""".replace("{e}", S.E)
 
 _IN_WINDOW = f"""
 WITH {ISLANDS}
-SELECT event_id, user_id, ts::DATE AS day FROM events
-WHERE CASE WHEN (SELECT start_date FROM active) IS NOT NULL
-           THEN ts::DATE BETWEEN (SELECT start_date FROM active) AND (SELECT finish_date - 1 FROM active)
-           ELSE ts::DATE = {S.E} - 1 END"""
+SELECT event_id, user_id, ts::DATE AS day FROM events, bounds WHERE ts::DATE BETWEEN lo AND hi"""
 
 
 @query("filter_case_scalar", _IN_WINDOW)

@@ -78,7 +78,7 @@ merchants AS (
   FROM supplier
 )"""
 
-# The act lines branch by branch: every branch reads and joins its tables on its own.
+# The act lines kind by kind: each reads and joins its tables on its own.
 _ACT_TABLES = """
 txn AS (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_quantity::BIGINT AS txn_type_id, l_suppkey AS orig_id,
@@ -99,7 +99,7 @@ fee_txn AS (
   FROM orders
 ),
 invoiced AS (
-  SELECT txn_id FROM (SELECT l_orderkey * 10 + l_linenumber AS txn_id, l_orderkey AS invoice_id FROM lineitem)
+  SELECT DISTINCT txn_id FROM (SELECT l_orderkey * 10 + l_linenumber AS txn_id, l_orderkey AS invoice_id FROM lineitem)
   WHERE invoice_id IN (SELECT o_orderkey FROM orders WHERE o_orderdate::DATE BETWEEN {lo} AND {hi} - 1)
 ),
 account AS (
@@ -145,16 +145,10 @@ agreement_{family} AS (
 
 def _balance(family: str, name: str, cutoff: str, live: str) -> str:
     return f"""
-  SELECT CASE WHEN a.account_number LIKE '30232%' THEN 'debt_bank_{name}'
-              WHEN a.account_number LIKE '30233%' THEN 'debt_client_{name}' END AS ttype, g.agr_number,
-         abs(sum(j.in_balance + CASE WHEN j.is_debit THEN -j.amount ELSE j.amount END)) AS amount
-  FROM act_journal j
-  JOIN (SELECT x.collection_id, x.posted_at, max(x.id) AS id FROM act_journal x
-        JOIN (SELECT collection_id, max(posted_at) AS last_at FROM act_journal
-              WHERE posted_at < {cutoff} GROUP BY collection_id) m
-          ON m.collection_id = x.collection_id AND m.last_at = x.posted_at
-        GROUP BY x.collection_id, x.posted_at) l
-    ON l.collection_id = j.collection_id AND l.posted_at = j.posted_at AND l.id = j.id
+  SELECT CASE a.account_number[1:5] WHEN '30232' THEN 'debt_bank_{name}' WHEN '30233' THEN 'debt_client_{name}' END AS ttype,
+         g.agr_number, abs(sum(CASE WHEN j.is_debit THEN j.in_balance - j.amount ELSE j.in_balance + j.amount END)) AS amount
+  FROM (SELECT * FROM act_journal WHERE posted_at < {cutoff}
+        QUALIFY row_number() OVER (PARTITION BY collection_id ORDER BY posted_at DESC, id DESC) = 1) j
   JOIN account a ON a.collection_id = j.collection_id {live}
   JOIN agreement_{family} g ON a.agreement_id = g.id
   GROUP BY a.account_number, g.agr_number"""
@@ -164,45 +158,41 @@ def act_branches(family: str) -> list[str]:
     base = family == "base"
     live = "" if base else "AND a.audit_state <> 'R'"
     debit, credit = ("C2BDISPUTE_DEBIT", "C2BDISPUTE_CREDIT") if base else ("adjDebit", "adjCredit")
-    third = "" if base else "OR d.purpose LIKE 'Возмещение ден.средств по операциям эквайринга по Реестру%'"
-    of_month = "t.txn_class = 'F' AND t.id IN (SELECT txn_id FROM invoiced)"
-    dispute = """
-  SELECT '{name}' AS ttype, g.agr_number, sum(t.amount) AS amount
-  FROM txn t JOIN txn_type y ON t.txn_type_id = y.id JOIN agreement_{family} g ON t.rcvr_id = g.id
-  WHERE {of_month} AND y.code = '{code}' GROUP BY g.agr_number"""
+    purposes = ["Переводы физических лиц согласно Реестру", "Переводы физических лиц с использованием СБП согласно  Реестру"]
+    if not base:
+        purposes.append("Возмещение ден.средств по операциям эквайринга по Реестру")
+    wanted = " OR ".join(f"starts_with(d.purpose, '{p}')" for p in purposes)
+    txns = f"""FROM txn t JOIN txn_type y ON t.txn_type_id = y.id JOIN invoiced i ON i.txn_id = t.id
+  JOIN agreement_{family} g ON g.id ="""
+    of_month = f"d.state = 'PROV' AND d.posted_at >= {LO} AND d.posted_at < {HI}"
     return [
         f"""
-  SELECT CASE WHEN y.code IN ('purchase', 'c2b') THEN 'debits' WHEN y.code IN ('refund', 'b2c') THEN 'credits' END
-           AS ttype, g.agr_number,
-         coalesce(sum(CASE WHEN t.direction = 'R' THEN -t.amount ELSE t.amount END), 0) AS amount
-  FROM txn t, txn_type y, agreement_{family} g
-  WHERE t.orig_id = g.id AND t.txn_type_id = y.id AND {of_month}
-    AND y.code NOT IN ('purchaseReimb', 'negativeReimb')
-  GROUP BY 1, 2""",
+  SELECT c.ttype, g.agr_number, coalesce(sum(t.amount * CASE t.direction WHEN 'R' THEN -1 ELSE 1 END), 0) AS amount
+  {txns} t.orig_id
+  JOIN (VALUES ('purchase', 'debits'), ('c2b', 'debits'), ('refund', 'credits'), ('b2c', 'credits')) c(code, ttype)
+    ON c.code = y.code
+  WHERE t.txn_class = 'F' GROUP BY 1, 2""",
         f"""
-  SELECT 'fee' AS ttype, g.agr_number, sum(CASE WHEN f.direction = 'R' THEN -f.fee ELSE f.fee END) AS amount
-  FROM txn t LEFT JOIN fee_txn f ON t.id = f.txn_id JOIN txn_type y ON t.txn_type_id = y.id
-  JOIN agreement_{family} g ON t.orig_id = g.id
-  WHERE {of_month} AND y.code NOT IN ('purchaseReimb', 'negativeReimb') GROUP BY g.agr_number""",
-        dispute.format(name="disp", family=family, of_month=of_month, code=debit),
-        dispute.format(name="disp_cr", family=family, of_month=of_month, code=credit),
+  SELECT 'fee' AS ttype, g.agr_number, sum(f.fee * CASE f.direction WHEN 'R' THEN -1 ELSE 1 END) AS amount
+  {txns} t.orig_id LEFT JOIN fee_txn f ON f.txn_id = t.id
+  WHERE t.txn_class = 'F' AND y.code NOT LIKE '%Reimb' GROUP BY 2""",
+        f"""
+  SELECT c.ttype, g.agr_number, sum(t.amount) AS amount
+  {txns} t.rcvr_id JOIN (VALUES ('{debit}', 'disp'), ('{credit}', 'disp_cr')) c(code, ttype) ON c.code = y.code
+  WHERE t.txn_class = 'F' GROUP BY 1, 2""",
         f"""
   SELECT 'reimb' AS ttype, g.agr_number, sum(d.amount) AS amount
   FROM document d JOIN account a ON a.account_number = d.debit_number {live}
   JOIN agreement_{family} g ON a.agreement_id = g.id
-  WHERE d.state = 'PROV' AND d.debit_number LIKE '30232810_1%' AND d.posted_at >= {LO} AND d.posted_at < {HI}
-    AND (d.purpose LIKE 'Переводы физических лиц согласно Реестру%'
-         OR d.purpose LIKE 'Переводы физических лиц с использованием СБП согласно  Реестру%' {third})
-  GROUP BY g.agr_number""",
-        _balance(family, "end", HI, live),
-        _balance(family, "start", LO, live),
+  WHERE {of_month} AND d.debit_number LIKE '30232810_1%' AND ({wanted}) GROUP BY 2""",
         f"""
   SELECT 'fixloan' AS ttype, g.agr_number, sum(d.amount) AS amount
-  FROM document d LEFT JOIN account a ON a.account_number = d.credit_number {live}
-  LEFT JOIN agreement_{family} g ON a.agreement_id = g.id
-  WHERE d.state = 'PROV' AND d.debit_number LIKE '4070%' AND d.credit_number LIKE '30233%'
-    AND d.posted_at >= {LO} AND d.posted_at < {HI} AND d.purpose LIKE 'Исполнение нетто-требований%'
-  GROUP BY g.agr_number""",
+  FROM document d JOIN account a ON a.account_number = d.credit_number {live}
+  JOIN agreement_{family} g ON a.agreement_id = g.id
+  WHERE {of_month} AND starts_with(d.debit_number, '4070') AND starts_with(d.credit_number, '30233')
+    AND starts_with(d.purpose, 'Исполнение нетто-требований') GROUP BY 2""",
+        _balance(family, "end", HI, live),
+        _balance(family, "start", LO, live),
     ]
 
 
@@ -219,43 +209,31 @@ def act_facts(*families: str) -> str:
     return ",".join(parts)
 
 
+_ACT_LINES = {
+    "debt_bank_start": "start_debt_bank_amount", "debt_client_start": "start_debt_client_amount",
+    "debits": "purchases_amount", "credits": "refunds_amount", "disp": "dispute_debit_amount",
+    "disp_cr": "dispute_credit_amount", "fee": "fee_amount", "reimb": "transfer_amount", "fixloan": "fix_loan_amount",
+    "debt_client_end": "end_debt_client_amount", "debt_bank_end": "end_debt_bank_amount",
+}
 ACT_FINAL = MERCHANTS + "," + act_facts("base", "settl", "cards") + """,
-ttypes AS (
-  SELECT unnest(['credits', 'debits', 'fee', 'reimb', 'disp', 'disp_cr', 'debt_bank_end', 'debt_client_end',
-                 'debt_bank_start', 'debt_client_start', 'fixloan']) AS ttype
-),
 agrs AS (
-  SELECT DISTINCT agr_number FROM (
-    SELECT * FROM agreement_base UNION ALL SELECT * FROM agreement_settl UNION ALL SELECT * FROM agreement_cards)
-  WHERE agreement_class = 'A' AND (closing_date IS NULL OR closing_date >= {hi})
+  SELECT agr_number FROM (
+    SELECT * FROM agreement_base UNION SELECT * FROM agreement_settl UNION SELECT * FROM agreement_cards)
+  WHERE agreement_class = 'A' AND coalesce(closing_date, {hi}) >= {hi} GROUP BY 1
 ),
-lines AS (SELECT * FROM act_base UNION ALL SELECT * FROM act_settl UNION ALL SELECT * FROM act_cards),
-filled AS (
-  SELECT t.ttype, g.agr_number, coalesce(l.amount, 0) AS amount, l.agr_number IS NOT NULL AS known
-  FROM ttypes t CROSS JOIN agrs g LEFT JOIN lines l ON t.ttype = l.ttype AND l.agr_number = g.agr_number
+lines AS (
+  SELECT * FROM (SELECT * FROM act_base UNION ALL SELECT * FROM act_settl UNION ALL SELECT * FROM act_cards)
+  WHERE agr_number IN (SELECT agr_number FROM agrs)
 ),
 summed AS (
-  SELECT m.agr_number, m.agr_date, m.director, m.merchant, m.director_short,
-         {sums},
-         coalesce(bool_or(f.known), false) AS has_data
-  FROM merchants m LEFT JOIN filled f ON f.agr_number = m.agr_number
-  GROUP BY m.agr_number, m.agr_date, m.director, m.merchant, m.director_short
+  SELECT m.agr_number, m.agr_date, m.director, m.merchant, m.director_short, count(l.ttype) > 0 AS has_data, {sums}
+  FROM merchants m LEFT JOIN lines l USING (agr_number) GROUP BY ALL
 ),
 act_final AS (
-  SELECT *, start_debt_bank_amount + purchases_amount + dispute_credit_amount + fix_loan_amount
-      + end_debt_client_amount - end_debt_bank_amount - refunds_amount - dispute_debit_amount - fee_amount
-      - transfer_amount - start_debt_client_amount AS check_amount
+  SELECT *, (start_debt_bank_amount + purchases_amount + dispute_credit_amount + fix_loan_amount + end_debt_client_amount)
+    - (end_debt_bank_amount + refunds_amount + dispute_debit_amount + fee_amount + transfer_amount
+       + start_debt_client_amount) AS check_amount
   FROM summed
-)""".replace("{hi}", HI).replace("{sums}", ",\n         ".join(
-    f"round(sum(CASE WHEN f.ttype = '{t}' THEN f.amount ELSE 0 END), 2) AS {c}" for t, c in [
-        ("debt_bank_start", "start_debt_bank_amount"), ("debt_client_start", "start_debt_client_amount"),
-        ("debits", "purchases_amount"), ("credits", "refunds_amount"), ("disp", "dispute_debit_amount"),
-        ("disp_cr", "dispute_credit_amount"), ("fee", "fee_amount"), ("reimb", "transfer_amount"),
-        ("fixloan", "fix_loan_amount"), ("debt_client_end", "end_debt_client_amount"),
-        ("debt_bank_end", "end_debt_bank_amount"),
-    ]
+)""".replace("{hi}", HI).replace("{sums}", ", ".join(
+    f"coalesce(sum(l.amount) FILTER (l.ttype = '{t}'), 0) AS {c}" for t, c in _ACT_LINES.items()
 ))
-
-
-def with_(*ctes: str) -> str:
-    return "WITH " + ",".join(ctes)

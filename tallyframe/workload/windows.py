@@ -57,9 +57,12 @@ def win_running_sum(g):
 
 
 @query("win_lag_lead_flags", f"""
-WITH {ISLANDS}
-SELECT calendar_date, holiday_flag, day_type, coalesce(n, 0) AS n FROM edges
-LEFT JOIN (SELECT ts::DATE AS day, count(*) AS n FROM events GROUP BY 1) ON day = calendar_date""")
+WITH {S.CALENDAR}
+SELECT c.calendar_date, c.holiday_flag,
+       CASE WHEN c.holiday_flag THEN NULL WHEN y.holiday_flag THEN 2 WHEN t.holiday_flag THEN 1 END AS day_type,
+       (SELECT count(*) FROM events WHERE ts::DATE = c.calendar_date) AS n
+FROM calendar c LEFT JOIN calendar y ON y.calendar_date = c.calendar_date - 1
+LEFT JOIN calendar t ON t.calendar_date = c.calendar_date + 1""")
 def win_lag_lead_flags(g):
     per_day = g.events.groupBy(F.to_date("ts").alias("calendar_date")).agg(F.count(F.lit(1)).alias("n"))
     return mark_edges(g.calendar).join(per_day, "calendar_date", "left").withColumn("n", F.coalesce("n", F.lit(0)))
