@@ -23,11 +23,21 @@ DEFAULTS = {
 }
 
 
-def build_session(app_name: str = "tallyframe", master: str | None = None, **conf: str) -> SparkSession:
+def shuffle_partitions(shuffled_bytes: int, per_partition: int = 128 << 20) -> int:
+    """Enough shuffle partitions to fit each in an executor's memory; AQE merges spare ones."""
+    return max(200, -(-shuffled_bytes // per_partition))
+
+
+def build_session(
+    app_name: str = "tallyframe", master: str | None = None, shuffled_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the defaults above. ``shuffled_bytes`` is the largest shuffle expected,
+    for reports of terabytes; any setting can be given in ``conf``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    sized = {"spark.sql.shuffle.partitions": str(shuffle_partitions(shuffled_bytes))} if shuffled_bytes else {}
+    for key, value in {**DEFAULTS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

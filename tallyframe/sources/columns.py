@@ -45,6 +45,18 @@ SOURCE_COLUMNS: dict[str, dict[str, str]] = {
         "ID": "account_id", "C_ARC_MOVE": "collection_id", "C_MAIN_V_ID": "account_number",
         "C_VID": "type_id", "C_OTV": "user_id",
     },
+    "legacy_balance": {
+        "account_nk": "account_id",
+        "account_balance_effective_from_date": "effective_from",
+        "account_balance_effective_to_date": "effective_to",
+        "account_balance_in_amount": "in_amount", "account_debit_turn_amount": "debit_amount",
+        "account_credit_turn_amount": "credit_amount", "account_balance_out_amount": "out_amount",
+        "account_balance_in_currency_amount": "in_currency_amount",
+        "account_debit_turn_currency_amount": "debit_currency_amount",
+        "account_credit_turn_currency_amount": "credit_currency_amount",
+        "account_balance_out_currency_amount": "out_currency_amount",
+        "closed_date_flag": "closed_date_flag", "valid_to_date": "valid_to_date",
+    },
     "account_type": {"ID": "type_id", "C_CODE": "type_code"},
     "account_user": {"ID": "user_id", "C_NAME": "user_name"},
     "merchant_contract": {

@@ -119,6 +119,7 @@ FROM w WHERE ta <> da""")
 def c_txn_vs_document(g):
     rows = g.lineitem.select("l_suppkey", "l_returnflag", "l_linestatus", F.col("l_linenumber").alias("rrn"),
                              money(F.col("l_extendedprice")).alias("amount"))
+    # documents lack one reference number, so that transactions without a document occur
     documents = rows.where((F.col("l_linestatus") == "O") & (F.col("rrn") < 7))
     out = txn_vs_document(rows.where(F.col("l_linestatus") == "F"), documents, ["l_suppkey", "l_returnflag"])
     return doubles(out, "sum_amount_rrn", "sum_sum_rrn", "diff", "sum_settl_amount", "sum_c_sum")

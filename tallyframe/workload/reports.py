@@ -35,6 +35,7 @@ acts AS (SELECT *, CASE WHEN purchases >= refunds THEN 1 ELSE 0 END AS condition
 
 
 def month_lines(g):
+    """Large lines of the month: not every agreement has one, so some routes stay empty."""
     return g.lineitem.where(in_prev_month(F.col("l_shipdate"), AS_OF) & (F.col("l_quantity") >= 40)).withColumns({
         "agr_number": g.agr_number("l_suppkey"), "price": money(F.col("l_extendedprice"))})
 
