@@ -6,12 +6,13 @@ from collections.abc import Mapping
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import account_class
 from ..operators.filters import valid_on
 from ..operators.ledger import turnover_of, turnover_parts
-from ..operators.setops import union_aligned
+from ..operators.setops import union_sources
 from ..operators.windows import close_intervals, first_in, latest_version
 from ..params import OPEN_END
 from ..sources.tables import cdc_window, scd2_current
@@ -70,38 +71,41 @@ def legacy_balances(t: Tables, cutover: date) -> DataFrame:
     return legacy.join(_accounts(t), "account_id").select(*COLUMNS)
 
 
+def _both(t: Tables, as_of: date, cutover: date, until: date | None, days: int) -> DataFrame:
+    """Former intervals and days with movement in one frame, told apart by ``is_new``."""
+    new = daily_turnover(t, as_of, cutover, until, days).withColumn("effective_to", F.lit(OPEN_END))
+    return union_sources(
+        legacy_balances(t, cutover).withColumn("is_new", F.lit(False)),
+        new.select(*COLUMNS, F.lit(True).alias("is_new")),
+    )
+
+
 def balance_intervals(t: Tables, as_of: date, cutover: date, days: int = 30, overlap: bool = False) -> DataFrame:
     """All balance intervals: the former table, then the journal from the cut-over on.
 
     A former interval ends the day before the account's first new one; ``overlap`` leaves
     it as stored, so an account may have two rows on a day.
     """
-    new = close_intervals(daily_turnover(t, as_of, cutover, days=days), ["account_id"], "effective_from", "effective_to")
-    legacy = legacy_balances(t, cutover)
-    if not overlap:
-        first_new = new.groupBy(F.col("account_id").alias("new_id")).agg(F.min("effective_from").alias("first_new"))
-        legacy = legacy.join(first_new, F.col("account_id") == F.col("new_id"), "left").withColumn(
-            "effective_to", F.least(F.col("effective_to"), F.date_sub("first_new", 1))
-        ).where(F.col("effective_to") >= F.col("effective_from"))
-    return union_aligned(COLUMNS, legacy, new)
+    rows = _both(t, as_of, cutover, None, days)
+    first_new = F.min(F.when(F.col("is_new"), F.col("effective_from"))).over(W.partitionBy("account_id"))
+    rows = rows.withColumn("_first_new", first_new).withColumnRenamed("effective_to", "_stored_to")
+    closed = close_intervals(rows, ["account_id", "is_new"], "effective_from", "_next")
+    former_end = F.col("_stored_to") if overlap else F.least("_stored_to", F.date_sub("_first_new", 1))
+    ended = closed.withColumn("effective_to", F.when(F.col("is_new"), F.col("_next")).otherwise(former_end))
+    return ended.where(F.col("effective_to") >= F.col("effective_from")).select(*COLUMNS)
 
 
 def turnover(t: Tables, as_of: date, cutover: date, days: int = 30, overlap: bool = False) -> DataFrame:
     """Balance of each account on ``as_of``; a quiet day carries the last closing balance.
 
-    Only each account's last day with movement is needed, so no intervals are built: the
-    day's rows replace a former interval that is still open.
+    Only each account's last day with movement is needed, so no intervals are built: that
+    day, where there is one, comes before a former interval that is still open.
     """
-    daily = daily_turnover(t, as_of, cutover, until=as_of, days=days)
-    current = first_in(daily, ["account_id"], [F.col("effective_from").desc()]).withColumn(
-        "effective_to", F.lit(OPEN_END)
-    )
-    legacy = valid_on(legacy_balances(t, cutover), as_of, "effective_from", "effective_to")
-    if not overlap:
-        legacy = legacy.join(current.select("account_id"), ["account_id"], "left_anti")
+    rows = valid_on(_both(t, as_of, cutover, as_of, days), as_of, "effective_from", "effective_to")
+    key = ["account_id", "is_new"] if overlap else ["account_id"]
+    current = first_in(rows, key, [F.col("is_new").desc(), F.col("effective_from").desc()])
     moved = F.col("effective_from") == F.lit(as_of)
-    rows = union_aligned(COLUMNS, legacy, current)
-    return rows.select(
+    return current.select(
         F.lit(as_of).alias("balance_date"), "account_id", "second_order_account_number", "account_number",
         F.when(moved, F.col("in_amount")).otherwise(F.col("out_amount")).alias("in_amount"),
         F.col("out_amount"),

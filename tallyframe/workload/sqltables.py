@@ -36,7 +36,7 @@ calendar AS (
 
 JOURNAL_CHANGES = JOURNAL + """,
 journal_changes AS (
-  SELECT event_id AS id, user_id AS collection_id, day || '/' || k AS doc_id, ts AS posted_at, is_debit,
+  SELECT event_id AS id, user_id AS collection_id, (day - DATE '2000-01-01') * 1000 + k AS doc_id, ts AS posted_at, is_debit,
          in_balance AS in_rub, amount AS amount_rub, ts AS txn_ts, event_id AS txn_id, day AS dt
   FROM journal
 ),

@@ -183,7 +183,7 @@ class Given:
         """Change log of the journal: a later event with the same user and ``k`` on a day
         is a newer version of the posting."""
         changes = self.journal.selectExpr(
-            "event_id AS id", "user_id AS collection_id", "concat_ws('/', day, k) AS doc_id", "ts AS posted_at",
+            "event_id AS id", "user_id AS collection_id", "datediff(day, DATE'2000-01-01') * 1000 + k AS doc_id", "ts AS posted_at",
             "ts AS stamped_at", "is_debit", "in_balance AS in_balance_rub", "amount AS amount_rub",
             "CAST(in_balance * 2 AS decimal(18,2)) AS in_balance", "CAST(amount * 2 AS decimal(18,2)) AS amount",
             "ts AS txn_ts", "event_id AS txn_id", "day AS dt",
@@ -229,7 +229,7 @@ class Given:
     def payment_tables(self) -> dict[str, DataFrame]:
         """Customers as merchants; purchases of a day as payment documents, other events as journal."""
         documents = self.postings.where("event_type = 'purchase'").selectExpr(
-            "concat_ws('/', user_id, k) AS id", "ts AS document_date",
+            "user_id * 1000 + k AS id", "ts AS document_date",
             "concat('3023281051', lpad(CAST(user_id AS string), 10, '0')) AS debit_number",
             "if(k < 50, '40702810510000000001', '30102810510000000001') AS credit_number",
             "CASE WHEN k < 40 THEN '11451550' WHEN k < 90 THEN '1916953' ELSE '0' END AS kind",
