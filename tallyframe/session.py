@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,26 +41,37 @@ def build_session(
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for ``name`` that every executor can reach.
+def work_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh folder for ``name`` that the driver and every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors share one disk, may fall back to /tmp.
+    It lies below ``root``, else below the shared folder named in ``spark.checkpoint.dir``, else
+    below the warehouse, which Spark shares too. It is deleted when the Spark application ends;
+    ``drop_work`` deletes it earlier.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="tallyframe-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    shared = root or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{shared.rstrip('/')}/_work/{name}-{uuid.uuid4().hex}"
+    where, files = _files(spark, path)
+    files.deleteOnExit(where)
+    return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def drop_work(spark: SparkSession, path: str) -> None:
+    """Delete a work folder whose rows nobody will read again."""
+    where, files = _files(spark, path)
+    files.delete(where, True)
+
+
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives Spark the true size of the frame
     when it chooses a join.
     """
-    path = work_dir(df.sparkSession, name)
+    path = path or work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

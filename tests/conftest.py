@@ -6,8 +6,9 @@ from tallyframe import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", **{
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
     })
     session.sparkContext.setLogLevel("ERROR")
