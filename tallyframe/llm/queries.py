@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import digest, line_rules, packing, sharding, token_files, url_rules
+from . import digest, line_rules, packing, repeats, sharding, token_files, url_rules
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -49,6 +49,11 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, folder)
 
 
+def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs, with_text=False).drop("text")
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_rules.clean_lines(docs, keep=["doc_id"]).drop("clean_text")
@@ -63,6 +68,7 @@ QUERIES = {
     "op3_hypergeometric_shards": sharding_query,
     "op4_best_fit_packing": packing_query,
     "op6_token_files": token_output,
+    "op8_repeated_windows": repeat_removal,
     "op9_line_rules": quality_rules,
     "op10_quartile_digest": fingerprints,
 }
