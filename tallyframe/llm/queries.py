@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import digest, line_rules, packing, repeats, sharding, token_files, url_rules
+from . import digest, jaccard, line_rules, packing, repeats, sharding, token_files, url_rules
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -42,6 +42,10 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_file(), keep=["doc_id"])
 
 
+def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     folder = work_dir(spark, "token-files")
@@ -67,6 +71,7 @@ QUERIES = {
     "op2_url_filter": url_filter,
     "op3_hypergeometric_shards": sharding_query,
     "op4_best_fit_packing": packing_query,
+    "op5_bayes_jaccard": similarity_join,
     "op6_token_files": token_output,
     "op8_repeated_windows": repeat_removal,
     "op9_line_rules": quality_rules,
