@@ -299,11 +299,12 @@ def similar_texts(
     spark = docs.sparkSession
     t1, t2 = text_key(text)
     keyed = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), t1.alias("t1"), t2.alias("t2"))
-    signed = materialize(map_text(keyed, "text", SIGNED, lambda: _sign(width), ["key", "t1", "t2"]), "signed")
+    paths = {name: work_dir(spark, name) for name in ("signed", "nodes", "verified")}
+    signed = materialize(map_text(keyed, "text", SIGNED, lambda: _sign(width), ["key", "t1", "t2"]), "signed", paths["signed"])
     nodes = signed.groupBy("s1", "s2").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "t1", "t2")).alias("one"), F.max("size").alias("size"),
         F.first("signature").alias("signature"), F.first("bands").alias("bands"))
-    nodes = materialize(nodes.withColumn("sid", F.monotonically_increasing_id()), "nodes")
+    nodes = materialize(nodes.withColumn("sid", F.monotonically_increasing_id()), "nodes", paths["nodes"])
     # buckets with two nodes or more; of buckets with the same nodes, the one of the first band
     each = nodes.where("size > 0").select("sid", F.posexplode("bands").alias("band", "bucket"))
     mark = F.xxhash64("sid", F.lit("member"))
@@ -321,7 +322,7 @@ def similar_texts(
     same = (keyed["t1"] == wanted["o1"]) & (keyed["t2"] == wanted["o2"]) & keyed["key"].eqNullSafe(wanted["o"])
     texts = keyed.join(wanted, same).select("root", "n", "sid", "copies", "text").dropDuplicates(["sid"])
     groups = blocked(_gram_sets(texts, width), "root", "n", "sid", ["copies", "grams"])
-    verified = materialize(_verify(groups, threshold), "verified")
+    verified = materialize(_verify(groups, threshold), "verified", paths["verified"])
     classes = components(verified.where("sid <> tied").select(F.col("sid").alias("a"), F.col("tied").alias("b")))
     links = verified.groupBy("sid").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
     placed = (
@@ -334,7 +335,10 @@ def similar_texts(
         "s1", "s2", F.col("head.key").alias("class_id"), F.col("head.t1").alias("class_t1"), F.col("head.t2").alias("class_t2"),
         "class_size", (F.coalesce("linked_docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("links", F.lit(0)).alias("n_text_links"), F.col("copies").alias("n_copies"))
-    return signed.select("key", "t1", "t2", "s1", "s2").join(result, ["s1", "s2"]).drop("s1", "s2")
+    found = materialize(signed.select("key", "t1", "t2", "s1", "s2").join(result, ["s1", "s2"]).drop("s1", "s2"), "classes")
+    for path in paths.values():
+        drop_work(spark, path)
+    return found
 
 
 def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -350,7 +354,7 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", **opt
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with the least key of each class; of rows repeated as a whole, one. All columns stay."""
-    found = materialize(similar_texts(docs, key, text, **options), "classes")
+    found = similar_texts(docs, key, text, **options)
     others = found.where("class_size > 1").select("t1", "t2", "class_id", "class_t1", "class_t2").distinct()
     t1, t2 = text_key(text)
     rows = docs.withColumns({"__t1": t1, "__t2": t2})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import digest, jaccard, line_rules, packing, repeats, sharding, token_files, url_rules
+from . import cotraining, digest, jaccard, line_rules, packing, pieces, repeats, sharding, token_files, url_rules
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", *cotraining.RESULT)
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_probability")
@@ -53,6 +58,11 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, folder)
 
 
+def piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_texts(docs, tokenizer_file("piece_bpe_32k.model"), keep=["doc_id"], with_ids=False)
+
+
 def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.remove_repeats(docs, with_text=False).drop("text")
@@ -68,11 +78,13 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_cotraining_quality": quality_classifier,
     "op2_url_filter": url_filter,
     "op3_hypergeometric_shards": sharding_query,
     "op4_best_fit_packing": packing_query,
     "op5_bayes_jaccard": similarity_join,
     "op6_token_files": token_output,
+    "op7_nbest_pieces": piece_encoding,
     "op8_repeated_windows": repeat_removal,
     "op9_line_rules": quality_rules,
     "op10_quartile_digest": fingerprints,

@@ -59,7 +59,7 @@ class _Work:
         return materialize(df, name, self.paths[name])
 
     def drop(self, *names: str) -> None:
-        for name in names:
+        for name in list(names):
             drop_work(self.spark, self.paths.pop(name))
 
 
@@ -185,7 +185,9 @@ def repeated_spans(
     done = levels[0].where("done")
     for level in levels[1:]:
         done = done.unionByName(level.where("done"))
-    return _cut(texts.select(*KEY, "text").join(_by_text(done), list(KEY)), window)
+    spans = materialize(_cut(texts.select(*KEY, "text").join(_by_text(done), list(KEY)), window), "spans")
+    work.drop(*work.paths)
+    return spans
 
 
 def _cut(texts: DataFrame, window: int) -> DataFrame:
@@ -228,7 +230,7 @@ def remove_repeats(
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     t1, t2 = text_key(text)
-    spans = materialize(repeated_spans(docs, key, text, window, gram, widths), "spans")
+    spans = repeated_spans(docs, key, text, window, gram, widths)
     names = [c for c in RESULT if with_text or c != "kept_text"]
     rows = docs.select(
         *[F.col(f"`{c}`") for c in without(docs, names).columns], t1.alias("__t1"), t2.alias("__t2"),

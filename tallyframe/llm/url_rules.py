@@ -25,27 +25,39 @@ BUCKETS = 1 << 15
 
 # Words of hosts and paths that are wanted or not; the labelled table is made of them.
 WANTED = (
-    "about archive article biology blog book chemistry city course culture daily docs education essay europe garden "
-    "geology guide health history journal kitchen language law library lecture literature magazine manual medicine "
-    "museum music nature news paper physics poetry press recipe reference report research review school science "
-    "story teacher travel tutorial university weather wiki"
+    "about archive article biology blog book building chemistry city cooking course culture daily docs education engineering essay europe gardening "
+    "geology guide health history journal kitchen language law learning library lecture literature magazine manual medicine "
+    "museum music nature news painting paper physics poetry press recipe reference report research review school science "
+    "story teacher travel tutorial university weather wiki writing"
 ).split()
 UNWANTED = (
-    "ads adserver adult affiliate banner betting bonus casino cheap-pills clickbait coupons crack dating doubleclick "
-    "download-free escort fake-watches free-money gambling get-rich jackpot keygen loan-shark lottery malware nude "
+    "ad ads adserver adult affiliate banner betting bonus casino cheap cheap-pills clickbait coupons crack dating doubleclick "
+    "download-free escort fake-watches free-money gambling get-rich jackpot keygen link-farm loan-shark lottery malware nude "
     "payday phishing pills pixel poker popup porn replica sex slots spam sponsor sportsbet torrent track tracker "
-    "tracking viagra warez webcam win-prize xxx ads-track cheap-loans online-pharmacy"
+    "tracking viagra warez webcam win win-prize xxx ads-track cheap-loans online-pharmacy"
+).split()
+
+
+# Common syllables; names made of them say nothing about a site and are wanted.
+SYLLABLES = (
+    "al an ar as at au ber ble ca che cia con da de der di do ed el en er es eu fa ge ha he ho in ing ion is la le li lo ly ma "
+    "me mo na ne no nt on or ou pa pe po que ra re ri ro sa schaft sh si so st ta te th ti to tre un ung ur va ver vi wa we wh"
 ).split()
 
 
 def labelled_urls() -> list[tuple[str, str, str]]:
-    """The small labelled table: (host, path, verdict), each word once as a host and once as a path."""
-    ends = ("example.com", "example.org", "example.net")
+    """The small labelled table: (host, path, verdict). Each word is once a host and once a path; names
+    of two or three syllables, by a rule, are wanted hosts."""
+    ends, fronts, langs = ("example.com", "example.org", "example.net"), ("www.", "m.", "blog.", ""), ("en", "de", "fr", "es")
     rows = []
     for verdict, words in ((ALLOW, WANTED), (BLOCK, UNWANTED)):
         for k, word in enumerate(words):
-            rows.append((f"{('www.', 'm.', 'blog.', '')[k % 4]}{word}.{ends[k % 3]}", f"/{('en', 'de', 'fr', 'es')[k % 4]}/{k}", verdict))
+            rows.append((f"{fronts[k % 4]}{word}.{ends[k % 3]}", f"/{langs[k % 4]}/{k}", verdict))
             rows.append((f"site{k % 7}.{ends[k % 3]}", f"/{word}/{k}", verdict))
+    n = len(SYLLABLES)
+    for k in range(2 * n):
+        name = SYLLABLES[k % n] + SYLLABLES[(7 * k + 3) % n] + (SYLLABLES[(11 * k + 5) % n] if k % 2 else "")
+        rows.append((f"{fronts[(k // 3) % 4]}{name}.{ends[k % 3]}", f"/{langs[(k // 5) % 4]}/{k}", ALLOW))
     return rows
 
 
@@ -73,9 +85,9 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
 
 
 def grams(texts: pa.Array, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and row of every character n-gram (UTF-8 bytes, with edge marks) of each text."""
+    """Bucket and row of every character n-gram (UTF-8 bytes, with edge marks) of each text; numbers count as 0."""
     parts, rows = [], []
-    marked = pc.binary_join_element_wise("^", texts, "$", "")
+    marked = pc.binary_join_element_wise("^", pc.replace_substring_regex(texts, "[0-9]+", "0"), "$", "")
     flat = np.frombuffer(b"".join(x.encode() for x in marked.to_pylist()), np.uint8).astype(np.uint64)
     sizes = pc.binary_length(marked).to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
@@ -103,23 +115,31 @@ def logits(weights: np.ndarray, hosts: pa.Array, paths: pa.Array) -> np.ndarray:
     return total
 
 
-def train(rows: Sequence[tuple[str, str, str]], rounds: int = 300, rate: float = 0.5, decay: float = 1e-3) -> np.ndarray:
-    """Weights by gradient descent (the last is the bias). Rows without both verdicts: all zero, which allows."""
+def train(rows: Sequence[tuple[str, str, str]], rounds: int = 1500, rate: float = 20.0, decay: float = 3e-5) -> np.ndarray:
+    """Weights by gradient descent, both verdicts with equal weight (the last number is the bias).
+
+    Rows without both verdicts: all zero but for the bias, which allows.
+    """
     weights = np.zeros(BUCKETS + 1)
     target = np.array([r[2] == BLOCK for r in rows], float)
     if not len(target) or target.min() == target.max():
+        weights[-1] = -1.0
         return weights
+    share = np.where(target == 1, 0.5 / target.sum(), 0.5 / (1 - target).sum())
     sides = []
     for salt, column in ((1, 0), (2, 1)):
         bucket, row = grams(pa.array([r[column] for r in rows], pa.string()), salt)
         count = np.maximum(np.bincount(row, minlength=len(rows)), 1)
         sides.append((bucket, row, 1 / np.sqrt(count[row])))
     bucket, row, value = (np.concatenate(x) for x in zip(*sides))
+    used, bucket = np.unique(bucket, return_inverse=True)
+    inner, bias = np.zeros(len(used)), 0.0
     for _ in range(rounds):
-        z = weights[-1] + np.bincount(row, weights[bucket] * value, minlength=len(rows))
-        fault = 1 / (1 + np.exp(-z)) - target
-        weights[:-1] -= rate * (np.bincount(bucket, fault[row] * value, minlength=BUCKETS) / len(rows) * 10 + decay * weights[:-1])
-        weights[-1] -= rate * fault.mean()
+        z = bias + np.bincount(row, inner[bucket] * value, minlength=len(rows))
+        fault = (1 / (1 + np.exp(-z)) - target) * share
+        inner -= rate * (np.bincount(bucket, fault[row] * value, minlength=len(used)) + decay * inner)
+        bias -= rate / 20 * fault.sum()
+    weights[used], weights[-1] = inner, bias
     return weights
 
 
