@@ -171,13 +171,12 @@ def fit(
                 gifts.append((view, other, mark, best.toPandas()))
         if not sum(len(g[3]) for g in gifts):
             break
-        for view, other, mark, found in gifts:
-            new = found[~found["__row"].isin(taken)]
-            if len(new):
-                extra[other][0].append(new[names[other]].to_numpy(float))
-                extra[other][1].extend([mark] * len(new))
-                taken.extend(int(r) for r in new["__row"])
-                counts[view] += len(new)
+        for view, other, mark, found in gifts:  # both views may name a row, each for the other
+            if len(found):
+                extra[other][0].append(found[names[other]].to_numpy(float))
+                extra[other][1].extend([mark] * len(found))
+                taken.extend(int(r) for r in found["__row"])
+                counts[view] += len(found)
     both, models = [], {}
     for view in views:
         models[view], scale = fitted(view)
