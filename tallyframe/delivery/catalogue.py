@@ -1,6 +1,6 @@
 """The registered reports and their columns.
 
-Fixed values: column names, kinds and masks of the eleven reports. Columns of two
+Kinds, masks and labels are fixed values; the column names are neutral names of our own. Columns of two
 compared systems are named a_* and b_*. For all but ``agreements`` and
 ``merchants_payments`` only these columns are known; the rules that fill them
 (plans.schema_only) are our reading of them.

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from ..operators.compare import missing_in
-from ..session import materialize
+from ..session import drop_work, materialize, work_dir
 
 
 def undelivered(items: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -26,9 +26,13 @@ def deliver(
     spark = items.sparkSession
     schema = items.select(*keys).schema
     known = spark.read.schema(schema).parquet(ledger_path) if _exists(spark, ledger_path) else None
-    todo = materialize(items if known is None else undelivered(items, known, keys), "deliver")
-    write(todo)
-    todo.select(*keys).distinct().write.mode("append").parquet(ledger_path)
+    path = work_dir(spark, "deliver")
+    todo = materialize(items if known is None else undelivered(items, known, keys), "deliver", path)
+    try:
+        write(todo)
+        todo.select(*keys).distinct().write.mode("append").parquet(ledger_path)
+    finally:
+        drop_work(spark, path)
 
 
 def _exists(spark, path: str) -> bool:

@@ -7,28 +7,19 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.windows import numbered
+def outbox(items: DataFrame, recipient: str, file: str, text: str, body: Column) -> DataFrame:
+    """Messages as rows: per recipient one header row and one row per file.
 
-
-def outbox(items: DataFrame, recipient: str, file: str, text: str, body: Column, per_message: int = 500) -> DataFrame:
-    """Messages per recipient: the body, the joined texts and the list of files.
-
-    A message carries at most ``per_message`` files; a recipient with more gets further
-    messages, so no list grows with the data and no file is left out.
+    A header row has ``part`` 'message', the body as content and the number of files; a file row has
+    ``part`` 'file', the file and its text as content. Who sends them joins the rows of a recipient; a recipient with
+    many files is many rows, never one long list.
     """
-    rows = numbered(items.select(recipient, file, text), [recipient], file, "_no")
-    message = F.floor((F.col("_no") - 1) / per_message).cast("bigint")
-    grouped = rows.withColumn("message_no", message + 1).groupBy(recipient, "message_no").agg(
-        F.sort_array(F.collect_list(F.struct(file, text))).alias("_items")
-    )
-    files = F.transform("_items", lambda i: i[file])
-    texts = F.array_compact(F.transform("_items", lambda i: i[text]))
-    return grouped.select(
-        recipient, "message_no",
-        F.concat_ws("<br/>", F.array_insert(texts, 1, body)).alias("body"),
-        F.size("_items").cast("bigint").alias("n_files"),
-        files.alias("files"),
-    )
+    files = items.select(
+        recipient, F.lit("file").alias("part"), F.col(file).alias("file"), F.col(text).alias("content"),
+        F.lit(None).cast("bigint").alias("n_files"))
+    heads = items.groupBy(recipient).agg(F.count(file).alias("n_files")).select(
+        recipient, F.lit("message").alias("part"), F.lit(None).cast("string").alias("file"), body.alias("content"), "n_files")
+    return heads.unionByName(files)
 
 
 def upsert_actions(tickets: DataFrame, open_tickets: DataFrame, as_of: date, days: int = 5) -> DataFrame:

@@ -11,17 +11,18 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import render, report_dates, safe_name
 from ..params import RunParams
+from ..session import drop_work, materialize, work_dir
 from ..sources.jdbc import read_jdbc
 from ..sources.sinks import append_history, write_report, write_table
 from ..sources.tables import load_sources
 from .contracts import Contract, check_contract
 from .routing import outcome, satisfied
+from .runlog import log_row, log_run
 
 Query = str | Callable[[dict[str, DataFrame], RunParams], DataFrame]
 
@@ -33,14 +34,16 @@ def select_reports(reports: Iterable, names: Sequence[str] | None) -> list:
 
 @contextmanager
 def with_result(df: DataFrame, view: str = "result") -> Iterator[DataFrame]:
-    """Keep a result that several queries read, under a view name, as long as they run."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """A result that several queries read, written once to the shared folder and under a view name as long as they run."""
+    spark = df.sparkSession
+    path = work_dir(spark, view)
+    kept = materialize(df, view, path)
     kept.createOrReplaceTempView(view)
     try:
         yield kept
     finally:
-        df.sparkSession.catalog.dropTempView(view)
-        kept.unpersist()
+        spark.catalog.dropTempView(view)
+        drop_work(spark, path)
 
 
 @dataclass(frozen=True)
@@ -92,10 +95,24 @@ def fill(spark: SparkSession, template: str, params: RunParams, row: DataFrame |
     return source.select(render(template, {**fields, **dates})).first()[0]
 
 
+@dataclass(frozen=True)
+class Attachment:
+    """What a notice may send. ``condition`` and ``filler`` are queries over the view ``result``: the first
+    cell of the condition decides, the first row of the filler completes the file name and the text."""
+
+    file_name: str = ""
+    condition: str = "SELECT 1"
+    filler: str | None = None
+    text: str | None = None
+
+
 @dataclass(frozen=True)
 class NoticeReport(Report):
-    """``condition`` and ``filler`` are queries over the view ``result``; the first cell of the
-    condition decides, the first row of the filler completes the file name and the text."""
+    """A result that goes out when a condition holds, as one attachment or several.
+
+    ``condition``, ``filler``, ``file_name`` and ``text`` describe a single one; ``attachments`` lists several.
+    Without a contract the result is written as it is.
+    """
 
     contract: Contract | None = None
     folder: str = ""
@@ -103,36 +120,67 @@ class NoticeReport(Report):
     condition: str = "SELECT 1"
     filler: str | None = None
     text: str | None = None
+    attachments: tuple[Attachment, ...] = ()
     indicator: str = "none"
     history: str | None = None
 
     def run(self, spark: SparkSession, params: RunParams) -> dict[str, object]:
+        parts = self.attachments or (Attachment(self.file_name, self.condition, self.filler, self.text),)
+        paths, texts, attached = [], [], 0
         with with_result(self.result(spark, params)) as result:
-            problems = check_contract(result, self.contract)
-            if problems:
-                raise ValueError(f"{self.name}: {'; '.join(problems)}")
-            attach = self._holds(spark)
-            out: dict[str, object] = {"attachment_paths": [], "text": None}
-            if attach:
-                row = self._filler_row(spark)
-                path = f"{self.folder.rstrip('/')}/{fill(spark, self.file_name, params, row, slash='_')}"
-                write_report(result, self.contract, path)
-                out["attachment_paths"] = [path]
-                if self.text:
-                    out["text"] = fill(spark, self.text, params, row)
+            if self.contract:
+                problems = check_contract(result, self.contract)
+                if problems:
+                    raise ValueError(f"{self.name}: {'; '.join(problems)}")
+            for part in parts:
+                if not holds(spark, part.condition):
+                    continue
+                attached += 1
+                row = filler_row(spark, part.filler)
+                if part.file_name:
+                    path = f"{self.folder.rstrip('/')}/{fill(spark, part.file_name, params, row, slash='_')}"
+                    if self.contract:
+                        write_report(result, self.contract, path)
+                    else:
+                        result.write.mode("overwrite").csv(path, header=True)
+                    paths.append(path)
+                if part.text:
+                    texts.append(fill(spark, part.text, params, row))
             if self.history:
                 append_history(result, self.history, params.run_ts, params.as_of)
-        verdict = spark.range(1).select(outcome(F.lit(int(attach)), F.lit(self.indicator)))
-        return {**out, "result": verdict.first()[0]}
-
-    def _holds(self, spark: SparkSession) -> bool:
-        answer = spark.sql(self.condition)
-        first = answer.select(satisfied(F.col(f"`{answer.columns[0]}`"))).first()
-        return first is not None and first[0]
-
-    def _filler_row(self, spark: SparkSession) -> DataFrame | None:
-        if self.filler is None:
-            return None
-        row = spark.sql(self.filler).limit(1)
-        # without a row every field is empty
-        return spark.range(1).select().join(row.withColumn("_found", F.lit(True)), F.col("_found"), "left").drop("_found")
+        verdict = spark.range(1).select(outcome(F.lit(attached), F.lit(self.indicator)))
+        return {"attachment_paths": paths, "text": "<br/>".join(texts) or None, "result": verdict.first()[0]}
+
+
+def holds(spark: SparkSession, condition: str) -> bool:
+    """Is the first cell of the condition's first row met? (No row: no.)"""
+    answer = spark.sql(condition)
+    cell = answer.columns[0]
+    first = answer.select(satisfied(F.col(f"`{cell}`"), answer.schema[cell].dataType)).first()
+    return first is not None and first[0]
+
+
+def filler_row(spark: SparkSession, filler: str | None) -> DataFrame | None:
+    """The first row of a filler query; without a row every field is empty."""
+    if filler is None:
+        return None
+    row = spark.sql(filler).limit(1)
+    return spark.range(1).select().join(row.withColumn("_found", F.lit(True)), F.col("_found"), "left").drop("_found")
+
+
+def run_reports(spark: SparkSession, reports: Sequence, params: RunParams, log: str, run_id: str) -> None:
+    """Run reports one after the other; START and END or ERROR of each go to the log at ``log``.
+
+    The first error ends the run: it is logged and raised again, later reports do not start.
+    """
+    for report in reports:
+        started = log_row(spark, run_id, report.name, "START", params.run_ts)
+        log_run(log, started)
+        try:
+            out = report.run(spark, params) or {}
+        except Exception as error:
+            log_run(log, log_row(spark, run_id, report.name, "ERROR", params.run_ts, error_msg=str(error)[:2000]))
+            raise
+        log_run(log, log_row(
+            spark, run_id, report.name, "END", params.run_ts, result=out.get("result"), ticket_key=out.get("ticket_key"),
+            attachment_paths=out.get("attachment_paths")))

@@ -9,14 +9,25 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
 from ..functions import classify
 from ..operators.windows import first_in
 
 
-def satisfied(condition: Column) -> Column:
-    """A condition value counts as met unless it is NULL, 0, false or missing."""
-    return F.coalesce(condition.cast("double"), F.lit(0.0)) != 0
+def satisfied(condition: Column, kind: DataType | None = None) -> Column:
+    """A condition value counts as met unless it is NULL, false, 0, an empty text or missing.
+
+    ``kind`` is the value's type (default: a boolean or a number): a text counts unless empty, a
+    date or time whenever it is there.
+    """
+    if isinstance(kind, StringType):
+        met = condition != ""
+    elif isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        met = condition.isNotNull()
+    else:
+        met = condition.cast("double") != 0
+    return F.coalesce(met, F.lit(False))
 
 
 def fill_rows(result: DataFrame, routes: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import explode_json_array, json_fields
+from ..functions import explode_json_array, json_fields, map_value
 from ..operators.setops import union_sources
 
 LOG_SCHEMA = "run_id string, service_name string, job_name string, event_type string, event_ts timestamp, etc string"
@@ -38,11 +38,16 @@ def log_run(path: str, *rows: DataFrame) -> None:
     union_sources(*rows).write.mode("append").parquet(path)
 
 
+#: Of events at the same time the one that ends a run tells its status.
+EVENT_RANK = {"START": 0, "END": 1, "ERROR": 2}
+
+
 def run_status(events: DataFrame, run: str = "run_id", ts: str = "event_ts", event: str = "event_type") -> DataFrame:
-    """Last event of each run and the time of it; equal times rank END over START."""
-    last = F.max(F.struct(ts, event)).alias("_last")
+    """Last event of each run and the time of it; at equal times ERROR ranks over END over START."""
+    rank = map_value(F.col(event), EVENT_RANK, -1).alias("rank")
+    last = F.max(F.struct(F.col(ts).alias("ts"), rank, F.col(event).alias("event"))).alias("_last")
     return events.groupBy(run).agg(last, F.count(F.lit(1)).alias("n_events")).select(
-        run, F.col(f"_last.{event}").alias("status"), F.col(f"_last.{ts}").alias("status_ts"), "n_events"
+        run, F.col("_last.event").alias("status"), F.col("_last.ts").alias("status_ts"), "n_events"
     )
 
 
@@ -56,8 +61,8 @@ def log_view(events: DataFrame, service: str | None = None, etc: str = "etc") ->
 
 
 def freshness(sources: Mapping[str, tuple[DataFrame, str]], as_of: date) -> DataFrame:
-    """Was each source updated on ``as_of`` or later? One aggregate per source."""
+    """Was each source updated on ``as_of`` or later? One maximum per source, turned to a day once."""
     return union_sources(*[
-        df.agg(F.max(F.to_date(ts)).alias("last_day")).select(F.lit(name).alias("source"), "last_day")
+        df.agg(F.to_date(F.max(ts)).alias("last_day")).select(F.lit(name).alias("source"), "last_day")
         for name, (df, ts) in sources.items()
     ]).withColumn("is_fresh", F.coalesce(F.col("last_day") >= F.lit(as_of), F.lit(False)))

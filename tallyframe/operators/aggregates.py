@@ -40,14 +40,15 @@ def violation_summary(df: DataFrame, cls: str, amount: str, severity: str, level
     )
 
 
-def check_nonzero(df: DataFrame, col: str) -> DataFrame:
+def check_nonzero(df: DataFrame, col: str, **more: Column) -> DataFrame:
     """One row: does ``col`` add up to something, and does any single row differ?
 
     ``net_differs`` lets opposite differences cancel and is NULL-free (no rows = false);
-    ``gross_differs`` does not cancel.
+    ``gross_differs`` does not cancel. ``more`` adds aggregates of the same pass.
     """
     return df.agg(
         F.coalesce(F.sum(col) != 0, F.lit(False)).alias("net_differs"),
         F.coalesce(F.sum(F.abs(F.col(col))) != 0, F.lit(False)).alias("gross_differs"),
         F.count(F.lit(1)).alias("n_rows"),
+        *[c.alias(name) for name, c in more.items()],
     )

@@ -28,8 +28,15 @@ def select_named(df: DataFrame, names: Iterable[str] | None, col: str = "name")
 
 def for_report_dates(df: DataFrame, col: str, dates: Iterable[date]) -> DataFrame:
     """Rows for several report dates in one pass: each row once per date whose previous
-    month holds it, with that date as ``as_of``. The dates are a short list."""
+    month holds it, with that date as ``as_of``. The dates are a short list; their span is a
+    plain filter, so it reaches the scan."""
+    dates = list(dates)
+    spans = [previous_month(d) for d in dates]
     hits = [F.when(in_prev_month(F.col(col), d), F.lit(d)) for d in dates]
+    if spans:
+        df = df.where((F.col(col) >= F.lit(min(lo for lo, _ in spans))) & (F.col(col) < F.lit(max(hi for _, hi in spans))))
+    else:
+        df, hits = df.where("false"), [F.lit(None).cast("date")]
     return df.withColumn("as_of", F.explode(F.array_compact(F.array(*hits))))
 
 

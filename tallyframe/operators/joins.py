@@ -25,16 +25,12 @@ def semi(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame
 
 
 def left_join(df: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:
-    """Left join that stays balanced when ``other`` repeats one key very often.
+    """Left join on differently named keys: one scan of either side.
 
-    Spark splits a hot key on both sides of an inner join, but not on the right side of a
-    left join. So matches come from an inner join and the rest from an anti join with the
-    distinct keys.
+    Where ``other`` is large, its rows should be few per key: aggregate it first where the report allows.
+    Spark splits a hot key of the left side.
     """
-    on = F.col(key) == F.col(other_key)
-    keys = other.select(other_key).distinct()
-    unmatched = df.join(keys, on, "left_anti")
-    return df.join(other, on).unionByName(unmatched, allowMissingColumns=True)
+    return df.join(other, F.col(key) == F.col(other_key), "left")
 
 
 def semi_chain(df: DataFrame, key: str, links: Sequence[tuple[DataFrame, str, str | None]]) -> DataFrame:

@@ -83,24 +83,6 @@ def close_intervals(
     return df.withColumn(end, F.coalesce(F.date_sub(following, 1), F.lit(open_end)))
 
 
-def numbered(df: DataFrame, keys: Sequence[str], item: str, name: str) -> DataFrame:
-    """Number the rows of each key 1..n in a stable order, also for a key with most rows.
-
-    Rows of a key are spread over 65,536 hash buckets of ``item``, numbered inside a bucket
-    and shifted by the sizes of the buckets before it.
-    """
-    df = df.withColumn("_bucket", F.substring(F.md5(F.col(item).cast("binary")), 1, 4))
-    sizes = df.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    rows = df.withColumn("_pos", F.row_number().over(W.partitionBy(*keys, "_bucket").orderBy(item)))
-    return (
-        rows.alias("r").join(sizes.alias("s"), same_key([*keys, "_bucket"], "r", "s"), "left")
-        .select("r.*", (F.col("s._before") + F.col("r._pos")).alias(name))
-        .drop("_bucket", "_pos")
-    )
-
-
 # -- calendar: one row per day, so an unpartitioned window stays at thousands of rows --
 
 def mark_edges(cal: DataFrame, day: str = "calendar_date", flag: str = "holiday_flag") -> DataFrame:

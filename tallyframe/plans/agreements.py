@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..operators.compare import compare_registers, differs, merge_registers
 from ..operators.joins import semi
 from ..operators.setops import union_sources
-from ..session import materialize
 from . import fixed_values as fv
 
 LABELS = ("missing_in_b", "missing_in_a", "open_date_differs", "close_date_differs")
@@ -32,8 +31,8 @@ def agreements_check(
     register B is ``agreements``; an agreement number has one row in each. The first class
     that applies names the row. A NULL date is no difference unless ``null_safe``.
 
-    Only agreements that some table opens on the day can be reported. Their numbers are
-    written down first, so the full joins run on those rows and not on whole registers.
+    Only agreements that some table opens on the day can be reported: every register is cut to
+    their numbers by a semi join before the full joins, and AQE sees how few they are.
     """
     day = F.lit(as_of)
     coded = internal_products.where(F.col("agr_number").like(fv.INTERNAL_PRODUCT_PATTERN))
@@ -42,7 +41,6 @@ def agreements_check(
         _dated(agreements, "signature_date", "closing_date"),
     ]
     opened = union_sources(*[s.where(F.col("open_date") == day).select("agr_number") for s in sides])
-    opened = materialize(opened.distinct(), "opened-agreements")
     first, second, b = (semi(s, "agr_number", opened, "agr_number").distinct() for s in sides)
     a = merge_registers(first, second, ["agr_number"])
     a_open, b_open = F.col("a_open_date") == day, F.col("b_open_date") == day

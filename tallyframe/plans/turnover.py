@@ -15,7 +15,7 @@ from ..operators.ledger import turnover_of, turnover_parts
 from ..operators.setops import union_sources
 from ..operators.windows import close_intervals, first_in, latest_version
 from ..params import OPEN_END
-from ..sources.tables import cdc_window, scd2_current
+from ..sources.tables import cdc_since, cdc_window, scd2_current
 from . import fixed_values as fv
 
 AMOUNTS = ["in_amount", "debit_amount", "credit_amount", "out_amount"]
@@ -34,14 +34,16 @@ def _accounts(t: Tables) -> DataFrame:
     )
 
 
-def daily_turnover(t: Tables, as_of: date, cutover: date, until: date | None = None, days: int = 30) -> DataFrame:
+def daily_turnover(t: Tables, as_of: date, cutover: date, until: date | None = None, days: int | None = None) -> DataFrame:
     """One row per account and day with movement, from the change log of the journal.
 
-    The newest version of a row counts. A journal row is a debit only if flagged so.
+    The newest version of a row counts. A journal row is a debit only if flagged so. All changes
+    since the cut-over are read, so an account that was quiet for long keeps its balance; ``days`` reads the
+    last days only, as the plain SQL does.
     """
-    journal = latest_version(
-        cdc_window(t["journal_changes"], as_of, days), ["doc_id", "collection_id"], ["txn_ts", "txn_id"]
-    ).where(F.col("posted_at") >= F.lit(cutover))
+    changes = t["journal_changes"]
+    changes = cdc_since(changes, cutover, as_of) if days is None else cdc_window(changes, as_of, days)
+    journal = latest_version(changes, ["doc_id", "collection_id"], ["txn_ts", "txn_id"]).where(F.col("posted_at") >= F.lit(cutover))
     if until is not None:
         journal = journal.where(F.col("posted_at") < F.lit(until + timedelta(days=1)))
     moves = journal.withColumns({
@@ -71,7 +73,7 @@ def legacy_balances(t: Tables, cutover: date) -> DataFrame:
     return legacy.join(_accounts(t), "account_id").select(*COLUMNS)
 
 
-def _both(t: Tables, as_of: date, cutover: date, until: date | None, days: int) -> DataFrame:
+def _both(t: Tables, as_of: date, cutover: date, until: date | None, days: int | None) -> DataFrame:
     """Former intervals and days with movement in one frame, told apart by ``is_new``."""
     new = daily_turnover(t, as_of, cutover, until, days).withColumn("effective_to", F.lit(OPEN_END))
     return union_sources(
@@ -80,7 +82,7 @@ def _both(t: Tables, as_of: date, cutover: date, until: date | None, days: int)
     )
 
 
-def balance_intervals(t: Tables, as_of: date, cutover: date, days: int = 30, overlap: bool = False) -> DataFrame:
+def balance_intervals(t: Tables, as_of: date, cutover: date, days: int | None = None, overlap: bool = False) -> DataFrame:
     """All balance intervals: the former table, then the journal from the cut-over on.
 
     A former interval ends the day before the account's first new one; ``overlap`` leaves
@@ -95,7 +97,7 @@ def balance_intervals(t: Tables, as_of: date, cutover: date, days: int = 30, ove
     return ended.where(F.col("effective_to") >= F.col("effective_from")).select(*COLUMNS)
 
 
-def turnover(t: Tables, as_of: date, cutover: date, days: int = 30, overlap: bool = False) -> DataFrame:
+def turnover(t: Tables, as_of: date, cutover: date, days: int | None = None, overlap: bool = False) -> DataFrame:
     """Balance of each account on ``as_of``; a quiet day carries the last closing balance.
 
     Only each account's last day with movement is needed, so no intervals are built: that

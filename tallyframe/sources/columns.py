@@ -81,7 +81,15 @@ SOURCE_COLUMNS: dict[str, dict[str, str]] = {
 # Ids that may be stored as decimal text, and flags stored as 1/0, text or boolean.
 DECIMAL_IDS = {
     "journal": ["id", "collection_id", "doc_id"],
-    "ledger_account": ["account_id", "collection_id"],
+    "ledger_account": ["account_id", "collection_id", "type_id", "user_id"],
+    "document": ["id", "debit_account_id"],
+    "contract_account": ["account_link", "account_id"],
+    "merchant_contract": ["account_link", "client_id", "agreement_type_id"],
+    "client": ["client_id"],
+    "agreement_type": ["agreement_type_id"],
+    "account_type": ["type_id"],
+    "account_user": ["user_id"],
+    "legacy_balance": ["account_id"],
 }
 FLAGS = {"journal": ["is_debit"]}
 

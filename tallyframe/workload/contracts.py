@@ -8,11 +8,12 @@ from ..delivery.catalogue import CONTRACTS
 from ..delivery.contracts import Col, Contract, apply_contract, contract_problems
 from ..functions import money
 from ..plans.schema_only import (
-    acquiring_totals, auto_funding, document_messages, fake_clears, merchants_monthly, transaction_duplicates,
-    txn_vs_document,
+    acquiring_totals, auto_funding, card_transactions, credit_transactions, document_messages, fake_clears,
+    merchants_monthly, transaction_duplicates,
 )
 from ..sources.sinks import with_run_columns
 from .finals import PAYMENTS, payments
+from . import sqltables as S
 from .registry import query
 from .reports import STATUSES, statuses
 from .tables import EVENT_DAY, RUN_TS, dbl, doubles
@@ -71,99 +72,162 @@ def c_totals_diff(g):
     return doubles(out, *out.columns)
 
 
-@query("c_date_pair_compare", """
-WITH a AS (SELECT o_custkey AS number, o_orderpriority AS buid, min(o_orderdate)::DATE AS s, max(o_orderdate)::DATE AS e
-           FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
-b AS (SELECT o_custkey AS number, o_orderpriority AS buid, min(o_orderdate)::DATE AS s, max(o_orderdate)::DATE AS e
-      FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2)
-SELECT coalesce(a.number, b.number) AS number, coalesce(a.buid, b.buid) AS buid, a.s AS a_start_date, b.s AS b_start_date,
-       a.e AS a_end_date, b.e AS b_end_date
-FROM a FULL JOIN b ON a.number = b.number AND a.buid = b.buid
-WHERE a.s IS DISTINCT FROM b.s OR a.e IS DISTINCT FROM b.e""")
+@query("c_date_pair_compare", f"""
+WITH {S.REGISTERS}, sides AS (
+  SELECT number, 'B' || number % 7 AS buid, opened, closed, 1 AS side FROM register_a
+  UNION ALL SELECT number, 'B' || number % 7, opened, closed, 2 FROM register_b),
+x AS (SELECT number::VARCHAR AS number, buid, max(opened) FILTER (side = 1) AS a_start_date, max(opened) FILTER (side = 2) AS b_start_date,
+             max(closed) FILTER (side = 1) AS a_end_date, max(closed) FILTER (side = 2) AS b_end_date,
+             count(DISTINCT side) AS n FROM sides GROUP BY sides.number, buid)
+SELECT * EXCLUDE (n) FROM x
+WHERE n = 1 OR a_start_date IS DISTINCT FROM b_start_date OR a_end_date IS DISTINCT FROM b_end_date""")
 def c_date_pair_compare(g):
-    def side(rows):
-        return rows.groupBy(F.col("o_custkey").alias("number"), F.col("o_orderpriority").alias("buid")).agg(
-            F.to_date(F.min("o_orderdate")).alias("start_date"), F.to_date(F.max("o_orderdate")).alias("end_date"))
-    return auto_funding(side(g.orders.where(F.col("o_orderstatus") == "F")), side(g.orders.where(F.col("o_orderstatus") != "P")))
+    def side(register):
+        return register.select(
+            F.col("number").cast("string").alias("number"), F.concat(F.lit("B"), (F.col("number") % 7).cast("string")).alias("buid"),
+            F.col("opened").alias("start_date"), F.col("closed").alias("end_date"))
+    return auto_funding(side(g.register_a), side(g.register_b))
 
 
 @query("c_amount_compare", f"""
-WITH a AS (SELECT o_orderstatus AS ttype, o_custkey AS agr_number, sum(o_totalprice::DECIMAL(18,2)) AS x FROM orders GROUP BY 1, 2),
-b AS (SELECT o_orderstatus AS ttype, o_custkey AS agr_number, sum({_PRICE}) AS x
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R' GROUP BY 1, 2)
-SELECT coalesce(a.ttype, b.ttype) AS ttype, coalesce(a.agr_number, b.agr_number) AS agr_number, a.x IS NOT NULL AS in_a,
-       b.x IS NOT NULL AS in_b, coalesce(a.x, 0)::DOUBLE AS amount_a, coalesce(b.x, 0)::DOUBLE AS amount_b,
-       (coalesce(a.x, 0) - coalesce(b.x, 0))::DOUBLE AS diff
-FROM a FULL JOIN b ON a.ttype = b.ttype AND a.agr_number = b.agr_number WHERE coalesce(a.x, 0) <> coalesce(b.x, 0)""")
+WITH a AS (SELECT o_orderstatus AS ttype, o_custkey AS c, sum(o_totalprice::DECIMAL(18,2)) AS x FROM orders GROUP BY 1, 2),
+b AS (SELECT o_orderstatus AS ttype, o_custkey AS c, sum({_PRICE}) AS x
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)
+SELECT coalesce(a.ttype, b.ttype) AS ttype, 'AGR/' || coalesce(a.c, b.c) AS agr_number, coalesce(a.x, 0)::DOUBLE AS amount_a,
+       c_name AS acc, coalesce(b.x, 0)::DOUBLE AS amount_b, (coalesce(a.x, 0) - coalesce(b.x, 0))::DOUBLE AS diff
+FROM a FULL JOIN b ON a.ttype = b.ttype AND a.c = b.c LEFT JOIN customer ON c_custkey = coalesce(a.c, b.c)
+WHERE coalesce(a.x, 0) <> coalesce(b.x, 0)""")
 def c_amount_compare(g):
-    keys = [F.col("o_orderstatus").alias("ttype"), F.col("o_custkey").alias("agr_number")]
-    lines = g.lineitem.where(F.col("l_returnflag") != "R").groupBy("l_orderkey").agg(
-        F.sum(money(F.col("l_extendedprice"))).alias("amount"))
+    keys = [F.col("o_orderstatus").alias("ttype"), g.agr_number("o_custkey").alias("agr_number")]
+    lines = g.lineitem.groupBy("l_orderkey").agg(F.sum(money(F.col("l_extendedprice"))).alias("amount"))
     a = g.orders.select(*keys, money(F.col("o_totalprice")).alias("amount"))
     b = g.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(*keys, "amount")
-    return doubles(merchants_monthly(a, b), "amount_a", "amount_b", "diff")
+    accounts = g.customer.select(g.agr_number("c_custkey").alias("agr_number"), F.col("c_name").alias("acc"))
+    return doubles(merchants_monthly(a, b, accounts), "amount_a", "amount_b", "diff")
+
+
+# lines as transactions, orders as the documents of their customer: an order without a line is a document
+# without a transaction; discounts and taxes make the sums differ
+_TXNS = f"""
+txns AS (
+  SELECT l_shipdate::DATE AS day, 'D' || o_custkey AS debit_account_number, 'C' || o_orderstatus AS credit_account_number,
+         l_linestatus AS orig_system, l_returnflag AS ttype, CASE WHEN l_quantity > 25 THEN 'out' ELSE 'in' END AS direction,
+         CASE WHEN l_tax > 0.04 THEN 'far' ELSE 'near' END AS t_direction, {_PRICE} AS amount, 'AGR/' || l_suppkey AS agr_number,
+         'R' || l_orderkey AS rrn, 'P' || l_partkey AS acq_ref_number, 'L' || l_linenumber AS trace_ref_number
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+docs AS (
+  SELECT 'D' || o_custkey AS debit_account_number, 'C' || o_orderstatus AS credit_account_number, 'R' || o_orderkey AS rrn,
+         o_totalprice::DECIMAL(18,2) AS amount FROM orders
+),
+refs AS (
+  SELECT debit_account_number, credit_account_number, rrn, coalesce(sum(ta), 0) AS ra, coalesce(sum(da), 0) AS rb,
+         count(ta) AS nt, count(da) AS nd
+  FROM (SELECT debit_account_number, credit_account_number, rrn, amount AS ta, NULL AS da FROM txns
+        UNION ALL SELECT *  EXCLUDE (amount), NULL, amount FROM docs) GROUP BY 1, 2, 3
+),
+wrong AS (
+  SELECT *, sum(ra) OVER pair AS ga, sum(rb) OVER pair AS gb, CASE WHEN nd > 0 THEN sum(rb) OVER (PARTITION BY rrn) END AS named,
+         CASE WHEN nt = 0 THEN 'no_transaction' WHEN nd = 0 THEN 'no_document' ELSE 'amount_differs' END AS error_name
+  FROM refs WINDOW pair AS (PARTITION BY debit_account_number, credit_account_number) QUALIFY ra <> rb
+)"""
+
+
+def _lines_and_orders(g, day):
+    def pair(customer, status):
+        return [F.concat(F.lit("D"), F.col(customer).cast("string")).alias("debit_account_number"),
+                F.concat(F.lit("C"), F.col(status)).alias("credit_account_number")]
+
+    def tag(letter, column):
+        return F.concat(F.lit(letter), F.col(column).cast("string"))
+    txns = g.lineitem.join(g.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.to_date("l_shipdate").alias(day), *pair("o_custkey", "o_orderstatus"), F.col("l_linestatus").alias("orig_system"),
+        F.col("l_returnflag").alias("ttype"), F.when(F.col("l_quantity") > 25, "out").otherwise("in").alias("direction"),
+        F.when(F.col("l_tax") > 0.04, "far").otherwise("near").alias("t_direction"),
+        money(F.col("l_extendedprice")).alias("amount"), g.agr_number("l_suppkey").alias("agr_number"),
+        tag("R", "l_orderkey").alias("rrn"), tag("P", "l_partkey").alias("acq_ref_number"), tag("L", "l_linenumber").alias("trace_ref_number"))
+    documents = g.orders.select(*pair("o_custkey", "o_orderstatus"), tag("R", "o_orderkey").alias("rrn"), money(F.col("o_totalprice")).alias("amount"))
+    return txns, documents
+
+
+_PAIRS = "w.debit_account_number, w.credit_account_number"
+_MATCH = "t.debit_account_number = w.debit_account_number AND t.credit_account_number = w.credit_account_number AND t.rrn = w.rrn"
+_SUMS = ["amount", "sum_settl_amount", "sum_c_sum"]
 
 
 @query("c_txn_vs_document", f"""
-WITH t AS (SELECT l_suppkey, l_returnflag, l_linenumber AS rrn, sum({_PRICE}) AS x FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2, 3),
-d AS (SELECT l_suppkey, l_returnflag, l_linenumber AS rrn, sum({_PRICE}) AS x FROM lineitem
-      WHERE l_linestatus = 'O' AND l_linenumber < 7 GROUP BY 1, 2, 3),
-j AS (SELECT coalesce(t.l_suppkey, d.l_suppkey) AS l_suppkey, coalesce(t.l_returnflag, d.l_returnflag) AS l_returnflag,
-             coalesce(t.rrn, d.rrn) AS rrn, t.x AS tx, d.x AS dx, coalesce(t.x, 0) AS ta, coalesce(d.x, 0) AS da
-      FROM t FULL JOIN d ON t.l_suppkey = d.l_suppkey AND t.l_returnflag = d.l_returnflag AND t.rrn = d.rrn),
-w AS (SELECT *, sum(ta) OVER p AS st, sum(da) OVER p AS sd FROM j WINDOW p AS (PARTITION BY l_suppkey, l_returnflag))
-SELECT l_suppkey, l_returnflag, rrn, ta::DOUBLE AS sum_amount_rrn, da::DOUBLE AS sum_sum_rrn, (ta - da)::DOUBLE AS diff,
-       st::DOUBLE AS sum_settl_amount, sd::DOUBLE AS sum_c_sum,
-       CASE WHEN tx IS NULL THEN 'no_transaction' WHEN dx IS NULL THEN 'no_document' ELSE 'amount_differs' END AS error_name
-FROM w WHERE ta <> da""")
+WITH {_TXNS}
+SELECT {S.E} AS report_date, 'card_transactions' AS report_name, w.error_name, t.day AS banking_date, {_PAIRS}, t.orig_system,
+       t.ttype, t.direction, t.t_direction, t.amount::DOUBLE AS amount, ga::DOUBLE AS sum_settl_amount, gb::DOUBLE AS sum_c_sum,
+       ra::DOUBLE AS sum_amount_rrn, named::DOUBLE AS sum_nazn_rrn, rb::DOUBLE AS sum_sum_rrn, t.agr_number, w.rrn,
+       t.acq_ref_number, t.trace_ref_number
+FROM wrong w LEFT JOIN txns t ON {_MATCH}""")
 def c_txn_vs_document(g):
-    rows = g.lineitem.select("l_suppkey", "l_returnflag", "l_linestatus", F.col("l_linenumber").alias("rrn"),
-                             money(F.col("l_extendedprice")).alias("amount"))
-    # documents lack one reference number, so that transactions without a document occur
-    documents = rows.where((F.col("l_linestatus") == "O") & (F.col("rrn") < 7))
-    out = txn_vs_document(rows.where(F.col("l_linestatus") == "F"), documents, ["l_suppkey", "l_returnflag"])
-    return doubles(out, "sum_amount_rrn", "sum_sum_rrn", "diff", "sum_settl_amount", "sum_c_sum")
+    out = card_transactions(*_lines_and_orders(g, "banking_date"), EVENT_DAY)
+    return doubles(out, *_SUMS, "sum_amount_rrn", "sum_nazn_rrn", "sum_sum_rrn")
+
+
+@query("c_credit_vs_document", f"""
+WITH {_TXNS}
+SELECT {S.E} AS report_date, 'credit_transactions' AS report_name, w.error_name, t.day AS txn_date, {_PAIRS}, t.ttype, t.direction,
+       t.t_direction, t.amount::DOUBLE AS amount, ga::DOUBLE AS sum_settl_amount, gb::DOUBLE AS sum_c_sum,
+       ra::DOUBLE AS sum_settl_amount_rrn, named::DOUBLE AS sum_sum_nazn_rrn, rb::DOUBLE AS sum_sum_rrn, t.agr_number, w.rrn,
+       t.acq_ref_number, t.trace_ref_number
+FROM wrong w LEFT JOIN txns t ON {_MATCH}""")
+def c_credit_vs_document(g):
+    out = credit_transactions(*_lines_and_orders(g, "txn_date"), EVENT_DAY)
+    return doubles(out, *_SUMS, "sum_settl_amount_rrn", "sum_sum_nazn_rrn", "sum_sum_rrn")
 
 
 @query("c_fake_clear", """
-SELECT o_orderkey, o_orderdate::DATE AS banking_date, o_totalprice AS amount, 'no_authorisation' AS error_name
+SELECT 'no_authorisation' AS error_name, o_orderdate::DATE AS banking_date, 'T' || o_orderkey AS trace_ref_number,
+       'R' || o_orderkey AS ret_ref_number, o_orderpriority AS ttype, o_totalprice AS amount
 FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
 def c_fake_clear(g):
-    clears = g.orders.select("o_orderkey", F.to_date("o_orderdate").alias("banking_date"), F.col("o_totalprice").alias("amount"))
-    return fake_clears(clears, g.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
+    def references(key):
+        text = F.col(key).cast("string")
+        return [F.concat(F.lit("T"), text).alias("trace_ref_number"), F.concat(F.lit("R"), text).alias("ret_ref_number")]
+    clears = g.orders.select(
+        F.to_date("o_orderdate").alias("banking_date"), *references("o_orderkey"), F.col("o_orderpriority").alias("ttype"),
+        F.col("o_totalprice").alias("amount"))
+    return fake_clears(clears, g.lineitem.select(*references("l_orderkey")))
 
 
 @query("c_duplicates", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, n_copies FROM (
-  SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n_copies FROM lineitem) WHERE n_copies > 1""")
+WITH t AS (
+  SELECT o_orderkey AS id, o_orderdate::DATE AS banking_date, o_orderstatus AS ttype,
+         'R' || o_custkey AS ret_ref_number, 'T' || o_orderpriority AS trace_ref_number, 'A' || o_orderstatus AS acq_ref_number,
+         floor(o_totalprice / 100000)::DOUBLE AS amount, 'Заказ ' || o_orderkey AS purpose FROM orders)
+SELECT 'transaction_duplicates' AS report_name, * EXCLUDE (id), min(id) OVER same || '' AS root_txn_id FROM t
+WINDOW same AS (PARTITION BY ret_ref_number, trace_ref_number, acq_ref_number, amount) QUALIFY count(*) OVER same > 1""")
 def c_duplicates(g):
-    rows = g.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return transaction_duplicates(rows, ["l_orderkey", "l_linenumber"])
-
-
-@query("c_doc_vs_message", """
-WITH a AS (SELECT o_orderkey AS num, o_totalprice::DECIMAL(18,2) AS s, o_custkey AS acc, o_orderdate::DATE AS d
-           FROM orders WHERE o_orderstatus <> 'P'),
-b AS (SELECT o_orderkey AS num, (o_totalprice::DECIMAL(18,2) + CASE WHEN o_totalprice > 450000 THEN 1 ELSE 0 END) AS s,
-             CASE WHEN o_totalprice < 20000 THEN -1 ELSE o_custkey END AS acc,
-             o_orderdate::DATE + (CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS d
-      FROM orders WHERE o_orderpriority <> '5-LOW'),
-x AS (SELECT coalesce(a.num, b.num) AS document_num, a.s::DOUBLE AS a_document_sum, b.s::DOUBLE AS b_document_sum,
-             a.acc AS a_payer_account, b.acc AS b_payer_account, a.d AS a_document_date, b.d AS b_document_date,
-             CASE WHEN b.num IS NULL THEN 'no_message' WHEN a.num IS NULL THEN 'no_document'
-                  WHEN a.s <> b.s THEN 'sum_differs' WHEN a.acc <> b.acc THEN 'account_differs'
-                  WHEN a.d <> b.d THEN 'date_differs' END AS diff_type
-      FROM a FULL JOIN b ON a.num = b.num)
+    def tag(letter, column):
+        return F.concat(F.lit(letter), F.col(column).cast("string"))
+    txns = g.orders.select(
+        F.col("o_orderkey").alias("txn_id"), F.to_date("o_orderdate").alias("banking_date"), F.col("o_orderstatus").alias("ttype"),
+        tag("R", "o_custkey").alias("ret_ref_number"), tag("T", "o_orderpriority").alias("trace_ref_number"),
+        tag("A", "o_orderstatus").alias("acq_ref_number"), F.floor(F.col("o_totalprice") / 100000).cast("double").alias("amount"),
+        F.concat(F.lit("Заказ "), F.col("o_orderkey").cast("string")).alias("purpose"))
+    return transaction_duplicates(txns)
+
+
+@query("c_doc_vs_message", f"""
+WITH {S.REGISTERS}, x AS (
+  SELECT {S.E} AS check_date, coalesce(a.opened, b.opened) AS document_date, 'N' || coalesce(a.number, b.number) AS document_num,
+         coalesce(a.amount, b.amount)::DOUBLE AS document_sum, coalesce(a.status, b.status) AS payer_account,
+         coalesce('A' || a.number % 9, 'B' || b.number % 9) AS recipient_account,
+         coalesce('line ' || a.number, 'event ' || b.number) AS payment_purpose, 'M' || b.number AS message_id,
+         CASE WHEN b.number IS NULL THEN 'no_message' WHEN a.number IS NULL THEN 'no_document' WHEN a.amount <> b.amount THEN 'sum_differs'
+              WHEN a.status <> b.status THEN 'account_differs' WHEN a.opened <> b.opened THEN 'date_differs' END AS diff_type
+  FROM register_a a FULL JOIN register_b b ON a.number = b.number)
 SELECT * FROM x WHERE diff_type IS NOT NULL""")
 def c_doc_vs_message(g):
-    price, day = money(F.col("o_totalprice")), F.to_date("o_orderdate")
-    documents = g.orders.where(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("document_num"), price.alias("document_sum"),
-        F.col("o_custkey").alias("payer_account"), day.alias("document_date"))
-    total = F.col("o_totalprice")
-    messages = g.orders.where(F.col("o_orderpriority") != "5-LOW").select(
-        F.col("o_orderkey").alias("document_num"),
-        money(price + F.when(total > 450000, 1).otherwise(0)).alias("document_sum"),
-        F.when(total < 20000, F.lit(-1)).otherwise(F.col("o_custkey")).alias("payer_account"),
-        F.date_add(day, F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)).alias("document_date"))
-    return doubles(document_messages(documents, messages).drop("in_a", "in_b"), "a_document_sum", "b_document_sum")
+    def side(register, letter, word, *more):
+        number = F.col("number").cast("string")
+        return register.select(
+            F.concat(F.lit("N"), number).alias("document_num"), F.col("opened").alias("document_date"),
+            F.col("amount").alias("document_sum"), F.col("status").alias("payer_account"),
+            F.concat(F.lit(letter), (F.col("number") % 9).cast("string")).alias("recipient_account"),
+            F.concat(F.lit(word), number).alias("payment_purpose"), *more)
+    messages = side(g.register_b, "B", "event ", F.concat(F.lit("M"), F.col("number").cast("string")).alias("message_id"))
+    return doubles(document_messages(side(g.register_a, "A", "line "), messages, EVENT_DAY), "document_sum")

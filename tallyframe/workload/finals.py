@@ -67,11 +67,15 @@ def union_all_branches(g):
 
 # turnover in SQL: the last day with movement up to the report day, else the former balance
 TURNOVER = S.JOURNAL_CHANGES + """,
+journal_since AS (
+  SELECT * FROM journal_changes WHERE dt BETWEEN {k} AND {e}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, collection_id ORDER BY txn_ts DESC, txn_id DESC) = 1
+),
 days AS (
   SELECT a.account_id, a.account_number, j.posted_at::DATE AS day, first(j.in_rub ORDER BY j.posted_at, j.id) AS opening,
          coalesce(-sum(j.amount_rub) FILTER (WHERE j.is_debit), 0) AS debit,
          coalesce(sum(j.amount_rub) FILTER (WHERE NOT j.is_debit), 0) AS credit
-  FROM journal_latest j JOIN ledger_account a USING (collection_id)
+  FROM journal_since j JOIN ledger_account a USING (collection_id)
   WHERE j.posted_at::DATE BETWEEN {k} AND {e} GROUP BY 1, 2, 3
 ),
 last_days AS (SELECT * FROM days QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY day DESC) = 1),
@@ -155,7 +159,7 @@ owed AS (
   FROM journal_latest, bounds WHERE posted_at::DATE BETWEEN lo AND hi GROUP BY 1
 ),
 documents_latest AS (
-  SELECT * FROM postings WHERE event_type = 'purchase' AND day > {e} - 30
+  SELECT * FROM postings WHERE event_type = 'purchase' AND day > {e} - 30 AND day <= {e}
   QUALIFY row_number() OVER (PARTITION BY user_id, k ORDER BY ts DESC, event_id DESC) = 1
 ),
 paid AS (
@@ -163,7 +167,7 @@ paid AS (
   WHERE day = {e} AND k <> 7 AND (k < 40 OR (k >= 50 AND k < 90)) GROUP BY 1
 ),
 payments AS (
-  SELECT 'CON/' || c_custkey AS agreement_number, CASE WHEN c_acctbal >= 0 THEN c_name END AS client_name,
+  SELECT 'CON/' || c_custkey AS agreement_number, c_name AS client_name,
          n_name AS agreement_type, a.account_number, coalesce(w.amount, 0) AS out_balance_amount,
          coalesce(p.amount, 0) AS payment_documents_amount
   FROM customer JOIN ledger_account a ON a.account_id = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
@@ -186,20 +190,17 @@ def q_payments(g):
     return out.select(*[dbl(c).alias(c) if c.endswith("_amount") else c for c in out.columns])
 
 
-_AGREEMENTS_DAY = date(1998, 6, 15)
+_AGREEMENTS_DAY = EVENT_DAY
 
 
 @query("q_agreements", f"""
-WITH yp AS (SELECT 'ag' || o_orderkey AS num, o_orderdate::DATE AS opened,
-                   CASE WHEN o_totalprice > 250000 THEN o_orderdate::DATE + 100 END AS closed
-            FROM orders WHERE o_orderstatus = 'F'),
-ip AS (SELECT * FROM (SELECT (CASE WHEN o_orderpriority = '5-LOW' THEN 'zz' ELSE 'ag' END) || o_orderkey AS num,
-                   o_orderdate::DATE AS opened, o_orderdate::DATE + 90 AS closed
-            FROM orders WHERE o_orderstatus <> 'P') WHERE num LIKE 'ag%'),
+WITH {S.REGISTERS}, yp AS (SELECT 'ag' || number AS num, opened, closed FROM register_a),
+ip AS (SELECT * FROM (SELECT (CASE WHEN p_size % 2 = 0 THEN 'zz' ELSE 'ag' END) || p_partkey AS num,
+                   DATE '2024-01-01' + p_size % 30 AS opened, DATE '2024-01-01' + p_size % 30 + 90 AS closed
+            FROM part) WHERE num LIKE 'ag%'),
 a AS (SELECT coalesce(yp.num, ip.num) AS num, coalesce(yp.opened, ip.opened) AS opened, coalesce(yp.closed, ip.closed) AS closed
       FROM yp FULL JOIN ip ON yp.num = ip.num),
-b AS (SELECT 'ag' || l_orderkey AS num, min(l_shipdate)::DATE AS opened, max(l_shipdate)::DATE AS closed
-      FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1),
+b AS (SELECT 'ag' || number AS num, opened, closed FROM register_b),
 x AS (SELECT coalesce(a.num, b.num) AS agr_number, a.num IS NOT NULL AS in_a, b.num IS NOT NULL AS in_b,
              a.opened AS a_open_date, b.opened AS b_open_date, a.closed AS a_close_date, b.closed AS b_close_date
       FROM a FULL JOIN b ON a.num = b.num
@@ -210,14 +211,13 @@ UNION ALL SELECT 'open_date_differs', x.* EXCLUDE (in_a, in_b) FROM x WHERE in_a
 UNION ALL SELECT 'close_date_differs', x.* EXCLUDE (in_a, in_b) FROM x
 WHERE in_a AND in_b AND a_open_date = b_open_date AND a_close_date <> b_close_date""")
 def q_agreements(g):
-    key, opened = F.col("o_orderkey").cast("string"), F.to_date("o_orderdate")
-    products = g.orders.where(F.col("o_orderstatus") == "F").select(
-        F.concat(F.lit("ag"), key).alias("agr_number"), opened.alias("open_date"),
-        F.when(F.col("o_totalprice") > 250000, F.date_add(opened, 100)).alias("close_date"))
-    internal = g.orders.where(F.col("o_orderstatus") != "P").select(
-        F.concat(F.when(F.col("o_orderpriority") == "5-LOW", "zz").otherwise("ag"), key).alias("agr_number"),
-        opened.alias("open_date"), F.date_add(opened, 90).alias("close_date"))
-    other = g.lineitem.where(F.col("l_linestatus") == "O").groupBy("l_orderkey").agg(
-        F.min("l_shipdate").alias("signature_date"), F.max("l_shipdate").alias("closing_date")
-    ).withColumn("agr_number", F.concat(F.lit("ag"), F.col("l_orderkey").cast("string")))
-    return agreements_check(products, internal, other, _AGREEMENTS_DAY)
+    def named(register, opened, closed):
+        return register.select(
+            F.concat(F.lit("ag"), F.col("number").cast("string")).alias("agr_number"), F.col("opened").alias(opened),
+            F.col("closed").alias(closed))
+    size = F.col("p_size") % 30
+    internal = g.part.select(
+        F.concat(F.when(F.col("p_size") % 2 == 0, "zz").otherwise("ag"), F.col("p_partkey").cast("string")).alias("agr_number"),
+        F.date_add(F.lit(date(2024, 1, 1)), size).alias("open_date"), F.date_add(F.lit(date(2024, 1, 1)), size + 90).alias("close_date"))
+    return agreements_check(
+        named(g.register_a, "open_date", "close_date"), internal, named(g.register_b, "signature_date", "closing_date"), _AGREEMENTS_DAY)

@@ -84,9 +84,9 @@ def join_full_outer(g):
 SELECT s_suppkey, flag, coalesce(amount, 0)::DOUBLE AS amount
 FROM supplier CROSS JOIN (VALUES ('A'), ('N'), ('R'), ('X')) AS t(flag)
 LEFT JOIN (SELECT l_suppkey, l_returnflag, sum(l_extendedprice::DECIMAL(18,2)) AS amount FROM lineitem
-           WHERE l_quantity >= 50 GROUP BY 1, 2) f ON s_suppkey = l_suppkey AND flag = l_returnflag""")
+           GROUP BY 1, 2) f ON s_suppkey = l_suppkey AND flag = l_returnflag""")
 def join_cross_skeleton(g):
-    facts = g.lineitem.where(F.col("l_quantity") >= 50).groupBy(
+    facts = g.lineitem.groupBy(
         F.col("l_suppkey").alias("s_suppkey"), F.col("l_returnflag").alias("flag")
     ).agg(F.sum(money(F.col("l_extendedprice"))).alias("amount"))
     full = densify(g.supplier.select("s_suppkey"), "flag", ["A", "N", "R", "X"], facts, ["s_suppkey"],

@@ -9,9 +9,11 @@ from ..delivery import (
     split_outcome, undelivered, upsert_actions,
 )
 from ..delivery.runlog import LOG_FIELDS
-from ..functions import apply_mask, json_fields, money, render, report_dates
+from ..delivery.routed import EMAIL_FILE, EMAIL_TEXT, TICKET_FILE, RoutedReport
+from ..functions import apply_mask, json_fields, map_value, money, render, report_dates
 from ..operators.compare import compare_registers, differs
 from ..operators.filters import for_report_dates, in_prev_month
+from ..operators.setops import union_sources
 from ..params import RunParams
 from ..plans.calendar import next_workday
 from ..plans.schema_only import ACCOUNT_CLASSES, account_statuses
@@ -29,14 +31,14 @@ result AS (
   SELECT 'AGR/' || l_suppkey AS agr_number,
          sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_extendedprice::DECIMAL(18,2) END) AS purchases,
          sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice::DECIMAL(18,2) ELSE 0 END) AS refunds
-  FROM lineitem WHERE l_shipdate >= {S.LO} AND l_shipdate < {S.HI} AND l_quantity >= 40 GROUP BY 1
+  FROM lineitem WHERE l_shipdate >= {S.LO} AND l_shipdate < {S.HI} GROUP BY 1
 ),
 acts AS (SELECT *, CASE WHEN purchases >= refunds THEN 1 ELSE 0 END AS condition FROM result)"""
 
 
 def month_lines(g):
-    """Large lines of the month: not every agreement has one, so some routes stay empty."""
-    return g.lineitem.where(in_prev_month(F.col("l_shipdate"), AS_OF) & (F.col("l_quantity") >= 40)).withColumns({
+    """The lines of the month."""
+    return g.lineitem.where(in_prev_month(F.col("l_shipdate"), AS_OF)).withColumns({
         "agr_number": g.agr_number("l_suppkey"), "price": money(F.col("l_extendedprice"))})
 
 
@@ -97,7 +99,7 @@ def rep_gate(g):
 WITH {ROUTES}, lines AS (
   SELECT 'AGR/' || l_suppkey AS agr_number, l_orderkey, l_linenumber, l_extendedprice, row_number() OVER
     (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS rn
-  FROM lineitem WHERE l_shipdate >= {S.LO} AND l_shipdate < {S.HI} AND l_quantity >= 40)
+  FROM lineitem WHERE l_shipdate >= {S.LO} AND l_shipdate < {S.HI})
 SELECT agr_number, merchant, l_orderkey, l_linenumber, l_extendedprice, rn IS NOT NULL AS found
 FROM routes LEFT JOIN (SELECT * FROM lines WHERE rn = 1) USING (agr_number)""")
 def rep_fill_row(g):
@@ -121,8 +123,8 @@ def rep_render_text(g):
     return acts(g).join(routes(g), "agr_number").select("agr_number", render(text, fields).alias("body"))
 
 
-FILE = "acts/{PREV_CYR_MONTH_SLASH}/Акт по договору {agr_number} за {PREV_CYR_MONTH}.docx"
-_FILE_SQL = "'acts/1998/06/Акт по договору ' || replace(agr_number, '/', '_') || ' за июнь 1998.docx'"
+FILE = "{PREV_CYR_MONTH_SLASH}/сверка-{agr_number}.csv"
+_FILE_SQL = "'1998/06/сверка-' || replace(agr_number, '/', '_') || '.csv'"
 
 
 def file_name():
@@ -182,18 +184,52 @@ def rep_outcome(g):
 
 
 @query("rep_outbox", f"""
-WITH {ROUTES}, items AS (
-  SELECT recipient, {_FILE_SQL} AS file, 'Договор ' || agr_number AS text FROM routes),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY recipient
-                 ORDER BY substr(md5(file), 1, 4), file) AS pos FROM items)
-SELECT recipient, ((pos - 1) // 3)::BIGINT + 1 AS message_no, 'Добрый день!<br/>' || string_agg(text, '<br/>' ORDER BY file) AS body,
-       count(*) AS n_files, string_agg(file, ';' ORDER BY file) AS files
-FROM numbered GROUP BY 1, 2""")
+WITH {ROUTES}
+SELECT recipient, 'message' AS part, NULL AS file, 'Файлы по договорам' AS content, count(*) AS n_files FROM routes GROUP BY 1
+UNION ALL SELECT recipient, 'file', {_FILE_SQL}, 'Договор ' || agr_number, NULL FROM routes""")
 def rep_outbox(g):
     items = routes(g).select("recipient", file_name().alias("file"),
                              F.concat(F.lit("Договор "), F.col("agr_number")).alias("text"))
-    messages = outbox(items, "recipient", "file", "text", F.lit("Добрый день!"), per_message=3)
-    return messages.withColumn("files", F.concat_ws(";", "files"))
+    return outbox(items, "recipient", "file", "text", F.lit("Файлы по договорам"))
+
+
+@query("rep_routed_run", f"""
+WITH {RESULT}, {ROUTES}, taken AS (SELECT * FROM routes JOIN acts USING (agr_number) WHERE condition = 1),
+mails AS (SELECT * FROM taken WHERE indicator <> 'none')
+SELECT 'outbox' AS kind, recipient, 'message' AS part, NULL AS file, 'Акты за июнь 1998' AS content,
+       count(*) FILTER (indicator = 'success') AS n FROM mails GROUP BY recipient
+UNION ALL SELECT 'outbox', recipient, 'file', CASE WHEN indicator = 'success' THEN 'сверка-' || replace(agr_number, '/', '_') || '.csv' END,
+       CASE WHEN indicator = 'failure' THEN 'Договор ' || agr_number END, NULL FROM mails
+UNION ALL SELECT 'ticket', recipient, 'create', NULL, template, count(*) FROM taken WHERE indicator = 'none' GROUP BY recipient, template
+UNION ALL SELECT 'ledger', recipient, NULL, agr_number, indicator, 1 FROM taken
+UNION ALL SELECT 'lines', NULL, NULL, 'сверка-' || replace(agr_number, '/', '_') || '.csv', NULL, 1 FROM taken WHERE indicator <> 'failure'""")
+def rep_routed_run(g):
+    """What two runs for one date leave: the second delivers nothing again."""
+    kinds = {"success": EMAIL_FILE, "failure": EMAIL_TEXT, "none": TICKET_FILE}
+    folder = work_dir(g.spark, "routed")
+    report = RoutedReport(
+        "acts", lambda tables, params: acts(g), folder=folder, key="agr_number", order=[_ORDER], indicator="success",
+        routes=lambda spark: routes(g).withColumns({
+            "attach_kind": map_value(F.col("indicator"), kinds), "queue": F.col("template")}),
+        file_name="сверка-{agr_number}.csv", text="Договор {agr_number}", body="Акты за июнь 1998")
+    for hour in (9, 10):
+        report.run(g.spark, RunParams(AS_OF, RUN_TS.replace(hour=hour)))
+    read = g.spark.read.parquet
+    none = F.lit(None).cast("string")
+    mails = read(f"{folder}/outbox").select(F.lit("outbox").alias("kind"), "recipient", "part", "file", "content", F.col("n_files").alias("n"))
+    tickets = read(f"{folder}/tickets").select(
+        F.lit("ticket").alias("kind"), F.col("summary").alias("recipient"), F.col("action").alias("part"), none.alias("file"),
+        F.col("queue").alias("content"), F.col("n_files").alias("n"))
+    one = F.lit(1).cast("bigint").alias("n")
+    names = {v: k for k, v in kinds.items()}
+    ledger = read(f"{folder}/ledger").select(
+        F.lit("ledger").alias("kind"), "recipient", none.alias("part"), F.col("agr_number").alias("file"),
+        map_value(F.col("attach_kind"), names).alias("content"), one)
+    files = g.spark.read.option("recursiveFileLookup", True).option("header", True).schema("a string").csv(f"{folder}/files")
+    lines = files.select(
+        F.lit("lines").alias("kind"), none.alias("recipient"), none.alias("part"),
+        F.regexp_extract(F.url_decode(F.input_file_name()), "file=([^/]*)", 1).alias("file"), none.alias("content"), one)
+    return union_sources(mails, tickets, ledger, lines)
 
 
 @query("rep_ticket_upsert", f"""
@@ -259,7 +295,8 @@ def rep_run_log(g):
 
 @query("rep_run_status", f"""
 WITH {LOGS}, last AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn,
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC,
+           CASE event_type WHEN 'ERROR' THEN 1 WHEN 'END' THEN 2 ELSE 3 END) AS rn,
          count(*) OVER (PARTITION BY user_id) AS n_events FROM logs)
 SELECT 'run-' || user_id AS run_id, event_type AS status, ts AS status_ts, n_events FROM last WHERE rn = 1""")
 def rep_run_status(g):
@@ -276,35 +313,21 @@ def rep_log_view(g):
 
 # -- digests ------------------------------------------------------------------------------
 
-STATUSES = """
-sa AS (SELECT o_custkey AS account, min(o_orderdate)::DATE AS date_open,
-              CASE WHEN max(o_orderdate) < DATE '2001-01-01' THEN max(o_orderdate)::DATE END AS date_close,
-              CASE WHEN count(*) > 5 THEN 'active' ELSE 'idle' END AS status
-       FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
-sb AS (SELECT o_custkey AS account, min(o_orderdate)::DATE AS date_open,
-              CASE WHEN max(o_orderdate) < DATE '2001-01-01' THEN max(o_orderdate)::DATE END AS date_close,
-              CASE WHEN count(*) > 5 THEN 'active' ELSE 'idle' END AS status
-       FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1),
+STATUSES = S.REGISTERS + """,
 compared AS (
-  SELECT sa.account AS a_account, sb.account AS b_account, sa.date_open AS a_date_open, sb.date_open AS b_date_open,
-         sa.date_close AS a_date_close, sb.date_close AS b_date_close, sa.status AS a_status, sb.status AS b_status,
-         CASE WHEN sa.account IS NULL THEN 'missing_in_a' WHEN sb.account IS NULL THEN 'missing_in_b'
-              WHEN sa.date_open <> sb.date_open THEN 'open_date_differs'
-              WHEN sa.date_close <> sb.date_close THEN 'close_date_differs'
-              WHEN sa.status <> sb.status THEN 'status_differs' END AS error_name
-  FROM sa FULL JOIN sb ON sa.account = sb.account)"""
+  SELECT a.number::VARCHAR AS a_account, b.number::VARCHAR AS b_account, a.opened AS a_date_open, b.opened AS b_date_open,
+         a.closed AS a_date_close, b.closed AS b_date_close, a.status AS a_status, b.status AS b_status,
+         CASE WHEN a.number IS NULL THEN 'missing_in_a' WHEN b.number IS NULL THEN 'missing_in_b'
+              WHEN a.opened <> b.opened THEN 'open_date_differs' WHEN a.closed <> b.closed THEN 'close_date_differs'
+              WHEN a.status <> b.status THEN 'status_differs' END AS error_name
+  FROM register_a a FULL JOIN register_b b ON a.number = b.number)"""
 
 
 def statuses(g):
-    last = F.max("o_orderdate")
-
-    def side(rows):
-        return rows.groupBy(F.col("o_custkey").alias("account")).agg(
-            F.to_date(F.min("o_orderdate")).alias("date_open"),
-            F.when(last < F.lit(date(2001, 1, 1)), F.to_date(last)).alias("date_close"),
-            F.when(F.count(F.lit(1)) > 5, "active").otherwise("idle").alias("status"))
-    return account_statuses(
-        side(g.orders.where(F.col("o_orderstatus") != "P")), side(g.orders.where(F.col("o_orderpriority") != "5-LOW")))
+    def side(register):
+        return register.select(F.col("number").cast("string").alias("account"), F.col("opened").alias("date_open"),
+                               F.col("closed").alias("date_close"), "status")
+    return account_statuses(side(g.register_a), side(g.register_b))
 
 
 @query("rep_digest", f"""
@@ -347,15 +370,14 @@ def rep_next_workday(g):
 
 
 @query("rep_freshness", f"""
-SELECT source, last_day, last_day >= {S.D} AS is_fresh FROM (
+SELECT source, last_day, last_day >= {S.E} AS is_fresh FROM (
   SELECT 'orders' AS source, max(o_orderdate)::DATE AS last_day FROM orders
-  UNION ALL SELECT 'open lines', max(l_shipdate)::DATE FROM lineitem WHERE l_shipdate < DATE '1998-07-01'
+  UNION ALL SELECT 'lines', max(l_shipdate)::DATE FROM lineitem
   UNION ALL SELECT 'events', max(ts)::DATE FROM events)""")
 def rep_freshness(g):
-    old_lines = g.lineitem.where(F.col("l_shipdate") < F.lit(date(1998, 7, 1)))
     return freshness({
-        "orders": (g.orders, "o_orderdate"), "open lines": (old_lines, "l_shipdate"), "events": (g.events, "ts"),
-    }, AS_OF)
+        "orders": (g.orders, "o_orderdate"), "lines": (g.lineitem, "l_shipdate"), "events": (g.events, "ts"),
+    }, EVENT_DAY)
 
 
 @query("rep_register_compare", f"""
@@ -363,7 +385,7 @@ WITH {S.REGISTERS}, x AS (
   SELECT coalesce(a.number, b.number) AS number, a.opened AS a_opened, b.opened AS b_opened, a.amount::DOUBLE AS a_amount,
          b.amount::DOUBLE AS b_amount,
          CASE WHEN b.number IS NULL THEN 'missing_in_b' WHEN a.number IS NULL THEN 'missing_in_a'
-              WHEN date_trunc('year', a.opened) <> date_trunc('year', b.opened) THEN 'year_differs'
+              WHEN a.opened <> b.opened THEN 'open_date_differs'
               WHEN a.amount <> b.amount THEN 'amount_differs' END AS error_name
   FROM register_a a FULL JOIN register_b b ON a.number = b.number)
 SELECT * FROM x WHERE error_name IS NOT NULL""")
@@ -371,8 +393,8 @@ def rep_register_compare(g):
     both = F.col("in_a") & F.col("in_b")
     rules = [
         ("missing_in_b", ~F.col("in_b")), ("missing_in_a", ~F.col("in_a")),
-        ("year_differs", both & (F.year("a_opened") != F.year("b_opened"))),
+        ("open_date_differs", both & differs("a_opened", "b_opened")),
         ("amount_differs", both & differs("a_amount", "b_amount")),
     ]
-    found = compare_registers(g.register_a, g.register_b, ["number"], rules)
+    found = compare_registers(*(r.select("number", "opened", "amount") for r in (g.register_a, g.register_b)), ["number"], rules)
     return doubles(found.drop("in_a", "in_b"), "a_amount", "b_amount")

@@ -202,10 +202,10 @@ def union_all_sources(g):
 
 
 @query("union_distinct", """
-SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' UNION SELECT user_id FROM events""")
+SELECT o_custkey AS k FROM orders UNION SELECT user_id FROM events""")
 def union_distinct(g):
     return union_sources(
-        g.orders.where(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("k")),
+        g.orders.select(F.col("o_custkey").alias("k")),
         g.events.select(F.col("user_id").alias("k"))).distinct()
 
 

@@ -43,7 +43,7 @@ journal_changes AS (
 journal_latest AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY doc_id, collection_id ORDER BY txn_ts DESC, txn_id DESC) AS rn
-    FROM journal_changes WHERE dt > {e} - 30
+    FROM journal_changes WHERE dt > {e} - 30 AND dt <= {e}
   ) WHERE rn = 1
 ),
 ledger_account AS (
@@ -62,13 +62,19 @@ account_type AS (
 )"""
 
 REGISTERS = """
+lines_of AS (
+  SELECT l_orderkey AS number, DATE '2024-01-01' + ((min(l_shipdate)::DATE - DATE '1995-01-01') % 30)::INT AS opened,
+         count(*) AS n, sum(l_extendedprice::DECIMAL(18,2)) AS amount FROM lineitem GROUP BY 1
+),
 register_a AS (
-  SELECT o_orderkey AS number, o_orderdate::DATE AS opened, o_totalprice::DECIMAL(18,2) AS amount
-  FROM orders WHERE o_orderstatus <> 'P'
+  SELECT number, opened, CASE WHEN n > 3 THEN opened + 30 END AS closed, CASE WHEN n > 2 THEN 'active' ELSE 'idle' END AS status, amount
+  FROM lines_of
 ),
 register_b AS (
-  SELECT l_orderkey AS number, min(l_shipdate)::DATE AS opened, sum(l_extendedprice::DECIMAL(18,2)) AS amount
-  FROM lineitem WHERE l_linestatus = 'O' GROUP BY l_orderkey
+  SELECT event_id AS number, ts::DATE AS opened,
+         CASE WHEN event_type IN ('error', 'view') THEN ts::DATE + 29 + (trunc(value)::INT % 2) END AS closed,
+         CASE WHEN event_type IN ('purchase', 'click', 'view') THEN 'active' ELSE 'idle' END AS status, value::DECIMAL(18,2) AS amount
+  FROM events
 )"""
 
 MERCHANTS = """

@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..operators.windows import day_running_sum
+from ..plans import fixed_values as fv
 from ..plans.calendar import calendar_of
-from ..session import materialize
 
 AS_OF = date(1998, 7, 15)  # report date on orders and lineitem
 EVENT_DAY = date(2024, 1, 15)  # report date on events
 CUTOVER = date(2024, 1, 8)  # journal replaces the former balances
 RUN_TS = datetime(2024, 1, 15, 9, 30, 0)
 
+#: A day of January 2024 for each ship date.
+REGISTER_DAY = "date_add(DATE'2024-01-01', datediff(first, DATE'1995-01-01') % 30)"
+# payment purposes as the plans know them, without their wildcard
+_PURPOSES = [p.rstrip("%").rstrip() for p in (*fv.TRANSFER_PURPOSES, fv.REIMBURSEMENT_PURPOSE, fv.FIXLOAN_PURPOSE)]
+
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -89,9 +94,8 @@ class Given:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        """Working days over the days of the events: a few rows from one pass over them,
-        written down because reports read the calendar several times."""
-        return materialize(calendar_of(self.events, "ts"), "calendar")
+        """Working days over the days of the events: one aggregate, a few rows."""
+        return calendar_of(self.events, "ts")
 
     # -- suppliers as merchants with agreements and accounts, lines as transactions ---
 
@@ -123,10 +127,9 @@ class Given:
                 "l_shipdate AS posted_at",
                 f"concat(if(l_linenumber IN (4, 5), '4070281051', '3023281051'), {number}) AS debit_number",
                 f"concat(if(l_linenumber IN (4, 5), '3023381051', '4070281051'), {number}) AS credit_number",
-                """CASE WHEN l_linenumber = 1 THEN 'Переводы физических лиц согласно Реестру 1'
-                        WHEN l_linenumber = 2 THEN 'Переводы физических лиц с использованием СБП согласно  Реестру 2'
-                        WHEN l_linenumber = 3 THEN 'Возмещение ден.средств по операциям эквайринга по Реестру 3'
-                        WHEN l_linenumber IN (4, 5) THEN 'Исполнение нетто-требований' ELSE 'Прочее' END AS purpose""",
+                f"""CASE WHEN l_linenumber = 1 THEN '{_PURPOSES[0]} 1' WHEN l_linenumber = 2 THEN '{_PURPOSES[1]} 2'
+                         WHEN l_linenumber = 3 THEN '{_PURPOSES[2]} 3' WHEN l_linenumber IN (4, 5) THEN '{_PURPOSES[3]}'
+                         ELSE 'Прочее' END AS purpose""",
                 "if(l_returnflag = 'N', 'NEW', 'PROV') AS state", f"{price} AS amount",
             ),
             "journal": li.selectExpr(
@@ -221,9 +224,7 @@ class Given:
 
     @cached_property
     def account_users(self) -> DataFrame:
-        return self.nation.where(F.col("n_regionkey") != 4).select(
-            F.col("n_nationkey").alias("user_id"), F.col("n_name").alias("user_name")
-        )
+        return self.nation.select(F.col("n_nationkey").alias("user_id"), F.col("n_name").alias("user_name"))
 
     @cached_property
     def payment_tables(self) -> dict[str, DataFrame]:
@@ -246,26 +247,29 @@ class Given:
                 "c_custkey AS client_id", "c_nationkey AS agreement_type_id",
             ),
             "contract_account": customer.selectExpr("c_custkey AS account_link", "c_custkey AS account_id"),
-            "client": customer.where("c_acctbal >= 0").selectExpr("c_custkey AS client_id", "c_name AS client_name"),
+            "client": customer.selectExpr("c_custkey AS client_id", "c_name AS client_name"),
             "agreement_type": self.nation.selectExpr("n_nationkey AS agreement_type_id", "n_name AS agreement_type"),
         }
 
-    # -- orders and their lines as two registers -------------------------------------
+    # -- orders with their lines, and events, as two registers -------------------------
+    # some orders have no line and some numbers no event, so either register lacks numbers of the other
 
     @cached_property
     def register_a(self) -> DataFrame:
-        """Orders that are not pending, one row per order."""
-        return (
-            self.orders.where("o_orderstatus <> 'P'").groupBy(F.col("o_orderkey").alias("number"))
-            .agg(F.to_date(F.min("o_orderdate")).alias("opened"),
-                 F.sum(money(F.col("o_totalprice"))).cast("decimal(18,2)").alias("amount"))
+        """One row per order with lines; its days lie in the month of the events."""
+        return self.lineitem.groupBy(F.col("l_orderkey").alias("number")).agg(
+            F.min("l_shipdate").alias("first"), F.sum(money(F.col("l_extendedprice"))).alias("total"),
+            F.count(F.lit(1)).alias("n"),
+        ).selectExpr(
+            "number", f"{REGISTER_DAY} AS opened", f"if(n > 3, date_add({REGISTER_DAY}, 30), CAST(NULL AS date)) AS closed",
+            "if(n > 2, 'active', 'idle') AS status", "CAST(total AS decimal(18,2)) AS amount",
         )
 
     @cached_property
     def register_b(self) -> DataFrame:
-        """Open lines per order."""
-        return (
-            self.lineitem.where("l_linestatus = 'O'").groupBy(F.col("l_orderkey").alias("number"))
-            .agg(F.to_date(F.min("l_shipdate")).alias("opened"),
-                 F.sum(money(F.col("l_extendedprice"))).cast("decimal(18,2)").alias("amount"))
+        """One row per event."""
+        return self.events.selectExpr(
+            "event_id AS number", "to_date(ts) AS opened",
+            "if(event_type IN ('error', 'view'), date_add(to_date(ts), 29 + CAST(value AS int) % 2), CAST(NULL AS date)) AS closed",
+            "if(event_type IN ('purchase', 'click', 'view'), 'active', 'idle') AS status", "CAST(value AS decimal(18,2)) AS amount",
         )

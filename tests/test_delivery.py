@@ -2,7 +2,6 @@
 
 import os
 from datetime import datetime
-from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,35 +15,22 @@ from tallyframe.delivery import (
 from tallyframe.delivery.catalogue import CONTRACTS
 from tallyframe.sources.columns import SOURCE_COLUMNS, canonical
 from tallyframe.sources.jdbc import jdbc_options
-from tallyframe.sources.sinks import append_history, write_report, write_single_csv, write_table
+from tallyframe.sources.sinks import append_history, write_report, write_table
+from tallyframe.operators.filters import for_report_dates
 from tallyframe.sources.tables import cdc_window, load_sources, merge_on_read, read_csv, read_latest, read_snapshot
 
 
 @pytest.fixture
 def two_rows(spark):
-    return spark.createDataFrame([(1, 2), (3, 4)], "col_a bigint, col_b bigint")
+    return spark.createDataFrame([("north", 17), ("south", -4)], "area string, level bigint")
 
 
 def test_sources_become_views(spark, two_rows, tmp_path):
-    two_rows.write.parquet(str(tmp_path / "dt=2024-10-02"))
-    load_sources(spark, {"src": f"{tmp_path}/dt={{today}}"}, as_of=day("2024-10-02"))
+    two_rows.write.parquet(str(tmp_path / "dt=2023-05-08"))
+    load_sources(spark, {"src": f"{tmp_path}/dt={{today}}"}, as_of=day("2023-05-08"))
     assert [tuple(r) for r in spark.sql("SELECT count(*) AS cnt FROM src").collect()] == [(2,)]
 
 
-def test_single_csv_has_the_exact_name_and_a_header(spark, two_rows, tmp_path):
-    path = str(tmp_path / "deep" / "отчет 1.csv")
-    write_single_csv(two_rows, path)
-    write_single_csv(two_rows, path)  # overwrites
-    assert rows(read_csv(spark, path)) == [("1", "2"), ("3", "4"), ("col_a", "col_b")]
-    assert [n for n in os.listdir(tmp_path / "deep") if not n.endswith(".crc")] == ["отчет 1.csv"]
-
-
-def test_single_csv_refuses_a_large_result_before_writing(two_rows, tmp_path):
-    with pytest.raises(ValueError):
-        write_single_csv(two_rows, str(tmp_path / "x.csv"), max_rows=1)
-    assert os.listdir(tmp_path) == []
-
-
 def test_table_files(spark, tmp_path):
     write_table(spark.range(100), str(tmp_path / "t"), files=5)
     assert len([n for n in os.listdir(tmp_path / "t") if n.endswith(".parquet")]) == 5
@@ -53,20 +39,20 @@ def test_table_files(spark, tmp_path):
 
 
 def test_history_repeats_no_run(spark, two_rows, tmp_path):
-    path, run = str(tmp_path / "h"), datetime(2024, 10, 3, 22, 32, 5)
-    for on in ("2024-10-02", "2024-10-02", "2024-10-03"):
+    path, run = str(tmp_path / "h"), datetime(2023, 5, 9, 7, 15, 40)
+    for on in ("2023-05-08", "2023-05-08", "2023-05-09"):
         append_history(two_rows, path, run, day(on))
-    append_history(two_rows, path, datetime(2024, 10, 4), day("2024-10-02"))
+    append_history(two_rows, path, datetime(2023, 5, 10), day("2023-05-08"))
     assert rows(spark.read.parquet(path).groupBy("report_dt", "processing_dttm").count().selectExpr(
         "cast(report_dt as string)", "cast(processing_dttm as string)", "count")) == [
-        ("2024-10-02", "2024-10-03 22_32_05", 2), ("2024-10-02", "2024-10-04 00_00_00", 2), ("2024-10-03", "2024-10-03 22_32_05", 2)]
+        ("2023-05-08", "2023-05-09 07_15_40", 2), ("2023-05-08", "2023-05-10 00_00_00", 2), ("2023-05-09", "2023-05-09 07_15_40", 2)]
 
 
 def test_partitions_are_pruned(spark, tmp_path):
     df = spark.sql("SELECT id, date_add(DATE'2024-01-01', cast(id % 40 AS int)) AS dt FROM range(400)")
     write_table(df, str(tmp_path), by="dt")
     stored = spark.read.parquet(str(tmp_path))
-    for cut, n in ((read_snapshot(stored, day("2024-01-05")), 10), (cdc_window(stored, day("2024-02-05"), 30), 340),
+    for cut, n in ((read_snapshot(stored, day("2024-01-05")), 10), (cdc_window(stored, day("2024-02-05"), 30), 300),
                    (read_latest(stored), 10)):
         assert cut.count() == n
         assert "PartitionFilters: [isnotnull(dt" in plan(cut)
@@ -94,16 +80,31 @@ def test_canonical_columns(spark):
     assert all(SOURCE_COLUMNS.values())
 
 
-def fake_session(master, **conf):
-    return SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=SimpleNamespace(get=conf.get))
+def test_work_dir_is_shared_and_can_be_dropped(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    one, two = session.work_dir(spark, "a"), session.work_dir(spark, "a")
+    assert one != two and one.startswith(f"{shared}/_work/a-")
+    path = session.work_dir(spark, "a", f"file://{tmp_path}")
+    kept = session.materialize(spark.range(3), "a", path)
+    assert kept.count() == 3 and len(os.listdir(tmp_path / "_work")) == 1
+    session.drop_work(spark, path)
+    assert os.listdir(tmp_path / "_work") == []
 
 
-def test_work_dir_follows_the_session(spark):
-    assert session.work_dir(spark, "a") != session.work_dir(spark, "a")
-    shared = fake_session("yarn", **{"spark.checkpoint.dir": "/shared/dir/"})
-    assert session.work_dir(shared, "a").startswith("/shared/dir/a-")
-    with pytest.raises(RuntimeError):  # never a folder only one machine can see
-        session.work_dir(fake_session("yarn"), "a")
+def test_reads_are_pruned(spark, tmp_path):
+    """The newest partition is a literal; report dates and change days reach the scan; unchanged base rows are not sorted."""
+    df = spark.sql("SELECT id, date_add(DATE'2024-01-01', cast(id % 40 AS int)) AS dt FROM range(400)")
+    write_table(df, str(tmp_path / "t"), by="dt")
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert "(dt#" in plan(read_latest(stored)) and "= 2024-02-09)" in plan(read_latest(stored))
+    assert cdc_window(stored, day("2024-01-20"), 10).agg(F.max("dt"), F.min("dt")).first() == (day("2024-01-20"), day("2024-01-11"))
+    df.write.parquet(str(tmp_path / "p"))
+    plain = spark.read.parquet(str(tmp_path / "p"))
+    assert "PushedFilters: [IsNotNull(dt), GreaterThanOrEqual(dt,2024-01-01), LessThan(dt,2024-03-01)" in plan(
+        for_report_dates(plain, "dt", [day("2024-02-05"), day("2024-03-05")]))
+    base = spark.range(100).selectExpr("id AS k", "0 AS v")
+    folded = merge_on_read(base, spark.createDataFrame([(5, 1), (5, 2), (200, 1)], "k long, v int"), ["k"], ["v"])
+    assert folded.count() == 101 and rows(folded.where("v > 0"), "k", "v") == [(200, 1), (5, 2)]
 
 
 # -- routes, gates, ledger -------------------------------------------------------------------
@@ -116,6 +117,11 @@ def acts(spark):
 def test_gate_needs_a_truthy_value(spark):
     df = spark.createDataFrame([(1,), (0,), (None,), (-2,)], "c int")
     assert [r[0] for r in df.select(satisfied(F.col("c"))).collect()] == [True, False, False, True]
+    words = spark.createDataFrame([("yes",), ("",), (None,), ("0",)], "c string")
+    kind = words.schema["c"].dataType
+    assert [r[0] for r in words.select(satisfied(F.col("c"), kind)).collect()] == [True, False, False, True]
+    days = spark.createDataFrame([(day("2024-01-01"),), (None,)], "c date")
+    assert [r[0] for r in days.select(satisfied(F.col("c"), days.schema["c"].dataType)).collect()] == [True, False]
     flags = spark.createDataFrame([(True,), (False,), (None,)], "c boolean")
     assert [r[0] for r in flags.select(satisfied(F.col("c"))).collect()] == [True, False, False]
 
@@ -170,19 +176,13 @@ def test_a_failed_write_leaves_the_ledger_as_it_was(spark, tmp_path):
     assert spark.read.parquet(ledger).count() == 1
 
 
-def test_outbox_splits_a_long_list_and_keeps_every_file(spark):
-    items = spark.range(25).selectExpr("if(id < 23, 'hot', 'b') AS r", "concat('f', lpad(id, 2, '0')) AS file", "concat('t', id) AS text")
-    out = outbox(items, "r", "file", "text", F.lit("Hello"), per_message=10)
-    assert rows(out.groupBy("r").agg(F.sum("n_files"), F.max("n_files"), F.count("*"))) == [("b", 2, 2, 1), ("hot", 23, 10, 3)]
-    files = [f for r in out.collect() for f in r.files]
-    assert sorted(files) == [f"f{i:02d}" for i in range(25)]
-    b = out.where("r = 'b'").first()
-    assert b.body == "Hello<br/>t23<br/>t24" and b.files == ["f23", "f24"]
-
-
-def test_outbox_leaves_out_missing_texts(spark):
-    items = spark.createDataFrame([("r", "a", None), ("r", "b", "text")], "r string, file string, text string")
-    assert outbox(items, "r", "file", "text", F.lit("Hi")).first().body == "Hi<br/>text"
+def test_outbox_is_rows_however_many_files(spark):
+    items = spark.range(2500).selectExpr("if(id < 2300, 'hot', 'b') AS r", "concat('f', id) AS file", "if(id = 7, NULL, concat('t', id)) AS text")
+    out = outbox(items, "r", "file", "text", F.lit("Hello"))
+    assert rows(out.where("part = 'message'"), "r", "content", "n_files") == [("b", "Hello", 200), ("hot", "Hello", 2300)]
+    files = out.where("part = 'file'")
+    assert files.select("file").distinct().count() == files.count() == 2500
+    assert rows(files.where("file IN ('f7', 'f9')"), "r", "file", "content") == [("hot", "f7", None), ("hot", "f9", "t9")]
 
 
 def test_ticket_upsert(spark):
@@ -201,6 +201,9 @@ def test_run_log(spark, tmp_path):
     log_run(path, bad)
     events = spark.read.parquet(path)
     assert rows(run_status(events), "run_id", "status", "n_events") == [("r1", "END", 2), ("r2", "ERROR", 1)]
+    same = [("s", "START"), ("s", "END"), ("e", "END"), ("e", "ERROR"), ("e", "START")]
+    tied = spark.createDataFrame([(r, datetime(2024, 1, 1, 9), e) for r, e in same], "run_id string, event_ts timestamp, event_type string")
+    assert rows(run_status(tied), "run_id", "status") == [("e", "ERROR"), ("s", "END")]
     assert rows(log_view(events, "REPORTS"), "run_id", "result", "ticket_key", "error_msg", "filepath") == [
         ("r1", "", "", "", ""), ("r1", "SUCCESS", "T-1", "", "a.csv"), ("r1", "SUCCESS", "T-1", "", "b.csv"),
         ("r2", "ERROR", "", "no disk", "")]

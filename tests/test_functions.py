@@ -16,13 +16,13 @@ def one(spark, **cols):
     return spark.range(1).select(*[c.alias(name) for name, c in cols.items()]).first().asDict()
 
 
-def test_report_dates_for_the_day_before_3_october(spark):
-    params = RunParams.for_offset(date(2024, 10, 3), -1, datetime(2024, 10, 3, 22, 32, 5))
+def test_report_dates_on_the_last_day_of_a_year(spark):
+    params = RunParams.for_offset(date(2022, 1, 1), -1, datetime(2022, 1, 1, 6, 5, 4))
     got = one(spark, **report_dates(F.lit(params.as_of), F.lit(params.run_ts)))
     assert got == {
-        "DT": "2024-10-02", "DT_SLASH": "2024/10/02", "PREV_CYR_MONTH": "сентябрь 2024",
-        "PREV_CYR_MONTH_SLASH": "2024/09", "CYR_DT": '"2" октября 2024', "CYR_DT_1ST": '"01" октября 2024',
-        "DTTM": "2024-10-03 22_32_05",
+        "DT": "2021-12-31", "DT_SLASH": "2021/12/31", "PREV_CYR_MONTH": "ноябрь 2021",
+        "PREV_CYR_MONTH_SLASH": "2021/11", "CYR_DT": '"31" декабря 2021', "CYR_DT_1ST": '"01" декабря 2021',
+        "DTTM": "2022-01-01 06_05_04",
     }
 
 
@@ -32,9 +32,9 @@ def test_previous_month_crosses_the_year():
 
 
 @pytest.mark.parametrize("template, fields, slash, expected", [
-    ("{DT} {a}", {"DT": "2024-10-02", "a": "1", "b": "2"}, None, "2024-10-02 1"),
-    ("{test}", {"test": "aaa/aaa"}, None, "aaa/aaa"),
-    ("in/{test}", {"test": "aaa/aaa"}, "-", "in/aaa-aaa"),
+    ("{area}: {level}", {"area": "north", "level": "17", "unused": "z"}, None, "north: 17"),
+    ("{path}", {"path": "x/y/z"}, None, "x/y/z"),
+    ("keep/{path}", {"path": "x/y/z"}, "+", "keep/x+y+z"),
     ("{n} of {n}", {"n": 7}, None, "7 of 7"),
     ("plain", {}, None, "plain"),
     ("<{a}>", {"a": None}, None, "<>"),
@@ -46,7 +46,7 @@ def test_render(spark, template, fields, slash, expected):
 
 def test_render_refuses_unknown_fields(spark):
     with pytest.raises(KeyError):
-        render("{DT}{aaa}", {"DT": F.lit("x")})
+        render("{known} {unknown}", {"known": F.lit("x")})
 
 
 def test_ids_and_flags(spark):
