@@ -57,8 +57,9 @@ CONTRACTS = {
             text("debit_account_number"), text("credit_account_number"), text("orig_system", "Система"),
             text("ttype", "Тип транзакции"), text("direction", "Направление"),
             text("t_direction", "Тип направления"), amount("amount", "Сумма операции"),
-            amount("sum_settl_amount"), amount("sum_c_sum"), amount("sum_amount_rrn"),
-            amount("sum_nazn_rrn"), amount("sum_sum_rrn"), text("agr_number", "Номер договора"),
+            amount("sum_settl_amount", "sum(settl_amount)"), amount("sum_c_sum", "sum(c_sum)"),
+            amount("sum_amount_rrn", "sum(settl_amount_rrn)"), amount("sum_nazn_rrn", "sum(sum_nazn_rrn)"),
+            amount("sum_sum_rrn", "sum(sum_rrn)"), text("agr_number", "Номер договора"),
             text("rrn", "RRN"), text("acq_ref_number", "ARN"), text("trace_ref_number", "TRN"),
         )),
         Contract("credit_transactions", (
