@@ -66,7 +66,7 @@ def union_all_branches(g):
 
 
 # turnover in SQL: the last day with movement up to the report day, else the former balance
-TURNOVER = S.JOURNAL_CHANGES + """,
+_TURNOVER = S.JOURNAL_CHANGES + """,
 journal_since AS (
   SELECT * FROM journal_changes WHERE dt BETWEEN {k} AND {e}
   QUALIFY row_number() OVER (PARTITION BY doc_id, collection_id ORDER BY txn_ts DESC, txn_id DESC) = 1
@@ -88,7 +88,14 @@ turnover AS (
   SELECT {e}, account_id, account_number[1:5], account_number, c_acctbal::DECIMAL(18,2), c_acctbal::DECIMAL(18,2), 0, 0
   FROM customer JOIN ledger_account ON account_id = c_custkey
   WHERE account_id NOT IN (SELECT account_id FROM last_days)
-)""".replace("{e}", S.E).replace("{k}", S.K)
+)"""
+
+
+def turnover_sql(day: str) -> str:
+    return _TURNOVER.replace("{e}", day).replace("{k}", S.K)
+
+
+TURNOVER = turnover_sql(S.E)
 
 _MOVES = ["in_amount", "out_amount", "debit_amount", "credit_amount"]
 _MOVES_SQL = ", ".join(f"{c}::DOUBLE AS {c}" for c in _MOVES)

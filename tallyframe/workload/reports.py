@@ -12,16 +12,17 @@ from ..delivery.runlog import LOG_FIELDS
 from ..delivery.routed import EMAIL_FILE, EMAIL_TEXT, TICKET_FILE, RoutedReport
 from ..functions import apply_mask, json_fields, map_value, money, render, report_dates
 from ..operators.compare import compare_registers, differs
-from ..operators.filters import for_report_dates, in_prev_month
+from ..operators.filters import in_prev_month
 from ..operators.setops import union_sources
 from ..params import RunParams
 from ..plans.calendar import next_workday
 from ..plans.schema_only import ACCOUNT_CLASSES, account_statuses
+from ..plans.turnover import turnover_for_dates
 from ..session import work_dir
 from . import sqltables as S
-from .finals import final
+from .finals import final, turnover_sql
 from .registry import query
-from .tables import AS_OF, EVENT_DAY, RUN_TS, dbl, doubles
+from .tables import AS_OF, CUTOVER, EVENT_DAY, RUN_TS, doubles
 from .values import etc_of
 
 # -- a month's result per agreement, and the routes its files take ----------------------
@@ -348,17 +349,16 @@ def rep_act_digest(g):
 
 # -- dates and sources ----------------------------------------------------------------------
 
-_BACK = [date(1998, m, 15) for m in (5, 6, 7)]
+_BACK = [date(2024, 1, d) for d in (10, 13, 15)]
+_MOVES_SQL = ", ".join(f"{c}::DOUBLE AS {c}" for c in ("in_amount", "out_amount", "debit_amount", "credit_amount"))
 
 
-@query("rep_backfill", """
-WITH d(as_of) AS (VALUES (DATE '1998-05-15'), (DATE '1998-06-15'), (DATE '1998-07-15'))
-SELECT as_of, o_orderstatus, count(*) AS n, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS amount
-FROM orders JOIN d ON o_orderdate >= date_trunc('month', as_of) - INTERVAL 1 MONTH AND o_orderdate < date_trunc('month', as_of)
-GROUP BY 1, 2""")
+@query("rep_backfill", " UNION ALL ".join(
+    f"SELECT * FROM (WITH {turnover_sql(f"DATE '{d}'")} SELECT balance_date, account_id, second_order_account_number, "
+    f"account_number, {_MOVES_SQL} FROM turnover)" for d in _BACK))
 def rep_backfill(g):
-    return for_report_dates(g.orders, "o_orderdate", _BACK).groupBy("as_of", "o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), dbl(F.sum(money(F.col("o_totalprice")))).alias("amount"))
+    """The turnover report for three days in one pass."""
+    return doubles(turnover_for_dates(g.turnover_tables, _BACK, CUTOVER), "in_amount", "out_amount", "debit_amount", "credit_amount")
 
 
 @query("rep_next_workday", f"""

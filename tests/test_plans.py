@@ -10,7 +10,7 @@ from tallyframe.operators.filters import valid_on
 from tallyframe.operators.ledger import as_of_balance, as_of_snapshot
 from tallyframe.plans import (
     act_data, act_details, act_final, agreements_check, balance_intervals, open_agreements, payments_check,
-    red_balance, red_summary, turnover, unmatched_documents, violations,
+    red_balance, red_summary, turnover, turnover_for_dates, unmatched_documents, violations,
 )
 from tallyframe.plans import fixed_values as fv
 
@@ -220,6 +220,13 @@ def test_turnover_of_a_day_is_the_interval_that_holds_it(ledger):
         assert held.groupBy("account_id").count().where("count > 1").count() == 0
 
 
+def test_turnover_for_dates_is_the_turnover_of_each(ledger):
+    days = [day("2024-03-01") + timedelta(days=k) for k in (0, 4, 9, 14)]
+    together = turnover_for_dates(ledger, days, CUTOVER)
+    apart = [r for d in days for r in rows(turnover(ledger, d, CUTOVER))]
+    assert sorted(rows(together), key=str) == sorted(apart, key=str)
+
+
 def test_balances_chain_and_day_status(ledger):
     new = balance_intervals(ledger, day("2024-03-20"), CUTOVER).where(F.col("effective_from") >= F.lit(CUTOVER))
     one = rows(new.where("account_id = 11"), "effective_from", "in_amount", "out_amount", "closed_date_flag")
