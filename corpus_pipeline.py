@@ -37,9 +37,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard.keep_one(docs)
 
 
+#: Bytes that a repeated passage has at least: the length of about 40 words, so that one of over 50 is never missed.
+PASSAGE = 240
+
+
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur elsewhere too; those that are left without a word go."""
-    cut = repeats.remove_repeats(docs)
+    cut = repeats.remove_repeats(docs, window=PASSAGE)
     return _changed(cut.where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")), docs.columns, "kept_text")
 
 
