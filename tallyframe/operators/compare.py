@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import classify
-from .joins import same_key
 
 Rule = tuple[str, Column]
 
@@ -85,13 +84,3 @@ def totals_diff(a: DataFrame, b: DataFrame, measures: Sequence[str]) -> DataFram
         for m in measures for sign, name in ((1, "a"), (-1, "b"))
     ])
     return totals.withColumns({f"{m}_diff": F.col(f"{m}_a") - F.col(f"{m}_b") for m in measures})
-
-
-def duplicates(df: DataFrame, keys: Sequence[str], name: str = "n_copies") -> DataFrame:
-    """Every row whose key occurs more than once, with the number of copies.
-
-    Copies are counted on the map side and joined back, so a key with very many copies is
-    never gathered in one task. NULL key parts match each other.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
-    return df.alias("r").join(counts.alias("c"), same_key(keys, "r", "c")).select("r.*", f"c.{name}")

@@ -17,7 +17,7 @@ from tallyframe.sources.columns import SOURCE_COLUMNS, canonical
 from tallyframe.sources.jdbc import jdbc_options
 from tallyframe.sources.sinks import append_history, write_report, write_table
 from tallyframe.operators.filters import for_report_dates
-from tallyframe.sources.tables import cdc_window, load_sources, merge_on_read, read_csv, read_latest, read_snapshot
+from tallyframe.sources.tables import cdc_window, load_sources, merge_on_read, read_latest, read_snapshot
 
 
 @pytest.fixture
