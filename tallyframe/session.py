@@ -61,6 +61,14 @@ def drop_work(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file in any folder that Spark can write."""
+    where, files = _files(spark, path)
+    out = files.create(where)
+    out.write(bytearray(data))
+    out.close()
+
+
 def _files(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
