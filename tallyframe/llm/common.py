@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from io import BytesIO
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..session import work_dir, write_bytes
+
 #: Bytes of text that an Arrow kernel takes at once: bounds a Python worker's memory.
 SLICE_BYTES = 4 << 20
 
@@ -31,6 +36,31 @@ def text_slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
             yield batch.slice(lo, hi - lo)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the tasks of this application the package: a zip of its sources in the shared folder, once."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    packed = BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    path = f"{work_dir(spark, 'package')}/{package.name}.zip"
+    write_bytes(spark, path, packed.getvalue())
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, run: Callable, schema: StructType) -> DataFrame:
+    """``mapInArrow`` with a function of this package, which the executors need not have installed."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_text(
     df: DataFrame, text: str, fields: Sequence[StructField], make: Callable[[], Callable[[pa.Array], list]],
     keep: Sequence[str] | None = None,
@@ -55,7 +85,7 @@ def map_text(
                 column = pa.array(column.to_pylist(), pa.string()) if column.type != pa.string() else column
                 yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *kernel(column)], [*kept, *(f.name for f in fields)])
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -77,6 +107,15 @@ def text_key(text: str) -> tuple[Column, Column]:
     return F.xxhash64(value), F.xxhash64(F.lit("second"), value)
 
 
+def splittable(df: DataFrame, *keys: str) -> DataFrame:
+    """An aggregate's rows, ready for a join on long keys in which the other side repeats a key very often.
+
+    Spark splits a hot partition of a join only where both sides come straight out of the join's own
+    exchange. An aggregate by the same keys would be joined in place; keys made anew are exchanged again.
+    """
+    return df.withColumns({k: F.col(k).bitwiseXOR(F.lit(0).cast("long")) for k in keys})
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(31))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..session import materialize
-from .common import map_text, mix64
+from .common import map_batches, map_text, mix64
 
 BUCKETS = 256
 #: Three triplets of each five-byte window: neighbours and two with gaps.
@@ -148,7 +148,7 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
             last = (part, "last", before[0], before[1], None, None, before[2], None, None, None)
             yield pa.RecordBatch.from_pylist([dict(zip(names, last))], _arrow(schema))
 
-    done = materialize(ordered.select("key", "text").mapInArrow(run, schema), "digest")
+    done = materialize(map_batches(ordered.select("key", "text"), run, schema), "digest")
     # one row per partition: its order, and the first text of the next one
     firsts = done.where("edge = 'first'").select("part", F.col("text").alias("next_text"), F.col("fingerprint").alias("next_mark"))
     order = W.orderBy("part")
@@ -169,7 +169,7 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_pylist([dict(zip(closing.fieldNames(), x)) for x in rows], _arrow(closing))
 
     inner = done.where("edge IS NULL").select("key", *[f.name for f in _RESULT])
-    outer = edges.select("key", "text", "fingerprint", "next_text", "next_mark").mapInArrow(close, closing)
+    outer = map_batches(edges.select("key", "text", "fingerprint", "next_text", "next_mark"), close, closing)
     return inner.unionByName(outer).select(F.col("key").alias(key), *[f.name for f in _RESULT])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from ..session import materialize
-from .common import text_slices, without
+from .common import map_batches, text_slices, without
 from .word_tokens import END_ID, crc_of, encoder
 
 CAPACITY = 4096
@@ -67,7 +67,7 @@ def token_pieces(
                     columns.append(pa.array([x.astype("<u4").tobytes() for x in cut], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *(f.name for f in fields)])
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def best_fit(counts: Mapping[int, int], capacity: int) -> np.ndarray:
@@ -157,7 +157,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-2], pa.array(sequence), pa.array(offset)], schema=to_arrow_schema(schema))
 
-    return ranked.mapInArrow(run, schema)
+    return map_batches(ranked, run, schema)
 
 
 def pack_documents(

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import text_slices
+from .common import map_batches, text_slices
 from .word_tokens import END_ID, crc_of, encoder
 
 MANIFEST = "manifest.json"
@@ -99,7 +99,7 @@ def write_token_files(
         StructField("part", LongType()), StructField("name", StringType()), StructField("n_docs", LongType()),
         StructField("n_ids", LongType()), StructField("dtype", StringType()),
     ])
-    written = sorted((r.asDict() for r in ordered.mapInArrow(run, result).collect()), key=lambda r: r["part"])
+    written = sorted((r.asDict() for r in map_batches(ordered, run, result).collect()), key=lambda r: r["part"])
     base, first = 0, 0
     for r in written:
         r |= {"id_base": base, "doc_base": first}
@@ -159,4 +159,4 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                     [keys, pa.array(at[:-1] + part["base"]), pa.array(np.diff(at)), pa.array(crc, pa.int64())],
                     schema=to_arrow_schema(result))
 
-    return listed.mapInArrow(run, result)
+    return map_batches(listed, run, result)
