@@ -20,20 +20,24 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import map_text
+from .common import map_batches, map_text
 
 MARK = "▁"  # fixed value: how the model writes a space
 #: Score of a character outside the model, below the least piece by so much.
 UNKNOWN_PENALTY = 10.0
 #: Scores below are a model's sign for pieces out of order, such as runs of spaces; they set no scale.
 NEVER = -1e8
-#: Different cuts that a task remembers; beyond that it starts anew, which costs time only.
-CACHE_CUTS = 300_000
+#: Different words and cuts that a task remembers; beyond that it starts anew, which costs time only.
+CACHE_CUTS = 400_000
+#: Cuts longer than this are searched one by one.
+LONG_CUT = 32
 N_BEST = 4
-UNIT = re.compile(" *[^ ]+| +")
+WORDS = re.compile(" *[^ ]+| +")
+_BASE = np.uint64(0x9E3779B97F4A7C55)
 
 
 class PieceModel:
@@ -59,7 +63,8 @@ class PieceModel:
         self.spaced = not any(a != MARK and b == MARK for a, b in self.pairs)
         self.bytes_of = [
             bytes([self.byte_of[k]]) if k in self.byte_of else self.text_of[k].replace(MARK, " ").encode() for k in range(size)]
-        self.n, self.parts = n, {}
+        self.n = n
+        self._index_pieces()
         self._clear()
 
     # -- lattice -------------------------------------------------------------------------
@@ -137,15 +142,100 @@ class PieceModel:
                 heapq.heappush(heap, (-(best[start] + score), tail + (ids,), start, score))
         return out
 
+    # -- many cuts at once ---------------------------------------------------------------
+
+    def _index_pieces(self) -> None:
+        """Pieces by the hash of their characters, in order of the hash; the longest piece's length."""
+        found = sorted((_hash_text(p), k, s) for p, (k, s) in self.id_of.items())
+        self.piece_hash = np.array([x[0] for x in found], np.uint64)
+        self.piece_id = np.array([x[1] for x in found], np.int32)
+        self.piece_score = np.array([x[2] for x in found])
+        self.longest = max(map(len, self.id_of))
+
+    def search_all(self, texts: list[str]) -> list[tuple[float, tuple[int, ...], float]]:
+        """``first_two`` for many cuts: those of one length go through the two passes side by side."""
+        out: list = [None] * len(texts)
+        by_size: dict[int, list[int]] = {}
+        for k, t in enumerate(texts):
+            by_size.setdefault(len(t) if 0 < len(t) <= LONG_CUT else 0, []).append(k)
+        for size, some in by_size.items():
+            for lo in range(0, len(some), 20_000):
+                part = some[lo: lo + 20_000]
+                if size and len(part) > 8:
+                    self._search_block(texts, part, size, out)
+                else:
+                    for k in part:
+                        out[k] = self.first_two(texts[k])
+        return out
+
+    def _search_block(self, texts: list[str], some: list[int], size: int, out: list) -> None:
+        n = len(some)
+        chars = np.frombuffer("".join(texts[k] for k in some).encode("utf-32-le", "surrogatepass"), np.uint32)
+        chars = chars.reshape(n, size).astype(np.uint64) + np.uint64(1)
+        edge: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        whole = np.ones(n, bool)  # every character is a piece
+        for start in range(size):
+            code = np.zeros(n, np.uint64)
+            for end in range(start + 1, min(size, start + self.longest) + 1):
+                code = code * _BASE + chars[:, end - 1]
+                at = np.minimum(np.searchsorted(self.piece_hash, code), len(self.piece_hash) - 1)
+                hit = self.piece_hash[at] == code
+                if end == start + 1:
+                    whole &= hit
+                if hit.any():
+                    edge[start, end] = np.where(hit, self.piece_score[at], -np.inf), self.piece_id[at]
+        best = np.full((size + 1, n), -np.inf)
+        best[0], back = 0.0, np.zeros((size + 1, n), np.int64)
+        for end in range(1, size + 1):
+            for start in range(max(0, end - self.longest), end):
+                if (start, end) in edge:
+                    through = best[start] + edge[start, end][0]
+                    # on a tie the later start wins, as in the search of one cut
+                    better = through >= best[end]
+                    best[end] = np.where(better, through, best[end])
+                    back[end] = np.where(better, start, back[end])
+        row, ids, taken = np.arange(n), [], {key: np.zeros(n, bool) for key in edge}
+        at = np.full(n, size)
+        while (at > 0).any():
+            start = back[at, row]
+            step = np.full(n, -1, np.int32)
+            for key in edge:
+                on = (at == key[1]) & (start == key[0]) & (at > 0)
+                if on.any():
+                    step[on] = edge[key][1][on]
+                    taken[key] |= on
+            ids.append(step)
+            at = np.where(at > 0, start, 0)
+        after = np.full((size + 1, n), -np.inf)
+        after[size] = 0.0
+        second = np.full(n, -np.inf)
+        for start in range(size - 1, -1, -1):
+            for end in range(start + 1, min(size, start + self.longest) + 1):
+                if (start, end) in edge:
+                    through = edge[start, end][0] + after[end]
+                    after[start] = np.maximum(after[start], through)
+                    second = np.maximum(second, np.where(taken[start, end], -np.inf, best[start] + through))
+        path = np.stack(ids[::-1], axis=1)
+        loss = np.full(n, np.inf)  # infinite: there is no second choice
+        some_second = np.isfinite(second) & whole
+        loss[some_second] = np.maximum(0.0, best[size][some_second] - second[some_second])
+        for i, k in enumerate(some):
+            if whole[i]:
+                out[k] = float(best[size, i]), tuple(x for x in path[i].tolist() if x >= 0), float(loss[i])
+            else:
+                out[k] = self.first_two(texts[k])
+
     # -- texts ---------------------------------------------------------------------------
 
     def _clear(self) -> None:
-        """Forget all cuts: place of each, its best ids in a pool, its score and what its second choice loses."""
+        """Forget all cuts (place, ids in a pool, score, what the second choice loses) and the cuts of words."""
         self.place: dict[str, int] = {}
-        self.pool = np.zeros(1 << 16, np.int32)
-        self.used = 0
+        self.word: dict[str, int] = {}
+        self.pool, self.used = np.zeros(1 << 16, np.int32), 0
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.score, self.loss = np.zeros(1 << 14), np.zeros(1 << 14)
+        self.score, self.loss, self.good = np.zeros(1 << 14), np.zeros(1 << 14), np.zeros(1 << 14, bool)
+        self.word_start, self.word_size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.word_cuts, self.word_used = np.zeros(1 << 16, np.int64), 0
         self.others: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def cuts(self, text: str) -> list[str]:
@@ -158,31 +248,75 @@ class PieceModel:
         out.append(text[start:])
         return out
 
-    def units(self, text: str) -> list[str]:
+    def words(self, text: str) -> list[str]:
         """Runs of spaces with the characters after them, the text's own MARKs apart; a space comes in front."""
-        if MARK not in text:
-            return UNIT.findall(" " + text)
-        out = []
-        for k, part in enumerate(text.split(MARK)):
-            out += ([MARK] if k else []) + UNIT.findall(part if k else " " + part)
-        return out
-
-    def _learn(self, cut: str) -> int:
-        # a MARK of the text itself goes as bytes and so comes back as it was
-        score, ids, loss = (
-            (self.unknown * 3, tuple(self.of_byte[b] for b in MARK.encode()), np.inf) if cut == MARK
-            else self.first_two(cut.replace(" ", MARK)))
-        k = len(self.place)
-        if k == len(self.start):
-            self.start, self.size, self.score, self.loss = (np.concatenate([x, np.zeros_like(x)]) for x in (
-                self.start, self.size, self.score, self.loss))
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used: self.used + len(ids)] = ids
-        self.start[k], self.size[k], self.score[k], self.loss[k] = self.used, len(ids), score, loss
-        self.used += len(ids)
-        self.place[cut] = k
-        return k
+        if MARK in text:
+            out = []
+            for k, part in enumerate(text.split(MARK)):
+                out += ([MARK] if k else []) + WORDS.findall(part if k else " " + part)
+            return out
+        return WORDS.findall(" " + text) if self.spaced else [" " + text]
+
+    def _keep_cuts(self, new: list[str]) -> None:
+        """Search new cuts and keep what was found. A cut that is the text's own MARK goes as bytes and so comes back."""
+        first, last = len(self.place), len(self.place) + len(new)
+        for name in ("start", "size", "score", "loss", "good"):
+            setattr(self, name, _grown(getattr(self, name), last))
+        plain = [c for c in new if c != MARK]
+        found = dict(zip(plain, self.search_all([c.replace(" ", MARK) for c in plain])))
+        if len(plain) < len(new):
+            found[MARK] = self.unknown * 3, tuple(self.of_byte[b] for b in MARK.encode()), np.inf
+        for k, cut in enumerate(new, first):
+            score, ids, loss = found[cut]
+            if self.used + len(ids) > len(self.pool):
+                self.pool = _grown(self.pool, self.used + len(ids))
+            self.pool[self.used: self.used + len(ids)] = ids
+            self.start[k], self.size[k], self.score[k], self.loss[k] = self.used, len(ids), score, loss
+            self.good[k] = b"".join(map(self.bytes_of.__getitem__, ids)) == cut.encode("utf-8", "surrogatepass")
+            self.used += len(ids)
+        self.place.update(zip(new, range(first, last)))
+
+    def _keep_words(self, new: list[str]) -> None:
+        parts = [[w] if w == MARK else [c.replace(MARK, " ") for c in self.cuts(w.replace(" ", MARK))] for w in new]
+        unknown = list(dict.fromkeys(c for p in parts for c in p if c not in self.place))
+        if unknown:
+            self._keep_cuts(unknown)
+        first, last = len(self.word), len(self.word) + len(new)
+        flat = np.fromiter((self.place[c] for p in parts for c in p), np.int64)
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.word_start, self.word_size = _grown(self.word_start, last), _grown(self.word_size, last)
+        self.word_cuts = _grown(self.word_cuts, self.word_used + len(flat))
+        self.word_cuts[self.word_used: self.word_used + len(flat)] = flat
+        self.word_size[first:last], self.word_start[first:last] = size, self.word_used + np.cumsum(size) - size
+        self.word_used += len(flat)
+        self.word.update(zip(new, range(first, last)))
+
+    def cuts_of_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the cuts of all texts in a row, and where each text's begin (one more entry than texts)."""
+        if len(self.place) > CACHE_CUTS or len(self.word) > CACHE_CUTS:
+            self._clear()
+        if self.spaced:
+            # one space at a time parts words; texts with more in a row, at an edge, or with a MARK are rare
+            odd = pc.match_substring_regex(texts, f"^ |  | $|^$|{MARK}").to_numpy(zero_copy_only=False)
+        else:
+            odd = np.ones(len(texts), bool)
+        even = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        coded = pc.list_flatten(even).dictionary_encode()
+        row = np.flatnonzero(~odd)[pc.list_parent_indices(even).to_numpy(zero_copy_only=False)]
+        listed = [" " + w for w in coded.dictionary.to_numpy(zero_copy_only=False)]
+        apart = [self.words(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        get = self.word.get
+        new = [w for w in dict.fromkeys([*listed, *(w for a in apart for w in a)]) if get(w) is None]
+        if new:
+            self._keep_words(new)
+        code = np.fromiter(map(get, listed), np.int64, len(listed))[coded.indices.to_numpy(zero_copy_only=False)]
+        rows = np.concatenate([row, np.repeat(np.flatnonzero(odd), [len(a) for a in apart])]).astype(np.int64)
+        code = np.concatenate([code, np.fromiter((get(w) for a in apart for w in a), np.int64)])
+        order = np.argsort(rows, kind="stable")
+        rows, code = rows[order], code[order]
+        at = _gather(self.word_cuts, self.word_start[code], self.word_size[code])
+        counts = np.bincount(rows, self.word_size[code], minlength=len(texts)).astype(np.int64)
+        return at, np.concatenate([[0], np.cumsum(counts)])
 
     def choices(self, cut: str) -> list[tuple[float, tuple[int, ...]]]:
         """The n best of a cut, remembered."""
@@ -191,50 +325,39 @@ class PieceModel:
             found = self.others[cut] = self.n_best(cut.replace(" ", MARK), self.n)
         return found
 
-    def _places(self, text: str) -> tuple[list[str], np.ndarray]:
-        """The cuts of a text and where they are kept."""
-        units = self.units(text)
-        spaced = self.spaced
-        cut: list[str] = []
-        parts = self.parts
-        for u in units if spaced else [text_of_units(units)]:
-            known = parts.get(u)
-            if known is None:
-                known = parts[u] = [u] if u == MARK else [c.replace(MARK, " ") for c in self.cuts(u.replace(" ", MARK))]
-            cut += known
-        get, learn = self.place.get, self._learn
-        return cut, np.fromiter((k if (k := get(c)) is not None else learn(c) for c in cut), np.int64, len(cut))
+    def ids_at(self, at: np.ndarray) -> np.ndarray:
+        return _gather(self.pool, self.start[at], self.size[at])
 
-    def encode(self, text: str) -> tuple[np.ndarray, list[float], list[np.ndarray]]:
-        """Best ids, the scores of the N best segmentations, and a way to the others' ids.
+    def scores(self, at: np.ndarray, names: dict[int, str]) -> tuple[list[float], list[dict[int, int]]]:
+        """The scores of the N best segmentations of a text's cuts, and which cuts differ from their best choice.
 
-        Only the N - 1 cuts whose second choice costs least can differ from the best choice.
+        Only the N - 1 cuts whose second choice costs least can differ.
         """
-        if len(self.place) > CACHE_CUTS or len(self.parts) > 2 * CACHE_CUTS:
-            self._clear()
-            self.parts.clear()
-        cut, at = self._places(text)
-        size = self.size[at]
-        ends = np.cumsum(size)
-        ids = self.pool[np.repeat(self.start[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        best = float(self.score[at].sum())
-        lost = self.loss[at]
+        best, lost = float(self.score[at].sum()), self.loss[at]
         few = np.argpartition(lost, self.n - 2)[: self.n - 1] if 0 < self.n - 1 < len(lost) else np.arange(len(lost))
         few = np.sort(few[np.isfinite(lost[few])]) if self.n > 1 else few[:0]
-        options = [self.choices(cut[k]) for k in few]
-        choices = _cheapest([[o[0][0] - s for s, _ in o] for o in options], self.n)
-        changed = [{int(k): c for k, c in zip(few, chosen) if c} for _, chosen in choices]
-        return ids, [best - loss for loss, _ in choices], [cut, at, changed]
-
-    def ids_of(self, way: list, rank: int) -> np.ndarray:
-        """The ids of the segmentation of that rank."""
-        cut, at, changed = way
-        parts = []
-        for k, place in enumerate(at):
-            if k in changed[rank]:
-                parts.append(np.array(self.choices(cut[k])[changed[rank][k]][1], np.int32))
-            else:
-                parts.append(self.pool[self.start[place]: self.start[place] + self.size[place]])
+        options = [self.choices(names[int(at[k])]) for k in few]
+        ways = _cheapest([[o[0][0] - s for s, _ in o] for o in options], self.n)
+        return [best - loss for loss, _ in ways], [{int(k): c for k, c in zip(few, chosen) if c} for _, chosen in ways]
+
+    def encode(self, text: str) -> tuple[np.ndarray, list[float], list[np.ndarray]]:
+        """Best ids, the N best scores, and the ids of each of the N best segmentations of one text."""
+        at, _ = self.cuts_of_all(pa.array([text], pa.string()))
+        names = self.names(at)
+        values, changed = self.scores(at, names)
+        return self.ids_at(at), values, [self.ids_of(at, names, c) for c in changed]
+
+    def names(self, at: np.ndarray) -> dict[int, str]:
+        """The cuts kept at some places."""
+        if getattr(self, "listed_of", None) is not self.place or len(self.listed) != len(self.place):
+            self.listed, self.listed_of = list(self.place), self.place
+        return _At(self.listed)
+
+    def ids_of(self, at: np.ndarray, names: dict[int, str], changed: dict[int, int]) -> np.ndarray:
+        """The ids of a segmentation: the best choice of each cut but for the changed ones."""
+        parts = [
+            np.array(self.choices(names[int(p)])[changed[k]][1], np.int32) if k in changed
+            else self.pool[self.start[p]: self.start[p] + self.size[p]] for k, p in enumerate(at)]
         return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
     def decode(self, ids: Sequence[int]) -> str:
@@ -243,8 +366,31 @@ class PieceModel:
         return raw[1:].decode("utf-8", "surrogatepass") if raw[:1] == b" " else raw.decode("utf-8", "surrogatepass")
 
 
-def text_of_units(units: list[str]) -> str:
-    return "".join(units)
+class _At:
+    """A list read like a mapping."""
+
+    def __init__(self, items: list[str]):
+        self.items = items
+
+    def __getitem__(self, k: int) -> str:
+        return self.items[k]
+
+
+def _grown(x: np.ndarray, need: int) -> np.ndarray:
+    return x if need <= len(x) else np.concatenate([x, np.zeros(max(need - len(x), len(x)), x.dtype)])
+
+
+def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs ``start`` to ``start + size`` of the pool, one after the other."""
+    ends = np.cumsum(size)
+    return pool[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _hash_text(text: str) -> int:
+    code = 0
+    for c in text:
+        code = (code * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+    return code
 
 
 def _cheapest(options: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -281,7 +427,7 @@ def encode_texts(
 ) -> DataFrame:
     """Every row with its best segmentation's size and checksum, the N best scores and (``with_ids``) their ids.
 
-    round_trip says that decoding the best ids gives the text back. Scores fall from first to last; a text
+    round_trip says that decoding the best ids gives the text back (every cut's ids are decoded, and a text's decode to their join). Scores fall from first to last; a text
     with fewer segmentations has fewer. A NULL text counts as empty: the model's space in front is all that
     it holds. Rows depend on nothing but their text; equal texts have equal results. Columns of
     these names in the input are replaced.
@@ -290,15 +436,19 @@ def encode_texts(
         codec = model_of(model, n)
 
         def run(texts: pa.Array) -> list:
+            at, starts = codec.cuts_of_all(texts)
+            names = codec.names(at)
             size, crc, scores, same, ids = [], [], [], [], []
-            for t in texts.to_pylist():
-                best, values, way = codec.encode(t)
+            for lo, hi in zip(starts, starts[1:]):
+                own = at[lo:hi]
+                best = codec.ids_at(own)
+                values, changed = codec.scores(own, names)
                 size.append(len(best))
                 crc.append(zlib.crc32(best.astype("<u4").tobytes()))
                 scores.append(values)
-                same.append(codec.decode(best.tolist()) == t)
+                same.append(bool(codec.good[own].all()))  # decoding joins the cuts' texts
                 if with_ids:
-                    ids.append([codec.ids_of(way, k) for k in range(len(values))])
+                    ids.append([codec.ids_of(own, names, c) for c in changed])
             out = [
                 pa.array(size, pa.int32()), pa.array(crc, pa.int64()), pa.array(scores, pa.list_(pa.float64())),
                 pa.array(same, pa.bool_())]
@@ -322,4 +472,4 @@ def decode_ids(rows: DataFrame, model: str, ids: str = "ids", name: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, name])
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
