@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import drop_work, materialize, work_dir
+from .common import splittable
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,8 +15,8 @@ def components(edges: DataFrame) -> DataFrame:
     Large star: every neighbour that is greater than a node is tied to the node's least neighbour.
     Small star: a node's smaller neighbours and the node are tied to the least of them. The rounds end
     when the edges stay the same; their number grows with the logarithm of the nodes. A
-    node's least neighbour is found by a combining aggregate and joined back, so a node with many
-    edges is never a group in one task. Each round is a written table; the one before is dropped.
+    node's least neighbour is found by a combining aggregate and joined back in a join that can be split, so
+    a node with many edges is never a group in one task. Each round is a written table; the one before is dropped.
     """
     spark = edges.sparkSession
     loops = F.col("a") != F.col("b")
@@ -34,11 +35,11 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.where("b > a").join(splittable(least, "a"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.unionByName(least.where("m < a").select("a", F.col("m").alias("b"))).where(loops).distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         lowest = down.groupBy("a").agg(F.min("b").alias("m"))
         now = (
-            down.join(lowest, "a").select("b", "m").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            down.join(splittable(lowest, "a"), "a").select("b", "m").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(lowest.select("a", F.col("m").alias("b"))).distinct()
         )

@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from ..session import drop_work, materialize, work_dir
-from .common import as_long, map_text, mix64, text_key, without, words_of
+from .common import as_long, map_batches, map_text, mix64, splittable, text_key, words_of
 from .graph import components
 
 WIDTH = 5
@@ -223,7 +223,7 @@ def _candidate_edges(groups: DataFrame, threshold: float, tolerance: float) -> D
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(lo_out), pa.int64()), pa.array(np.concatenate(hi_out), pa.int64())], ["a", "b"])
 
-    return groups.select("m").mapInArrow(run, EDGES)
+    return map_batches(groups.select("m"), run, EDGES)
 
 
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -272,7 +272,7 @@ def _verify(groups: DataFrame, threshold: float) -> DataFrame:
                     pa.array(node, pa.int64()), pa.array(linked.sum(axis=1), pa.int64()),
                     pa.array(linked @ copies, pa.int64()), pa.array(node[label], pa.int64())], schema=to_arrow_schema(VERIFIED))
 
-    return groups.select("m").mapInArrow(run, VERIFIED)
+    return map_batches(groups.select("m"), run, VERIFIED)
 
 
 def _gram_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -318,7 +318,7 @@ def similar_texts(
     # the shingle sets of clustered nodes, each from one of its texts
     sized = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     facts = nodes.select("sid", "copies", F.col("one.key").alias("o"), F.col("one.t1").alias("o1"), F.col("one.t2").alias("o2"))
-    wanted = clusters.join(sized, "root").join(facts, clusters["node"] == facts["sid"]).select("root", "n", "sid", "copies", "o", "o1", "o2")
+    wanted = clusters.join(splittable(sized, "root"), "root").join(facts, clusters["node"] == facts["sid"]).select("root", "n", "sid", "copies", "o", "o1", "o2")
     same = (keyed["t1"] == wanted["o1"]) & (keyed["t2"] == wanted["o2"]) & keyed["key"].eqNullSafe(wanted["o"])
     texts = keyed.join(wanted, same).select("root", "n", "sid", "copies", "text").dropDuplicates(["sid"])
     groups = blocked(_gram_sets(texts, width), "root", "n", "sid", ["copies", "grams"])
@@ -331,7 +331,7 @@ def similar_texts(
         .withColumn("root", F.coalesce("root", "sid"))
     )
     heads = placed.groupBy("root").agg(F.min("one").alias("head"), F.sum("copies").alias("class_size"))
-    result = placed.join(heads, "root").select(
+    result = placed.join(splittable(heads, "root"), "root").select(
         "s1", "s2", F.col("head.key").alias("class_id"), F.col("head.t1").alias("class_t1"), F.col("head.t2").alias("class_t2"),
         "class_size", (F.coalesce("linked_docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("links", F.lit(0)).alias("n_text_links"), F.col("copies").alias("n_copies"))
@@ -358,7 +358,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     others = found.where("class_size > 1").select("t1", "t2", "class_id", "class_t1", "class_t2").distinct()
     t1, t2 = text_key(text)
     rows = docs.withColumns({"__t1": t1, "__t2": t2})
-    joined = rows.join(others.dropDuplicates(["t1", "t2"]), (rows["__t1"] == others["t1"]) & (rows["__t2"] == others["t2"]), "left")
+    others = splittable(others.dropDuplicates(["t1", "t2"]), "t1", "t2")
+    joined = rows.join(others, (rows["__t1"] == others["t1"]) & (rows["__t2"] == others["t2"]), "left")
     single = joined.where("class_t1 IS NULL")
     head = joined.where(
         (F.col("__t1") == F.col("class_t1")) & (F.col("__t2") == F.col("class_t2")) & F.col(f"`{key}`").eqNullSafe(F.col("class_id")))

@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..session import drop_work, materialize, work_dir
-from .common import as_long, map_text, text_key, without
+from .common import as_long, map_batches, map_text, splittable, text_key, without
 from .repeats_kernel import range_hashes, text_anchors
 
 WINDOW = 400
@@ -94,7 +94,7 @@ def _candidates(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     [pa.array([row[c]], t.type) for c, t in zip(("t1", "t2", "text"), to_arrow_schema(schema))]
                     + [pa.array([x], pa.list_(pa.int32())) for x in lists], schema=to_arrow_schema(schema))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def _hashed(texts: DataFrame, window: int, width: int) -> DataFrame:
@@ -131,16 +131,16 @@ def _hashed(texts: DataFrame, window: int, width: int) -> DataFrame:
                     pa.array(as_long(core), mask=~known), pa.array(as_long(h1)), pa.array(as_long(h2)),
                 ], schema=arrow)
 
-    return texts.mapInArrow(run, schema)
+    return map_batches(texts, run, schema)
 
 
 def _judge(hashed: DataFrame, shared: bool) -> DataFrame:
     """Ranges still of interest: ``done`` (repeated as a whole) and ``live`` (to be searched further)."""
     rows = hashed.withColumn("id", F.xxhash64("t1", "t2", "at", "near"))
     if shared:
-        known = rows.where("core IS NOT NULL").join(repeated(rows.where("core IS NOT NULL"), ["core"]).select("core"), "core", "left_semi")
+        known = rows.where("core IS NOT NULL").join(splittable(repeated(rows.where("core IS NOT NULL"), ["core"]), "core").select("core"), "core", "left_semi")
         rows = known.unionByName(rows.where("core IS NULL"))
-    equal = repeated(rows, ["h1", "h2"])
+    equal = splittable(repeated(rows, ["h1", "h2"]), "h1", "h2")
     return rows.join(equal, ["h1", "h2"], "left").select(
         *KEY, "at", "near", "far", F.col("least").isNotNull().alias("done"),
         (F.col("least").isNull() | (F.col("least") == F.col("id"))).alias("live"))
@@ -163,10 +163,14 @@ def repeated_spans(
     t1, t2 = text_key(text)
     keyed = docs.select(
         F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), t1.alias("t1"), t2.alias("t2"))
-    grams = work.write(_gram_lists(keyed, window, gram), "grams")
+    # copies of a text give one list
+    grams = work.write(_gram_lists(keyed, window, gram).dropDuplicates(list(KEY)), "grams")
     each = grams.select(*KEY, F.posexplode("grams").alias("place", "gram"))
     common = repeated(each.select("gram", F.xxhash64("t1", "t2", "place").alias("id")), ["gram"]).select("gram")
-    listed = each.select(*KEY, "gram").join(common, "gram", "left_semi").groupBy(*KEY).agg(F.collect_set("gram").alias("grams"))
+    # a text that repeats a gram asks for it once
+    asked = grams.select(*KEY, F.explode(F.array_distinct("grams")).alias("gram"))
+    found = asked.join(splittable(common, "gram"), "gram", "left_semi")
+    listed = found.groupBy(*KEY).agg(F.collect_list("gram").alias("grams"))
     # one row of each text: the one with the least key
     one = keyed.groupBy(*KEY).agg(F.min("key").alias("one"))
     wanted = work.write(listed.join(one, list(KEY)).select(*KEY, "one", "grams"), "wanted")
@@ -212,7 +216,7 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
                 values = (row["t1"], row["t2"], int(gone.sum()), spans, sha, kept.decode("utf-8", "ignore"))
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
 
-    return texts.mapInArrow(run, schema)
+    return map_batches(texts, run, schema)
 
 
 def remove_repeats(
@@ -238,7 +242,7 @@ def remove_repeats(
         *([value.alias("__whole")] if with_text else []))
     copies = docs.select(t1.alias("__t1"), t2.alias("__t2")).groupBy("__t1", "__t2").count().where("count > 1")
     found = spans.withColumnRenamed("t1", "__t1").withColumnRenamed("t2", "__t2")
-    facts = found.join(copies, ["__t1", "__t2"], "full")
+    facts = splittable(found.join(copies, ["__t1", "__t2"], "full"), "__t1", "__t2")
     joined = rows.join(facts, ["__t1", "__t2"], "left")
     gone = F.col("count").isNotNull() & (F.col("__n") >= window)
 
