@@ -1,7 +1,7 @@
 """Quality classifier by co-training: a text view and a metadata view teach each other.
 
-Both views are logistic models over columns that Spark computes from a row, so all documents are
-scored by plain expressions. The models are fitted on the driver from a bounded sample of
+Both views are logistic models over a few columns of a row: measures of its text, taken from Arrow slices,
+and its metadata. All documents are scored by plain expressions of these columns. The models are fitted on the driver from a bounded sample of
 labelled rows. In each round every view names the unlabelled documents of which it is surest,
 over the whole table, as pseudo-labels for the other view; sureness is measured after calibration on
 labelled rows that no view was fitted on. At the end the calibrated views are combined by a
@@ -14,13 +14,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
 
 from ..session import materialize
-from .common import without
+from .common import codes_of, map_text, without, words_of
 
-#: Labelled rows used at most (those with the least hash of their key); a fourth of them calibrates.
+#: Labelled rows used at most (by a hash of their key); a fourth of them calibrates.
 MAX_LABELLED = 20_000
 ROUNDS = 3
 #: Pseudo-labels of each class that a view gives in a round, at most.
@@ -29,30 +32,62 @@ SURE = 0.97
 BUCKETS = 16
 RESULT = ("p_text", "p_meta", "score", "kept")
 
-SYMBOLS = "#*$%&<>~^=_+{}[]\\@"
-
-
-def text_features(text: str) -> dict[str, Column]:
-    """Shares and shapes of a text: marks, capitals, repetition, lengths of words and lines."""
-    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    size = F.greatest(F.length(value), F.lit(1)).cast("double")
-
-    def share(chars: str) -> Column:
-        return (F.length(value) - F.length(F.translate(value, chars, ""))) / size
-
-    words = F.filter(F.split(F.lower(value), r"\s+"), lambda w: w != "")
-    n_words = F.size(words).cast("double")
-    different = F.size(F.array_distinct(words)).cast("double")
-    lines = F.length(value) - F.length(F.translate(value, "\n", "")) + 1
-    return {
-        "symbols": F.sqrt(share(SYMBOLS)), "bars": F.sqrt(share("|")), "bangs": F.sqrt(share("!")),
-        "digits": F.sqrt(share("0123456789")), "stops": share(".,;:?"),
-        "capitals": F.length(F.regexp_replace(value, r"\P{Lu}+", "")) / size,
-        "variety": F.log1p(different) / F.log1p(F.greatest(n_words, F.lit(1.0))),
-        "distinct": different / F.greatest(n_words, F.lit(1.0)),
-        "word_length": F.log1p(size / F.greatest(n_words, F.lit(1.0))),
-        "words": F.log1p(n_words), "line_length": F.log1p(n_words / lines),
+#: Classes of ASCII bytes that a text is measured by.
+CLASSES = {
+    "symbols": b"#*$%&<>~^=_+{}[]\\@", "bars": b"|", "bangs": b"!", "digits": b"0123456789", "stops": b".,;:?",
+    "capitals": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+}
+TEXT = ("symbols", "bars", "bangs", "digits", "stops", "capitals", "variety", "distinct", "word_length", "words", "line_length")
+TEXT_FIELDS = [StructField(f"__{name}", DoubleType()) for name in TEXT]
+
+
+def _table(chars: bytes) -> np.ndarray:
+    out = np.zeros(256, np.int32)
+    out[list(chars)] = 1
+    return out
+
+
+_TABLES = {name: _table(chars) for name, chars in CLASSES.items()}
+_LINES = _table(b"\n")
+
+
+def text_measures(texts: pa.Array) -> list[pa.Array]:
+    """The text view: shares of marks, capitals (A-Z and Latin-1) and digits, repetition, lengths of words and lines."""
+    n = len(texts)
+    size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    data = np.frombuffer(b"".join(t.encode() for t in texts.to_pylist()), np.uint8)
+    starts = np.cumsum(size) - size
+    full = np.flatnonzero(size)
+
+    def per_text(marks: np.ndarray) -> np.ndarray:
+        out = np.zeros(n)
+        if len(full):
+            out[full] = np.add.reduceat(marks, starts[full])
+        return out
+
+    chars = np.maximum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), 1)
+    share = {name: per_text(table[data]) / chars for name, table in _TABLES.items()}
+    if len(data) > 1:  # capitals of Latin-1 are C3 80 to C3 9E, but for the multiplication sign
+        second = np.zeros(len(data), np.int32)
+        second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        share["capitals"] = share["capitals"] + per_text(second) / chars
+    words, row = words_of(pc.utf8_lower(texts))
+    code = codes_of(words)
+    n_words = np.bincount(row, minlength=n).astype(float)
+    base = int(code.max(initial=0)) + 1
+    different = np.bincount(np.unique(row * base + code) // base, minlength=n).astype(float)
+    lines = per_text(_LINES[data]) + 1
+    some = np.maximum(n_words, 1)
+    values = {
+        **{name: np.sqrt(share[name]) for name in ("symbols", "bars", "bangs", "digits")}, "stops": share["stops"],
+        "capitals": share["capitals"], "variety": np.log1p(different) / np.log1p(some), "distinct": different / some,
+        "word_length": np.log1p(chars / some), "words": np.log1p(n_words), "line_length": np.log1p(n_words / lines),
     }
+    return [pa.array(values[name]) for name in TEXT]
+
+
+def with_text_features(docs: DataFrame, text: str, keep: Sequence[str] | None = None) -> DataFrame:
+    return map_text(docs, text, TEXT_FIELDS, lambda: text_measures, keep)
 
 
 def meta_features(categories: Sequence[str], numbers: Sequence[str]) -> dict[str, Column]:
@@ -115,29 +150,42 @@ def _sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def fit(
+def featurize(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", text: str = "text",
     categories: Sequence[str] = ("lang", "source"), numbers: Sequence[str] = ("n_chars",),
-    max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, per_round: int = PER_ROUND, sure: float = SURE,
-) -> Model | None:
-    """The fitted views, or None when the labels lack a class.
+) -> DataFrame:
+    """One row per document: ``__id``, the columns of both views and ``__label`` (NULL: unlabelled), as a written table.
 
-    A key labelled several times takes the majority (ties: good); NULL keys and labels are left out. The
-    features of all documents are written once; every round reads them whole. The driver
-    holds ``max_labelled`` rows and 4 * ``rounds`` * ``per_round`` pseudo-labels at most.
+    A key labelled several times takes the majority (ties: good); NULL keys and labels are left out.
     """
-    views = {"text": text_features(text), "meta": meta_features(categories, numbers)}
-    columns = {name: c for view in views.values() for name, c in view.items()}
-    names = {view: list(c) for view, c in views.items()}
     voted = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
         (F.avg(F.col(label).cast("double")) >= 0.5).cast("double").alias("__label"))
-    features = docs.select(F.col(f"`{key}`").alias("__id"), *[c.alias(n) for n, c in columns.items()])
-    features = features.join(voted, F.col("__id") == F.col("__key"), "left").drop("__key").withColumn(
-        "__row", F.monotonically_increasing_id())
-    features = materialize(features, "features")
-    order = F.xxhash64("__id", F.lit("sample"))
-    sample = features.where("__label IS NOT NULL").withColumn("__order", order).orderBy("__order", "__row").limit(max_labelled)
-    rows = sample.toPandas()
+    wanted = list(dict.fromkeys([key, *categories, *numbers]))
+    views = with_text_features(docs.select(*[f"`{c}`" for c in dict.fromkeys([*wanted, text])]), text, wanted)
+    views = views.select(
+        F.col(f"`{key}`").alias("__id"), *[f.name for f in TEXT_FIELDS],
+        *[c.alias(f"__{n}") for n, c in meta_features(categories, numbers).items()])
+    joined = views.join(voted, F.col("__id") == F.col("__key"), "left").drop("__key")
+    return materialize(joined.withColumn("__row", F.monotonically_increasing_id()), "features")
+
+
+def fit(
+    features: DataFrame, categories: Sequence[str] = ("lang", "source"), numbers: Sequence[str] = ("n_chars",),
+    max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, per_round: int = PER_ROUND, sure: float = SURE,
+) -> Model | None:
+    """The fitted views from ``featurize``'s table, or None when the labels lack a class.
+
+    Every round reads the features of all documents. The driver holds ``max_labelled`` rows and
+    4 * ``rounds`` * ``per_round`` pseudo-labels at most.
+    """
+    views = {"text": list(TEXT), "meta": list(meta_features(categories, numbers))}
+    names = {view: [f"__{n}" for n in some] for view, some in views.items()}
+    columns = [n for some in names.values() for n in some]
+    labelled = features.where("__label IS NOT NULL")
+    # a share of the keys by their hash: the driver gets no more than it keeps
+    share = min(1.0, 0.95 * max_labelled / max(labelled.count(), 1))
+    place = (F.shiftrightunsigned(F.xxhash64("__id", F.lit("sample")), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    rows = labelled.where(place <= share).limit(max_labelled).toPandas().sort_values("__row", ignore_index=True)
     if rows["__label"].nunique() < 2:
         return None
     held = (np.arange(len(rows)) % 4 == 3) if len(rows) >= 40 else np.ones(len(rows), bool)
@@ -188,26 +236,40 @@ def fit(
     return Model(models["text"], models["meta"], joint, counts)
 
 
+def score_views(rows: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
+    """Rows with the columns of both views to rows with p_text, p_meta, score and kept; plain expressions only."""
+    if model is None:
+        one = F.lit(1.0)
+        return rows.withColumns({"p_text": one, "p_meta": one, "score": one, "kept": F.lit(True)})
+    columns = {n: F.col(f"`{n}`") for n in [*model.text.weights, *model.meta.weights]}
+    staged = rows.withColumns({"__zt": model.text.logit(columns), "__zm": model.meta.logit(columns)})
+    joint = _sigmoid(model.joint.logit({"text": F.col("__zt"), "meta": F.col("__zm")}))
+    scored = staged.withColumns({"p_text": _sigmoid(F.col("__zt")), "p_meta": _sigmoid(F.col("__zm")), "score": joint})
+    return scored.withColumn("kept", F.col("score") >= threshold)
+
+
 def score(
     docs: DataFrame, model: Model | None, text: str = "text", categories: Sequence[str] = ("lang", "source"),
     numbers: Sequence[str] = ("n_chars",), threshold: float = 0.5,
 ) -> DataFrame:
-    """Every row with p_text, p_meta (calibrated views), score (both) and kept; no shuffle, no Python.
+    """Every row with p_text, p_meta (calibrated views), score (both) and kept; no shuffle.
 
-    Without a model (no labels, or of one class) nothing is known: all four columns say 1 and true. NULL and
+    Without a model (no labels, or of one class) nothing is known: the columns say 1 and true. NULL and
     empty texts are scored by their empty features. Columns of these names are replaced.
     """
     kept = without(docs, RESULT)
     if model is None:
-        one = F.lit(1.0)
-        return kept.withColumns({"p_text": one, "p_meta": one, "score": one, "kept": F.lit(True)})
-    z = {"text": model.text.logit(text_features(text)), "meta": model.meta.logit(meta_features(categories, numbers))}
-    staged = kept.withColumns({"__zt": z["text"], "__zm": z["meta"]})
-    joint = _sigmoid(model.joint.logit({"text": F.col("__zt"), "meta": F.col("__zm")}))
-    scored = staged.withColumns({"p_text": _sigmoid(F.col("__zt")), "p_meta": _sigmoid(F.col("__zm")), "score": joint})
-    return scored.withColumn("kept", F.col("score") >= threshold).drop("__zt", "__zm")
+        return score_views(kept, None)
+    rows = with_text_features(kept, text).withColumns({f"__{n}": c for n, c in meta_features(categories, numbers).items()})
+    return score_views(rows, model, threshold).select(*[f"`{c}`" for c in kept.columns], *RESULT)
+
+
+def classify_keys(docs: DataFrame, labels: DataFrame, key: str = "doc_id", threshold: float = 0.5, **options) -> DataFrame:
+    """One row per document with its key and result: the texts are measured once, for the fit and for the scores."""
+    features = featurize(docs, labels, key)
+    return score_views(features, fit(features, **options), threshold).select(F.col("__id").alias(key), *RESULT)
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """Fit on the labelled documents and score all of them; see ``fit`` and ``score``."""
-    return score(docs, fit(docs, labels, key, **options))
+    """Fit on the labelled documents and score all of them, with all their columns; see ``fit`` and ``score``."""
+    return score(docs, fit(featurize(docs, labels, key), **options))

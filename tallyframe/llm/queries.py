@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return cotraining.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", *cotraining.RESULT)
+    return cotraining.classify_keys(docs, table(spark, sf_dir, "labels"))
 
 
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -227,13 +228,27 @@ def test_classifier_on_held_out_labels(spark, sf_dir):
     assert wrong <= 0.05 * found.count()
 
 
+def test_text_measures(texts):
+    """The vector form against one text at a time."""
+    values = [t or "" for t in texts]
+    found = cotraining.text_measures(pa.array(values, pa.string()))
+    got = {name: column.to_numpy() for name, column in zip(cotraining.TEXT, found)}
+    for k, t in enumerate(values):
+        size, words = max(len(t), 1), WORD.findall(t.lower())
+        assert got["bars"][k] == pytest.approx((t.count("|") / size) ** 0.5)
+        assert got["stops"][k] == pytest.approx(sum(c in ".,;:?" for c in t) / size)
+        assert got["capitals"][k] == pytest.approx(sum(c.isupper() and ord(c) < 256 for c in t) / size)
+        assert got["distinct"][k] == pytest.approx(len(set(words)) / max(len(words), 1))
+        assert got["line_length"][k] == pytest.approx(np.log1p(len(words) / (t.count("\n") + 1)))
+
+
 def test_views_exchange_labels(spark):
     """Only the metadata tells some good rows apart; the text view learns from what it names."""
     good, bad = prose(1, 80), "### a&&& ***%%% " * 20
     rows = [(k, good if k % 2 else bad, "en", "wiki" if k % 2 else "farm", 100) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(None, 1), (3, None)], "doc_id long, quality int")
-    model = cotraining.fit(docs, labels, rounds=2, per_round=20, sure=0.6)
+    model = cotraining.fit(cotraining.featurize(docs, labels), rounds=2, per_round=20, sure=0.6)
     assert model.pseudo_labels["text"] > 0 and model.pseudo_labels["meta"] > 0
     found = cotraining.score(docs, model).collect()
     assert all(r.kept == bool(r.doc_id % 2) for r in found)
