@@ -75,15 +75,15 @@ def map_text(
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
     types = {f.name: f for f in df.schema.fields}
     schema = StructType([*(types[c] for c in kept), *fields])
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+    names = [*kept, *(f.name for f in fields)]
+    source = df.select(*[F.col(f"`{c}`") for c in (kept if text in kept else [*kept, text])])
 
     def run(batches):
         kernel = make()
         for batch in batches:
-            for piece in text_slices(batch, "__text"):
-                column = piece.column("__text")
-                column = pa.array(column.to_pylist(), pa.string()) if column.type != pa.string() else column
-                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *kernel(column)], [*kept, *(f.name for f in fields)])
+            for piece in text_slices(batch, text):
+                column = pc.fill_null(piece.column(text), "")
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *kernel(column)], names)
 
     return map_batches(source, run, schema)
 
