@@ -3,11 +3,12 @@
 The lattice of a text has an edge for every piece that occurs in it, with the piece's score; a
 character that is no piece is one edge of its UTF-8 bytes' pieces. A forward Viterbi pass gives the
 best score of every prefix. Read backwards, that is the exact cost of what is left, so an A-star
-search from the end pops complete segmentations in order of their total score.
+search from the end pops complete segmentations in order of their total score; of equal scores, the one whose last
+pieces begin later comes first.
 
 Two neighbouring characters that no piece holds side by side always part a segmentation. Texts are cut
-at all such places, each different cut is searched once per task, and the N best of a
-text are the N best sums of its cuts' alternatives.
+at all such places, each different cut is searched once per task for its N best (many cuts of one length side by side),
+and the N best of a text are the N best sums of its cuts' alternatives.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -35,6 +36,8 @@ NEVER = -1e8
 CACHE_CUTS = 400_000
 #: Cuts longer than this are searched one by one.
 LONG_CUT = 32
+#: Places for edges in the lattices that are searched side by side; bounds their memory.
+BLOCK_EDGES = 400_000
 N_BEST = 4
 WORDS = re.compile(" *[^ ]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -97,40 +100,15 @@ class PieceModel:
             last.append(edge)
         return best, last
 
-    def first_two(self, text: str) -> tuple[float, tuple[int, ...], float]:
-        """Score and ids of the best segmentation, and what the second best loses (infinite: there is none).
-
-        Any other segmentation takes an edge off the best path, so the second best is the best one through such an edge.
-        """
-        into = self.lattice(text)
-        best, last = self.viterbi(into)
-        size, ids, path = len(text), [], set()
-        at = size
-        while at:
-            ids.append(last[at][2])
-            path.add((last[at][0], at))
-            at = last[at][0]
-        after = [-np.inf] * size + [0.0]
-        second = -np.inf
-        for end in range(size, 0, -1):
-            rest = after[end]
-            for start, score, _ in into[end]:
-                through = score + rest
-                if through > after[start]:
-                    after[start] = through
-                if (start, end) not in path and best[start] + through > second:
-                    second = best[start] + through
-        return best[size], tuple(k for part in reversed(ids) for k in part), max(0.0, best[size] - second)
-
     def n_best(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best segmentations of a cut, best first; equal scores in order of their ids, read from the end."""
+        """The n best segmentations of a cut, best first; of equal scores, the one whose last pieces begin later."""
         size, edges = len(text), self.lattice(text)
         best, _ = self.viterbi(edges)
-        # (-total, ids from here to the end, position, score from here to the end)
-        heap = [(-best[size], (), size, 0.0)]
+        # (-total, minus the places of all starts so far as bits, position, score from here to the end, ids from here)
+        heap = [(-best[size], 0, size, 0.0, ())]
         out, visits = [], [0] * (size + 1)
         while heap and len(out) < n:
-            total, tail, at, behind = heapq.heappop(heap)
+            total, starts, at, behind, tail = heapq.heappop(heap)
             visits[at] += 1
             if visits[at] > n:  # n better ways through this place are known
                 continue
@@ -139,7 +117,7 @@ class PieceModel:
                 continue
             for start, s, ids in edges[at]:
                 score = behind + s
-                heapq.heappush(heap, (-(best[start] + score), tail + (ids,), start, score))
+                heapq.heappush(heap, (-(best[start] + score), starts - (1 << start), start, score, tail + (ids,)))
         return out
 
     # -- many cuts at once ---------------------------------------------------------------
@@ -152,28 +130,42 @@ class PieceModel:
         self.piece_score = np.array([x[2] for x in found])
         self.longest = max(map(len, self.id_of))
 
-    def search_all(self, texts: list[str]) -> list[tuple[float, tuple[int, ...], float]]:
-        """``first_two`` for many cuts: those of one length go through the two passes side by side."""
-        out: list = [None] * len(texts)
+    def search_all(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+        """``n_best`` for many cuts: those of one length are searched side by side.
+
+        Yields places in ``texts``, the scores of their choices (a column for each of the n, -inf: there is none), the
+        choices' number of ids and all these ids, cut by cut and choice by choice.
+        """
         by_size: dict[int, list[int]] = {}
         for k, t in enumerate(texts):
             by_size.setdefault(len(t) if 0 < len(t) <= LONG_CUT else 0, []).append(k)
+        alone = by_size.pop(0, [])
         for size, some in by_size.items():
-            for lo in range(0, len(some), 20_000):
-                part = some[lo: lo + 20_000]
-                if size and len(part) > 8:
-                    self._search_block(texts, part, size, out)
-                else:
-                    for k in part:
-                        out[k] = self.first_two(texts[k])
-        return out
-
-    def _search_block(self, texts: list[str], some: list[int], size: int, out: list) -> None:
-        n = len(some)
-        chars = np.frombuffer("".join(texts[k] for k in some).encode("utf-32-le", "surrogatepass"), np.uint32)
+            rows = max(64, BLOCK_EDGES // (size * size))
+            for lo in range(0, len(some), rows):
+                part = some[lo: lo + rows]
+                if len(part) <= 8:
+                    alone += part
+                    continue
+                bare, *found = self._search_block([texts[k] for k in part], size)
+                alone += [part[k] for k in np.flatnonzero(bare)]
+                yield [part[k] for k in np.flatnonzero(~bare)], *found
+        if alone:
+            found = [self.n_best(texts[k], self.n) for k in alone]
+            score, sizes = np.full((len(alone), self.n), -np.inf), np.zeros((len(alone), self.n), np.int64)
+            for k, choices in enumerate(found):
+                score[k, :len(choices)] = [s for s, _ in choices]
+                sizes[k, :len(choices)] = [len(ids) for _, ids in choices]
+            yield alone, score, sizes, np.array([i for choices in found for _, ids in choices for i in ids], np.int32)
+
+    def _search_block(self, texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the cuts have a character that is no piece; scores, sizes and ids of the choices of the others."""
+        n = len(texts)
+        chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         chars = chars.reshape(n, size).astype(np.uint64) + np.uint64(1)
-        edge: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        whole = np.ones(n, bool)  # every character is a piece
+        edge = np.full((n, size + 1, size), -np.inf)  # by end and start
+        piece = np.zeros((n, size + 1, size), np.int32)
+        bare = np.zeros(n, bool)
         for start in range(size):
             code = np.zeros(n, np.uint64)
             for end in range(start + 1, min(size, start + self.longest) + 1):
@@ -181,62 +173,77 @@ class PieceModel:
                 at = np.minimum(np.searchsorted(self.piece_hash, code), len(self.piece_hash) - 1)
                 hit = self.piece_hash[at] == code
                 if end == start + 1:
-                    whole &= hit
-                if hit.any():
-                    edge[start, end] = np.where(hit, self.piece_score[at], -np.inf), self.piece_id[at]
-        best = np.full((size + 1, n), -np.inf)
-        best[0], back = 0.0, np.zeros((size + 1, n), np.int64)
+                    bare |= ~hit
+                edge[hit, end, start], piece[hit, end, start] = self.piece_score[at[hit]], self.piece_id[at[hit]]
+        if bare.any():
+            edge, piece = edge[~bare], piece[~bare]
+        best = np.zeros((len(edge), size + 1))
         for end in range(1, size + 1):
-            for start in range(max(0, end - self.longest), end):
-                if (start, end) in edge:
-                    through = best[start] + edge[start, end][0]
-                    # on a tie the later start wins, as in the search of one cut
-                    better = through >= best[end]
-                    best[end] = np.where(better, through, best[end])
-                    back[end] = np.where(better, start, back[end])
-        row, ids, taken = np.arange(n), [], {key: np.zeros(n, bool) for key in edge}
-        at = np.full(n, size)
-        while (at > 0).any():
-            start = back[at, row]
-            step = np.full(n, -1, np.int32)
-            for key in edge:
-                on = (at == key[1]) & (start == key[0]) & (at > 0)
-                if on.any():
-                    step[on] = edge[key][1][on]
-                    taken[key] |= on
-            ids.append(step)
-            at = np.where(at > 0, start, 0)
-        after = np.full((size + 1, n), -np.inf)
-        after[size] = 0.0
-        second = np.full(n, -np.inf)
-        for start in range(size - 1, -1, -1):
-            for end in range(start + 1, min(size, start + self.longest) + 1):
-                if (start, end) in edge:
-                    through = edge[start, end][0] + after[end]
-                    after[start] = np.maximum(after[start], through)
-                    second = np.maximum(second, np.where(taken[start, end], -np.inf, best[start] + through))
-        path = np.stack(ids[::-1], axis=1)
-        loss = np.full(n, np.inf)  # infinite: there is no second choice
-        some_second = np.isfinite(second) & whole
-        loss[some_second] = np.maximum(0.0, best[size][some_second] - second[some_second])
-        for i, k in enumerate(some):
-            if whole[i]:
-                out[k] = float(best[size, i]), tuple(x for x in path[i].tolist() if x >= 0), float(loss[i])
-            else:
-                out[k] = self.first_two(texts[k])
+            best[:, end] = (best[:, :end] + edge[:, end, :end]).max(axis=1)
+        score, starts = self._search_back(edge, best, size)
+        # the starts of a choice's pieces are the bits set; a piece ends where the next begins
+        bits = (starts[:, :, None] >> np.arange(size)) & 1 > 0
+        ends, after = np.zeros(bits.shape, np.int64), np.full(starts.shape, size)
+        for k in range(size - 1, -1, -1):
+            ends[:, :, k] = after
+            after = np.where(bits[:, :, k], k, after)
+        row, choice, start = np.nonzero(bits)
+        return bare, score, bits.sum(axis=2), piece[row, ends[row, choice, start], start]
+
+    def _search_back(self, edge: np.ndarray, best: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The search of ``n_best`` on many lattices at once: every step takes the top of every cut's heap.
+
+        Returns the scores of the choices and the starts of their pieces as bits.
+        """
+        n, count = len(edge), self.n
+        score, starts = np.full((n, count), -np.inf), np.zeros((n, count), np.int64)
+        row, found = np.arange(n), np.zeros(n, np.int64)  # cuts still searched and their finished choices
+        total, behind = np.full((n, 1), 0.0), np.zeros((n, 1))
+        way, place = np.zeros((n, 1), np.int64), np.full((n, 1), size, np.int8)
+        visits, used = np.zeros((n, size + 1), np.int64), 1
+        places = np.arange(size, dtype=np.int8)
+        bit = np.int64(1) << np.arange(size, dtype=np.int64)
+        while len(row):
+            if used + size > total.shape[1]:
+                more = ((0, 0), (0, total.shape[1] + 4 * size))
+                total, behind = np.pad(total, more, constant_values=-np.inf), np.pad(behind, more)
+                way, place = np.pad(way, more), np.pad(place, more)
+            own = np.arange(len(row))
+            open_ = total[:, :used]
+            top = open_.max(axis=1)
+            pick = np.where(open_ == top[:, None], way[:, :used], -1).argmax(axis=1)
+            at, so_far, taken = place[own, pick].astype(np.int64), behind[own, pick], way[own, pick]
+            total[own, pick] = -np.inf
+            visits[own, at] += 1
+            useful = np.isfinite(top) & (visits[own, at] <= count)
+            done = useful & (at == 0)
+            score[row[done], found[done]], starts[row[done], found[done]] = so_far[done], taken[done]
+            found[done] += 1
+            through = np.where((useful & ~done)[:, None], so_far[:, None] + edge[row, at], -np.inf)
+            new = slice(used, used + size)
+            total[:, new], behind[:, new] = best[row, :size] + through, through
+            way[:, new], place[:, new] = taken[:, None] | bit, places
+            used += size
+            going = np.isfinite(top) & (found < count)
+            if going.sum() < 0.8 * len(row):
+                row, found, visits = row[going], found[going], visits[going]
+                total, behind, way, place = total[going], behind[going], way[going], place[going]
+            elif not going.all():
+                total[~going] = -np.inf
+        return score, starts
 
     # -- texts ---------------------------------------------------------------------------
 
     def _clear(self) -> None:
-        """Forget all cuts (place, ids in a pool, score, what the second choice loses) and the cuts of words."""
+        """Forget all cuts (place, and for each choice ids in a pool and score) and the cuts of words."""
         self.place: dict[str, int] = {}
         self.word: dict[str, int] = {}
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
-        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.score, self.loss, self.good = np.zeros(1 << 14), np.zeros(1 << 14), np.zeros(1 << 14, bool)
+        shape = 1 << 14, self.n
+        self.start, self.size, self.score = np.zeros(shape, np.int64), np.zeros(shape, np.int64), np.zeros(shape)
+        self.loss, self.good = np.zeros(1 << 14), np.zeros(1 << 14, bool)
         self.word_start, self.word_size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.word_cuts, self.word_used = np.zeros(1 << 16, np.int64), 0
-        self.others: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def cuts(self, text: str) -> list[str]:
         """Parts of a text (spaces as MARK) between characters that no piece holds side by side."""
@@ -263,18 +270,27 @@ class PieceModel:
         for name in ("start", "size", "score", "loss", "good"):
             setattr(self, name, _grown(getattr(self, name), last))
         plain = [c for c in new if c != MARK]
-        found = dict(zip(plain, self.search_all([c.replace(" ", MARK) for c in plain])))
+        self.place.update(zip(plain, range(first, last)))
         if len(plain) < len(new):
-            found[MARK] = self.unknown * 3, tuple(self.of_byte[b] for b in MARK.encode()), np.inf
-        for k, cut in enumerate(new, first):
-            score, ids, loss = found[cut]
-            if self.used + len(ids) > len(self.pool):
-                self.pool = _grown(self.pool, self.used + len(ids))
-            self.pool[self.used: self.used + len(ids)] = ids
-            self.start[k], self.size[k], self.score[k], self.loss[k] = self.used, len(ids), score, loss
+            self.place[MARK] = last - 1
+            ids = np.array([self.of_byte[b] for b in MARK.encode()], np.int32)
+            only = np.arange(self.n)[None] == 0
+            self._keep_choices(np.array([last - 1]), np.where(only, self.unknown * 3, -np.inf), only * len(ids), ids)
+        for some, score, size, ids in self.search_all([c.replace(" ", MARK) for c in plain]):
+            self._keep_choices(first + np.array(some, np.int64), score, size, ids)
+        for cut in new:
+            k = self.place[cut]
+            ids = self.pool[self.start[k, 0]: self.start[k, 0] + self.size[k, 0]].tolist()
             self.good[k] = b"".join(map(self.bytes_of.__getitem__, ids)) == cut.encode("utf-8", "surrogatepass")
-            self.used += len(ids)
-        self.place.update(zip(new, range(first, last)))
+
+    def _keep_choices(self, at: np.ndarray, score: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Keep what ``search_all`` found for the cuts at some places."""
+        self.pool = _grown(self.pool, self.used + len(ids))
+        self.pool[self.used: self.used + len(ids)] = ids
+        self.start[at] = self.used + (np.cumsum(size) - size.ravel()).reshape(size.shape)
+        self.size[at], self.score[at] = size, score
+        self.loss[at] = score[:, 0] - score[:, 1] if self.n > 1 else np.inf
+        self.used += len(ids)
 
     def _keep_words(self, new: list[str]) -> None:
         parts = [[w] if w == MARK else [c.replace(MARK, " ") for c in self.cuts(w.replace(" ", MARK))] for w in new]
@@ -318,47 +334,30 @@ class PieceModel:
         counts = np.bincount(rows, self.word_size[code], minlength=len(texts)).astype(np.int64)
         return at, np.concatenate([[0], np.cumsum(counts)])
 
-    def choices(self, cut: str) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best of a cut, remembered."""
-        found = self.others.get(cut)
-        if found is None:
-            found = self.others[cut] = self.n_best(cut.replace(" ", MARK), self.n)
-        return found
-
-    def ids_at(self, at: np.ndarray) -> np.ndarray:
-        return _gather(self.pool, self.start[at], self.size[at])
+    def ids_at(self, at: np.ndarray, changed: dict[int, int] | None = None) -> np.ndarray:
+        """The ids of a segmentation: the best choice of each cut but for the changed ones."""
+        choice = np.zeros(len(at), np.int64)
+        for k, c in (changed or {}).items():
+            choice[k] = c
+        return _gather(self.pool, self.start[at, choice], self.size[at, choice])
 
-    def scores(self, at: np.ndarray, names: dict[int, str]) -> tuple[list[float], list[dict[int, int]]]:
+    def scores(self, at: np.ndarray) -> tuple[list[float], list[dict[int, int]]]:
         """The scores of the N best segmentations of a text's cuts, and which cuts differ from their best choice.
 
         Only the N - 1 cuts whose second choice costs least can differ.
         """
-        best, lost = float(self.score[at].sum()), self.loss[at]
+        best, lost = float(self.score[at, 0].sum()), self.loss[at]
         few = np.argpartition(lost, self.n - 2)[: self.n - 1] if 0 < self.n - 1 < len(lost) else np.arange(len(lost))
         few = np.sort(few[np.isfinite(lost[few])]) if self.n > 1 else few[:0]
-        options = [self.choices(names[int(at[k])]) for k in few]
-        ways = _cheapest([[o[0][0] - s for s, _ in o] for o in options], self.n)
+        options = [(s[0] - s[np.isfinite(s)]).tolist() for s in self.score[at[few]]]
+        ways = _cheapest(options, self.n)
         return [best - loss for loss, _ in ways], [{int(k): c for k, c in zip(few, chosen) if c} for _, chosen in ways]
 
     def encode(self, text: str) -> tuple[np.ndarray, list[float], list[np.ndarray]]:
         """Best ids, the N best scores, and the ids of each of the N best segmentations of one text."""
         at, _ = self.cuts_of_all(pa.array([text], pa.string()))
-        names = self.names(at)
-        values, changed = self.scores(at, names)
-        return self.ids_at(at), values, [self.ids_of(at, names, c) for c in changed]
-
-    def names(self, at: np.ndarray) -> dict[int, str]:
-        """The cuts kept at some places."""
-        if getattr(self, "listed_of", None) is not self.place or len(self.listed) != len(self.place):
-            self.listed, self.listed_of = list(self.place), self.place
-        return _At(self.listed)
-
-    def ids_of(self, at: np.ndarray, names: dict[int, str], changed: dict[int, int]) -> np.ndarray:
-        """The ids of a segmentation: the best choice of each cut but for the changed ones."""
-        parts = [
-            np.array(self.choices(names[int(p)])[changed[k]][1], np.int32) if k in changed
-            else self.pool[self.start[p]: self.start[p] + self.size[p]] for k, p in enumerate(at)]
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        values, changed = self.scores(at)
+        return self.ids_at(at), values, [self.ids_at(at, c) for c in changed]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids: bytes as they are, MARKs as spaces, without the space in front."""
@@ -366,18 +365,8 @@ class PieceModel:
         return raw[1:].decode("utf-8", "surrogatepass") if raw[:1] == b" " else raw.decode("utf-8", "surrogatepass")
 
 
-class _At:
-    """A list read like a mapping."""
-
-    def __init__(self, items: list[str]):
-        self.items = items
-
-    def __getitem__(self, k: int) -> str:
-        return self.items[k]
-
-
 def _grown(x: np.ndarray, need: int) -> np.ndarray:
-    return x if need <= len(x) else np.concatenate([x, np.zeros(max(need - len(x), len(x)), x.dtype)])
+    return x if need <= len(x) else np.concatenate([x, np.zeros((max(need - len(x), len(x)), *x.shape[1:]), x.dtype)])
 
 
 def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -437,18 +426,17 @@ def encode_texts(
 
         def run(texts: pa.Array) -> list:
             at, starts = codec.cuts_of_all(texts)
-            names = codec.names(at)
             size, crc, scores, same, ids = [], [], [], [], []
             for lo, hi in zip(starts, starts[1:]):
                 own = at[lo:hi]
                 best = codec.ids_at(own)
-                values, changed = codec.scores(own, names)
+                values, changed = codec.scores(own)
                 size.append(len(best))
                 crc.append(zlib.crc32(best.astype("<u4").tobytes()))
                 scores.append(values)
                 same.append(bool(codec.good[own].all()))  # decoding joins the cuts' texts
                 if with_ids:
-                    ids.append([codec.ids_of(own, names, c) for c in changed])
+                    ids.append([codec.ids_at(own, c) for c in changed])
             out = [
                 pa.array(size, pa.int32()), pa.array(crc, pa.int64()), pa.array(scores, pa.list_(pa.float64())),
                 pa.array(same, pa.bool_())]

@@ -171,6 +171,28 @@ def test_n_best_equals_exhaustive_search(piece_model):
         assert all(piece_model.decode(x) == text for x in every)
 
 
+def test_equal_scores_are_different_segmentations(piece_model):
+    for text in ("%%%", "$$$", "a%%%", "%%%%", "x$$$y", "é%%%"):
+        ids, scores, way = piece_model.encode(text)
+        every = [tuple(x.tolist()) for x in way]
+        assert every[0] == tuple(ids.tolist()) and len(set(every)) == len(every) == len(scores)
+        assert scores == pytest.approx(exhaustive(piece_model, "▁" + text.replace(" ", "▁"), 4))
+
+
+def test_cuts_side_by_side_have_the_choices_of_one_search():
+    model = pieces.PieceModel(tokenizer_file("piece_bpe_32k.model"), 4)
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("%$then atoé\x07", k=rng.randint(0, 12))) for _ in range(2000)]
+    model.cuts_of_all(pa.array([*texts, "e" * 40, "%" * 40]))
+    ties = 0
+    for cut, k in model.place.items():
+        want = model.n_best(cut.replace(" ", "▁"), 4)
+        ties += len({score for score, _ in want}) < len(want)
+        kept = [(model.score[k, c], tuple(model.ids_at(np.array([k]), {0: c}).tolist())) for c in range(len(want))]
+        assert kept == want and not np.isfinite(model.score[k, len(want):]).any()
+    assert ties > 20
+
+
 def test_texts_come_back_from_pieces(spark, documents, no_documents):
     path = tokenizer_file("piece_bpe_32k.model")
     coded = pieces.encode_texts(documents.withColumn("N_pieces", F.lit("x")), path)
