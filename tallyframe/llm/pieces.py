@@ -66,6 +66,7 @@ class PieceModel:
         self.spaced = not any(a != MARK and b == MARK for a, b in self.pairs)
         self.bytes_of = [
             bytes([self.byte_of[k]]) if k in self.byte_of else self.text_of[k].replace(MARK, " ").encode() for k in range(size)]
+        self.bytes_array = pa.array(self.bytes_of, pa.large_binary())
         self.n = n
         self._index_pieces()
         self._clear()
@@ -241,7 +242,7 @@ class PieceModel:
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
         shape = 1 << 14, self.n
         self.start, self.size, self.score = np.zeros(shape, np.int64), np.zeros(shape, np.int64), np.zeros(shape)
-        self.loss, self.good = np.zeros(1 << 14), np.zeros(1 << 14, bool)
+        self.loss = np.zeros(1 << 14)
         self.word_start, self.word_size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.word_cuts, self.word_used = np.zeros(1 << 16, np.int64), 0
 
@@ -267,7 +268,7 @@ class PieceModel:
     def _keep_cuts(self, new: list[str]) -> None:
         """Search new cuts and keep what was found. A cut that is the text's own MARK goes as bytes and so comes back."""
         first, last = len(self.place), len(self.place) + len(new)
-        for name in ("start", "size", "score", "loss", "good"):
+        for name in ("start", "size", "score", "loss"):
             setattr(self, name, _grown(getattr(self, name), last))
         plain = [c for c in new if c != MARK]
         self.place.update(zip(plain, range(first, last)))
@@ -278,10 +279,6 @@ class PieceModel:
             self._keep_choices(np.array([last - 1]), np.where(only, self.unknown * 3, -np.inf), only * len(ids), ids)
         for some, score, size, ids in self.search_all([c.replace(" ", MARK) for c in plain]):
             self._keep_choices(first + np.array(some, np.int64), score, size, ids)
-        for cut in new:
-            k = self.place[cut]
-            ids = self.pool[self.start[k, 0]: self.start[k, 0] + self.size[k, 0]].tolist()
-            self.good[k] = b"".join(map(self.bytes_of.__getitem__, ids)) == cut.encode("utf-8", "surrogatepass")
 
     def _keep_choices(self, at: np.ndarray, score: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
         """Keep what ``search_all`` found for the cuts at some places."""
@@ -361,7 +358,8 @@ class PieceModel:
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids: bytes as they are, MARKs as spaces, without the space in front."""
-        raw = b"".join(map(self.bytes_of.__getitem__, ids))
+        found = self.bytes_array.take(pa.array(ids, pa.int32()))
+        raw = found.buffers()[2].to_pybytes()[: pc.sum(pc.binary_length(found)).as_py()] if len(found) else b""
         return raw[1:].decode("utf-8", "surrogatepass") if raw[:1] == b" " else raw.decode("utf-8", "surrogatepass")
 
 
@@ -411,38 +409,48 @@ SUMMARY = [
 IDS = StructField("nbest_ids", ArrayType(ArrayType(IntegerType())))
 
 
+def encode_slice(codec: PieceModel, texts: pa.Array, with_ids: bool) -> list[pa.Array]:
+    """The columns of ``encode_texts`` for some texts."""
+    at, starts = codec.cuts_of_all(texts)
+    size, crc, scores, same, ids = [], [], [], [], []
+    for text, lo, hi in zip(texts.to_pylist(), starts, starts[1:]):
+        own = at[lo:hi]
+        values, changed = codec.scores(own)
+        ways = [codec.ids_at(own, c) for c in changed]
+        size.append(len(ways[0]))
+        crc.append(zlib.crc32(ways[0].astype("<u4").tobytes()))
+        scores.append(values)
+        same.append(all(codec.decode(way) == text for way in ways))
+        if with_ids:
+            ids.append(ways)
+    out = [
+        pa.array(size, pa.int32()), pa.array(crc, pa.int64()), pa.array(scores, pa.list_(pa.float64())),
+        pa.array(same, pa.bool_())]
+    return [*out, _nested(ids)] if with_ids else out
+
+
+def _nested(rows: list[list[np.ndarray]]) -> pa.Array:
+    """Lists of lists of ids."""
+    flat = [way for ways in rows for way in ways]
+    ends, row_ends = np.cumsum([0, *map(len, flat)]), np.cumsum([0, *map(len, rows)])
+    inner = pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0), pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(row_ends, pa.int32()), inner)
+
+
 def encode_texts(
     docs: DataFrame, model: str, text: str = "text", n: int = N_BEST, keep: Sequence[str] | None = None, with_ids: bool = True
 ) -> DataFrame:
     """Every row with its best segmentation's size and checksum, the N best scores and (``with_ids``) their ids.
 
-    round_trip says that decoding the best ids gives the text back (every cut's ids are decoded, and a text's decode to their join). Scores fall from first to last; a text
-    with fewer segmentations has fewer. A NULL text counts as empty: the model's space in front is all that
+    round_trip says that decoding the whole text's ids gives the text back, for each of the N best. Scores fall from first
+    to last; a text with fewer segmentations has fewer. A NULL text counts as empty: the model's space in front is all that
     it holds. Rows depend on nothing but their text; equal texts have equal results. Columns of
     these names in the input are replaced.
     """
     def make():
         codec = model_of(model, n)
-
-        def run(texts: pa.Array) -> list:
-            at, starts = codec.cuts_of_all(texts)
-            size, crc, scores, same, ids = [], [], [], [], []
-            for lo, hi in zip(starts, starts[1:]):
-                own = at[lo:hi]
-                best = codec.ids_at(own)
-                values, changed = codec.scores(own)
-                size.append(len(best))
-                crc.append(zlib.crc32(best.astype("<u4").tobytes()))
-                scores.append(values)
-                same.append(bool(codec.good[own].all()))  # decoding joins the cuts' texts
-                if with_ids:
-                    ids.append([codec.ids_at(own, c) for c in changed])
-            out = [
-                pa.array(size, pa.int32()), pa.array(crc, pa.int64()), pa.array(scores, pa.list_(pa.float64())),
-                pa.array(same, pa.bool_())]
-            return [*out, pa.array(ids, pa.list_(pa.list_(pa.int32())))] if with_ids else out
-
-        return run
+        return lambda texts: encode_slice(codec, texts, with_ids)
 
     return map_text(docs, text, [*SUMMARY, *([IDS] if with_ids else [])], make, keep)
 

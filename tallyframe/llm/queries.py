@@ -60,7 +60,7 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.encode_texts(docs, tokenizer_file("piece_bpe_32k.model"), keep=["doc_id"], with_ids=False)
+    return pieces.encode_texts(docs, tokenizer_file("piece_bpe_32k.model"), keep=["doc_id"])
 
 
 def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:

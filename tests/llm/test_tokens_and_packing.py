@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyframe.llm import packing, pieces, token_files
-from tallyframe.llm.queries import tokenizer_file
+from tallyframe.llm.queries import piece_encoding, tokenizer_file
 from tallyframe.llm.word_tokens import WordEncoder
 from tallyframe.session import work_dir
 
@@ -193,6 +193,27 @@ def test_cuts_side_by_side_have_the_choices_of_one_search():
     assert ties > 20
 
 
+def test_round_trip_sees_the_whole_text():
+    class Disordered(pieces.PieceModel):
+        def cuts_of_all(self, texts):
+            at, starts = super().cuts_of_all(texts)
+            return np.concatenate([at[lo:hi][::-1] for lo, hi in zip(starts, starts[1:])]), starts
+
+    texts, path = pa.array(["one two", "", "x"]), tokenizer_file("piece_bpe_32k.model")
+    *_, same, ids = pieces.encode_slice(pieces.PieceModel(path, 4), texts, True)
+    assert same.to_pylist() == [True] * 3 and min(map(len, ids.to_pylist())) > 0
+    assert pieces.encode_slice(Disordered(path, 4), texts, False)[-1].to_pylist() == [False, True, True]
+
+
+def test_piece_query_returns_all_segmentations(spark, sf_dir):
+    coded = piece_encoding(spark, sf_dir)
+    best = coded.select("doc_id", F.explode("nbest_ids").alias("ids"), F.size("nbest_scores").alias("n"))
+    back = pieces.decode_ids(best, tokenizer_file("piece_bpe_32k.model")).groupBy("doc_id", "text").agg(
+        F.count("*").alias("found"), F.max("n").alias("n"))
+    want = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    assert back.join(want, ["doc_id", "text"]).where("found = n").count() == want.count()
+
+
 def test_texts_come_back_from_pieces(spark, documents, no_documents):
     path = tokenizer_file("piece_bpe_32k.model")
     coded = pieces.encode_texts(documents.withColumn("N_pieces", F.lit("x")), path)
