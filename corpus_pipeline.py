@@ -49,7 +49,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 4096 tokens."""
-    return packing.pack_documents(docs, tokenizer_file(), keep=["doc_id"])
+    return packing.pack_documents(docs, tokenizer_file(), keep=["doc_id"], special_as_text=False)
 
 
 STAGES = [

@@ -32,12 +32,13 @@ PIECE = [
 
 def token_pieces(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str = "text", keep: Sequence[str] | None = None,
-    end_id: int | None = END_ID, with_ids: bool = False,
+    end_id: int | None = END_ID, with_ids: bool = False, special_as_text: bool = True,
 ) -> DataFrame:
     """One row per piece of each document: the kept columns, piece, start, length, ids_crc32 (and ids).
 
     ``ids`` holds little-endian unsigned 32-bit ids. A NULL text is an empty one: one piece with
-    the end id, or none without an end id. Columns of these names in the input are replaced.
+    the end id, or none without an end id. ``special_as_text`` takes the strings of special tokens in a
+    text as ordinary text, else they become these tokens' ids. Columns of these names in the input are replaced.
     """
     fields = [*PIECE, *([StructField("ids", BinaryType())] if with_ids else [])]
     new = {f.name for f in fields}
@@ -47,7 +48,7 @@ def token_pieces(
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
 
     def run(batches):
-        codec = encoder(tokenizer, end_id)
+        codec = encoder(tokenizer, end_id, special_as_text)
         for batch in batches:
             for part in text_slices(batch, "__text"):
                 ids, starts = codec.encode(part.column("__text").cast(pa.string()))
@@ -162,10 +163,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str = "text", keep: Sequence[str] | None = None,
-    with_ids: bool = False,
+    with_ids: bool = False, special_as_text: bool = True,
 ) -> DataFrame:
     """Whole documents to packed pieces: ``token_pieces`` and then ``pack``; texts are encoded once."""
-    return pack(token_pieces(docs, tokenizer, capacity, text, keep, with_ids=with_ids), capacity)
+    return pack(token_pieces(docs, tokenizer, capacity, text, keep, with_ids=with_ids, special_as_text=special_as_text), capacity)
 
 
 def sequences(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -44,7 +44,7 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack_documents(docs, tokenizer_file(), keep=["doc_id"])
+    return packing.pack_documents(docs, tokenizer_file(), keep=["doc_id"], special_as_text=False)
 
 
 def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     folder = work_dir(spark, "token-files")
-    token_files.write_token_files(docs, folder, tokenizer_file())
+    token_files.write_token_files(docs, folder, tokenizer_file(), special_as_text=False)
     return token_files.read_documents(spark, folder)
 
 

@@ -43,12 +43,13 @@ def open_store(folder: str) -> tuple[pafs.FileSystem, str]:
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text",
-    end_id: int | None = END_ID, parts: int | None = None,
+    end_id: int | None = END_ID, parts: int | None = None, special_as_text: bool = True,
 ) -> dict:
     """Encode every whole text and write it in ascending key order; returns the manifest.
 
     NULL texts count as empty and hold the end id only. NULL keys come first; rows with equal
     keys follow each other in the order in which they were read. An empty frame writes a manifest without parts.
+    ``special_as_text`` takes the strings of special tokens in a text as ordinary text, else they become these tokens' ids.
     Other columns are not written. The driver receives one row per part.
 
     Spark range-partitions by (key, reading position), so neither a hot key nor repeated rows
@@ -69,7 +70,7 @@ def write_token_files(
         task = TaskContext.get()
         name = f"{run_id}-{task.partitionId():06d}-{task.taskAttemptId()}"
         store, root = open_store(folder)
-        codec = encoder(tokenizer, end_id)
+        codec = encoder(tokenizer, end_id, special_as_text)
         offsets, keys, total = [np.zeros(1, np.int64)], [], 0
         ids_file = None
         for batch in batches:

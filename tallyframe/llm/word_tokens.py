@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from functools import lru_cache
 from itertools import chain, repeat
@@ -43,13 +44,16 @@ def _grown(x: np.ndarray, need: int) -> np.ndarray:
 
 
 class WordEncoder:
-    def __init__(self, path: str, end_id: int | None = END_ID):
+    def __init__(self, path: str, end_id: int | None = END_ID, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # in a text their strings are ordinary text
-        self.by_word, self.fast = self._traits(json.loads(self.whole.to_str()))
+        self.whole.encode_special_tokens = special_as_text
+        spec = json.loads(self.whole.to_str())
+        strings = [] if special_as_text else [re.escape(t["content"]) for t in spec["added_tokens"] if t["special"]]
+        self.special = "(?i)" + "|".join(strings) if strings else None
+        self.by_word, self.fast = self._traits(spec)
         self.model = Tokenizer(self.whole.model) if self.fast else None
         self.letters, self.end_id = byte_letters(), end_id
         self.dtype = np.dtype("<u2") if max(self.whole.get_vocab_size(), end_id or 0) <= 1 << 16 else np.dtype("<u4")
@@ -115,6 +119,18 @@ class WordEncoder:
             flat = np.array([i for x in found for i in x], self.dtype)
             counts = np.array([len(x) for x in found], np.int64)
             return self._ended(flat, counts)
+        if self.special:
+            odd = pc.match_substring_regex(texts, self.special)
+            if pc.any(odd).as_py():  # texts that hold a special token's string go through the tokenizer as a whole
+                flat, starts = self._by_words(pc.if_else(odd, "", texts))
+                found = [e.ids for e in self.whole.encode_batch(texts.filter(odd).to_pylist(), add_special_tokens=False)]
+                added = np.zeros(len(texts), np.int64)
+                added[odd.to_numpy(zero_copy_only=False)] = [len(x) for x in found]
+                flat = np.insert(flat, np.repeat(starts[:-1], added), np.fromiter(chain.from_iterable(found), self.dtype))
+                return flat, starts + np.concatenate([[0], np.cumsum(added)])
+        return self._by_words(texts)
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if self.fast else texts)
         words = pc.list_flatten(split).dictionary_encode()
         row = pc.list_parent_indices(split).to_numpy(zero_copy_only=False)
@@ -144,9 +160,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str, end_id: int | None = END_ID) -> WordEncoder:
+def encoder(path: str, end_id: int | None = END_ID, special_as_text: bool = True) -> WordEncoder:
     """One encoder per Python worker and tokenizer file; its cache lives on between tasks."""
-    return WordEncoder(path, end_id)
+    return WordEncoder(path, end_id, special_as_text)
 
 
 def crc_of(ids: np.ndarray) -> int:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyframe.llm import packing, pieces, token_files
-from tallyframe.llm.queries import piece_encoding, tokenizer_file
+from tallyframe.llm.queries import packing_query, piece_encoding, token_output, tokenizer_file
 from tallyframe.llm.word_tokens import WordEncoder
 from tallyframe.session import work_dir
 
@@ -133,6 +133,19 @@ def test_best_fit_equals_best_fit_item_by_item(lengths):
     assert sum(len(p) for p in bins.values()) == len(lengths)
 
 
+def test_strings_of_special_tokens_as_the_library_has_them(spark, tmp_path):
+    texts = [*HARD, "a <|startoftext|>b<|endoftext|>", "<|ENDOFTEXT|> Ab", "", "plain words", "x<|endoftext|><|endoftext|>, y"]
+    whole = Tokenizer.from_file(tokenizer_file())
+    want = [e.ids + [1] for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert sum(49407 in x for x in want) == 3 and sum(49406 in x for x in want) == 1
+    ids, starts = WordEncoder(tokenizer_file(), special_as_text=False).encode(pa.array(texts))
+    assert [ids[lo:hi].tolist() for lo, hi in zip(starts, starts[1:])] == want
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    crcs = {k: zlib.crc32(np.array(x, "<u4").tobytes()) for k, x in enumerate(want)}
+    assert {r.doc_id: r.ids_crc32 for r in packing_query(spark, str(tmp_path)).collect()} == crcs
+    assert {r.doc_id: r.ids_crc32 for r in token_output(spark, str(tmp_path)).collect()} == crcs
+
+
 def test_a_length_over_the_capacity_fails():
     with pytest.raises(ValueError):
         packing.best_fit({21: 1}, 20)
