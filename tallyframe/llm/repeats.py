@@ -1,7 +1,7 @@
-"""Removal of every byte string of ``window`` bytes that also starts elsewhere, by a depth-limited radix search.
+"""Removal of every byte string of ``window`` bytes that also starts elsewhere, by anchors and hash groups.
 
-Suffixes are told apart by passes from short to long prefixes, and only as deep as the window:
-a pass groups what earlier passes left by the hash of more bytes and drops what is alone; groups
+This stands in for a depth-limited radix sort of suffixes by digit passes: no suffix is put in order and no digit is read.
+A pass groups what earlier passes left by the hash of more bytes and drops what is alone; groups
 that are equal over the whole window are the repeated windows. So that not every suffix has
 to travel, windows go together in ranges that share an anchor, the least gram of each window (equal
 windows have it at the same place):
