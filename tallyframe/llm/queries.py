@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import cotraining, digest, jaccard, line_rules, packing, pieces, repeats, sharding, token_files, url_rules
+from . import (
+    chat_format, cotraining, digest, importance, jaccard, line_rules, packing, pieces, prefix_trie, repeats, sharding, token_files,
+    url_rules,
+)
+from .oracle import SQL
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -77,6 +81,25 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"  # a conversation made of control strings
+    more = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], given.schema)
+    model = tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return chat_format.read_back(chat_format.format_turns(given.unionByName(more), *model), *model)
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_cotraining_quality": quality_classifier,
     "op2_url_filter": url_filter,
@@ -88,6 +111,7 @@ QUERIES = {
     "op8_repeated_windows": repeat_removal,
     "op9_line_rules": quality_rules,
     "op10_quartile_digest": fingerprints,
+    "op11_importance_resampling": resampling,
+    "op12_chat_format": chat_formatting,
+    "op13_prefix_trie": conversation_trie,
 }
-
-SQL: dict[str, str] = {}
