@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .registry import REGISTRY, Query
 
-MODULES = ["scans", "rows", "joins", "totals", "windows", "values", "reports", "finals", "contracts"]
+MODULES = ["scans", "rows", "joins", "totals", "windows", "values", "reports", "finals", "contracts", "atsize"]
 
 
 def all_queries() -> dict[str, Query]:
