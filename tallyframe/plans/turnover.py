@@ -46,17 +46,24 @@ def daily_turnover(t: Tables, as_of: date, cutover: date, until: date | None = N
     journal = latest_version(changes, ["doc_id", "collection_id"], ["txn_ts", "txn_id"]).where(F.col("posted_at") >= F.lit(cutover))
     if until is not None:
         journal = journal.where(F.col("posted_at") < F.lit(until + timedelta(days=1)))
+    return account_days(t, collection_days(journal))
+
+
+def collection_days(journal: DataFrame) -> DataFrame:
+    """Newest versions of journal rows, shrunk to collections and days before they meet the accounts."""
     moves = journal.withColumns({
         "effective_from": F.to_date("posted_at"),
         "is_debit": F.coalesce("is_debit", F.lit(False)),
     })
-    # the journal shrinks to collections and days before it meets the accounts
     amounts = {"_amount": ("in_balance_rub", "amount_rub"), "_currency_amount": ("in_balance", "amount")}
-    parts = turnover_parts(moves, ["collection_id", "effective_from"], ["posted_at", "stamped_at", "id"], amounts)
+    return turnover_parts(moves, ["collection_id", "effective_from"], ["posted_at", "stamped_at", "id"], amounts)
+
+
+def account_days(t: Tables, parts: DataFrame) -> DataFrame:
+    """Collections and days folded to accounts and days, with the status of the day."""
     owned = parts.join(_accounts(t), F.col("collection_id") == F.col("acc_collection"))
     daily = turnover_of(
-        owned, ["account_id", "account_number", "second_order_account_number", "effective_from"], list(amounts)
-    )
+        owned, ["account_id", "account_number", "second_order_account_number", "effective_from"], ["_amount", "_currency_amount"])
     closed_days = t["op_day"].groupBy("op_day").agg(
         F.max(F.col("day_status") == fv.DAY_CLOSED).alias("closed_date_flag")
     )
@@ -75,7 +82,11 @@ def legacy_balances(t: Tables, cutover: date) -> DataFrame:
 
 def _both(t: Tables, as_of: date, cutover: date, until: date | None, days: int | None) -> DataFrame:
     """Former intervals and days with movement in one frame, told apart by ``is_new``."""
-    new = daily_turnover(t, as_of, cutover, until, days).withColumn("effective_to", F.lit(OPEN_END))
+    return _with_legacy(t, daily_turnover(t, as_of, cutover, until, days), cutover)
+
+
+def _with_legacy(t: Tables, daily: DataFrame, cutover: date) -> DataFrame:
+    new = daily.withColumn("effective_to", F.lit(OPEN_END))
     return union_sources(
         legacy_balances(t, cutover).withColumn("is_new", F.lit(False)),
         new.select(*COLUMNS, F.lit(True).alias("is_new")),
@@ -103,7 +114,12 @@ def turnover(t: Tables, as_of: date, cutover: date, days: int | None = None, ove
     Only each account's last day with movement is needed, so no intervals are built: that
     day, where there is one, comes before a former interval that is still open.
     """
-    rows = valid_on(_both(t, as_of, cutover, as_of, days), as_of, "effective_from", "effective_to")
+    return turnover_of_days(t, daily_turnover(t, as_of, cutover, as_of, days), as_of, cutover, overlap)
+
+
+def turnover_of_days(t: Tables, daily: DataFrame, as_of: date, cutover: date, overlap: bool = False) -> DataFrame:
+    """The report from days with movement: of each account, at least the last one up to ``as_of``."""
+    rows = valid_on(_with_legacy(t, daily, cutover), as_of, "effective_from", "effective_to")
     key = ["account_id", "is_new"] if overlap else ["account_id"]
     current = first_in(rows, key, [F.col("is_new").desc(), F.col("effective_from").desc()])
     return _on_day(current.withColumn("balance_date", F.lit(as_of)))

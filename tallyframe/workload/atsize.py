@@ -1,5 +1,7 @@
 """Rows of the reports that need an algorithm of their own at size."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..functions import money
@@ -7,8 +9,13 @@ from ..operators.allocation import allocate_fifo
 from ..operators.carry import asof_join
 from ..operators.digest_tree import tree_compare
 from ..operators.intervals import containment_join
+from ..plans.turnover_state import TurnoverState
+from ..session import work_dir
+from ..sources.buckets import BucketedTable
+from ..streaming import follow_versions
+from .finals import TURNOVER
 from .registry import query
-from .tables import dbl, doubles
+from .tables import CUTOVER, EVENT_DAY, dbl, doubles
 
 
 @query("rep_register_digest_tree", """
@@ -100,3 +107,57 @@ def asof_join_streams(g):
     buys = g.events.where("event_type = 'purchase'").select(
         "user_id", "ts", F.col("event_id").alias("bought"), F.col("value").alias("bought_value"))
     return asof_join(others, buys, ["user_id"], "ts", "ts", ["bought", "bought_value"], "bought").drop("ts")
+
+
+_MOVES = ["in_amount", "out_amount", "debit_amount", "credit_amount"]
+
+
+def late_changes(g):
+    """The journal's changes, a third of them known a day later and a third two days later."""
+    changes = g.turnover_tables["journal_changes"]
+    return {**g.turnover_tables, "journal_changes": changes.withColumn("dt", F.expr("date_add(dt, CAST(doc_id % 1000 % 3 AS int))"))}
+
+
+@query("q_turnover_steps", f"""
+WITH {TURNOVER.replace("day AS dt", "day + (k % 3)::INT AS dt")}
+SELECT balance_date, account_id, second_order_account_number, account_number,
+       {", ".join(f"{c}::DOUBLE AS {c}" for c in _MOVES)} FROM turnover""")
+def q_turnover_steps(g):
+    """The day's turnover from a state that went there in steps, with late changes."""
+    tables = late_changes(g)
+    state = TurnoverState(g.spark, work_dir(g.spark, "turnover"), CUTOVER)
+    for day in (CUTOVER, date(2024, 1, 11), date(2024, 1, 14), EVENT_DAY):
+        state.advance(tables, day)
+    return doubles(state.turnover(tables), *_MOVES)
+
+
+_VERSION = ["l_orderkey", "l_linenumber"]
+_LINES = [*_VERSION, "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
+_LATEST_LINES = f"""
+SELECT {", ".join(_LINES)} FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1"""
+_NEWEST = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+@query("win_latest_stream", _LATEST_LINES)
+def win_latest_stream(g):
+    """The newest version of every line from a stream of files, in several batches."""
+    folder = work_dir(g.spark, "stream")
+    g.lineitem.select(*_LINES).repartition(6).write.parquet(f"{folder}/changes")
+    stream = g.spark.readStream.schema(g.lineitem.select(*_LINES).schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/changes")
+    table = BucketedTable(g.spark, f"{folder}/table", _VERSION, _NEWEST, buckets=8)
+    follow_versions(stream, table, f"{folder}/checkpoint", compact_every=2, availableNow=True).awaitTermination()
+    return table.merged()
+
+
+@query("scan_merge_bucketed", _LATEST_LINES)
+def scan_merge_bucketed(g):
+    """A bucketed base of the lines up to a day, and the later lines as changes: one batch compacted, one merged on reading."""
+    lines = g.lineitem.select(*_LINES)
+    table = BucketedTable(g.spark, work_dir(g.spark, "buckets"), _VERSION, _NEWEST, buckets=8)
+    shipped = F.to_date("l_shipdate")
+    table.create(lines.where(shipped < F.lit(date(1998, 1, 1))))
+    table.add_batch(lines.where((shipped >= F.lit(date(1998, 1, 1))) & (shipped < F.lit(date(2000, 1, 1)))), 0)
+    table.compact()
+    table.add_batch(lines.where(shipped >= F.lit(date(2000, 1, 1))), 1)
+    return table.merged()
