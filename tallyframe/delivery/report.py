@@ -179,7 +179,7 @@ def run_reports(spark: SparkSession, reports: Sequence, params: RunParams, log:
         try:
             out = report.run(spark, params) or {}
         except Exception as error:
-            log_run(log, log_row(spark, run_id, report.name, "ERROR", params.run_ts, error_msg=str(error)[:2000]))
+            log_run(log, log_row(spark, run_id, report.name, "ERROR", params.run_ts, error_msg=str(error)))
             raise
         log_run(log, log_row(
             spark, run_id, report.name, "END", params.run_ts, result=out.get("result"), ticket_key=out.get("ticket_key"),

@@ -4,17 +4,21 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ..delivery.claims import ClaimLedger
+from ..delivery.variant_log import variant_log_view, write_variant_log
 from ..functions import money
 from ..operators.allocation import allocate_fifo
 from ..operators.carry import asof_join
 from ..operators.digest_tree import tree_compare
 from ..operators.intervals import containment_join
+from ..operators.rule_table import match_rules
 from ..plans.turnover_state import TurnoverState
 from ..session import work_dir
 from ..sources.buckets import BucketedTable
 from ..streaming import follow_versions
 from .finals import TURNOVER
 from .registry import query
+from .reports import LOGS, logs
 from .tables import CUTOVER, EVENT_DAY, dbl, doubles
 
 
@@ -161,3 +165,62 @@ def scan_merge_bucketed(g):
     table.compact()
     table.add_batch(lines.where(shipped >= F.lit(date(2000, 1, 1))), 1)
     return table.merged()
+
+
+@query("rep_log_view_variant", f"""
+WITH {LOGS}
+SELECT event_id, result, ticket_key, error_msg, unnest(CASE WHEN len(paths) = 0 THEN [''] ELSE paths END) AS filepath
+FROM detailed""")
+def rep_log_view_variant(g):
+    """The log view from details that were parsed once and stored as VARIANT."""
+    log = write_variant_log(logs(g), work_dir(g.spark, "variant-log"))
+    return variant_log_view(log, "REPORTS").select("event_id", "result", "ticket_key", "error_msg", "filepath")
+
+
+_RULES = """
+rules AS (
+  SELECT DISTINCT substr(p_name, 1, 3 + p_partkey % 6) || '%' AS pattern, min(p_partkey) OVER (PARTITION BY pattern) AS rank,
+         'rule ' || rank AS label FROM part
+  UNION ALL SELECT '%widget', 1000000, 'a widget' UNION ALL SELECT 's_all%', 2, 'small')"""
+
+
+def part_rules(g):
+    """Beginnings of part names, shorter and longer ones, as rules; the first part that has one gives its rank."""
+    pattern = F.concat(F.substring(F.col("p_name"), F.lit(1), (3 + F.col("p_partkey") % 6).cast("int")), F.lit("%"))
+    own = g.part.groupBy(pattern.alias("pattern")).agg(F.min("p_partkey").alias("rank"))
+    own = own.withColumn("label", F.concat(F.lit("rule "), F.col("rank").cast("string")))
+    more = g.spark.createDataFrame([("%widget", 1000000, "a widget"), ("s_all%", 2, "small")], own.schema)
+    return own.unionByName(more)
+
+
+@query("fn_rule_table", f"""
+WITH {_RULES}, matches AS (
+  SELECT DISTINCT p_name, pattern, rank, label, length(regexp_extract(pattern, '^[^%_]*')) AS size
+  FROM (SELECT DISTINCT p_name FROM part) JOIN rules ON p_name LIKE pattern),
+first AS (SELECT * FROM matches QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY rank, size DESC, pattern) = 1),
+longest AS (SELECT * FROM matches QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY size DESC, pattern) = 1)
+SELECT p_partkey, p_name, first.label AS first_label, longest.label AS longest_label
+FROM part LEFT JOIN first USING (p_name) LEFT JOIN longest USING (p_name)""")
+def fn_rule_table(g):
+    """Every part with the first and with the longest rule that its name matches."""
+    rules = part_rules(g)
+    first = match_rules(g.part.select("p_partkey", "p_name"), "p_name", rules, "pattern", "label", "rank", name="first_label")
+    return match_rules(first, "p_name", rules, "pattern", "label", name="longest_label")
+
+
+@query("rep_delivery_claims", """
+SELECT o_custkey, count(*) AS n_items, count(DISTINCT o_orderkey) AS n_orders FROM orders GROUP BY 1""")
+def rep_delivery_claims(g):
+    """Orders delivered by two runs that overlap: each goes out once."""
+    folder = work_dir(g.spark, "claims")
+    ledger = ClaimLedger(g.spark, f"{folder}/ledger", ["o_orderkey"])
+    orders = g.orders.select("o_orderkey", "o_custkey", "o_orderstatus").dropDuplicates(["o_orderkey"])
+
+    def send(items, claim):
+        items.write.mode("overwrite").parquet(f"{folder}/sent/claim={claim}")
+
+    ledger.deliver(orders.where("o_orderstatus <> 'P'"), send)
+    ledger.deliver(orders.where("o_orderstatus <> 'F'"), send)
+    ledger.deliver(orders, send)
+    sent = g.spark.read.schema(orders.schema).parquet(f"{folder}/sent")
+    return sent.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_items"), F.countDistinct("o_orderkey").alias("n_orders"))

@@ -30,10 +30,10 @@ def proj_star_plus(g):
 
 
 @query("proj_special_names", """
-SELECT o_orderkey AS "C_ORDER#1", o_custkey AS "C_ACCOUNT#1#2" FROM orders WHERE o_custkey > 10""")
+SELECT o_orderkey AS "C_ORDER#1", o_custkey AS "C_ACCOUNT#1#2" FROM orders""")
 def proj_special_names(g):
     named = g.orders.select(F.col("o_orderkey").alias("C_ORDER#1"), F.col("o_custkey").alias("C_ACCOUNT#1#2"))
-    return named.where(F.col("`C_ACCOUNT#1#2`") > 10).select("`C_ORDER#1`", "`C_ACCOUNT#1#2`")
+    return named.select("`C_ORDER#1`", "`C_ACCOUNT#1#2`")
 
 
 @query("filter_halfopen_month", f"""
