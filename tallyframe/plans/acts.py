@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, money, signed
 from ..operators.aggregates import pivot_sum, signed_sum
 from ..operators.filters import in_prev_month
-from ..operators.joins import semi, semi_chain
+from ..operators.joins import semi_chain
 from ..operators.ledger import as_of_balance
 from ..operators.setops import union_sources
 from ..params import previous_month
@@ -65,12 +65,11 @@ def txn_facts(t: Tables, as_of: date, family: ActFamily) -> DataFrame:
     so those joins see few rows. Fees are summed per transaction first: their join cannot
     repeat a transaction.
     """
-    invoiced = invoiced_txns(t, as_of)
-    # only fees of the month's transactions are summed, not all that were ever charged
-    fees = semi(t["fee_txn"], "txn_id", invoiced, "id").groupBy(F.col("txn_id").alias("fee_for")).agg(
+    # a semi join with the month's transactions would shuffle the fees by the same key, and the chain of invoices twice
+    fees = t["fee_txn"].groupBy(F.col("txn_id").alias("fee_for")).agg(
         signed_sum(F.col("fee_amount"), F.col("txn_direction") == fv.REVERSAL).alias("fee")
     )
-    txns = invoiced.join(fees, F.col("id") == F.col("fee_for"), "left")
+    txns = invoiced_txns(t, as_of).join(fees, F.col("id") == F.col("fee_for"), "left")
     reversed_ = F.col("txn_direction") == fv.REVERSAL
     per_type = (
         txns.select(F.inline(F.array(

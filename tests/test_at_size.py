@@ -356,3 +356,19 @@ def test_allocated_parts_add_up(spark, pay, doc):
         sums["p", r.payment] += r.allocated
         sums["d", r.document] += r.allocated
     assert all(sums["p", k] == m for k, (_, _, m) in enumerate(pay)) and all(sums["d", k] == m for k, (_, _, m) in enumerate(doc))
+
+
+def test_acts_read_the_invoiced_chain_once(spark, sf_dir, tmp_path):
+    """Each table of the chain is scanned once for sales, fees and disputes together."""
+    from tallyframe.plans.acts import ACT_FAMILIES, txn_facts
+    from tallyframe.workload.tables import AS_OF, Given
+
+    tables = Given(spark, sf_dir).act_tables("base")
+    names = ["txn", "fee_txn", "invoice", "invoice_item", "invoice_entry", "txn_type"]
+    for name in names:
+        tables[name].write.parquet(f"file://{tmp_path}/chain_{name}")
+    stored = {**tables, **{name: spark.read.parquet(f"file://{tmp_path}/chain_{name}") for name in names}}
+    facts = txn_facts(stored, AS_OF, ACT_FAMILIES["base"])
+    text = plan(facts)
+    assert {name: len([x for x in text.splitlines() if x.startswith("Location") and x.endswith(f"chain_{name}]")]) for name in names} == dict.fromkeys(names, 1)
+    assert rows(facts) == rows(txn_facts(tables, AS_OF, ACT_FAMILIES["base"]))
