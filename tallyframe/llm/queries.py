@@ -69,7 +69,7 @@ def piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return repeats.remove_repeats(docs, with_text=False).drop("text")
+    return repeats.remove_repeats(docs).drop("text").withColumnRenamed("kept_text", "text")
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
