@@ -62,6 +62,7 @@ class PieceModel:
         # beginnings of pieces, with id and score where the piece is whole
         self.begun = {p[:k]: None for p in self.id_of for k in range(1, len(p))} | self.id_of
         self.pairs = {p[k: k + 2] for p in self.id_of for k in range(len(p) - 1)}
+        self.pair_codes = np.array(sorted(ord(a) << 32 | ord(b) for a, b in self.pairs), np.uint64)
         # words are cut off at spaces unless some piece goes on after a space
         self.spaced = not any(a != MARK and b == MARK for a, b in self.pairs)
         self.bytes_of = [
@@ -130,6 +131,9 @@ class PieceModel:
         self.piece_id = np.array([x[1] for x in found], np.int32)
         self.piece_score = np.array([x[2] for x in found])
         self.longest = max(map(len, self.id_of))
+        # which low bits of a hash occur at all: most parts of a text are no piece, and need no search
+        self.occurs = np.zeros(1 << 19, bool)
+        self.occurs[self.piece_hash & np.uint64(len(self.occurs) - 1)] = True
 
     def search_all(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
         """``n_best`` for many cuts: those of one length are searched side by side.
@@ -171,17 +175,34 @@ class PieceModel:
             code = np.zeros(n, np.uint64)
             for end in range(start + 1, min(size, start + self.longest) + 1):
                 code = code * _BASE + chars[:, end - 1]
-                at = np.minimum(np.searchsorted(self.piece_hash, code), len(self.piece_hash) - 1)
-                hit = self.piece_hash[at] == code
+                some = np.flatnonzero(self.occurs[code & np.uint64(len(self.occurs) - 1)])
+                at = np.minimum(np.searchsorted(self.piece_hash, code[some]), len(self.piece_hash) - 1)
+                same = self.piece_hash[at] == code[some]
+                hit, at = some[same], at[same]
                 if end == start + 1:
-                    bare |= ~hit
-                edge[hit, end, start], piece[hit, end, start] = self.piece_score[at[hit]], self.piece_id[at[hit]]
+                    known = np.zeros(n, bool)
+                    known[hit] = True
+                    bare |= ~known
+                edge[hit, end, start], piece[hit, end, start] = self.piece_score[at], self.piece_id[at]
         if bare.any():
             edge, piece = edge[~bare], piece[~bare]
         best = np.zeros((len(edge), size + 1))
         for end in range(1, size + 1):
             best[:, end] = (best[:, :end] + edge[:, end, :end]).max(axis=1)
-        score, starts = self._search_back(edge, best, size)
+        # the edges of a place side by side: places have few, lattices many places
+        finite = np.isfinite(edge)
+        row, end, start = np.nonzero(finite)
+        degree = finite.sum(axis=2)
+        nth = np.arange(len(row)) - (np.cumsum(degree) - degree.ravel())[row * (size + 1) + end]
+        width = max(1, int(degree.max(initial=1)))
+        begin, gain = np.zeros((*degree.shape, width), np.int8), np.full((*degree.shape, width), -np.inf)
+        begin[row, end, nth], gain[row, end, nth] = start, edge[row, end, start]
+        limit = float(1 << (60 - size))
+        loss = np.where(np.isfinite(gain), best[np.arange(len(best))[:, None, None], begin] + gain - best[:, :, None], 0)
+        if (best == np.floor(best)).all() and (loss == np.floor(loss)).all() and np.abs(best).max(initial=0) < limit and -loss.min(initial=0) * size < limit:
+            score, starts = self._search_whole(begin, np.where(np.isfinite(gain), loss, -limit * 4), best[:, -1], size)
+        else:
+            score, starts = self._search_back(begin, gain, best, size)
         # the starts of a choice's pieces are the bits set; a piece ends where the next begins
         bits = (starts[:, :, None] >> np.arange(size)) & 1 > 0
         ends, after = np.zeros(bits.shape, np.int64), np.full(starts.shape, size)
@@ -191,41 +212,92 @@ class PieceModel:
         row, choice, start = np.nonzero(bits)
         return bare, score, bits.sum(axis=2), piece[row, ends[row, choice, start], start]
 
-    def _search_back(self, edge: np.ndarray, best: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    def _search_whole(self, begin: np.ndarray, loss: np.ndarray, best: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """``_search_back`` where all scores are whole: total and starts of a way are one number, in the order of the heap.
+
+        ``loss`` is how much the total falls when a way takes an edge, far below all others where there is none.
+        """
+        n, count, width = len(loss), self.n, loss.shape[2]
+        score, starts = np.full((n, count), -np.inf), np.zeros((n, count), np.int64)
+        step = (loss.astype(np.int64) << size) + (np.int64(1) << begin.astype(np.int64))
+        step, begin = step.reshape(-1, width), begin.reshape(-1, width)
+        none, mask = np.int64(-1 << 61), np.int64((1 << size) - 1)
+        row, found = np.arange(n), np.zeros(n, np.int64)  # cuts still searched and their finished choices
+        slots = count + 4 * width
+        key, place, used = np.full((n, slots), 2 * none), np.zeros((n, slots), np.int8), 1
+        key[:, 0], place[:, 0] = best.astype(np.int64) << size, size
+        while len(row):
+            if used + width > slots:
+                # the rest of a way is known exactly, so the first n ways of the heap lead to n segmentations: others are not needed
+                first = np.argpartition(key[:, :used], -count, axis=1)[:, -count:]
+                key[:, :count], place[:, :count] = np.take_along_axis(key, first, axis=1), np.take_along_axis(place, first, axis=1)
+                used = count
+            top = key[:, :used].argmax(axis=1) + np.arange(len(row)) * slots
+            now, at = key.ravel()[top], place.ravel()[top].astype(np.int64)
+            left = now > none
+            done = np.flatnonzero(left & (at == 0))
+            if len(done):
+                score[row[done], found[done]], starts[row[done], found[done]] = now[done] >> size, now[done] & mask
+                found[done] += 1
+            edges = row * (size + 1) + at
+            new, where = now[:, None] + step.take(edges, axis=0), begin.take(edges, axis=0)
+            new[done] = 2 * none
+            new[new <= none] = 2 * none
+            # the first edge takes the slot that came free
+            key.ravel()[top], place.ravel()[top] = new[:, 0], where[:, 0]
+            key[:, used: used + width - 1], place[:, used: used + width - 1] = new[:, 1:], where[:, 1:]
+            used += width - 1
+            going = left & (found < count)
+            if going.sum() < 0.8 * len(row):
+                row, found, key, place = row[going], found[going], key[going], place[going]
+            elif not going.all():
+                key[~going] = 2 * none
+        return score, starts
+
+    def _search_back(self, begin: np.ndarray, gain: np.ndarray, best: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The search of ``n_best`` on many lattices at once: every step takes the top of every cut's heap.
 
-        Returns the scores of the choices and the starts of their pieces as bits.
+        ``begin`` and ``gain`` are the edges into each place, -inf where there is none. Returns the scores of the choices
+        and the starts of their pieces as bits.
         """
-        n, count = len(edge), self.n
+        n, count, width = len(gain), self.n, gain.shape[2]
         score, starts = np.full((n, count), -np.inf), np.zeros((n, count), np.int64)
         row, found = np.arange(n), np.zeros(n, np.int64)  # cuts still searched and their finished choices
-        total, behind = np.full((n, 1), 0.0), np.zeros((n, 1))
-        way, place = np.zeros((n, 1), np.int64), np.full((n, 1), size, np.int8)
+        slots = count + 4 * width
+        total, behind = np.full((n, slots), -np.inf), np.zeros((n, slots))
+        way, place = np.zeros((n, slots), np.int64), np.full((n, slots), size, np.int8)
+        total[:, 0] = 0
         visits, used = np.zeros((n, size + 1), np.int64), 1
-        places = np.arange(size, dtype=np.int8)
-        bit = np.int64(1) << np.arange(size, dtype=np.int64)
         while len(row):
-            if used + size > total.shape[1]:
-                more = ((0, 0), (0, total.shape[1] + 4 * size))
-                total, behind = np.pad(total, more, constant_values=-np.inf), np.pad(behind, more)
-                way, place = np.pad(way, more), np.pad(place, more)
+            if used + width > slots:
+                # the rest of a way is known exactly, so the first n ways of the heap lead to n segmentations: others are not needed
+                open_ = total[:, :used]
+                first_ways = np.lexsort((way[:, :used], open_), axis=1)
+                for x in (total, behind, way, place):
+                    x[:, :count] = np.take_along_axis(x[:, :used], first_ways[:, -count:], axis=1)
+                used = count
             own = np.arange(len(row))
             open_ = total[:, :used]
-            top = open_.max(axis=1)
-            pick = np.where(open_ == top[:, None], way[:, :used], -1).argmax(axis=1)
+            pick = np.where(open_ == open_.max(axis=1)[:, None], way[:, :used], -1).argmax(axis=1)
+            left = open_[own, pick] > -np.inf
             at, so_far, taken = place[own, pick].astype(np.int64), behind[own, pick], way[own, pick]
-            total[own, pick] = -np.inf
             visits[own, at] += 1
-            useful = np.isfinite(top) & (visits[own, at] <= count)
+            useful = left & (visits[own, at] <= count)
             done = useful & (at == 0)
             score[row[done], found[done]], starts[row[done], found[done]] = so_far[done], taken[done]
             found[done] += 1
-            through = np.where((useful & ~done)[:, None], so_far[:, None] + edge[row, at], -np.inf)
-            new = slice(used, used + size)
-            total[:, new], behind[:, new] = best[row, :size] + through, through
-            way[:, new], place[:, new] = taken[:, None] | bit, places
-            used += size
-            going = np.isfinite(top) & (found < count)
+            first = begin[row, at]
+            through = so_far[:, None] + gain[row, at]
+            # nothing goes into a place that n better ways went through
+            shut = ~(useful & ~done)[:, None] | (visits[own[:, None], first] >= count) | (through == -np.inf)
+            whole, ways = best[row[:, None], first] + through, taken[:, None] | (np.int64(1) << first.astype(np.int64))
+            whole[shut] = -np.inf
+            # the first edge takes the slot that came free
+            total[own, pick], behind[own, pick], way[own, pick], place[own, pick] = whole[:, 0], through[:, 0], ways[:, 0], first[:, 0]
+            new = slice(used, used + width - 1)
+            total[:, new], behind[:, new], way[:, new], place[:, new] = whole[:, 1:], through[:, 1:], ways[:, 1:], first[:, 1:]
+            used += width - 1
+            going = left & (found < count)
             if going.sum() < 0.8 * len(row):
                 row, found, visits = row[going], found[going], visits[going]
                 total, behind, way, place = total[going], behind[going], way[going], place[going]
@@ -256,6 +328,20 @@ class PieceModel:
         out.append(text[start:])
         return out
 
+    def _cuts_of_words(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """``cuts`` of many words (spaces as they are), one after the other, and how many each has."""
+        joined = "".join(words)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        chars = np.frombuffer(joined.replace(" ", MARK).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        pair = chars[:-1] << np.uint64(32) | chars[1:]
+        at = np.minimum(np.searchsorted(self.pair_codes, pair), len(self.pair_codes) - 1)
+        parted = np.concatenate([[True], self.pair_codes[at] != pair])
+        begins = np.cumsum(size) - size
+        parted[begins] = True
+        cut = np.flatnonzero(parted)
+        ends = [*cut[1:].tolist(), len(joined)]
+        return [joined[a:b] for a, b in zip(cut.tolist(), ends)], np.diff([*np.searchsorted(cut, begins).tolist(), len(cut)])
+
     def words(self, text: str) -> list[str]:
         """Runs of spaces with the characters after them, the text's own MARKs apart; a space comes in front."""
         if MARK in text:
@@ -290,13 +376,12 @@ class PieceModel:
         self.used += len(ids)
 
     def _keep_words(self, new: list[str]) -> None:
-        parts = [[w] if w == MARK else [c.replace(MARK, " ") for c in self.cuts(w.replace(" ", MARK))] for w in new]
-        unknown = list(dict.fromkeys(c for p in parts for c in p if c not in self.place))
+        parts, size = self._cuts_of_words(new)
+        unknown = list(dict.fromkeys(c for c in parts if c not in self.place))
         if unknown:
             self._keep_cuts(unknown)
         first, last = len(self.word), len(self.word) + len(new)
-        flat = np.fromiter((self.place[c] for p in parts for c in p), np.int64)
-        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
         self.word_start, self.word_size = _grown(self.word_start, last), _grown(self.word_size, last)
         self.word_cuts = _grown(self.word_cuts, self.word_used + len(flat))
         self.word_cuts[self.word_used: self.word_used + len(flat)] = flat
@@ -331,12 +416,19 @@ class PieceModel:
         counts = np.bincount(rows, self.word_size[code], minlength=len(texts)).astype(np.int64)
         return at, np.concatenate([[0], np.cumsum(counts)])
 
-    def ids_at(self, at: np.ndarray, changed: dict[int, int] | None = None) -> np.ndarray:
-        """The ids of a segmentation: the best choice of each cut but for the changed ones."""
-        choice = np.zeros(len(at), np.int64)
-        for k, c in (changed or {}).items():
-            choice[k] = c
-        return _gather(self.pool, self.start[at, choice], self.size[at, choice])
+    def ids_at(self, at: np.ndarray, ways: Sequence[dict[int, int]] = ({},)) -> list[np.ndarray]:
+        """The ids of segmentations: the best choice of each cut but for the changed ones of each way."""
+        size = self.size[at, 0]
+        best, ends = _gather(self.pool, self.start[at, 0], size), np.cumsum(size)
+        out = []
+        for changed in ways:
+            parts, done = [], 0
+            for k in sorted(changed):
+                start = self.start[at[k], changed[k]]
+                parts += [best[done: ends[k] - size[k]], self.pool[start: start + self.size[at[k], changed[k]]]]
+                done = ends[k]
+            out.append(np.concatenate([*parts, best[done:]]) if parts else best)
+        return out
 
     def scores(self, at: np.ndarray) -> tuple[list[float], list[dict[int, int]]]:
         """The scores of the N best segmentations of a text's cuts, and which cuts differ from their best choice.
@@ -354,7 +446,7 @@ class PieceModel:
         """Best ids, the N best scores, and the ids of each of the N best segmentations of one text."""
         at, _ = self.cuts_of_all(pa.array([text], pa.string()))
         values, changed = self.scores(at)
-        return self.ids_at(at), values, [self.ids_at(at, c) for c in changed]
+        return self.ids_at(at)[0], values, self.ids_at(at, changed)
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids: bytes as they are, MARKs as spaces, without the space in front."""
@@ -416,7 +508,7 @@ def encode_slice(codec: PieceModel, texts: pa.Array, with_ids: bool) -> list[pa.
     for text, lo, hi in zip(texts.to_pylist(), starts, starts[1:]):
         own = at[lo:hi]
         values, changed = codec.scores(own)
-        ways = [codec.ids_at(own, c) for c in changed]
+        ways = codec.ids_at(own, changed)
         size.append(len(ways[0]))
         crc.append(zlib.crc32(ways[0].astype("<u4").tobytes()))
         scores.append(values)
