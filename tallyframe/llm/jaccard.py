@@ -10,26 +10,30 @@
    node its number of links, and their components are the classes.
 
 Buckets and clusters of any size are cut into blocks of about ``BLOCK`` nodes, and each pair of
-blocks is a task's work: no group is ever in one place, and no pair leaves a block pair: only
-counts and spanning edges do. The work in a group of different near copies grows with the square of
+blocks is a row of work: no group is ever in one place, and no pair leaves a block pair: only
+counts and spanning edges do. Where the sets of a block pair would be more than ``ROW_BYTES``, they are cut by
+ranges of the shingles' hashes; each range gives a matrix of partial intersections, and their sum is verified. So a row
+is bounded in nodes and in bytes, however long the texts are. The work in a group of different near copies grows with the square of
 their number, as the number of links does; copies with equal sets count once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 from math import comb
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from ..session import drop_work, materialize, work_dir
-from .common import as_long, map_batches, map_text, mix64, splittable, text_key, words_of
+from .common import as_long, map_batches, map_text, mix64, splittable, text_key, text_slices, words_of
 from .graph import components
 
 WIDTH = 5
@@ -39,6 +43,8 @@ BANDS, ROWS = 32, 4
 STEP = 16
 #: Nodes in a block: bounds what a task holds.
 BLOCK = 256
+#: Bytes of shingles in a row of work: two blocks' sets, or one range of them.
+ROW_BYTES = 64 << 20
 #: Shingles whose columns are multiplied at once when pairs are verified.
 COLUMNS = 8192
 
@@ -175,8 +181,8 @@ def alike(signature: np.ndarray, side: np.ndarray, floors: list[int]) -> tuple[n
     return a, b
 
 
-def blocked(members: DataFrame, group: str, size: str, node: str, carry: list[str]) -> DataFrame:
-    """Members of groups to pairs of blocks: group, lo, hi and the list of (side, node, carried columns).
+def blocked(members: DataFrame, group: str, size: str, node: str, carry: list[str], also: tuple[str, ...] = ()) -> DataFrame:
+    """Members of groups to pairs of blocks: group, lo, hi, ``also`` and the list of (side, node, carried columns).
 
     A group of m members has m / BLOCK blocks by a hash of the node. Every member goes to the block
     pairs that its block is part of; a list holds two blocks at most.
@@ -186,9 +192,9 @@ def blocked(members: DataFrame, group: str, size: str, node: str, carry: list[st
     sent = members.withColumn("__own", own).withColumn("__other", F.explode(F.sequence(F.lit(0), number - 1)))
     return (
         sent.select(
-            group, F.least("__own", "__other").alias("lo"), F.greatest("__own", "__other").alias("hi"),
+            group, *also, F.least("__own", "__other").alias("lo"), F.greatest("__own", "__other").alias("hi"),
             F.struct((F.col("__own") > F.col("__other")).cast("byte").alias("side"), node, *carry).alias("m"))
-        .groupBy(group, "lo", "hi").agg(F.collect_list("m").alias("m"))
+        .groupBy(group, *also, "lo", "hi").agg(F.collect_list("m").alias("m"))
         .where(F.size("m") > 1)
     )
 
@@ -249,41 +255,103 @@ VERIFIED = StructType([
 ])
 
 
+def _linked(side: np.ndarray, node: np.ndarray, copies: np.ndarray, size: np.ndarray, shared: np.ndarray, t: Fraction) -> pa.RecordBatch:
+    """Per node of a block pair: verified links, documents behind them, and a node it is tied to."""
+    union = size[:, None] + size[None, :] - shared
+    linked = shared * t.denominator >= t.numerator * union
+    np.fill_diagonal(linked, False)
+    if side.any():
+        linked &= side[:, None] != side[None, :]
+    a, b = np.nonzero(np.triu(linked))
+    label = spanning(len(node), a, b)
+    return pa.RecordBatch.from_arrays([
+        pa.array(node, pa.int64()), pa.array(linked.sum(axis=1), pa.int64()),
+        pa.array(linked @ copies, pa.int64()), pa.array(node[label], pa.int64())], schema=to_arrow_schema(VERIFIED))
+
+
+_FACTS = ("side", "sid", "copies", "size")
+
+
+def _intersections(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+    """Each row's members in order, as (side, sid, copies, size), and the sizes of the intersections of their shingles."""
+    for k in range(batch.num_rows):
+        fields = _members(batch.column("m").slice(k, 1).flatten())
+        facts = [fields[c].to_numpy(zero_copy_only=False) for c in _FACTS]
+        order = np.lexsort((facts[1], facts[0]))
+        grams = fields["grams"]
+        yield k, [x[order] for x in facts], common_counts([np.frombuffer(grams[i].as_buffer(), "<u8") for i in order.tolist()])
+
+
 def _verify(groups: DataFrame, threshold: float) -> DataFrame:
-    """Per block pair and node: verified links, documents behind them, and a node it is tied to."""
+    """Verified links of block pairs whose whole sets are in one row."""
     t = Fraction(threshold).limit_denominator(10_000)
 
     def run(batches):
         for batch in batches:
-            for k in range(batch.num_rows):
-                fields = _members(batch.column("m").slice(k, 1).flatten())
-                side, node, copies = (fields[c].to_numpy(zero_copy_only=False) for c in ("side", "sid", "copies"))
-                sets = [np.frombuffer(s, "<u8") for s in fields["grams"].to_pylist()]
-                shared = common_counts(sets)
-                size = np.array([len(s) for s in sets])
-                union = size[:, None] + size[None, :] - shared
-                linked = shared * t.denominator >= t.numerator * union
-                np.fill_diagonal(linked, False)
-                if side.any():
-                    linked &= side[:, None] != side[None, :]
-                a, b = np.nonzero(np.triu(linked))
-                label = spanning(len(node), a, b)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(node, pa.int64()), pa.array(linked.sum(axis=1), pa.int64()),
-                    pa.array(linked @ copies, pa.int64()), pa.array(node[label], pa.int64())], schema=to_arrow_schema(VERIFIED))
+            for _, facts, shared in _intersections(batch):
+                yield _linked(*facts, shared, t)
 
     return map_batches(groups.select("m"), run, VERIFIED)
 
 
+def _verify_ranges(groups: DataFrame, threshold: float) -> DataFrame:
+    """Verified links of block pairs whose sets lie in ranges: partial intersections, then their sum, matrix by matrix."""
+    t = Fraction(threshold).limit_denominator(10_000)
+    keys = [StructField(c, LongType()) for c in ("root", "lo", "hi", "part")]
+    schema = StructType([*keys, *(StructField(c, ArrayType(LongType())) for c in _FACTS), StructField("shared", BinaryType())])
+    arrow = to_arrow_schema(schema)
+
+    def parts(batches):
+        for batch in batches:
+            for k, facts, shared in _intersections(batch):
+                values = [*(batch.column(c)[k].as_py() for c in ("root", "lo", "hi", "part")), *(x.tolist() for x in facts)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([v], f.type) for v, f in zip(values, arrow)), pa.array([shared.astype("<i4").tobytes()], pa.binary())], schema=arrow)
+
+    def total(batches):
+        now, facts, shared = None, None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = row["root"], row["lo"], row["hi"]
+                part = np.frombuffer(row["shared"], "<i4").reshape(len(row["sid"]), -1)
+                if own == now:
+                    shared += part
+                    continue
+                if now is not None:
+                    yield _linked(*facts, shared, t)
+                now, facts, shared = own, [np.array(row[c], np.int64) for c in _FACTS], part.astype(np.int64)
+        if now is not None:
+            yield _linked(*facts, shared, t)
+
+    found = map_batches(groups.select(*[F.col(f.name).cast("long").alias(f.name) for f in keys], "m"), parts, schema)
+    order = ["root", "lo", "hi", "part"]
+    return map_batches(found.repartition(*order[:3]).sortWithinPartitions(*order), total, VERIFIED)
+
+
 def _gram_sets(texts: DataFrame, width: int) -> DataFrame:
-    def make():
-        def run(column: pa.Array) -> list:
-            bounds, code = shingles(column, width)
-            return [pa.array([code[lo:hi].astype("<u8").tobytes() for lo, hi in zip(bounds, bounds[1:])], pa.binary())]
+    """The shingle set of each text in ``parts`` ranges of hashes: a row per range, empty ones too, with the whole set's size."""
+    kept = [c for c in texts.columns if c != "text"]
+    schema = StructType([*(texts.schema[c] for c in kept), StructField("size", LongType()), StructField("part", LongType()),
+                         StructField("grams", BinaryType())])
 
-        return run
+    def run(batches):
+        for batch in batches:
+            for piece in text_slices(batch, "text"):
+                bounds, code = shingles(pc.fill_null(piece.column("text"), ""), width)
+                row, size, part, grams = [], [], [], []
+                for k, n in enumerate(piece.column("parts").to_pylist()):
+                    own = code[bounds[k]: bounds[k + 1]]
+                    edges = np.searchsorted(own, np.array([(r << 64) // n for r in range(1, n)], np.uint64)).tolist() if n > 1 else []
+                    for r, (lo, hi) in enumerate(zip([0, *edges], [*edges, len(own)])):
+                        row.append(k)
+                        size.append(len(own))
+                        part.append(r)
+                        grams.append(own[lo:hi].astype("<u8").tobytes())
+                some = piece.select(kept).take(pa.array(row, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(size, pa.int64()), pa.array(part, pa.int64()), pa.array(grams, pa.binary())], schema.fieldNames())
 
-    return map_text(texts, "text", [StructField("grams", BinaryType())], make, [c for c in texts.columns if c != "text"])
+    return map_batches(texts, run, schema)
 
 
 def similar_texts(
@@ -315,14 +383,18 @@ def similar_texts(
     members = members.join(nodes.select("sid", "signature"), "sid")
     edges = _candidate_edges(blocked(members, "bucket", "n", "sid", ["signature"]), threshold, tolerance)
     clusters = components(edges.distinct())
-    # the shingle sets of clustered nodes, each from one of its texts
-    sized = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    # the shingle sets of clustered nodes, each from one of its texts; long sets in as many ranges as keep rows in bounds
+    sized = clusters.join(nodes.select(F.col("sid").alias("node"), "size"), "node").groupBy("root").agg(
+        F.count(F.lit(1)).alias("n"), F.max("size").alias("longest"))
+    sized = sized.select("root", "n", F.ceil(F.least("n", F.lit(2 * BLOCK)) * F.col("longest") * 8 / F.lit(ROW_BYTES)).cast("int").alias("parts"))
     facts = nodes.select("sid", "copies", F.col("one.key").alias("o"), F.col("one.t1").alias("o1"), F.col("one.t2").alias("o2"))
-    wanted = clusters.join(splittable(sized, "root"), "root").join(facts, clusters["node"] == facts["sid"]).select("root", "n", "sid", "copies", "o", "o1", "o2")
+    wanted = clusters.join(splittable(sized, "root"), "root").join(facts, clusters["node"] == facts["sid"]).select("root", "n", "parts", "sid", "copies", "o", "o1", "o2")
     same = (keyed["t1"] == wanted["o1"]) & (keyed["t2"] == wanted["o2"]) & keyed["key"].eqNullSafe(wanted["o"])
-    texts = keyed.join(wanted, same).select("root", "n", "sid", "copies", "text").dropDuplicates(["sid"])
-    groups = blocked(_gram_sets(texts, width), "root", "n", "sid", ["copies", "grams"])
-    verified = materialize(_verify(groups, threshold), "verified", paths["verified"])
+    texts = keyed.join(wanted, same).select("root", "n", "parts", "sid", "copies", "text").dropDuplicates(["sid"])
+    sets, carried = _gram_sets(texts, width), ["copies", "size", "grams"]
+    groups = blocked(sets, "root", "n", "sid", carried, ("parts", "part"))
+    checked = _verify(groups.where("parts = 1"), threshold).unionByName(_verify_ranges(groups.where("parts > 1"), threshold))
+    verified = materialize(checked, "verified", paths["verified"])
     classes = components(verified.where("sid <> tied").select(F.col("sid").alias("a"), F.col("tied").alias("b")))
     links = verified.groupBy("sid").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
     placed = (
@@ -346,14 +418,18 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", **opt
 
     NULL and empty texts have the empty set: they are copies of each other and link to nothing
     else. Repeated rows are copies. NULL keys are greater than none: a class of NULL keys only has a NULL
-    class_id. Other columns of the input are not returned. An empty frame gives an empty frame.
+    class_id. Other columns of the input, of any names, are not returned. An empty frame gives an empty frame. Very long
+    texts are compared whole, their sets in ranges of hashes.
     """
     found = similar_texts(docs, key, text, **options)
     return found.select(F.col("key").alias(key), "class_id", "class_size", "n_links", "n_text_links", "n_copies")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` with the least key of each class; of rows repeated as a whole, one. All columns stay."""
+    """The rows of ``docs`` with the least key of each class; of rows repeated as a whole, one. All columns stay.
+
+    NULL, empty and very long texts count as in ``join_similar``; columns that start with two underscores must not occur.
+    """
     found = similar_texts(docs, key, text, **options)
     others = found.where("class_size > 1").select("t1", "t2", "class_id", "class_t1", "class_t2").distinct()
     t1, t2 = text_key(text)
