@@ -242,18 +242,156 @@ def test_text_measures(texts):
         assert got["line_length"][k] == pytest.approx(np.log1p(len(words) / (t.count("\n") + 1)))
 
 
+def thue_morse(n):
+    return bytes(97 + bin(k).count("1") % 2 for k in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_regular_strings_have_different_hashes(n):
+    """Strings of two letters that a polynomial modulo a power of two cannot tell apart."""
+    from tallyframe.llm.repeats_kernel import Hashes
+
+    one = thue_morse(n)
+    other = bytes(97 + 98 - b for b in one)
+    both = Hashes(one + other + one)
+    first, second, again = (both.of(np.array([at]), n, which=1)[0] for at in (0, n, 2 * n))
+    assert first == again != second
+
+
+def test_regular_windows_that_differ_stay(spark):
+    one = thue_morse(1024).decode()
+    other = one.translate({97: 98, 98: 97})
+    rows = [(1, "x" + one + "y"), (2, "p" + other + "q"), (3, "r" + one + "s")]
+    found = {r.doc_id: r.n_removed for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=1024).collect()}
+    assert found == {1: 1024, 2: 0, 3: 1024}
+
+
+def plain_links(rows, width=5, threshold=0.8):
+    """Links of every document by comparing all pairs of shingle sets."""
+    sets = []
+    for _, t in rows:
+        words = (t or "").split()
+        sets.append({tuple(words[k: k + width]) for k in range(max(1, len(words) - width + 1))} if words else set())
+    out = []
+    for k, a in enumerate(sets):
+        others = [b for j, b in enumerate(sets) if j != k]
+        out.append(sum((len(a & b) >= threshold * len(a | b)) if a or b else True for b in others))
+    return out
+
+
+def test_sets_in_ranges_give_the_same_links(spark, monkeypatch):
+    """Rows of a few KB: every cluster's sets are cut into ranges; blocks of few nodes."""
+    monkeypatch.setattr(jaccard, "ROW_BYTES", 4096)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    base = prose(1, 900).split()
+    texts = [" ".join([*base[:k * 7], f"w{k}", *base[k * 7:]]) for k in range(14)] + [" ".join(base[: 900 - 60 * k]) for k in range(6)]
+    rows = [(k, t) for k, t in enumerate([*texts, texts[0], prose(2, 300), None, "", "one two", "one two"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in jaccard.join_similar(docs).collect()}
+    assert [found[k].n_links for k, _ in rows] == plain_links(rows)
+
+
+def test_long_near_copies_keep_rows_bounded(spark, monkeypatch):
+    """Forty near copies of 200,000 words: no row of work is larger than its bound allows."""
+    monkeypatch.setattr(jaccard, "ROW_BYTES", 4 << 20)
+    largest = []
+    sets = jaccard.blocked
+
+    def watched(*args, **more):
+        out = sets(*args, **more)
+        if "grams" in args[4]:
+            whole = F.aggregate("m", F.lit(0).cast("long"), lambda n, m: n + F.octet_length(m["grams"]))
+            largest.append(out.agg(F.max(whole), F.max("part")).first())
+        return out
+
+    monkeypatch.setattr(jaccard, "blocked", watched)
+    base = [f"w{k * 7919 % 200_003}" for k in range(200_000)]
+    rows = [(k, " ".join([*base[: k * 100], f"new{k}", *base[k * 100:]])) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = jaccard.join_similar(docs).collect()
+    assert all((r.class_id, r.class_size, r.n_text_links) == (0, 40, 39) for r in found) and len(found) == 40
+    (bytes_, parts), = largest
+    assert parts > 10 and bytes_ < 1.1 * (4 << 20)
+
+
 def test_views_exchange_labels(spark):
     """Only the metadata tells some good rows apart; the text view learns from what it names."""
     good, bad = prose(1, 80), "### a&&& ***%%% " * 20
     rows = [(k, good if k % 2 else bad, "en", "wiki" if k % 2 else "farm", 100) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(None, 1), (3, None)], "doc_id long, quality int")
-    model = cotraining.fit(cotraining.featurize(docs, labels), rounds=2, per_round=20, sure=0.6)
-    assert model.pseudo_labels["text"] > 0 and model.pseudo_labels["meta"] > 0
+    model = cotraining.fit(cotraining.featurize(docs, labels), rounds=2, sure=0.6)
+    assert all(sum(map(sum, given)) > 0 for given in model.pseudo_labels.values())  # each view was given rows by the other
     found = cotraining.score(docs, model).collect()
     assert all(r.kept == bool(r.doc_id % 2) for r in found)
 
 
+@pytest.mark.parametrize("partitions, adaptive, broadcast", [(1, "true", "10485760"), (8, "true", "-1"), (200, "false", "-1")])
+def test_classifier_does_not_depend_on_partitions(spark, sf_dir, partitions, adaptive, broadcast):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    want = {r.doc_id: r for r in cotraining.classify_keys(docs, labels).collect()}
+    settings = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.enabled": adaptive,
+                "spark.sql.autoBroadcastJoinThreshold": broadcast}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = cotraining.classify_keys(docs.repartition(partitions), labels.repartition(3)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == len(want)
+    for r in found:
+        assert r.kept == want[r.doc_id].kept and r.score == pytest.approx(want[r.doc_id].score, abs=1e-9)
+
+
+def test_sums_of_sure_rows_are_as_by_hand(spark, sf_dir):
+    """Gradient and curvature of all sure rows, one row at a time; copies of a row count once."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    features = cotraining.featurize(docs.unionByName(docs.withColumn("doc_id", -F.col("doc_id") - 1)), labels)
+    views = cotraining.views_of(("lang", "source"), ("n_chars",))
+    names = [n for v in views.values() for n in v.names]
+    known = features.where("__label IS NOT NULL").toPandas()
+    target, fold = known["__label"].to_numpy(float), np.arange(len(known)) % 5
+    fits = {v: cotraining._Fit(view, known, target, fold) for v, view in views.items()}
+    givers, shares = {v: f.raw() for v, f in fits.items()}, {"text": np.array([0.5, 1.0]), "meta": np.array([1.0, 0.25])}
+    pool = features.where("__label IS NULL").select(*names).distinct()
+    found = cotraining.sure_sums(pool, fits, givers, shares, 0.8)
+    counted = set()
+    want = {v: [np.zeros(2), np.zeros(len(f.w)), np.zeros((len(f.w), len(f.w)))] for v, f in fits.items()}
+    for row in features.where("__label IS NULL").select(*names).collect():
+        if tuple(row) in counted:
+            continue
+        counted.add(tuple(row))
+        for v, other in (("text", "meta"), ("meta", "text")):
+            x, y = (views[k].matrix([np.array([row[n]]) for n in views[k].names]) for k in (v, other))
+            p = 1 / (1 + np.exp(-(y @ givers[other][0] + givers[other][1])))[0]
+            if 0.2 < p < 0.8:
+                continue
+            good = int(p >= 0.8)
+            own = np.append((x[0] - fits[v].mean) / fits[v].spread, 1.0)
+            q = 1 / (1 + np.exp(-np.clip(own @ fits[v].w, -30, 30)))
+            want[v][0][good] += 1
+            want[v][1] += shares[v][good] * (good - q) * own
+            want[v][2] += shares[v][good] * max(q * (1 - q), 1e-6) * np.outer(own, own)
+    for v in fits:
+        for a, b in zip(found[v], want[v]):
+            assert a == pytest.approx(b, rel=1e-9, abs=1e-9)
+    assert sum(want["meta"][0]) > 0
+
+
+def test_classifier_takes_very_long_and_clashing_rows(spark):
+    long = "### a&&& ***%%% " * 40_000
+    rows = [(k, long if k == 7 else (prose(k, 60) if k % 2 else "### a&&& *** " * 9), "en", "s", 9) for k in range(60)] * 2 + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(
+        {"__label": F.lit("x"), "__words": F.lit(1), "Kept": F.lit(2)})
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    for found in (cotraining.classify(docs, labels), cotraining.classify_keys(docs, labels)):
+        assert found.count() == len(rows) and found.where("score IS NULL OR isnan(score)").count() == 0
+        pairs = found.groupBy("doc_id").agg(F.countDistinct("score").alias("n")).where("n > 1")
+        assert pairs.count() == 0  # repeated rows score alike
+
+
 def test_classifier_without_labels_keeps_all(documents, no_documents, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     found = cotraining.classify(documents.withColumn("Score", F.lit("x")), none)
