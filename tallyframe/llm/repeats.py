@@ -15,14 +15,17 @@ windows have it at the same place):
 One member of every finished group stays in the search, for others that share only part of it.
 Every test is a count by hash that is combined before the shuffle, so a passage in a
 third of all documents is no hot group. Nothing is collected but lists within one text.
-Anchors are compared by 64 bits (a filter only), finished ranges by 128 bits.
+Anchors are compared by 64 bits (a filter only), finished ranges by a 64-bit hash and a second one of two polynomials
+modulo primes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,16 +33,17 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..session import drop_work, materialize, work_dir
-from .common import as_long, map_batches, map_text, splittable, text_key, without
+from .common import as_long, map_batches, map_text, mix64, splittable, text_key, text_slices, without, words_of
 from .repeats_kernel import range_hashes, text_anchors
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WINDOW = 400
 GRAM = 81
 #: Blocks of the last passes; each divides the one before, the last must be 1.
 WIDTHS = (32, 4, 1)
 KEY = ("t1", "t2")
 SPAN = "array<struct<at:int,near:int,far:int>>"
-RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
+RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans")
 
 
 def repeated(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -198,6 +202,7 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
     schema = StructType([
         StructField("t1", LongType()), StructField("t2", LongType()), StructField("n_removed", LongType()),
         StructField("n_spans", LongType()), StructField("kept_sha256", StringType()), StructField("kept_text", StringType()),
+        StructField("spans", ArrayType(LongType())),
     ])
     arrow = to_arrow_schema(schema)
 
@@ -211,9 +216,9 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
                 np.add.at(edge, at - near + window, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) > 0))
+                spans = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
                 sha = hashlib.sha256(kept).hexdigest()
-                values = (row["t1"], row["t2"], int(gone.sum()), spans, sha, kept.decode("utf-8", "ignore"))
+                values = (row["t1"], row["t2"], int(gone.sum()), len(spans) // 2, sha, kept.decode("utf-8", "ignore"), spans)
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
 
     return map_batches(texts, run, schema)
@@ -221,21 +226,22 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
 
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM,
-    widths: tuple[int, ...] = WIDTHS, with_text: bool = True,
+    widths: tuple[int, ...] = WIDTHS, with_text: bool = True, with_spans: bool = False,
 ) -> DataFrame:
-    """Every document with n_bytes, n_removed, n_spans, kept_sha256 and (``with_text``) kept_text.
+    """Every document with n_bytes, n_removed, n_spans, kept_sha256, (``with_text``) kept_text and (``with_spans``) spans:
+    where removed runs begin and end, in bytes, by turns.
 
     A byte goes when a string of ``window`` bytes that covers it also starts anywhere else, in the
     same or another document; overlaps count, and strings are judged on the input. Texts
     are UTF-8, NULL is empty; matches never cross documents. Documents with equal texts, also repeated rows, lose all
-    when they have ``window`` bytes. kept_text leaves out bytes of characters that were cut in
+    when they have ``window`` bytes. Very long texts are hashed chunk by chunk, whole. kept_text leaves out bytes of characters that were cut in
     two; kept_sha256 is taken of the bytes. Columns of these names in the input are
     replaced; an empty frame gives an empty frame.
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     t1, t2 = text_key(text)
     spans = repeated_spans(docs, key, text, window, gram, widths)
-    names = [c for c in RESULT if with_text or c != "kept_text"]
+    names = [c for c in RESULT if (with_text or c != "kept_text") and (with_spans or c != "spans")]
     rows = docs.select(
         *[F.col(f"`{c}`") for c in without(docs, names).columns], t1.alias("__t1"), t2.alias("__t2"),
         F.octet_length(value).cast("long").alias("__n"), F.sha2(value, 256).alias("__sha"),
@@ -256,4 +262,65 @@ def remove_repeats(
     ]
     if with_text:
         columns.append(pick(F.lit(""), "kept_text", F.col("__whole")).alias("kept_text"))
+    if with_spans:
+        columns.append(pick(F.array(F.lit(0), F.col("__n")).cast("array<bigint>"), "spans", F.array().cast("array<bigint>")).alias("spans"))
     return joined.select(*[F.col(f"`{c}`") for c in without(docs, names).columns], *columns)
+
+
+#: Letters by which a word stands in a coded text: 36 bits of its hash.
+CODE = 6
+_LETTERS = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-_", np.uint8)
+
+
+def word_codes(texts: pa.Array) -> pa.Array:
+    """Texts in which every word (between ASCII white space) is CODE letters and nothing stands between words."""
+    words, row = words_of(texts)
+    coded = words.dictionary_encode()
+    listed = np.asarray(coded.dictionary.to_numpy(zero_copy_only=False), dtype=object)
+    hashed = mix64(pd.util.hash_array(listed, categorize=False).astype(np.uint64)) if len(listed) else np.zeros(0, np.uint64)
+    letters = _LETTERS[(hashed[:, None] >> (np.uint64(6) * np.arange(CODE, dtype=np.uint64)) & np.uint64(63)).astype(np.int64)]
+    data = letters[coded.indices.to_numpy(zero_copy_only=False)].tobytes()
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(texts)))]) * CODE
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
+
+
+def without_words(text: str, spans: list[int]) -> str:
+    """The text without the words from spans[0] up to spans[1], spans[2] up to spans[3] ..., and what stands between those."""
+    if not spans:
+        return text
+    words = [m.span() for m in _WORD.finditer(text)]
+    out, done = [], 0
+    for lo, hi in zip(spans[::2], spans[1::2]):
+        out.append(text[done: words[lo][0]])
+        done = words[hi - 1][1]
+    return "".join([*out, text[done:]])
+
+
+def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 51) -> DataFrame:
+    """Every document with n_words_removed and kept_text: without each word that a passage of ``words`` words covers which also
+    starts anywhere else, in the same or another document.
+
+    The same search as ``remove_repeats`` on texts in which every word is CODE letters: the window is ``words`` words long,
+    however short they are, and white space does not matter. NULL counts as empty; repeated rows lose all when they have
+    so many words. Columns of these names in the input are replaced; an empty frame gives an empty frame.
+    """
+    kept = without(docs, ["n_words_removed", "kept_text"])
+    # the row as one column: names of the byte search may occur in it
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("__row"), F.col(f"`{key}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
+    coded = map_text(source, "__text", [StructField("__coded", StringType())], lambda: lambda t: [word_codes(t)], ["__row", "__id"])
+    window = words * CODE
+    cut = remove_repeats(coded, "__id", "__coded", window, min(GRAM, max(CODE, window // 4)), with_text=False, with_spans=True)
+    whole = F.coalesce(F.col(f"__row.`{text}`"), F.lit("")).alias("text")
+    rows = cut.select("__row", whole, F.transform("spans", lambda x: (x / CODE).cast("int")).alias("spans"))
+    schema = StructType([rows.schema["__row"], StructField("n_words_removed", LongType()), StructField("kept_text", StringType())])
+
+    def run(batches):
+        for batch in batches:
+            for piece in text_slices(batch, "text"):
+                spans = piece.column("spans").to_pylist()
+                yield pa.RecordBatch.from_arrays([
+                    piece.column("__row"), pa.array([sum(s[1::2]) - sum(s[::2]) for s in spans], pa.int64()),
+                    pa.array([without_words(t, s) for t, s in zip(piece.column("text").to_pylist(), spans)], pa.string())], schema.fieldNames())
+
+    found = map_batches(rows, run, schema)
+    return found.select(*[F.col(f"__row.`{c}`").alias(c) for c in kept.columns], "n_words_removed", "kept_text")

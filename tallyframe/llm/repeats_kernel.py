@@ -8,25 +8,33 @@ import numpy as np
 
 from .common import mix64
 
-_BASES = (np.uint64(0x9E3779B97F4A7C55), np.uint64(0xC2B2AE3D27D4EB4F))
-
-
-@lru_cache(maxsize=8)
-def _powers(which: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2**64, for texts up to 2**bits bytes."""
-    base, n = int(_BASES[which]), 1 << bits
-    inverse = pow(base, -1, 1 << 64)
+#: (base, modulus) of the polynomials. The first is fast but blind to some regular strings (sums of powers of two times
+#: odd numbers vanish); the two primes are not.
+_SERIES = ((0x9E3779B97F4A7C55, 1 << 64), (1_403_627_117, (1 << 31) - 1), (1_829_304_551, (1 << 31) - 19))
+#: The polynomials of each hash.
+_HASHES = ((0,), (1, 2))
+
+
+@lru_cache(maxsize=12)
+def _powers(series: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse, for texts up to 2**bits bytes."""
+    base, modulus = _SERIES[series]
+    inverse = pow(base, -1, modulus)
     tables = []
     for x in (base, inverse):
-        out = np.ones(n, np.uint64)
-        filled, step = 1, x
-        while filled < n:  # doubling: the next block is the last one times x**filled
-            out[filled: 2 * filled] = out[:filled] * np.uint64(pow(x, filled, 1 << 64))
+        out = np.ones(1 << bits, np.uint64)
+        filled = 1
+        while filled < len(out):  # doubling: the next block is the last one times x**filled
+            out[filled: 2 * filled] = _reduced(out[:filled] * np.uint64(pow(x, filled, modulus)), modulus)
             filled *= 2
         tables.append(out)
     return tuple(tables)
 
 
+def _reduced(x: np.ndarray, modulus: int) -> np.ndarray:
+    return x if modulus == 1 << 64 else x % np.uint64(modulus)
+
+
 class Hashes:
     """Hashes of any substrings of ``data`` in a few vector steps."""
 
@@ -38,11 +46,16 @@ class Hashes:
 
     def of(self, at: np.ndarray, length: int | np.ndarray, salt: int | np.ndarray = 0, which: int = 0) -> np.ndarray:
         """64-bit hashes of the substrings at ``at``; equal substrings with equal salts have equal hashes."""
-        power, inverse = _powers(which, self.bits)
-        if which not in self.sums:
-            self.sums[which] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.data * power[: self.n], dtype=np.uint64)])
-        sums = self.sums[which]
-        raw = (sums[at + length] - sums[at]) * inverse[at]
+        raw = np.zeros(1, np.uint64)
+        for series in _HASHES[which]:
+            modulus = _SERIES[series][1]
+            power, inverse = _powers(series, self.bits)
+            if series not in self.sums:
+                values = _reduced(self.data * power[: self.n], modulus)
+                self.sums[series] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+            sums = self.sums[series]
+            part = _reduced(_reduced(sums[at + length] - sums[at], modulus) * inverse[at], modulus)
+            raw = (raw << np.uint64(31)) ^ part
         return mix64(raw ^ mix64(np.atleast_1d(np.asarray(salt, np.uint64)) + np.uint64(1 + 7 * which)))
 
 
