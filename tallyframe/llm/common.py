@@ -58,7 +58,12 @@ def ship_package(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, run: Callable, schema: StructType) -> DataFrame:
     """``mapInArrow`` with a function of this package, which the executors need not have installed."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()  # the worker lives on; the next task may need another kind of memory
+
+    return df.mapInArrow(task, schema)
 
 
 def map_text(

@@ -1,11 +1,13 @@
 """Quality classifier by co-training: a text view and a metadata view teach each other.
 
 Both views are logistic models over a few columns of a row: measures of its text, taken from Arrow slices,
-and its metadata. All documents are scored by plain expressions of these columns. The models are fitted on the driver from a bounded sample of
-labelled rows. In each round every view names the unlabelled documents of which it is surest,
-over the whole table, as pseudo-labels for the other view; sureness is measured after calibration on
-labelled rows that no view was fitted on. At the end the calibrated views are combined by a
-third logistic model fitted on the same rows.
+and its metadata. They start from a bounded sample of labelled rows. In each round every view
+labels all unlabelled rows that it is sure of, and the other view is fitted anew on the labelled rows and on these: they
+enter through sums of gradients and curvatures that Spark takes over the whole table. Sureness is measured
+after calibration on labelled rows that the calibrated fit has not seen (cross-fitting). At the end the calibrated
+views are combined by a third logistic model, and all documents are scored by plain expressions.
+
+Nothing depends on how the rows lie: samples and folds come from hashes of the keys, and there are no row numbers.
 """
 
 from __future__ import annotations
@@ -18,18 +20,24 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..session import materialize
-from .common import codes_of, map_text, without, words_of
+from .common import codes_of, map_batches, map_text, without, words_of
 
-#: Labelled rows used at most (by a hash of their key); a fourth of them calibrates.
+#: Labelled rows used at most (those with the least hashes of their key).
 MAX_LABELLED = 20_000
+#: Rounds at most; they end earlier when both views name as many rows as the round before.
 ROUNDS = 3
-#: Pseudo-labels of each class that a view gives in a round, at most.
-PER_ROUND = 200
+#: Newton steps of a round: passes over the sure rows.
+STEPS = 3
+#: Folds of the labelled rows, by a hash of their key.
+FOLDS = 5
 SURE = 0.97
-BUCKETS = 16
+#: Weights that a category's values share, by hash.
+BUCKETS = 64
+#: Rows whose matrices a task builds at once.
+SLICE_ROWS = 1024
 RESULT = ("p_text", "p_meta", "score", "kept")
 
 #: Classes of ASCII bytes that a text is measured by.
@@ -91,11 +99,10 @@ def with_text_features(docs: DataFrame, text: str, keep: Sequence[str] | None =
 
 
 def meta_features(categories: Sequence[str], numbers: Sequence[str]) -> dict[str, Column]:
-    """Hashed categories as 0/1 columns, and the logarithms of numbers with their squares."""
+    """Hashed categories as bucket numbers, and the logarithms of numbers with their squares."""
     out = {}
     for c in categories:
-        bucket = F.pmod(F.xxhash64(F.lit(c), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))), F.lit(BUCKETS))
-        out |= {f"{c}_{k}": (bucket == k).cast("double") for k in range(BUCKETS)}
+        out[c] = F.pmod(F.xxhash64(F.lit(c), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))), F.lit(BUCKETS)).cast("int")
     for c in numbers:
         x = F.log1p(F.greatest(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)), F.lit(0.0)))
         out |= {c: x, f"{c}_squared": x * x}
@@ -103,47 +110,145 @@ def meta_features(categories: Sequence[str], numbers: Sequence[str]) -> dict[str
 
 
 @dataclass(frozen=True)
-class Linear:
-    """A logistic model: weights over named columns and a bias."""
-
-    weights: dict[str, float]
-    bias: float
-
-    def logit(self, columns: dict[str, Column]) -> Column:
-        total = F.lit(self.bias)
-        for name, weight in self.weights.items():
-            total = total + F.lit(weight) * columns[name]
+class View:
+    """The columns of a view: numbers as they are, categories as bucket numbers."""
+
+    numbers: tuple[str, ...]
+    categories: tuple[str, ...] = ()
+
+    @property
+    def names(self) -> list[str]:
+        return [f"__{n}" for n in (*self.numbers, *self.categories)]
+
+    def matrix(self, columns: Sequence[np.ndarray]) -> np.ndarray:
+        """Rows of numbers and, per category, a 1 in the place of its bucket."""
+        n = len(self.numbers)
+        out = [np.stack([np.asarray(c, float) for c in columns[:n]], axis=1)] if n else []
+        return np.hstack([*out, *[np.eye(BUCKETS)[np.asarray(c, np.int64)] for c in columns[n:]]])
+
+    def logit(self, weights: np.ndarray, bias: float) -> Column:
+        total, n = F.lit(float(bias)), len(self.numbers)
+        for name, w in zip(self.numbers, weights):
+            total = total + F.lit(float(w)) * F.col(f"`__{name}`")
+        for k, name in enumerate(self.categories):
+            own = weights[n + k * BUCKETS: n + (k + 1) * BUCKETS]
+            total = total + F.element_at(F.array(*[F.lit(float(w)) for w in own]), F.col(f"`__{name}`") + 1)
         return total
 
-    def of(self, rows: np.ndarray) -> np.ndarray:
-        return rows @ np.array(list(self.weights.values())) + self.bias
-
 
 @dataclass(frozen=True)
 class Model:
-    text: Linear
-    meta: Linear
-    joint: Linear
-    pseudo_labels: dict[str, int] = field(default_factory=dict)
+    """Calibrated weights and bias of both views, and of their combination; how many rows each view named in each round."""
+
+    views: dict[str, View]
+    weights: dict[str, tuple[np.ndarray, float]]
+    joint: tuple[np.ndarray, float]
+    pseudo_labels: dict[str, list[tuple[int, int]]] = field(default_factory=dict)
+
+
+def _p(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(rows: np.ndarray, target: np.ndarray, names: Sequence[str], ridge: float = 1.0, steps: int = 30) -> Linear:
-    """Newton's method on standardised columns with a ridge."""
-    mean, spread = rows.mean(axis=0), rows.std(axis=0)
-    spread[spread < 1e-9] = 1.0
-    x = np.hstack([(rows - mean) / spread, np.ones((len(rows), 1))])
+def newton(
+    x: np.ndarray, target: np.ndarray, ridge: float = 1.0, start: np.ndarray | None = None,
+    more: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None, steps: int = 60,
+) -> np.ndarray:
+    """Logistic weights of rows that end with a 1. ``more`` = (at, gradient, curvature): further rows, as a parabola around ``at``."""
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    at, gradient, curvature = more or (np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros((x.shape[1],) * 2))
+    w = np.zeros(x.shape[1]) if start is None else start.copy()
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        curve = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(penalty)
-        change = np.linalg.solve(curve, x.T @ (target - p) - penalty * w)
+        p = _p(x @ w)
+        slope = x.T @ (target - p) + gradient - curvature @ (w - at) - penalty * w
+        curve = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + curvature + np.diag(penalty)
+        change = np.linalg.solve(curve, slope)
+        change *= min(1.0, 5.0 / max(np.abs(change).max(), 1e-12))
         w = w + change
-        if np.abs(change).max() < 1e-6:
+        if np.abs(change).max() < 1e-12:
             break
-    weights = w[:-1] / spread
-    return Linear(dict(zip(names, weights.tolist())), float(w[-1] - weights @ mean))
+    return w
+
+
+class _Fit:
+    """One view's labelled rows, standardised, with its weights, calibration and the sums of the sure rows."""
+
+    def __init__(self, view: View, rows, target: np.ndarray, fold: np.ndarray):
+        x = view.matrix([rows[n].to_numpy() for n in view.names])
+        self.view, self.target, self.fold = view, target, fold
+        self.mean, self.spread = x.mean(axis=0), x.std(axis=0)
+        self.spread[self.spread < 1e-9] = 1.0
+        # categories stay 0 and 1, so that values which never meet leave zeros in the curvature
+        self.mean[len(view.numbers):], self.spread[len(view.numbers):] = 0.0, 1.0
+        self.x = self.standard(x)
+        self.w = newton(self.x, target)
+        self.more = None
+        self.calibrate()
+
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.hstack([(x - self.mean) / self.spread, np.ones((len(x), 1))])
+
+    def refit(self, gradient: np.ndarray, curvature: np.ndarray) -> None:
+        self.more = (self.w, gradient, curvature)
+        self.w = newton(self.x, self.target, start=self.w, more=self.more)
+
+    def calibrate(self) -> None:
+        """Logits of each fold from a fit without it; a fold whose rest lacks a class takes the whole fit's."""
+        self.unseen = self.x @ self.w
+        for f in range(FOLDS):
+            rest, own = self.fold != f, self.fold == f
+            if own.any() and len(set(self.target[rest])) == 2:
+                self.unseen[own] = self.x[own] @ newton(self.x[rest], self.target[rest], start=self.w, more=self.more)
+        self.scale = newton(np.stack([self.unseen, np.ones(len(self.unseen))], axis=1), self.target, ridge=0.1)
+
+    def raw(self) -> tuple[np.ndarray, float]:
+        """Calibrated weights and bias over the view's own columns."""
+        a, b = self.scale
+        weights = self.w[:-1] / self.spread
+        return a * weights, float(a * (self.w[-1] - weights @ self.mean) + b)
+
+
+def sure_sums(pool: DataFrame, fits: dict[str, _Fit], givers: dict[str, tuple[np.ndarray, float]], shares, sure: float):
+    """For each view: over all rows that the other view is sure of, gradient and curvature at its weights, and the counts.
+
+    ``givers`` are the calibrated views that label; ``shares`` the weights of a bad and of a good row. A task gives
+    one number per entry that is not zero, Spark adds them up, and the driver gets as many numbers as the matrices have.
+    """
+    names = [n for fit in fits.values() for n in fit.view.names]
+    other = dict(zip(fits, reversed(list(fits))))
+    size = {v: len(fit.w) for v, fit in fits.items()}
+    # what tasks get: no labelled rows
+    sent = {v: (fit.view, fit.mean, fit.spread, fit.w) for v, fit in fits.items()}
+
+    def run(batches):
+        total = {v: np.zeros(2 + size[v] + size[v] ** 2) for v in sent}
+        for batch in (whole.slice(lo, SLICE_ROWS) for whole in batches for lo in range(0, whole.num_rows, SLICE_ROWS)):
+            columns = dict(zip(names, (c.to_numpy(zero_copy_only=False) for c in batch.columns)))
+            x = {v: view.matrix([columns[n] for n in view.names]) for v, (view, *_) in sent.items()}
+            for v, (_, mean, spread, w) in sent.items():
+                weights, bias = givers[other[v]]
+                p = _p(x[other[v]] @ weights + bias)
+                good, bad = p >= sure, p <= 1 - sure
+                rows = np.flatnonzero(good | bad)
+                if not len(rows):
+                    continue
+                mark, own = good[rows].astype(float), np.hstack([(x[v][rows] - mean) / spread, np.ones((len(rows), 1))])
+                share = np.where(good[rows], shares[v][1], shares[v][0])
+                q = _p(own @ w)
+                curve = np.triu((own * (share * np.maximum(q * (1 - q), 1e-6))[:, None]).T @ own)  # it is symmetric
+                total[v] += np.concatenate([[bad.sum(), good.sum()], own.T @ (share * (mark - q)), curve.ravel()])
+        for k, v in enumerate(sent):
+            some = np.flatnonzero(total[v])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k, np.int32)), pa.array(some.astype(np.int32)), pa.array(total[v][some])],
+                                             ["view", "place", "amount"])
+
+    schema = StructType([StructField("view", IntegerType()), StructField("place", IntegerType()), StructField("amount", DoubleType())])
+    out = {v: np.zeros(2 + size[v] + size[v] ** 2) for v in fits}
+    for r in map_batches(pool.select(*[f"`{n}`" for n in names]), run, schema).groupBy("view", "place").agg(F.sum("amount").alias("amount")).collect():
+        out[list(fits)[r["view"]]][r["place"]] = r["amount"]
+    curves = {v: x[2 + size[v]:].reshape(size[v], size[v]) for v, x in out.items()}
+    return {v: (x[:2], x[2: 2 + size[v]], curves[v] + np.triu(curves[v], 1).T) for v, x in out.items()}
 
 
 def _sigmoid(z: Column) -> Column:
@@ -165,75 +270,61 @@ def featurize(
     views = views.select(
         F.col(f"`{key}`").alias("__id"), *[f.name for f in TEXT_FIELDS],
         *[c.alias(f"__{n}") for n, c in meta_features(categories, numbers).items()])
-    joined = views.join(voted, F.col("__id") == F.col("__key"), "left").drop("__key")
-    return materialize(joined.withColumn("__row", F.monotonically_increasing_id()), "features")
+    return materialize(views.join(voted, F.col("__id") == F.col("__key"), "left").drop("__key"), "features")
+
+
+def views_of(categories: Sequence[str], numbers: Sequence[str]) -> dict[str, View]:
+    return {"text": View(TEXT), "meta": View(tuple(n for c in numbers for n in (c, f"{c}_squared")), tuple(categories))}
 
 
 def fit(
     features: DataFrame, categories: Sequence[str] = ("lang", "source"), numbers: Sequence[str] = ("n_chars",),
-    max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, per_round: int = PER_ROUND, sure: float = SURE,
+    max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, sure: float = SURE,
 ) -> Model | None:
     """The fitted views from ``featurize``'s table, or None when the labels lack a class.
 
-    Every round reads the features of all documents. The driver holds ``max_labelled`` rows and
-    4 * ``rounds`` * ``per_round`` pseudo-labels at most.
+    Every unlabelled row that a view is sure of counts in the round, rows of equal features once. All sure rows of a class weigh
+    together as much as the labelled rows of that class at most. The driver holds ``max_labelled`` rows and one
+    square matrix per view.
     """
-    views = {"text": list(TEXT), "meta": list(meta_features(categories, numbers))}
-    names = {view: [f"__{n}" for n in some] for view, some in views.items()}
-    columns = [n for some in names.values() for n in some]
+    views = views_of(categories, numbers)
+    names = [n for v in views.values() for n in v.names]
     labelled = features.where("__label IS NOT NULL")
-    # a share of the keys by their hash: the driver gets no more than it keeps
-    share = min(1.0, 0.95 * max_labelled / max(labelled.count(), 1))
-    place = (F.shiftrightunsigned(F.xxhash64("__id", F.lit("sample")), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    rows = labelled.where(place <= share).limit(max_labelled).toPandas().sort_values("__row", ignore_index=True)
+    # a fifth more than the sample by a bound on the hashes, so that tasks send the driver no more than that in all
+    place = F.shiftrightunsigned(F.xxhash64("__id", F.lit("sample")), 1)
+    most = (1 << 63) - 1
+    least = min(most, most * 6 * max_labelled // (5 * max(labelled.count(), 1)))
+    rows = (
+        labelled.where(place <= F.lit(least)).orderBy(place, "__id", F.xxhash64(*names)).limit(max_labelled)
+        .withColumn("__fold", F.pmod(F.xxhash64("__id", F.lit("fold")), F.lit(FOLDS))).toPandas())
     if rows["__label"].nunique() < 2:
         return None
-    held = (np.arange(len(rows)) % 4 == 3) if len(rows) >= 40 else np.ones(len(rows), bool)
-    used = ~held if len(rows) >= 40 else held
-    if rows["__label"][used].nunique() < 2 or rows["__label"][held].nunique() < 2:
-        held = used = np.ones(len(rows), bool)
-    target = rows["__label"].to_numpy(float)
-    data = {v: rows[names[v]].to_numpy(float) for v in views}
-    extra = {v: ([], []) for v in views}
-    taken: list[int] = []
-    pool = features.where("__label IS NULL")
-    local = {n: F.col(f"`{n}`") for n in columns}
-
-    def fitted(view: str) -> tuple[Linear, Linear]:
-        more, marks = extra[view]
-        x = np.vstack([data[view][used], *more]) if more else data[view][used]
-        y = np.concatenate([target[used], marks]) if more else target[used]
-        model = fit_logistic(x, y, names[view])
-        return model, fit_logistic(model.of(data[view][held])[:, None], target[held], ["z"], ridge=0.1)
-
-    counts = {"text": 0, "meta": 0}
+    target, fold = rows["__label"].to_numpy(float), rows["__fold"].to_numpy(np.int64)
+    fits = {v: _Fit(view, rows, target, fold) for v, view in views.items()}
+    pool = materialize(features.where("__label IS NULL").select(*names).distinct(), "pool")
+    marked = np.array([(target == 0).sum(), (target == 1).sum()], float)
+    counts = {v: [] for v in views}
     for _ in range(rounds):
-        gifts = []
-        for view, other in (("text", "meta"), ("meta", "text")):
-            model, scale = fitted(view)
-            p = _sigmoid(scale.logit({"z": model.logit(local)}))
-            free = pool.where(~F.col("__row").isin(taken)) if taken else pool
-            for mark, surety in ((1.0, p), (0.0, 1 - p)):
-                best = free.withColumn("__p", surety).where(F.col("__p") >= sure)
-                best = best.orderBy(F.col("__p").desc(), "__row").limit(per_round).select("__row", *[f"`{n}`" for n in names[other]])
-                gifts.append((view, other, mark, best.toPandas()))
-        if not sum(len(g[3]) for g in gifts):
-            break
-        for view, other, mark, found in gifts:  # both views may name a row, each for the other
-            if len(found):
-                extra[other][0].append(found[names[other]].to_numpy(float))
-                extra[other][1].extend([mark] * len(found))
-                taken.extend(int(r) for r in found["__row"])
-                counts[view] += len(found)
-    both, models = [], {}
-    for view in views:
-        models[view], scale = fitted(view)
-        both.append(scale.of(models[view].of(data[view][held])[:, None]))
-        # the calibration becomes part of the view's weights
-        a = scale.weights["z"]
-        models[view] = Linear({n: a * w for n, w in models[view].weights.items()}, a * models[view].bias + scale.bias)
-    joint = fit_logistic(np.stack(both, axis=1), target[held], ["text", "meta"], ridge=0.1)
-    return Model(models["text"], models["meta"], joint, counts)
+        givers = {v: f.raw() for v, f in fits.items()}
+        shares, seen = {v: np.ones(2) for v in fits}, None
+        for step in range(STEPS + 1):
+            sums = sure_sums(pool, fits, givers, shares, sure)
+            if step == 0:  # the first pass counts, so that later ones can weigh
+                seen = {v: s[0] for v, s in sums.items()}
+                shares = {v: np.minimum(1.0, marked / np.maximum(n, 1)) for v, n in seen.items()}
+                if all((shares[v] == 1).all() for v in fits):
+                    step = 1
+            if step:
+                for v, f in fits.items():
+                    f.refit(*sums[v][1:])
+        for v, f in fits.items():
+            f.calibrate()
+            counts[v].append(tuple(int(n) for n in seen[v]))
+        if all(len(given) > 1 and given[-1] == given[-2] for given in counts.values()):
+            break  # the views have nothing new to tell each other
+    both = np.stack([*(f.scale[0] * f.unseen + f.scale[1] for f in fits.values()), np.ones(len(rows))], axis=1)
+    joint = newton(both, target, ridge=0.1)
+    return Model(views, {v: f.raw() for v, f in fits.items()}, (joint[:-1], float(joint[-1])), counts)
 
 
 def score_views(rows: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
@@ -241,10 +332,10 @@ def score_views(rows: DataFrame, model: Model | None, threshold: float = 0.5) ->
     if model is None:
         one = F.lit(1.0)
         return rows.withColumns({"p_text": one, "p_meta": one, "score": one, "kept": F.lit(True)})
-    columns = {n: F.col(f"`{n}`") for n in [*model.text.weights, *model.meta.weights]}
-    staged = rows.withColumns({"__zt": model.text.logit(columns), "__zm": model.meta.logit(columns)})
-    joint = _sigmoid(model.joint.logit({"text": F.col("__zt"), "meta": F.col("__zm")}))
-    scored = staged.withColumns({"p_text": _sigmoid(F.col("__zt")), "p_meta": _sigmoid(F.col("__zm")), "score": joint})
+    staged = rows.withColumns({f"__z{v}": view.logit(*model.weights[v]) for v, view in model.views.items()})
+    (a, b), bias = model.joint
+    joint = _sigmoid(F.lit(float(a)) * F.col("__ztext") + F.lit(float(b)) * F.col("__zmeta") + F.lit(bias))
+    scored = staged.withColumns({"p_text": _sigmoid(F.col("__ztext")), "p_meta": _sigmoid(F.col("__zmeta")), "score": joint})
     return scored.withColumn("kept", F.col("score") >= threshold)
 
 
@@ -255,9 +346,10 @@ def score(
     """Every row with p_text, p_meta (calibrated views), score (both) and kept; no shuffle.
 
     Without a model (no labels, or of one class) nothing is known: the columns say 1 and true. NULL and
-    empty texts are scored by their empty features. Columns of these names are replaced.
+    empty texts are scored by their empty features; a very long text is measured whole, as a slice of its own. Repeated rows
+    score alike. Columns named as the result or starting with two underscores are replaced or left out.
     """
-    kept = without(docs, RESULT)
+    kept = without(docs, [*RESULT, *(c for c in docs.columns if c.startswith("__"))])
     if model is None:
         return score_views(kept, None)
     rows = with_text_features(kept, text).withColumns({f"__{n}": c for n, c in meta_features(categories, numbers).items()})
@@ -265,7 +357,10 @@ def score(
 
 
 def classify_keys(docs: DataFrame, labels: DataFrame, key: str = "doc_id", threshold: float = 0.5, **options) -> DataFrame:
-    """One row per document with its key and result: the texts are measured once, for the fit and for the scores."""
+    """One row per document with its key and result: the texts are measured once, for the fit and for the scores.
+
+    NULL, empty and very long texts, repeated rows and further columns count as in ``score``.
+    """
     features = featurize(docs, labels, key)
     return score_views(features, fit(features, **options), threshold).select(F.col("__id").alias(key), *RESULT)
 
