@@ -3,12 +3,13 @@
 A rule is a host and a path prefix, such as ``example.com/en/``. It fits its host and all
 subdomains when the path starts with its prefix; of those that fit, the longest wins. Urls
 without a rule are judged by a model of signed n-gram hashes, trained on the driver from a
-small labelled table (a few hundred rows at most).
+small labelled table (under two thousand rows).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ ALLOW, BLOCK = "allow", "block"
 WIDTHS = (3, 4, 5)
 BUCKETS = 1 << 15
 
-# Words of hosts and paths that are wanted or not; the labelled table is made of them.
+# words of hosts and paths that are wanted or not; the labelled table is made of them
 WANTED = (
     "about archive article biology blog book building chemistry city cooking course culture daily docs education engineering essay europe gardening "
     "geology guide health history journal kitchen language law learning library lecture literature magazine manual medicine "
@@ -38,26 +39,76 @@ UNWANTED = (
 ).split()
 
 
-# Common syllables; names made of them say nothing about a site and are wanted.
+# common syllables; names made of them say nothing about a site and are wanted
 SYLLABLES = (
     "al an ar as at au ber ble ca che cia con da de der di do ed el en er es eu fa ge ha he ho in ing ion is la le li lo ly ma "
     "me mo na ne no nt on or ou pa pe po que ra re ri ro sa schaft sh si so st ta te th ti to tre un ung ur va ver vi wa we wh"
 ).split()
+ENDS = "example.com example.org example.net example.info test.dev invalid.co.uk test.io example.de example.fr example.es".split()
+FRONTS = ("", "", "www.", "m.", "blog.", "en.", "static.", "go.", "shop.", "news.")
+LANGS = ("en", "de", "fr", "es", "index.html", "page", "a", "2023", "item", "view")
+LETTERS = "aeioubcdfghjklmnprstvwyzth"
+#: Labelled urls of each class that hold words; there are as many with plain names only.
+LABELLED = 800
 
 
-def labelled_urls() -> list[tuple[str, str, str]]:
-    """The small labelled table: (host, path, verdict). Each word is once a host and once a path; names
-    of two or three syllables, by a rule, are wanted hosts."""
-    ends, fronts, langs = ("example.com", "example.org", "example.net"), ("www.", "m.", "blog.", ""), ("en", "de", "fr", "es")
+class _Draws:
+    """Repeatable picks: the next numbers of a hash sequence."""
+
+    def __init__(self, seed: int):
+        self.seed, self.at = seed, 0
+
+    def below(self, n: int) -> int:
+        self.at += 1
+        return int(mix64(np.array([self.seed * 1_000_003 + self.at], np.uint64))[0] % np.uint64(n))
+
+    def of(self, items: Sequence[str]) -> str:
+        return items[self.below(len(items))]
+
+
+def labelled_urls(size: int = LABELLED) -> list[tuple[str, str, str]]:
+    """The small labelled table by a rule: (host, path, verdict), ``size`` rows of each class, and ``size`` of plain names.
+
+    Hosts and paths are put together as sites do it: one word or two, joined or hyphenated, with numbers, fronts and
+    ends, over paths of several parts. A blocked url has an unwanted word in its host or in its path, next to words that say
+    nothing or would be wanted alone; an allowed one has wanted words or plain names only. So the same words
+    come in many surroundings, and surroundings come with both verdicts.
+    """
     rows = []
-    for verdict, words in ((ALLOW, WANTED), (BLOCK, UNWANTED)):
-        for k, word in enumerate(words):
-            rows.append((f"{fronts[k % 4]}{word}.{ends[k % 3]}", f"/{langs[k % 4]}/{k}", verdict))
-            rows.append((f"site{k % 7}.{ends[k % 3]}", f"/{word}/{k}", verdict))
-    n = len(SYLLABLES)
-    for k in range(2 * n):
-        name = SYLLABLES[k % n] + SYLLABLES[(7 * k + 3) % n] + (SYLLABLES[(11 * k + 5) % n] if k % 2 else "")
-        rows.append((f"{fronts[(k // 3) % 4]}{name}.{ends[k % 3]}", f"/{langs[(k // 5) % 4]}/{k}", ALLOW))
+    for verdict, own in ((ALLOW, WANTED), (BLOCK, UNWANTED)):
+        draw = _Draws(1 if verdict == ALLOW else 2)
+
+        def name() -> str:
+            return "".join(draw.of(SYLLABLES) for _ in range(2 + draw.below(2)))
+
+        def other() -> str:
+            return name() if draw.below(2) else draw.of(WANTED)
+
+        for k in range(size):
+            word = own[k % len(own)]
+            joint = draw.of(("", "-", "."))
+            in_host = verdict == ALLOW or draw.below(3) > 0
+            kind = draw.below(5)
+            if not in_host or (verdict == ALLOW and kind == 0):
+                label = name() if draw.below(3) else f"{other()}{joint}{other()}"
+            elif kind <= 2:
+                label = word + (str(draw.below(1000)) if draw.below(4) == 0 else "")
+            else:
+                label = f"{word}{joint}{other()}" if draw.below(2) else f"{other()}{joint}{word}"
+            plain = in_host and draw.below(2)  # half of the hosts that tell enough have a path that tells nothing
+            if plain:
+                rows.append((f"{draw.of(FRONTS)}{label}.{draw.of(ENDS)}", f"/{draw.of(LANGS)}/{draw.below(10_000)}{draw.of(('', '/', '.html'))}", verdict))
+                continue
+            path = "/".join(["", draw.of(LANGS), *[other() for _ in range(draw.below(3))]])
+            if not in_host or (verdict == ALLOW and draw.below(2)) or draw.below(6) == 0:
+                path += f"/{word}"
+            tail = draw.of(("", "/", f"/{draw.below(100_000)}", f"-{draw.below(1000)}.html", ".php"))
+            rows.append((f"{draw.of(FRONTS)}{label}.{draw.of(ENDS)}", path + tail, verdict))
+    draw = _Draws(3)
+    for _ in range(size):  # names of any letters: what the model has never seen is wanted
+        label = "".join(draw.of(SYLLABLES) if draw.below(2) else draw.of(LETTERS) + draw.of(LETTERS) for _ in range(2 + draw.below(3)))
+        path = "/".join(["", draw.of(LANGS), *["".join(draw.of(SYLLABLES) for _ in range(2))][: draw.below(2)], str(draw.below(10_000))])
+        rows.append((f"{draw.of(FRONTS)}{label}.{draw.of(ENDS)}", path + draw.of(("", "/", ".html")), ALLOW))
     return rows
 
 
@@ -143,6 +194,11 @@ def train(rows: Sequence[tuple[str, str, str]], rounds: int = 1500, rate: float
     return weights
 
 
+@lru_cache(maxsize=1)
+def _own_weights() -> np.ndarray:
+    return train(labelled_urls())
+
+
 def judge_urls(
     pages: DataFrame, rules: Sequence[tuple[str, str]], labelled: Sequence[tuple[str, str, str]] | None = None,
     url: str = "url", threshold: float = 0.5,
@@ -155,7 +211,7 @@ def judge_urls(
     input are replaced. The model is one bounded array (BUCKETS + 1 numbers) sent with the
     task; there is no shuffle.
     """
-    weights = train(labelled_urls() if labelled is None else labelled)
+    weights = _own_weights() if labelled is None else train(labelled)
     host, path = split_url(F.col(f"`{url}`"))
     judged = without(pages, [c for c in ("host", "path", "rule", "verdict", "block_probability") if c != url])
     judged = judged.withColumns({"__host": host, "__path": path})
