@@ -393,7 +393,11 @@ def similar_texts(
     texts = keyed.join(wanted, same).select("root", "n", "parts", "sid", "copies", "text").dropDuplicates(["sid"])
     sets, carried = _gram_sets(texts, width), ["copies", "size", "grams"]
     groups = blocked(sets, "root", "n", "sid", carried, ("parts", "part"))
-    checked = _verify(groups.where("parts = 1"), threshold).unionByName(_verify_ranges(groups.where("parts > 1"), threshold))
+    # where no cluster's sets are long, one branch does: two would make the shingle sets twice, side by side
+    if (sized.agg(F.max("parts")).first()[0] or 1) == 1:
+        checked = _verify(groups, threshold)
+    else:
+        checked = _verify(groups.where("parts = 1"), threshold).unionByName(_verify_ranges(groups.where("parts > 1"), threshold))
     verified = materialize(checked, "verified", paths["verified"])
     classes = components(verified.where("sid <> tied").select(F.col("sid").alias("a"), F.col("tied").alias("b")))
     links = verified.groupBy("sid").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
