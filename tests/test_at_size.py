@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
 from hypothesis import given, settings
@@ -372,3 +373,25 @@ def test_acts_read_the_invoiced_chain_once(spark, sf_dir, tmp_path):
     text = plan(facts)
     assert {name: len([x for x in text.splitlines() if x.startswith("Location") and x.endswith(f"chain_{name}]")]) for name in names} == dict.fromkeys(names, 1)
     assert rows(facts) == rows(txn_facts(tables, AS_OF, ACT_FAMILIES["base"]))
+
+
+def test_windows_meet_days_instead_of_orders(spark, sf_dir, monkeypatch):
+    """What meets the customers' windows is a row per day, however many orders a day has."""
+    from tallyframe.workload import atsize
+    from tallyframe.workload.tables import Given
+
+    met = []
+
+    def watched(points, *rest):
+        met.append(points)
+        return containment_join(points, *rest)
+
+    monkeypatch.setattr(atsize, "containment_join", watched)
+    g = Given(spark, sf_dir)
+    g.orders = reduce(lambda a, b: a.unionByName(b), [g.orders] * 3)
+    found = atsize.join_interval_containment(g)
+    days = g.orders.select(F.to_date("o_orderdate")).distinct().count()
+    assert met[0].count() == days < g.orders.count()
+    assert found.agg(F.sum("n")).first()[0] == 3 * Given(spark, sf_dir).orders.join(
+        atsize.join_interval_containment(Given(spark, sf_dir)), F.to_date("o_orderdate").between(
+            F.col("opens"), F.coalesce("closes", F.lit(day("9999-12-31"))))).count()
