@@ -22,6 +22,18 @@ from .routing import outcome, route
 EMAIL_FILE, EMAIL_TEXT, TICKET_FILE, TICKET_TEXT = "email_file", "email_text", "ticket_file", "ticket_text"
 FILES, TEXTS, TICKETS = (EMAIL_FILE, TICKET_FILE), (EMAIL_TEXT, TICKET_TEXT), (TICKET_FILE, TICKET_TEXT)
 
+#: Files that a task writes, one after the other, and rows of a file that a task writes.
+FILES_A_TASK, ROWS_A_TASK = 200, 1_000_000
+
+
+def spread(result: DataFrame, names: DataFrame, key: str, n_files: int) -> DataFrame:
+    """The result's rows with the ``file`` they go to, dealt to tasks by files: opening a file takes longer than its few
+    rows, and by bytes all small files would be one task's. A file of very many rows is several parts."""
+    parts = result.groupBy(key).agg((F.count(F.lit(1)) / ROWS_A_TASK).cast("int").alias("__parts"))
+    rows = result.join(names.join(parts, key), key)
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in result.columns]), F.col("__parts") + 1)
+    return rows.repartition(max(1, -(-n_files // FILES_A_TASK)), "file", part).drop("__parts")
+
 
 @dataclass(frozen=True)
 class RoutedReport(Report):
@@ -61,7 +73,8 @@ class RoutedReport(Report):
                 })
                 where = f"report_dt={params.as_of.isoformat()}/run={params.run_ts:%Y%m%dT%H%M%S}"
                 names = rendered.where("file IS NOT NULL").select(self.key, "file").distinct()
-                result.join(names, self.key).write.mode("overwrite").partitionBy("file").option("header", True).csv(f"{base}/files/{where}")
+                spread(result, names, self.key, counted["n"]).write.mode("overwrite").partitionBy("file").option("header", True).csv(
+                    f"{base}/files/{where}")
                 mails = rendered.where(~F.col("attach_kind").isin(*TICKETS))
                 self._messages(mails, counted["n"], spark).write.mode("overwrite").parquet(f"{base}/outbox/{where}")
                 self._tickets(rendered.where(F.col("attach_kind").isin(*TICKETS)), spark, params).write.mode("overwrite").parquet(f"{base}/tickets/{where}")

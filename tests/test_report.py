@@ -232,3 +232,26 @@ def test_payments_from_tables_under_source_names(spark):
 def test_shuffle_partitions_grow_with_the_data():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(100 << 40) == 819_200
+
+
+def test_many_files_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    n = 450
+    acts = spark.range(n).selectExpr("concat('A/', id) AS agr", "1 AS condition", "CAST(id AS int) AS total")
+    acts = acts.unionByName(acts.withColumn("total", -F.col("total"))).coalesce(1)
+    routes = acts.selectExpr("agr", "'one@x' AS recipient", "'email_file' AS attach_kind", "CAST(NULL AS string) AS queue").distinct()
+    folder = str(tmp_path / "many")
+    report = monthly_acts(spark, folder, query=lambda tables, params: acts, routes=lambda s: routes)
+    assert report.run(spark, PARAMS)["n_delivered"] == n
+    files = spark.read.option("header", True).csv(f"{folder}/files").where("file IS NOT NULL").withColumn(
+        "task", F.regexp_extract(F.input_file_name(), r"/part-(\d+)", 1))
+    counts = files.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("task").alias("tasks"))
+    assert counts.where("n = 2 AND tasks = 1").count() == counts.count() == n
+    assert files.select("task").distinct().count() > 1
+
+    from tallyframe.delivery import routed
+
+    monkeypatch.setattr(routed, "ROWS_A_TASK", 100)  # a file of many rows is several parts
+    one = spark.range(1000).selectExpr("'A' AS agr", "id")
+    spread = routed.spread(one, spark.createDataFrame([("A", "a file")], "agr string, file string"), "agr", 2000)
+    assert spread.columns == ["agr", "id", "file"] and spread.select("id").distinct().count() == 1000
+    assert spread.select(F.spark_partition_id()).distinct().count() > 3
