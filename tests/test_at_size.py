@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import D, day, plan, rows
-from tallyframe.operators import digest_tree
+from tallyframe.operators import allocation, carry, digest_tree
 from tallyframe.operators.allocation import allocate_fifo
 from tallyframe.operators.carry import asof_join, carry_last, in_parts
 from tallyframe.operators.compare import full_compare
@@ -154,6 +154,29 @@ def test_allocation_is_a_queue(spark, parts):
     assert sums == {i: a for _, _, i, a in payments if a and a > 0}
 
 
+@pytest.mark.parametrize("large", [None, 30])
+def test_allocation_goes_through_ranges_for_large_accounts_only(spark, monkeypatch, large):
+    rng = random.Random(11)
+    accounts, amounts = [1] * 6 + [2, 3, 4, None], [D("1.00"), D("2.50"), D("7.01"), D("100.00"), D(0), D("-3.00"), None]
+    payments = [(rng.choice(accounts), rng.choice([None, *range(9)]), k, rng.choice(amounts)) for k in range(150)] + [(7, 0, 900, D(5))]
+    documents = [(rng.choice(accounts), rng.choice([None, *range(9)]), k, rng.choice(amounts)) for k in range(170)] + [(8, 0, 901, D(5))]
+    ranged = []
+
+    def watched(df, keys, *rest):
+        ranged.append({r[0] for r in df.select(*keys).distinct().collect()})
+        return in_parts(df, keys, *rest)
+
+    for module in (allocation, carry):
+        monkeypatch.setattr(module, "in_parts", watched)
+    if large:
+        monkeypatch.setattr(allocation, "ACCOUNT_ROWS", large)
+    schema = "account int, at int, id int, amount decimal(18,2)"
+    found = allocate_fifo(*(spark.createDataFrame(x, schema) for x in (payments, documents)), ["account"], ["at", "id"], "id")
+    nulls_first = [[(a, -1 if t is None else t, i, m) for a, t, i, m in side] for side in (payments, documents)]
+    assert Counter((r.account, r.payment, r.document, r.allocated) for r in found.collect()) == allocated(*nulls_first)
+    assert set().union(*ranged) == ({1} if large else set())
+
+
 def test_allocation_of_nothing(spark):
     none = spark.createDataFrame([], "account int, at int, id int, amount decimal(18,2)")
     one = spark.createDataFrame([(1, 1, 1, D(3))], none.schema)
