@@ -51,8 +51,13 @@ def differs(a: str, b: str, null_safe: bool = False) -> Column:
 
 
 def missing_in(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``a`` whose key is not in ``b``; copies of a key in ``b`` fold before the join."""
-    return a.join(b.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of ``a`` whose key is not in ``b``; copies of a key in ``b`` fold before the join.
+
+    Keys are small when compressed, so by bytes Spark would merge partitions until a task sorts tens of millions of
+    them. The join keeps the session's number of partitions, which is not merged.
+    """
+    parts = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return a.join(b.select(*keys).repartition(parts, *keys).distinct(), list(keys), "left_anti")
 
 
 def compare_amounts(

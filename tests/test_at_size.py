@@ -14,7 +14,7 @@ from helpers import D, day, plan, rows
 from tallyframe.operators import allocation, carry, digest_tree
 from tallyframe.operators.allocation import allocate_fifo
 from tallyframe.operators.carry import asof_join, carry_last, in_parts
-from tallyframe.operators.compare import full_compare
+from tallyframe.operators.compare import full_compare, missing_in
 from tallyframe.operators.digest_tree import tree_compare
 from tallyframe.operators.intervals import containment_join
 from tallyframe.operators.windows import latest_version
@@ -418,3 +418,19 @@ def test_windows_meet_days_instead_of_orders(spark, sf_dir, monkeypatch):
     assert found.agg(F.sum("n")).first()[0] == 3 * Given(spark, sf_dir).orders.join(
         atsize.join_interval_containment(Given(spark, sf_dir)), F.to_date("o_orderdate").between(
             F.col("opens"), F.coalesce("closes", F.lit(day("9999-12-31"))))).count()
+
+
+def test_missing_keys_are_looked_up_in_all_partitions(spark):
+    """Keys take few bytes, so Spark would merge the partitions of the join into one task's sort."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        some = spark.range(5000).selectExpr("IF(id % 100 = 0, NULL, id) AS k", "id % 2 AS v")
+        known = spark.range(6000).selectExpr("IF(id % 3 = 0, 3, id) AS k").where("k < 4000")
+        found = missing_in(some, known, ["k"]).withColumn("task", F.spark_partition_id()).collect()
+        want = [(None if i % 100 == 0 else i, i % 2) for i in range(5000) if i % 100 == 0 or i >= 4000 or (i % 3 == 0 and i != 3)]
+        assert Counter((r.k, r.v) for r in found) == Counter(want)
+        assert len({r.task for r in found if r.k is not None}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set(threshold, before)
