@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from invented import prose
 from tallyframe.llm import cotraining, digest, graph, jaccard, line_rules, repeats
+from tallyframe.llm.common import text_slices
 from tallyframe.llm.repeats_kernel import Hashes, anchors, sliding
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -399,3 +400,11 @@ def test_classifier_without_labels_keeps_all(documents, no_documents, spark):
     one = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, quality int")
     assert cotraining.classify(no_documents, one).count() == 0
     assert cotraining.classify(documents, one).where("score IS NULL OR isnan(score)").count() == 0
+
+
+def test_kernels_take_a_megabyte_at_once():
+    """A worker keeps what its largest slice took: four megabytes put an executor over its memory."""
+    texts = ["x" * 50_000] * 100 + ["y" * 3_000_000] + [None] + ["z"] * 5
+    slices = list(text_slices(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), "text"))
+    assert [t for s in slices for t in s.column("text").to_pylist()] == texts
+    assert all(sum(len(t or "") for t in s.column("text").to_pylist()) <= (1 << 20) + 50_000 or s.column("text")[0].as_py()[0] == "y" for s in slices)
