@@ -160,6 +160,30 @@ def test_passages_of_very_long_texts(spark):
     assert len(found[1].kept_text.split()) == 59_949
 
 
+def test_passages_keep_one_python_worker_a_task(spark, monkeypatch):
+    """What is written for the search has one Python step between exchanges."""
+    plans, write = [], repeats.materialize
+
+    def spy(df, name, path=None):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name, path)
+
+    monkeypatch.setattr(repeats, "materialize", spy)
+    rows = [(k, " ".join(f"w{(k % 3) * 90 + j}" for j in range(80))) for k in range(6)]
+    assert repeats.remove_passages(spark.createDataFrame(rows, "doc_id long, text string")).where("n_words_removed = 80").count() == 6
+    assert len(plans) > 5
+    for name, plan in plans:
+        above = []  # depth of the Python steps that no exchange parts from the line
+        for line in plan.split("\n"):
+            depth = len(line) - len(line.lstrip(" :+-"))
+            above = [d for d in above if d < depth]
+            if "Exchange" in line:
+                above = []
+            if "MapInArrow" in line:
+                assert not above, name
+                above.append(depth)
+
+
 def test_repeated_passages_stage(spark, sf_dir, given_docs):
     rows = pairs(given_docs)
     want = {k: t for k, (t, _) in plain_passages(rows, corpus_pipeline.PASSAGE_WORDS).items() if words_of(t)}
