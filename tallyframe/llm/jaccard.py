@@ -382,7 +382,7 @@ def similar_texts(
     members = each.join(kept.select("n", F.col("b.bucket").alias("bucket")), "bucket").select("bucket", "n", "sid")
     members = members.join(nodes.select("sid", "signature"), "sid")
     edges = _candidate_edges(blocked(members, "bucket", "n", "sid", ["signature"]), threshold, tolerance)
-    clusters = components(edges.distinct())
+    clusters = components(edges)
     # the shingle sets of clustered nodes, each from one of its texts; long sets in as many ranges as keep rows in bounds
     sized = clusters.join(nodes.select(F.col("sid").alias("node"), "size"), "node").groupBy("root").agg(
         F.count(F.lit(1)).alias("n"), F.max("size").alias("longest"))
@@ -394,7 +394,9 @@ def similar_texts(
     sets, carried = _gram_sets(texts, width), ["copies", "size", "grams"]
     groups = blocked(sets, "root", "n", "sid", carried, ("parts", "part"))
     # where no cluster's sets are long, one branch does: two would make the shingle sets twice, side by side
-    if (sized.agg(F.max("parts")).first()[0] or 1) == 1:
+    # (without clusters first: no set may be long at all)
+    longest = nodes.agg(F.max("size")).first()[0] or 0
+    if longest * 8 * 2 * BLOCK <= ROW_BYTES or (sized.agg(F.max("parts")).first()[0] or 1) == 1:
         checked = _verify(groups, threshold)
     else:
         checked = _verify(groups.where("parts = 1"), threshold).unionByName(_verify_ranges(groups.where("parts > 1"), threshold))

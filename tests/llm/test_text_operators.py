@@ -219,6 +219,33 @@ def test_components_of_chains_and_stars(spark):
     assert graph.components(edges.where("false")).count() == 0
 
 
+def test_components_of_many_shapes(spark):
+    rng = np.random.default_rng(5)
+    pairs = rng.integers(0, 400, (330, 2)).tolist() + [[1000, k] for k in range(900, 1000)]
+    root = {k: k for p in pairs for k in p if p[0] != p[1]}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in pairs:
+        if a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    found = graph.components(spark.createDataFrame(pairs + pairs[:9], "a long, b long")).collect()
+    assert len(found) == len(root) and {r.node: r.root for r in found} == {k: find(k) for k in root}
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    written, write = [], graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, name, path: written.append(name) or write(df, name, path))
+    stars = [(0, k) for k in range(1, 9)] + [(20, 30), (31, 20)]
+    found = {r.node: r.root for r in graph.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert found == {**{k: 0 for k in range(9)}, **{k: 20 for k in (20, 30, 31)}}
+    assert len(written) == 1
+
+
 def test_classifier_on_held_out_labels(spark, sf_dir):
     sf_dir = sf_dir.replace("sf0.001", "sf0.01")  # enough labels to learn from a half of them
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
